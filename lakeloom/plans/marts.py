@@ -10,6 +10,13 @@ from lakeloom.functions.constants import REPURCHASE_WINDOWS, UNKNOWN_DATE_KEY, U
 
 MONEY_SUM = "decimal(38,2)"
 
+PRIMARY_KEYS = {
+    "mart_cohortes": ["cohort_year_month"],
+    "mart_satisfaccion": ["year_month", "tramo_retraso"],
+    "mart_ventas_categoria": ["year_month", "product_category"],
+    "mart_segmento_vendedor": ["year_month", "seller_segment"],
+}
+
 
 def _total(value: Column) -> Column:
     return F.sum(value).cast(MONEY_SUM)

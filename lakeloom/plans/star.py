@@ -1,15 +1,24 @@
-"""The whole warehouse over one folder of extracts, composed lazily layer by layer."""
+"""The warehouse over one folder of extracts: which tables there are and how each is built.
+
+A table is built from the published tables before it, as the daily run does: silver from the raw
+extracts, gold from silver, marts from gold. Within one application each is built and published
+once, in the shared folder, and every later reader starts from its files. That cuts the lineage
+for lost executors and gives Catalyst true sizes to choose broadcast joins by.
+"""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import date
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.operators.history import history_from_snapshots
 from lakeloom.plans import dimensions, facts, marts, silver
+from lakeloom.session import shared_folder
+from lakeloom.sources import tables
 from lakeloom.sources.standins import Extracts
 
 
@@ -22,119 +31,125 @@ class Rules:
     silver_from: int = 4_500_000
     gold_above: int = 5_200_000
 
+    @property
+    def segments(self) -> dict[str, int]:
+        return {"silver_from": self.silver_from, "gold_above": self.gold_above}
 
-class Star:
-    """Every property is a plan, not data: unused parts and columns cost nothing."""
-
-    def __init__(self, spark: SparkSession, folder: str, rules: Rules = Rules()):
-        self.spark = spark
-        self.raw = Extracts(spark, folder)
-        self.rules = rules
-
-    # Silver
-
-    @cached_property
-    def customers(self) -> DataFrame:
-        return silver.customers(self.raw.customers, self.raw.orders)
-
-    @cached_property
-    def sellers(self) -> DataFrame:
-        return silver.sellers(self.raw.sellers)
-
-    @cached_property
-    def products(self) -> DataFrame:
-        return silver.products(self.raw.products, self.raw.categories)
-
-    @cached_property
-    def geolocation(self) -> DataFrame:
-        return silver.geolocation(self.raw.geolocation)
-
-    @cached_property
-    def orders(self) -> DataFrame:
-        return silver.orders(self.raw.orders, self.raw.customers)
-
-    @cached_property
-    def order_items(self) -> DataFrame:
-        return silver.order_items(self.raw.order_items)
-
-    @cached_property
-    def payments(self) -> DataFrame:
-        return silver.payments(self.raw.payments)
-
-    @cached_property
-    def reviews(self) -> DataFrame:
-        return silver.reviews(self.raw.reviews)
 
-    # Gold dimensions
+@dataclass(frozen=True)
+class TableSpec:
+    """One table: its layer, its key and the plan that builds it from others."""
 
-    @cached_property
-    def dim_date(self) -> DataFrame:
-        return dimensions.dim_date(self.spark, *self.rules.calendar)
+    layer: str
+    primary_key: Sequence[str]
+    build: Callable[[Star], DataFrame]
 
-    @cached_property
-    def dim_customer(self) -> DataFrame:
-        return dimensions.dim_customer(self.customers, self.orders)
 
-    @cached_property
-    def dim_product(self) -> DataFrame:
-        return dimensions.dim_product(self.products)
+class Star:
+    """Published tables by name (``star.fct_orders``), raw extracts under ``star.raw``."""
 
-    @cached_property
-    def dim_geography(self) -> DataFrame:
-        return dimensions.dim_geography(self.geolocation)
+    def __init__(self, spark: SparkSession, folder: str, rules: Rules = Rules(), root: str | None = None):
+        self.spark = spark
+        self.raw = Extracts(spark, folder)
+        self.rules = rules
+        self._folder = folder
+        self._root = root
+        self._read: dict[str, DataFrame] = {}
 
     @property
-    def segment_rules(self) -> dict:
-        return {"silver_from": self.rules.silver_from, "gold_above": self.rules.gold_above}
-
-    @cached_property
-    def seller_snapshots(self) -> DataFrame:
-        return dimensions.seller_snapshots(
-            self.sellers, self.order_items, self.orders, self.rules.snapshot_dates, **self.segment_rules
-        )
+    def root(self) -> str:
+        """Where this warehouse lives: one place per application, input folder and set of rules."""
+        if self._root is None:
+            identity = hashlib.sha256(f"{self._folder}|{self.rules}".encode()).hexdigest()[:16]
+            application = self.spark.sparkContext.applicationId
+            self._root = f"{shared_folder(self.spark)}/warehouse-{application}/{identity}"
+        return self._root
+
+    def plan(self, name: str) -> DataFrame:
+        """How the table is built, not yet run."""
+        return TABLES[name].build(self)
+
+    def publish(self, name: str) -> int:
+        """Build, check and publish the table; returns its rows."""
+        spec = TABLES[name]
+        self._read.pop(name, None)
+        return tables.publish(self.plan(name), f"{self.root}/{spec.layer}", name, spec.primary_key)
+
+    def table(self, name: str) -> DataFrame:
+        """The published table, built first where that has not happened yet."""
+        if name not in self._read:
+            layer = f"{self.root}/{TABLES[name].layer}"
+            if not tables.table_exists(self.spark, layer, name):
+                self.publish(name)
+            self._read[name] = tables.read_table(self.spark, layer, name)
+        return self._read[name]
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise AttributeError(name)
+        return self.table(name)
 
     def seller_snapshot(self, as_of: date) -> DataFrame:
-        return dimensions.seller_snapshot(self.sellers, self.order_items, self.orders, as_of, **self.segment_rules)
-
-    @cached_property
-    def dim_seller(self) -> DataFrame:
-        first = min(self.rules.snapshot_dates)
-        return history_from_snapshots(self.seller_snapshots, dimensions.SELLER_HISTORY, first)
-
-    # Gold facts
-
-    @cached_property
-    def fct_orders(self) -> DataFrame:
-        return facts.fct_orders(self.orders, self.order_items, self.dim_customer, self.dim_geography)
-
-    @cached_property
-    def fct_order_items(self) -> DataFrame:
-        return facts.fct_order_items(
-            self.order_items, self.orders, self.dim_customer, self.dim_geography, self.dim_product, self.dim_seller
-        )
-
-    @cached_property
-    def fct_payments(self) -> DataFrame:
-        return facts.fct_payments(self.payments, self.orders, self.dim_customer)
-
-    @cached_property
-    def fct_reviews(self) -> DataFrame:
-        return facts.fct_reviews(self.reviews, self.orders, self.dim_customer)
-
-    # Marts
-
-    @cached_property
-    def mart_cohortes(self) -> DataFrame:
-        return marts.mart_cohortes(self.fct_orders, self.dim_customer, self.dim_date)
-
-    @cached_property
-    def mart_satisfaccion(self) -> DataFrame:
-        return marts.mart_satisfaccion(self.fct_orders, self.fct_reviews, self.dim_date)
-
-    @cached_property
-    def mart_ventas_categoria(self) -> DataFrame:
-        return marts.mart_ventas_categoria(self.fct_order_items, self.dim_product, self.dim_date)
-
-    @cached_property
-    def mart_segmento_vendedor(self) -> DataFrame:
-        return marts.mart_segmento_vendedor(self.fct_order_items, self.dim_seller, self.dim_date)
+        """State and segment of every seller at one date."""
+        return dimensions.seller_snapshot(self.sellers, self.order_items, self.orders, as_of, **self.rules.segments)
+
+
+def _seller_snapshots(star: Star) -> DataFrame:
+    return dimensions.seller_snapshots(
+        star.sellers, star.order_items, star.orders, star.rules.snapshot_dates, **star.rules.segments
+    )
+
+
+def _dim_seller(star: Star) -> DataFrame:
+    first = min(star.rules.snapshot_dates)
+    return history_from_snapshots(star.seller_snapshots, dimensions.SELLER_HISTORY, first)
+
+
+_SILVER = {
+    "customers": lambda s: silver.customers(s.raw.customers, s.raw.orders),
+    "sellers": lambda s: silver.sellers(s.raw.sellers),
+    "products": lambda s: silver.products(s.raw.products, s.raw.categories),
+    "geolocation": lambda s: silver.geolocation(s.raw.geolocation),
+    "orders": lambda s: silver.orders(s.raw.orders, s.raw.customers),
+    "order_items": lambda s: silver.order_items(s.raw.order_items),
+    "payments": lambda s: silver.payments(s.raw.payments),
+    "reviews": lambda s: silver.reviews(s.raw.reviews),
+}
+_GOLD = {
+    "dim_date": lambda s: dimensions.dim_date(s.spark, *s.rules.calendar),
+    "dim_customer": lambda s: dimensions.dim_customer(s.customers, s.orders),
+    "dim_product": lambda s: dimensions.dim_product(s.products),
+    "dim_geography": lambda s: dimensions.dim_geography(s.geolocation),
+    "seller_snapshots": _seller_snapshots,
+    "dim_seller": _dim_seller,
+    "fct_orders": lambda s: facts.fct_orders(s.orders, s.order_items, s.dim_customer, s.dim_geography),
+    "fct_order_items": lambda s: facts.fct_order_items(
+        s.order_items, s.orders, s.dim_customer, s.dim_geography, s.dim_product, s.dim_seller
+    ),
+    "fct_payments": lambda s: facts.fct_payments(s.payments, s.orders, s.dim_customer),
+    "fct_reviews": lambda s: facts.fct_reviews(s.reviews, s.orders, s.dim_customer),
+}
+_MARTS = {
+    "mart_cohortes": lambda s: marts.mart_cohortes(s.fct_orders, s.dim_customer, s.dim_date),
+    "mart_satisfaccion": lambda s: marts.mart_satisfaccion(s.fct_orders, s.fct_reviews, s.dim_date),
+    "mart_ventas_categoria": lambda s: marts.mart_ventas_categoria(s.fct_order_items, s.dim_product, s.dim_date),
+    "mart_segmento_vendedor": lambda s: marts.mart_segmento_vendedor(s.fct_order_items, s.dim_seller, s.dim_date),
+}
+_KEYS = {
+    **silver.PRIMARY_KEYS,
+    **dimensions.PRIMARY_KEYS,
+    "seller_snapshots": ["as_of", "seller_id"],
+    **facts.PRIMARY_KEYS,
+    **marts.PRIMARY_KEYS,
+}
+
+# In build order: within a layer dimensions come before facts, layers one after the other.
+TABLES = {
+    name: TableSpec(layer, _KEYS[name], build)
+    for layer, builds in (("silver", _SILVER), ("gold", _GOLD), ("marts", _MARTS))
+    for name, build in builds.items()
+}
+
+
+def names_of(layer: str) -> list[str]:
+    return [name for name, spec in TABLES.items() if spec.layer == layer]

@@ -11,42 +11,42 @@ from lakeloom.registry import query
 
 @query("E1_customers", "select * from s_customers")
 def customers(star):
-    return star.customers
+    return star.plan("customers")
 
 
 @query("E2_sellers", "select * from s_sellers")
 def sellers(star):
-    return star.sellers
+    return star.plan("sellers")
 
 
 @query("E3_products", "select * from s_products")
 def products(star):
-    return star.products
+    return star.plan("products")
 
 
 @query("E4_geolocation", "select * from s_geolocation")
 def geolocation(star):
-    return star.geolocation
+    return star.plan("geolocation")
 
 
 @query("E5_orders", "select * from s_orders")
 def orders(star):
-    return star.orders
+    return star.plan("orders")
 
 
 @query("E6_order_items", "select * from s_items")
 def order_items(star):
-    return star.order_items
+    return star.plan("order_items")
 
 
 @query("E7_payments", "select * from s_payments")
 def payments(star):
-    return star.payments
+    return star.plan("payments")
 
 
 @query("E8_reviews", "select * from s_reviews")
 def reviews(star):
-    return star.reviews
+    return star.plan("reviews")
 
 
 @query(
@@ -63,17 +63,17 @@ def dim_date(star):
 
 @query("G2_dim_customer", "select * from d_customer")
 def dim_customer(star):
-    return star.dim_customer
+    return star.plan("dim_customer")
 
 
 @query("G3_dim_product", "select * from d_product")
 def dim_product(star):
-    return star.dim_product
+    return star.plan("dim_product")
 
 
 @query("G4_dim_geography", "select * from d_geography")
 def dim_geography(star):
-    return star.dim_geography
+    return star.plan("dim_geography")
 
 
 @query("G5_dim_seller", "select * from d_seller")
@@ -95,44 +95,44 @@ def dim_seller(star):
 @query("G5_dim_seller_backfill", "select * from d_seller")
 def dim_seller_backfill(star):
     """The same history in one pass over all snapshots."""
-    return star.dim_seller
+    return star.plan("dim_seller")
 
 
 @query("G6_fct_orders", "select * from f_orders")
 def fct_orders(star):
-    return star.fct_orders
+    return star.plan("fct_orders")
 
 
 @query("G7_fct_order_items", "select * from f_items")
 def fct_order_items(star):
-    return star.fct_order_items
+    return star.plan("fct_order_items")
 
 
 @query("G8_fct_payments", "select * from f_payments")
 def fct_payments(star):
-    return star.fct_payments
+    return star.plan("fct_payments")
 
 
 @query("G9_fct_reviews", "select * from f_reviews")
 def fct_reviews(star):
-    return star.fct_reviews
+    return star.plan("fct_reviews")
 
 
 @query("M1_mart_cohortes", "select * from m_cohortes order by 1")
 def mart_cohortes(star):
-    return star.mart_cohortes
+    return star.plan("mart_cohortes")
 
 
 @query("M2_mart_satisfaccion", "select * from m_satisfaccion")
 def mart_satisfaccion(star):
-    return star.mart_satisfaccion
+    return star.plan("mart_satisfaccion")
 
 
 @query("M3_mart_ventas_categoria", "select * from m_categoria")
 def mart_ventas_categoria(star):
-    return star.mart_ventas_categoria
+    return star.plan("mart_ventas_categoria")
 
 
 @query("M4_mart_segmento_vendedor", "select * from m_segmento")
 def mart_segmento_vendedor(star):
-    return star.mart_segmento_vendedor
+    return star.plan("mart_segmento_vendedor")
