@@ -1 +1,130 @@
-"""placeholder"""
+"""Snapshots, versions, history loads and layer builds."""
+
+from datetime import date
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lakeloom.operators import history
+from lakeloom.operators.dimension import as_of_date
+from lakeloom.plans import build
+from lakeloom.plans.dimensions import SELLER_HISTORY
+from lakeloom.plans.star import Star
+from lakeloom.registry import query
+from lakeloom.session import working_folder
+from lakeloom.sources import tables
+
+RECENT = date(2001, 1, 1)
+
+
+def _at(star: Star, day: date) -> DataFrame:
+    stacked = star.seller_snapshots
+    return stacked.where(stacked.as_of == day).drop("as_of")
+
+
+def _loads(star: Star) -> tuple[str, dict[date, dict[str, int]]]:
+    """All snapshot dates loaded one after the other into a table of their own."""
+    root = working_folder(star.spark, "history")
+    done = {
+        day: build.load_history(root, "dim_seller", _at(star, day), SELLER_HISTORY, day)
+        for day in star.rules.snapshot_dates
+    }
+    return root, done
+
+
+@query("C1_seller_snapshot", "select * exclude (as_of) from seller_snapshots where as_of = date '2001-01-01'")
+def seller_snapshot(star):
+    return star.seller_snapshot(RECENT)
+
+
+@query(
+    "C2_new_versions",
+    """select case when seller_id = '-1' then '-1' else sha256(seller_id || '|2001-01-01') end as seller_sk,
+       * exclude (as_of), as_of as valid_from, date '9999-12-31' as valid_to, true as is_current
+       from seller_snapshots where as_of = date '2001-01-01'""",
+)
+def new_versions(star):
+    return history.open_versions(_at(star, RECENT), SELLER_HISTORY, RECENT)
+
+
+@query(
+    "C3_history_load",
+    """select valid_from as as_of, count(*) as inserted,
+       (select count(*) from d_seller c where c.valid_to = o.valid_from - 1) as closed from d_seller o
+       where valid_from > date '1900-01-01' group by valid_from""",
+)
+def history_load(star):
+    """What each later load did. Counts come from the loads themselves, one row per load date."""
+    root, done = _loads(star)
+    loaded = tables.read_table(star.spark, root, "dim_seller")
+    reported = [
+        loaded.where(F.col("valid_from") == F.lit(day))
+        .limit(1)
+        .select(
+            F.lit(day).alias("as_of"),
+            F.lit(counts["inserted"]).cast("bigint").alias("inserted"),
+            F.lit(counts["closed"]).cast("bigint").alias("closed"),
+        )
+        for day, counts in done.items()
+        if day > min(done)
+    ]
+    return reduce(DataFrame.unionByName, reported)
+
+
+@query("K5_history_merge", "select * from d_seller")
+def history_merge(star):
+    root, _ = _loads(star)
+    return tables.read_table(star.spark, root, "dim_seller")
+
+
+@query(
+    "K6_history_first_load",
+    """select case when seller_id = '-1' then '-1' else sha256(seller_id || '|1900-01-01') end as seller_sk,
+       * exclude (as_of), date '1900-01-01' as valid_from, date '9999-12-31' as valid_to, true as is_current
+       from seller_snapshots where as_of = date '1997-01-01'""",
+)
+def history_first_load(star):
+    root = working_folder(star.spark, "history")
+    first = min(star.rules.snapshot_dates)
+    build.load_history(root, "dim_seller", _at(star, first), SELLER_HISTORY, first)
+    return tables.read_table(star.spark, root, "dim_seller")
+
+
+@query("L2_last_load", "select max(valid_from) as last_load, count(*) filter (where is_current) as members from d_seller")
+def last_load(star):
+    root, _ = _loads(star)
+    loaded = tables.read_table(star.spark, root, "dim_seller")
+    return loaded.agg(F.max("valid_from").alias("last_load"), F.count_if("is_current").alias("members"))
+
+
+@query(
+    "C4_layer_build",
+    """select 'customers' as table_name, count(*) as row_count from s_customers
+       union all select 'sellers', count(*) from s_sellers union all select 'products', count(*) from s_products
+       union all select 'geolocation', count(*) from s_geolocation union all select 'orders', count(*) from s_orders
+       union all select 'order_items', count(*) from s_items union all select 'payments', count(*) from s_payments
+       union all select 'reviews', count(*) from s_reviews union all select 'dim_date', count(*) from d_date
+       union all select 'dim_customer', count(*) from d_customer union all select 'dim_product', count(*) from d_product
+       union all select 'dim_geography', count(*) from d_geography
+       union all select 'seller_snapshots', count(*) from seller_snapshots
+       union all select 'dim_seller', count(*) from d_seller union all select 'fct_orders', count(*) from f_orders
+       union all select 'fct_order_items', count(*) from f_items union all select 'fct_payments', count(*) from f_payments
+       union all select 'fct_reviews', count(*) from f_reviews""",
+)
+def layer_build(star):
+    """Silver then gold, built into a place of their own; counts are read back from what is published."""
+    root = working_folder(star.spark, "warehouse")
+    own = Star(star.spark, star.raw.folder, star.rules, root)
+    built = [name for layer in ("silver", "gold") for name in build.build_layer(own, layer)]
+    counted = [own.table(n).agg(F.lit(n).alias("table_name"), F.count("*").alias("row_count")) for n in built]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query(
+    "X18_point_in_time_view",
+    "select * from d_seller where date '1999-06-30' between valid_from and valid_to",
+)
+def point_in_time_view(star):
+    return as_of_date(star.dim_seller, date(1999, 6, 30))
+
