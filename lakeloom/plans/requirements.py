@@ -79,7 +79,9 @@ def late_in_severe_weather(deliveries: DataFrame, so_far: DataFrame) -> DataFram
     counted = windows.join(count_at("until_end", "delivered_on"), ["region", "delivered_on"], "left").join(
         count_at("until_start", "day_before"), ["region", "day_before"], "left"
     )
-    severe = F.coalesce("until_end", F.lit(0)) > F.coalesce("until_start", F.lit(0))
+    # Without both ends there is no window; a day outside the calendar has no severe days yet.
+    dated = F.col("bought_on").isNotNull() & F.col("delivered_on").isNotNull()
+    severe = dated & (F.coalesce("until_end", F.lit(0)) > F.coalesce("until_start", F.lit(0)))
     totals = counted.groupBy("region").agg(F.count("*").alias("late"), F.count_if(severe).alias("late_in_severe_weather"))
     return totals.withColumn("share", ratio(F.col("late_in_severe_weather"), F.col("late")))
 

@@ -55,21 +55,10 @@ def new_versions(star):
        where valid_from > date '1900-01-01' group by valid_from""",
 )
 def history_load(star):
-    """What each later load did. Counts come from the loads themselves, one row per load date."""
-    root, done = _loads(star)
-    loaded = tables.read_table(star.spark, root, "dim_seller")
-    reported = [
-        loaded.where(F.col("valid_from") == F.lit(day))
-        .limit(1)
-        .select(
-            F.lit(day).alias("as_of"),
-            F.lit(counts["inserted"]).cast("bigint").alias("inserted"),
-            F.lit(counts["closed"]).cast("bigint").alias("closed"),
-        )
-        for day, counts in done.items()
-        if day > min(done)
-    ]
-    return reduce(DataFrame.unionByName, reported)
+    """What each load after the first reports."""
+    _, done = _loads(star)
+    later = [(day, counts["inserted"], counts["closed"]) for day, counts in done.items() if day > min(done)]
+    return star.spark.createDataFrame(later, "as_of date, inserted bigint, closed bigint")
 
 
 @query("K5_history_merge", "select * from d_seller")

@@ -397,4 +397,6 @@ def with_inputs(text: str) -> str:
     if not needed:
         return text
     parts = [f"{name} as ({body})" for name, body in INPUTS.items() if name in needed]
-    return "with " + ",\n".join(parts) + "\n" + text.strip()
+    text = text.strip()
+    own = text.startswith("with ")
+    return "with " + ",\n".join(parts) + (",\n" if own else "\n") + (text[5:] if own else text)

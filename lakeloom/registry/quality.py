@@ -1 +1,326 @@
-"""placeholder"""
+"""Data checks, on the clean tables and on the same tables with faults put in."""
+
+from datetime import date, datetime
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lakeloom.functions.constants import UNKNOWN_KEY
+from lakeloom.functions.keys import batch_id
+from lakeloom.operators import quality as Q
+from lakeloom.operators.history import history_violations
+from lakeloom.plans import requirements as R
+from lakeloom.plans import silver
+from lakeloom.plans.dimensions import SELLER_HISTORY
+from lakeloom.registry import query
+from lakeloom.registry import oracle as sql
+from lakeloom.sources.tables import key_profile
+
+PROCESSED = datetime(2026, 8, 1, 6, 30)
+
+
+@query("D1_unique", "select customer_sk, count(*) as occurrences from d_customer group by 1 having count(*) > 1")
+def unique(star):
+    return Q.duplicated(star.dim_customer, "customer_sk")
+
+
+@query(
+    "D1_unique_faults",
+    """select l_orderkey, l_linenumber, count(*) as occurrences from lineitem group by 1, 2 having count(*) > 1""",
+)
+def unique_faults(star):
+    """The given order lines are not unique by their number."""
+    return Q.duplicated(star.raw.given("lineitem"), "l_orderkey", "l_linenumber")
+
+
+@query("D2_not_null", "select * from m_segmento where year_month is null or seller_segment is null or gmv is null")
+def not_null(star):
+    return Q.missing(star.mart_segmento_vendedor, "year_month", "seller_segment", "gmv")
+
+
+@query("D2_not_null_faults", "select order_id, order_item_id, price from s_items where freight_value is null")
+def not_null_faults(star):
+    return Q.missing(star.order_items, "freight_value").select("order_id", "order_item_id", "price")
+
+
+SEGMENTS = ["Bronze", "Silver", "Gold", "Unknown"]
+REGIONS = ["Norte", "Nordeste", "Centro-Oeste", "Sudeste", "Sul", "Unknown"]
+DELAYS = ["a tiempo", "1-3 dias", "4-7 dias", ">7 dias"]
+
+
+@query(
+    "D3_accepted_values",
+    """select 'seller_segment' as checked, seller_segment as value, count(*) as occurrences from d_seller
+       where seller_segment not in ('Bronze', 'Silver', 'Gold', 'Unknown') group by all
+       union all select 'region', region, count(*) from d_geography
+       where region not in ('Norte', 'Nordeste', 'Centro-Oeste', 'Sudeste', 'Sul', 'Unknown') group by all
+       union all select 'tramo_retraso', tramo_retraso, count(*) from m_satisfaccion
+       where tramo_retraso not in ('a tiempo', '1-3 dias', '4-7 dias', '>7 dias') group by all""",
+)
+def accepted_values(star):
+    checks = [
+        (star.dim_seller, "seller_segment", SEGMENTS),
+        (star.dim_geography, "region", REGIONS),
+        (star.mart_satisfaccion, "tramo_retraso", DELAYS),
+    ]
+    found = [
+        Q.unaccepted(df, column, values).select(
+            F.lit(column).alias("checked"), F.col(column).alias("value"), "occurrences"
+        )
+        for df, column, values in checks
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    "D3_accepted_values_faults",
+    """select order_status, count(*) as occurrences from s_orders
+       where order_status not in ('DELIVERED', 'SHIPPED') group by 1""",
+)
+def accepted_values_faults(star):
+    return Q.unaccepted(star.orders, "order_status", ["DELIVERED", "SHIPPED"])
+
+
+@query(
+    "D4_relationships",
+    """select order_id, seller_sk from f_items where seller_sk is not null and seller_sk not in (select seller_sk from d_seller)
+       union all select order_id, customer_sk from f_orders
+       where customer_sk is not null and customer_sk not in (select customer_sk from d_customer)""",
+)
+def relationships(star):
+    sellers = Q.orphans(star.fct_order_items, "seller_sk", star.dim_seller, "seller_sk").select("order_id", "seller_sk")
+    customers = Q.orphans(star.fct_orders, "customer_sk", star.dim_customer, "customer_sk")
+    return sellers.union(customers.select("order_id", "customer_sk"))
+
+
+@query(
+    "D4_relationships_faults",
+    "select order_id, seller_sk from f_items where seller_sk not in (select seller_sk from d_seller where is_current)",
+)
+def relationships_faults(star):
+    """Items that point at a version that is no longer current."""
+    current = star.dim_seller.where("is_current")
+    return Q.orphans(star.fct_order_items, "seller_sk", current, "seller_sk").select("order_id", "seller_sk")
+
+
+@query("D5_singular", "select cohort_year_month from m_cohortes where recompra_3m > clientes_cohorte or recompra_6m > recompra_12m")
+def singular(star):
+    return Q.cohort_violations(star.mart_cohortes).select("cohort_year_month")
+
+
+@query(
+    "D5_singular_faults",
+    """select cohort_year_month, clientes_cohorte, recompra_3m, recompra_12m as recompra_6m, recompra_6m as recompra_12m
+       from m_cohortes where recompra_12m > recompra_6m or recompra_12m > clientes_cohorte""",
+)
+def singular_faults(star):
+    """Two windows of the mart swapped."""
+    swapped = star.mart_cohortes.withColumns(
+        {"recompra_6m": F.col("recompra_12m"), "recompra_12m": F.col("recompra_6m")}
+    )
+    return Q.cohort_violations(swapped)
+
+
+@query(
+    "D6_key_gate",
+    """select 'order_items' as table_name, count(*) as row_count, count(distinct (order_id, order_item_id)) as distinct_keys
+       from s_items
+       union all select 'lineitem', count(*), count(distinct (l_orderkey, l_linenumber)) from lineitem""",
+)
+def key_gate(star):
+    """A table the gate lets through and one it stops."""
+    lines = star.raw.given("lineitem")
+    profiles = {
+        "order_items": key_profile(star.order_items, ["order_id", "order_item_id"]),
+        "lineitem": key_profile(lines, ["l_orderkey", "l_linenumber"]),
+    }
+    named = [df.select(F.lit(name).alias("table_name"), "*") for name, df in profiles.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
+ITEM_ERRORS = {"freight_missing": "freight is not a number", "product_unknown": "no such product"}
+
+
+def _checked_items(star):
+    known = star.products.select("product_id", F.lit(True).alias("_known"))
+    return star.raw.order_items.join(known, "product_id", "left")
+
+
+def _split_items(star):
+    rules = {
+        "freight_missing": silver.to_money("freight_value").isNull(),
+        "product_unknown": F.col("_known").isNull(),
+    }
+    audit = {
+        "processed_at": F.lit(PROCESSED),
+        "source_file": F.lit("order_items.csv"),
+        "batch_id": F.lit(batch_id("order_items", PROCESSED.date())),
+    }
+    return Q.split_quarantine(_checked_items(star), rules, ITEM_ERRORS, audit)
+
+
+_BAD_FREIGHT = f"{sql.as_money('freight_value')} is null"
+_BAD_PRODUCT = "product_id not in (select product_id from s_products)"
+
+
+@query(
+    "X8_quarantine",
+    f"""select order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value, rule_id,
+        error_text, timestamp '{PROCESSED}' as processed_at, 'order_items.csv' as source_file,
+        '{batch_id("order_items", PROCESSED.date())}' as batch_id
+        from (select *, 'freight_missing' as rule_id, 'freight is not a number' as error_text from raw_items
+              where {_BAD_FREIGHT}
+              union all select *, 'product_unknown', 'no such product' from raw_items where {_BAD_PRODUCT})""",
+)
+def quarantine(star):
+    _, bad = _split_items(star)
+    return bad.drop("_known")
+
+
+@query("X8_accepted", f"select * from raw_items where not ({_BAD_FREIGHT}) and not ({_BAD_PRODUCT})")
+def accepted(star):
+    good, _ = _split_items(star)
+    return good.drop("_known")
+
+
+@query(
+    "X9_referential_integrity",
+    """select 'items without order' as relation, count(*) as orphans from s_items where order_id not in (select order_id from s_orders)
+       union all select 'items without product', count(*) from s_items where product_id not in (select product_id from s_products)
+       union all select 'items without seller', count(*) from s_items where seller_id not in (select seller_id from s_sellers)
+       union all select 'payments without order', count(*) from s_payments where order_id not in (select order_id from s_orders)
+       union all select 'reviews without order', count(*) from s_reviews where order_id not in (select order_id from s_orders)
+       union all select 'orders without items', count(*) from s_orders where order_id not in (select order_id from s_items)""",
+)
+def referential_integrity(star):
+    pairs = {
+        "items without order": (star.order_items, "order_id", star.orders),
+        "items without product": (star.order_items, "product_id", star.products),
+        "items without seller": (star.order_items, "seller_id", star.sellers),
+        "payments without order": (star.payments, "order_id", star.orders),
+        "reviews without order": (star.reviews, "order_id", star.orders),
+        "orders without items": (star.orders, "order_id", star.order_items),
+    }
+    counted = [
+        Q.orphans(child, key, parent, key).agg(F.lit(name).alias("relation"), F.count("*").alias("orphans"))
+        for name, (child, key, parent) in pairs.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@query("X10_volume", "select cast(null as date) as bought_on, cast(0 as bigint) as lost where false")
+def volume(star):
+    """Every delivered order of the source is in the fact table."""
+    source = silver.orders(star.raw.orders, star.raw.customers).where("order_status = 'DELIVERED'")
+    dated = source.select("order_id", F.to_date("order_purchase_timestamp").alias("bought_on"))
+    return R.volume_gaps(dated, star.fct_orders, "order_id", "bought_on")
+
+
+@query(
+    "X10_volume_faults",
+    """select cast(order_purchase_timestamp as date) as bought_on, count(*) as lost from s_orders
+       where order_status = 'DELIVERED' and order_id not in (select order_id from s_items) group by 1""",
+)
+def volume_faults(star):
+    """The gap an inner join of orders and items would leave."""
+    source = star.orders.where("order_status = 'DELIVERED'")
+    dated = source.select("order_id", F.to_date("order_purchase_timestamp").alias("bought_on"))
+    return R.volume_gaps(dated, star.order_items, "order_id", "bought_on")
+
+
+@query(
+    "X12_critical_nulls",
+    """select *, nulls / row_count as null_rate, nulls / row_count < 0.005 as met from (
+         select 'order_id' as column_name, count(*) filter (where order_id is null) as nulls, count(*) as row_count from s_orders
+         union all select 'customer_unique_id', count(*) filter (where customer_unique_id is null), count(*) from s_orders
+         union all select 'order_delivered_customer_date',
+                          count(*) filter (where order_delivered_customer_date is null), count(*) from s_orders
+         union all select 'price', count(*) filter (where price is null), count(*) from s_items)""",
+)
+def critical_nulls(star):
+    orders = R.critical_nulls(star.orders, ["order_id", "customer_unique_id", "order_delivered_customer_date"])
+    return orders.unionByName(R.critical_nulls(star.order_items, ["price"]))
+
+
+@query(
+    "X13_temporal_coherence",
+    """select order_id, rule_id from (
+         select order_id, 'order_approved_at_too_early' as rule_id from s_orders where order_approved_at < order_purchase_timestamp
+         union all select order_id, 'order_delivered_carrier_date_too_early' from s_orders
+         where order_delivered_carrier_date < order_approved_at
+         union all select order_id, 'order_delivered_customer_date_too_early' from s_orders
+         where order_delivered_customer_date < order_delivered_carrier_date)""",
+)
+def temporal_coherence(star):
+    tagged = Q.tag_violations(star.orders, R.temporal_rules())
+    return tagged.select("order_id", F.explode("violations").alias("rule_id"))
+
+
+@query(
+    "X14_domain_checks",
+    """select zip_code_prefix, rule_id, count(*) as points from (
+         select zip_code_prefix, 'negative_latitude' as rule_id from geo_points where lat < 0
+         union all select zip_code_prefix, 'longitude_out_of_bounds' from geo_points where lng < -9900
+         union all select zip_code_prefix, 'latitude_missing' from geo_points where lat is null
+         union all select zip_code_prefix, 'state_out_of_domain' from geo_points
+         where state not in ('SP', 'RJ', 'MG', 'ES')) group by all""",
+)
+def domain_checks(star):
+    rules = {
+        "negative_latitude": F.col("lat") < 0,
+        "longitude_out_of_bounds": F.col("lng") < -9900,
+        "latitude_missing": F.col("lat").isNull(),
+        "state_out_of_domain": ~F.col("state").isin("SP", "RJ", "MG", "ES"),
+    }
+    tagged = Q.tag_violations(silver.geolocation_points(star.raw.geolocation), rules)
+    broken = tagged.select("zip_code_prefix", F.explode("violations").alias("rule_id"))
+    return broken.groupBy("zip_code_prefix", "rule_id").agg(F.count("*").alias("points"))
+
+
+@query(
+    "X14_score_domain",
+    """select review_id, order_id, review_score from s_reviews where review_score not between 2 and 4""",
+)
+def score_domain(star):
+    return star.reviews.where(~F.col("review_score").between(2, 4)).select("review_id", "order_id", "review_score")
+
+
+@query(
+    "X15_history_integrity",
+    """select seller_id, cast(0 as bigint) as current_rows, cast(0 as bigint) as inverted, cast(0 as bigint) as overlapping
+       from d_seller where false""",
+)
+def history_integrity(star):
+    return history_violations(star.dim_seller, SELLER_HISTORY)
+
+
+@query(
+    "X15_history_integrity_faults",
+    """select seller_id, count(*) filter (where is_current) as current_rows,
+       count(*) filter (where valid_to < valid_from) as inverted, count(*) filter (where following <= valid_to) as overlapping
+       from (select *, lead(valid_from) over (partition by seller_id order by valid_from, valid_to) as following
+             from (select seller_id, valid_from, is_current or seller_id like '%3' as is_current,
+                          case when seller_id like '%5' then valid_to + 40 when seller_id like '%7' then valid_from - 1
+                               else valid_to end as valid_to
+                   from (select * replace (least(valid_to, date '9000-01-01') as valid_to) from d_seller)))
+       group by 1 having current_rows <> 1 or inverted > 0 or overlapping > 0""",
+)
+def history_integrity_faults(star):
+    """Closed rows marked current, ranges stretched over the next one, ranges turned round."""
+    seller, until = F.col("seller_id"), F.least("valid_to", F.lit(date(9000, 1, 1)))
+    faulty = star.dim_seller.where(seller.isNotNull()).withColumns(
+        {
+            "is_current": F.col("is_current") | seller.endswith("3"),
+            "valid_to": F.when(seller.endswith("5"), F.date_add(until, 40))
+            .when(seller.endswith("7"), F.date_sub("valid_from", 1))
+            .otherwise(until),
+        }
+    )
+    return history_violations(faulty, SELLER_HISTORY)
+
+
+@query("X15_one_current_per_seller", "select seller_id from d_seller group by 1 having count(*) filter (where is_current) <> 1")
+def one_current_per_seller(star):
+    members = star.dim_seller.where(F.col("seller_id") != UNKNOWN_KEY)
+    return members.groupBy("seller_id").agg(F.count_if("is_current").alias("n")).where("n <> 1").select("seller_id")

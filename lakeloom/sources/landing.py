@@ -22,9 +22,18 @@ def read_landing(spark: SparkSession, landing: str, table: str) -> DataFrame:
     path = f"{landing}/{table}.csv"
     if not paths.exists(spark, path):
         raise FileNotFoundError(path)
-    return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"')
+    extract = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"')
+    return extract.na.fill("")  # a blank is text too; silver decides that it means nothing
 
 
 def write_landing(df: DataFrame, landing: str, table: str) -> None:
     """CSV extract in the dialect ``read_landing`` expects."""
-    df.write.mode("overwrite").csv(f"{landing}/{table}.csv", header=True, quote='"', escape='"', emptyValue="")
+    df.write.mode("overwrite").csv(
+        f"{landing}/{table}.csv",
+        header=True,
+        quote='"',
+        escape='"',
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )

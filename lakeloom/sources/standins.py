@@ -217,12 +217,20 @@ class Extracts:
             _state("c_nationkey").alias("geolocation_state"),
         )
 
-    @cached_property
-    def clicks(self) -> DataFrame:
-        """Clickstream in the terms of the purchase funnel."""
+    def as_clicks(self, events: DataFrame) -> DataFrame:
+        """Events, stored or streamed, in the terms of the purchase funnel."""
         steps = F.create_map(
             *[F.lit(v) for v in ("view", "view", "click", "cart", "signup", "checkout", "purchase", "payment")]
         )
-        return self.given("events").select(
-            "event_id", "user_id", "ts", F.element_at(steps, F.col("event_type")).alias("step"), "value", "props"
+        return events.select(
+            "event_id",
+            "user_id",
+            F.col("ts").cast("timestamp").alias("ts"),
+            F.element_at(steps, F.col("event_type")).alias("step"),
+            "value",
+            "props",
         )
+
+    @cached_property
+    def clicks(self) -> DataFrame:
+        return self.as_clicks(self.given("events"))
