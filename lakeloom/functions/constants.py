@@ -3,7 +3,8 @@
 from datetime import date
 
 # Fixed values.
-SOURCE_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# The source writes moments as yyyy-MM-dd HH:mm:ss.
+SOURCE_TIMESTAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 UNKNOWN_KEY = "-1"
 UNKNOWN_DATE_KEY = -1

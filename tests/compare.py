@@ -9,6 +9,7 @@ import argparse
 import time
 from datetime import date, datetime
 from decimal import Decimal
+from typing import NamedTuple
 
 import duckdb
 
@@ -49,32 +50,34 @@ def rows_of(columns, rows):
     return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=repr)
 
 
-def spark_result(df):
-    return df.columns, [tuple(r) for r in df.collect()], [f.dataType.simpleString() for f in df.schema.fields]
+class Result(NamedTuple):
+    columns: list[str]
+    values: list[tuple]
 
 
-def duck_result(con, text):
+def spark_result(df) -> Result:
+    return Result(df.columns, [tuple(r) for r in df.collect()])
+
+
+def duck_result(con, text) -> Result:
     found = con.execute(text)
-    columns = [d[0] for d in found.description]
-    kinds = [str(d[1]) for d in found.description]
-    return columns, found.fetchall(), kinds
+    return Result([d[0] for d in found.description], found.fetchall())
 
 
-def differences(df, con, text) -> list[str]:
+def differences(found: Result, con, text) -> list[str]:
     """Empty if columns, row count and all values agree."""
-    s_columns, s_rows, s_kinds = spark_result(df)
-    d_columns, d_rows, d_kinds = duck_result(con, text)
-    if sorted(s_columns) != sorted(d_columns):
-        return [f"columns {sorted(s_columns)} / {sorted(d_columns)}"]
-    found = []
-    if len(s_rows) != len(d_rows):
-        found.append(f"rows {len(s_rows)} / {len(d_rows)}")
-    left, right = rows_of(s_columns, s_rows), rows_of(d_columns, d_rows)
+    expected = duck_result(con, text)
+    if sorted(found.columns) != sorted(expected.columns):
+        return [f"columns {sorted(found.columns)} / {sorted(expected.columns)}"]
+    faults = []
+    if len(found.values) != len(expected.values):
+        faults.append(f"rows {len(found.values)} / {len(expected.values)}")
+    left, right = rows_of(*found), rows_of(*expected)
     if left != right:
-        only_left = [r for r in left if r not in set(right)][:3]
-        only_right = [r for r in right if r not in set(left)][:3]
-        found.append(f"{sorted(s_columns)}\n  spark  {only_left}\n  duckdb {only_right}")
-    return found
+        only_left = sorted(set(left) - set(right), key=repr)[:3]
+        only_right = sorted(set(right) - set(left), key=repr)[:3]
+        faults.append(f"{sorted(found.columns)}\n  spark  {only_left}\n  duckdb {only_right}")
+    return faults
 
 
 def main() -> None:
@@ -97,7 +100,7 @@ def main() -> None:
         try:
             df = queries[key](spark, folder)
             if key in oracles:
-                found = differences(df, con, oracles[key])
+                found = differences(spark_result(df), con, oracles[key])
                 verdict = "ok" if not found else "DIFFERENT"
             else:
                 found, verdict = [], f"rows only ({len(df.collect())})"
