@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators.history import HistorySpec, changed, first_load, merge_counts, merge_snapshot
 from lakeloom.plans.star import Star, names_of
-from lakeloom.sources import tables
+from lakeloom.sources import jdbc, tables
 
 log = logging.getLogger("lakeloom")
 
@@ -36,6 +36,12 @@ def build_layer(star: Star, layer: str) -> dict[str, int]:
     return written
 
 
+def serve(star: Star, url: str, schema: str, properties: dict[str, str], connections: int = 8) -> dict[str, int]:
+    """Copy dimensions and facts to a serving database, table by table; returns rows written."""
+    served = [name for name in names_of("gold") if name.startswith(("dim_", "fct_"))]
+    return {name: jdbc.copy_to_jdbc(star.table(name), url, f"{schema}.{name}", properties, connections) for name in served}
+
+
 def _differences(current: DataFrame, snapshot: DataFrame, spec: HistorySpec) -> DataFrame:
     same = F.col(f"new.{spec.natural}") == F.col(f"cur.{spec.natural}")
     joined = snapshot.alias("new").join(current.where("is_current").alias("cur"), same, "left")

@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeloom.functions.constants import GOLD_ABOVE, SILVER_FROM
 from lakeloom.operators.history import history_from_snapshots
 from lakeloom.plans import dimensions, facts, marts, silver
 from lakeloom.session import shared_folder
 from lakeloom.sources import tables
+from lakeloom.sources.bronze import BronzeDay
 from lakeloom.sources.standins import Extracts
 
 
@@ -26,16 +28,25 @@ from lakeloom.sources.standins import Extracts
 class Rules:
     """Business parameters that depend on the data at hand."""
 
-    calendar: tuple[date, date] = (date(1995, 1, 1), date(2002, 12, 31))
-    snapshot_dates: tuple[date, ...] = field(default_factory=lambda: tuple(date(y, 1, 1) for y in range(1997, 2002)))
-    silver_from: int = 4_500_000
-    gold_above: int = 5_200_000
+    calendar: tuple[date, date] = (date(2016, 1, 1), date(2020, 12, 31))
+    snapshot_dates: tuple[date, ...] = (date(2018, 9, 1),)
+    silver_from: int = SILVER_FROM
+    gold_above: int = GOLD_ABOVE
 
     @property
     def segments(self) -> dict[str, int]:
         return {"silver_from": self.silver_from, "gold_above": self.gold_above}
 
 
+# What fits the given tables: their years, and thresholds that fill all three segments.
+GIVEN_TABLES = Rules(
+    calendar=(date(1995, 1, 1), date(2002, 12, 31)),
+    snapshot_dates=tuple(date(year, 1, 1) for year in range(1997, 2002)),
+    silver_from=4_500_000,
+    gold_above=5_200_000,
+)
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """One table: its layer, its key and the plan that builds it from others."""
@@ -46,13 +57,16 @@ class TableSpec:
 
 
 class Star:
-    """Published tables by name (``star.fct_orders``), raw extracts under ``star.raw``."""
+    """Published tables by name (``star.fct_orders``), raw extracts under ``star.raw``.
+
+    ``raw`` has one attribute per source: the bronze tables of a day, or the given tables in
+    their shape.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str, rules: Rules = Rules(), root: str | None = None):
-        self.spark = spark
-        self.raw = Extracts(spark, folder)
+    def __init__(self, raw: Extracts | BronzeDay, rules: Rules, root: str | None = None):
+        self.spark: SparkSession = raw.spark
+        self.raw = raw
         self.rules = rules
-        self._folder = folder
         self._root = root
         self._read: dict[str, DataFrame] = {}
 
@@ -60,7 +74,7 @@ class Star:
     def root(self) -> str:
         """Where this warehouse lives: one place per application, input folder and set of rules."""
         if self._root is None:
-            identity = hashlib.sha256(f"{self._folder}|{self.rules}".encode()).hexdigest()[:16]
+            identity = hashlib.sha256(f"{self.raw.folder}|{self.rules}".encode()).hexdigest()[:16]
             application = self.spark.sparkContext.applicationId
             self._root = f"{shared_folder(self.spark)}/warehouse-{application}/{identity}"
         return self._root

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.plans.star import Star
+from lakeloom.plans.star import GIVEN_TABLES, Star
 from lakeloom.registry.oracle import with_inputs
 from lakeloom.session import prepare
+from lakeloom.sources.standins import Extracts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,7 +23,7 @@ def query(key: str, oracle: str | None = None):
             raise ValueError(f"{key} is registered twice")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return build(Star(prepare(spark), folder))
+            return build(Star(Extracts(prepare(spark), folder), GIVEN_TABLES))
 
         QUERIES[key] = run
         if oracle is not None:

@@ -104,7 +104,7 @@ def last_load(star):
 def layer_build(star):
     """Silver then gold, built into a place of their own; counts are read back from what is published."""
     root = working_folder(star.spark, "warehouse")
-    own = Star(star.spark, star.raw.folder, star.rules, root)
+    own = Star(star.raw, star.rules, root)
     built = [name for layer in ("silver", "gold") for name in build.build_layer(own, layer)]
     counted = [own.table(n).agg(F.lit(n).alias("table_name"), F.count("*").alias("row_count")) for n in built]
     return reduce(DataFrame.unionByName, counted)

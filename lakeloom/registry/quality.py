@@ -10,8 +10,8 @@ from lakeloom.functions.constants import UNKNOWN_KEY
 from lakeloom.functions.keys import batch_id
 from lakeloom.operators import quality as Q
 from lakeloom.operators.history import history_violations
+from lakeloom.plans import contracts, silver
 from lakeloom.plans import requirements as R
-from lakeloom.plans import silver
 from lakeloom.plans.dimensions import SELLER_HISTORY
 from lakeloom.registry import query
 from lakeloom.registry import oracle as sql
@@ -44,11 +44,6 @@ def not_null_faults(star):
     return Q.missing(star.order_items, "freight_value").select("order_id", "order_item_id", "price")
 
 
-SEGMENTS = ["Bronze", "Silver", "Gold", "Unknown"]
-REGIONS = ["Norte", "Nordeste", "Centro-Oeste", "Sudeste", "Sul", "Unknown"]
-DELAYS = ["a tiempo", "1-3 dias", "4-7 dias", ">7 dias"]
-
-
 @query(
     "D3_accepted_values",
     """select 'seller_segment' as checked, seller_segment as value, count(*) as occurrences from d_seller
@@ -60,9 +55,9 @@ DELAYS = ["a tiempo", "1-3 dias", "4-7 dias", ">7 dias"]
 )
 def accepted_values(star):
     checks = [
-        (star.dim_seller, "seller_segment", SEGMENTS),
-        (star.dim_geography, "region", REGIONS),
-        (star.mart_satisfaccion, "tramo_retraso", DELAYS),
+        (star.dim_seller, "seller_segment", contracts.SEGMENTS),
+        (star.dim_geography, "region", contracts.REGIONS),
+        (star.mart_satisfaccion, "tramo_retraso", contracts.DELAYS),
     ]
     found = [
         Q.unaccepted(df, column, values).select(
@@ -324,3 +319,58 @@ def history_integrity_faults(star):
 def one_current_per_seller(star):
     members = star.dim_seller.where(F.col("seller_id") != UNKNOWN_KEY)
     return members.groupBy("seller_id").agg(F.count_if("is_current").alias("n")).where("n <> 1").select("seller_id")
+
+
+_SQL_NAMES = {
+    "dim_date": "d_date", "dim_customer": "d_customer", "dim_product": "d_product", "dim_geography": "d_geography",
+    "dim_seller": "d_seller", "fct_orders": "f_orders", "fct_order_items": "f_items", "mart_cohortes": "m_cohortes",
+    "mart_satisfaccion": "m_satisfaccion", "mart_ventas_categoria": "m_categoria", "mart_segmento_vendedor": "m_segmento",
+}
+
+
+def _declared_sql() -> str:
+    """One counting SELECT per declared check."""
+    name = _SQL_NAMES
+
+    def counting(check: str, rows: str) -> str:
+        return f"select '{check}' as check_name, count(*) as violations from ({rows})"
+
+    def listed(values):
+        return ", ".join(f"'{v}'" for v in values)
+
+    parts = [
+        counting(f"unique {t}.{c}", f"select {c} from {name[t]} group by 1 having count(*) > 1")
+        for t, c in contracts.UNIQUE.items()
+    ]
+    parts += [
+        counting(f"not_null {t}.{c}", f"select 1 from {name[t]} where {c} is null")
+        for t, columns in contracts.NOT_NULL.items()
+        for c in columns
+    ]
+    parts += [
+        counting(f"accepted_values {t}.{c}", f"select distinct {c} from {name[t]} where {c} not in ({listed(v)})")
+        for (t, c), v in contracts.ACCEPTED.items()
+    ]
+    parts += [
+        counting(f"relationships {t}.{c}", f"select 1 from {name[t]} where {c} not in (select {c} from {name[p]})")
+        for (t, c), p in contracts.RELATIONSHIPS.items()
+    ]
+    parts.append(counting("repurchase within cohort", "select 1 from m_cohortes where recompra_12m > clientes_cohorte"))
+    parts.append(
+        counting("one current version", "select 1 from d_seller group by seller_id having sum(is_current::int) <> 1")
+    )
+    parts.append(counting("no inverted range", "select 1 from d_seller where valid_to < valid_from"))
+    parts.append(
+        counting(
+            "no overlap",
+            """select 1 from d_seller a join d_seller b using (seller_id)
+               where a.valid_from < b.valid_from and b.valid_from <= a.valid_to""",
+        )
+    )
+    return " union all ".join(parts)
+
+
+@query("D_declared_checks", _declared_sql())
+def declared_checks(star):
+    """All declared tests of gold and marts with the number of violations each finds."""
+    return contracts.check_report(star, contracts.declared_checks())

@@ -142,7 +142,7 @@ def publish_with_key_gate(star):
 def publish_layers(star):
     """Silver and gold tables are published the same way, below their layer."""
     names = ("orders", "dim_customer", "fct_orders")
-    own = Star(star.spark, star.raw.folder, star.rules, working_folder(star.spark, "warehouse"))
+    own = Star(star.raw, star.rules, working_folder(star.spark, "warehouse"))
     written = [own.table(n).agg(F.lit(n).alias("table_name"), F.count("*").alias("row_count")) for n in names]
     return reduce(DataFrame.unionByName, written)
 

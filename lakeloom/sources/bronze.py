@@ -8,10 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.keys import batch_id
-from lakeloom.sources import paths
+from lakeloom.sources import landing, paths
 
 PARTITION = "ingestion_date"
-AUDIT_COLUMNS = ["_ingested_at", "_source_file", "_batch_id"]
+SOURCES = [
+    "customers",
+    "sellers",
+    "products",
+    "categories",
+    "geolocation",
+    "orders",
+    "order_items",
+    "payments",
+    "reviews",
+]
 
 
 def with_audit(df: DataFrame, table: str, ingested_at: datetime, source_file: str | None = None) -> DataFrame:
@@ -58,3 +68,25 @@ def read_bronze(spark: SparkSession, root: str, table: str, ingestion_date: date
     """Exactly one snapshot. A union of days would bring deleted records back."""
     day = resolve_ingestion_date(spark, root, table, ingestion_date)
     return spark.read.parquet(f"{root}/{table}/{PARTITION}={day.isoformat()}")
+
+
+def ingest(spark: SparkSession, landing_root: str, root: str, table: str, ingested_at: datetime) -> None:
+    """One extract from landing to bronze, under the day it was ingested."""
+    extract = landing.read_landing(spark, landing_root, table)
+    audited = with_audit(extract, table, ingested_at, f"{table}.csv")
+    write_bronze(audited, root, table, ingested_at.date())
+
+
+class BronzeDay:
+    """The sources of one ingestion day by name; the latest day of each without one."""
+
+    def __init__(self, spark: SparkSession, root: str, day: date | None = None):
+        self.spark = spark
+        self.folder = f"{root}@{day or 'latest'}"
+        self._root = root
+        self._day = day
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in SOURCES:
+            raise AttributeError(name)
+        return read_bronze(self.spark, self._root, name, self._day)

@@ -7,8 +7,9 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from lakeloom.plans.star import Star  # noqa: E402
+from lakeloom.plans.star import GIVEN_TABLES, Star  # noqa: E402
 from lakeloom.session import get_spark  # noqa: E402
+from lakeloom.sources.standins import Extracts  # noqa: E402
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -32,7 +33,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def star(spark):
-    return Star(spark, FOLDER)
+    return Star(Extracts(spark, FOLDER), GIVEN_TABLES)
 
 
 @pytest.fixture(scope="session")
