@@ -85,6 +85,6 @@ def publish(
     target = f"{path}/version={version}"
     # errorifexists: of two writers that picked the same number, one fails.
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
-    rows = check_key(spark.read.parquet(target), table, primary_key)
+    rows = check_key(spark.read.schema(df.schema).parquet(target), table, primary_key)
     paths.touch(spark, f"{target}/{MARKER}")
     return rows
