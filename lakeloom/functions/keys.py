@@ -29,6 +29,18 @@ def date_key(moment: str) -> Column:
     return F.coalesce(packed, F.lit(UNKNOWN_DATE_KEY))
 
 
+def key_date(key: str) -> Column:
+    """The day of a date key; NULL for the unknown date."""
+    k = F.col(key)
+    parts = [F.floor(k / 10000), F.floor(k / 100) % 100, k % 100]
+    return F.when(k != UNKNOWN_DATE_KEY, F.make_date(*[part.cast("int") for part in parts]))
+
+
+def resolve_date_key(key: str) -> Column:
+    """Date key after a left lookup: a miss is the unknown date."""
+    return F.coalesce(F.col(key), F.lit(UNKNOWN_DATE_KEY))
+
+
 def resolve_key(key: str) -> Column:
     """Foreign key after a left lookup: a miss points at the unknown member."""
     return F.coalesce(F.col(key), F.lit(UNKNOWN_KEY))

@@ -137,11 +137,9 @@ _GOLD = {
     "seller_snapshots": _seller_snapshots,
     "dim_seller": _dim_seller,
     "fct_orders": lambda s: facts.fct_orders(s.orders, s.order_items, s.dim_customer, s.dim_geography),
-    "fct_order_items": lambda s: facts.fct_order_items(
-        s.order_items, s.orders, s.dim_customer, s.dim_geography, s.dim_product, s.dim_seller
-    ),
-    "fct_payments": lambda s: facts.fct_payments(s.payments, s.orders, s.dim_customer),
-    "fct_reviews": lambda s: facts.fct_reviews(s.reviews, s.orders, s.dim_customer),
+    "fct_order_items": lambda s: facts.fct_order_items(s.order_items, s.fct_orders, s.dim_product, s.dim_seller),
+    "fct_payments": lambda s: facts.fct_payments(s.payments, s.fct_orders),
+    "fct_reviews": lambda s: facts.fct_reviews(s.reviews, s.fct_orders),
 }
 _MARTS = {
     "mart_cohortes": lambda s: marts.mart_cohortes(s.fct_orders, s.dim_customer, s.dim_date),

@@ -111,3 +111,9 @@ def test_late_by_hours_on_the_promised_day_is_up_to_three_days(spark):
     df = spark.createDataFrame([(datetime(2020, 1, 1, 9), datetime(2020, 1, 1))], "delivered timestamp, promised timestamp")
     late = A.is_late(F.col("delivered"), F.col("promised"))
     assert df.select(late, A.delay_bucket(late, F.datediff("delivered", "promised"))).first() == (1, "1-3 dias")
+
+
+def test_key_date_is_the_inverse_of_date_key(spark):
+    values = [20200229, 19000101, 99991231, -1, None]
+    expected = [date(2020, 2, 29), date(1900, 1, 1), date(9999, 12, 31), None, None]
+    assert apply(spark, values, "int", keys.key_date) == expected

@@ -20,6 +20,12 @@ EMPTY_WHEN_CLEAN = {
 }
 # No product of rows with rows, no rows through Python.
 NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "InPandas")
+# Windows over groups bounded by loads, dates, quotes or time slots; nothing else has a window.
+WINDOWED = {
+    "D_declared_checks", "G5_dim_seller_backfill", "X1_daily_rates", "X1_gmv_in_currency", "X2_late_in_severe_weather",
+    "X3_segment_moves", "X5_funnel", "X5_sessions", "X7_abandonment_rate", "X15_history_integrity",
+    "X15_history_integrity_faults", "X17_unusual_days",
+}
 MAY_BE_EMPTY_WHEN_SMALL = {"J15_orphans", "X17_unusual_days", "D5_singular_faults", "X15_history_integrity_faults"}
 
 
@@ -34,6 +40,7 @@ def test_matches_sql(spark, duck, folder, key):
     df = QUERIES[key](spark, folder)
     text = plan_text(df)
     assert not [operator for operator in NEVER if operator in text]
+    assert ("Window [" in text) == (key in WINDOWED)
     rows = spark_result(df)
     assert differences(rows, duck, ORACLES[key]) == []
     if key in EMPTY_WHEN_CLEAN:
