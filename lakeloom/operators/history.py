@@ -59,22 +59,19 @@ def merge_snapshot(history: DataFrame, snapshot: DataFrame, spec: HistorySpec, a
     """History after one more snapshot.
 
     A changed member is closed the day before ``as_of`` and reopened, a new one is opened, an
-    unchanged one and one missing from the snapshot stay as they are.
+    unchanged one and one missing from the snapshot stay as they are. Closed versions meet no
+    candidate and pass through the same join, so the history is read once.
     """
-    current = history.where("is_current").select(
-        F.col(spec.natural).alias("_key"), F.struct(*spec.columns).alias("cur")
-    )
-    candidate = open_versions(snapshot, spec, as_of).select(
-        F.col(spec.natural).alias("_key"), F.struct(*spec.columns).alias("new")
-    )
+    known = history.select(F.struct(*spec.columns).alias("cur"))
+    candidate = open_versions(snapshot, spec, as_of).select(F.struct(*spec.columns).alias("new"))
+    same = (F.col(f"cur.{spec.natural}") == F.col(f"new.{spec.natural}")) & F.col("cur.is_current")
     closed = F.col("cur").withField("valid_to", _day(as_of - timedelta(days=1))).withField("is_current", F.lit(False))
     outcome = (
         F.when(F.col("cur").isNull(), F.array("new"))
         .when(F.col("new").isNotNull() & changed(spec, "cur", "new"), F.array(closed, F.col("new")))
         .otherwise(F.array("cur"))
     )
-    touched = current.join(candidate, "_key", "full_outer").select(F.explode(outcome).alias("row")).select("row.*")
-    return history.where(~F.col("is_current")).select(*spec.columns).unionByName(touched)
+    return known.join(candidate, same, "full_outer").select(F.explode(outcome).alias("row")).select("row.*")
 
 
 def merge_counts(as_of: date) -> list[Column]:

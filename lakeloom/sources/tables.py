@@ -11,11 +11,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeloom.sources import paths
 
 MARKER = "_PUBLISHED"
 
+# Schemas of version folders already seen. A version never changes, so its footers are read once.
+_SCHEMAS: dict[str, StructType] = {}
+
 
 class KeyViolation(ValueError):
     """The primary key is duplicated or NULL."""
@@ -40,7 +44,13 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     published = _versions(spark, f"{root}/{table}", MARKER)
     if not published:
         raise ValueError(f"{table} was never published below {root}")
-    return spark.read.parquet(f"{root}/{table}/version={published[-1]}")
+    return _read_version(spark, f"{root}/{table}/version={published[-1]}")
+
+
+def _read_version(spark: SparkSession, folder: str) -> DataFrame:
+    if folder not in _SCHEMAS:
+        _SCHEMAS[folder] = spark.read.parquet(folder).schema
+    return spark.read.schema(_SCHEMAS[folder]).parquet(folder)
 
 
 def key_profile(df: DataFrame, primary_key: Sequence[str]) -> DataFrame:
@@ -85,6 +95,8 @@ def publish(
     target = f"{path}/version={version}"
     # errorifexists: of two writers that picked the same number, one fails.
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
-    rows = check_key(spark.read.schema(df.schema).parquet(target), table, primary_key)
+    if not partition_by:
+        _SCHEMAS[target] = df.schema
+    rows = check_key(_read_version(spark, target), table, primary_key)
     paths.touch(spark, f"{target}/{MARKER}")
     return rows
