@@ -80,6 +80,25 @@ def differences(found: Result, con, text) -> list[str]:
     return faults
 
 
+SQL_TYPES = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE",
+    "timestamp": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def type_differences(df, con, text) -> list[str]:
+    """Columns of another type; decimals only have to agree in their scale."""
+    expected = {name: kind for name, kind, *_ in con.execute(f"describe {text}").fetchall()}
+
+    def agrees(kind: str, other: str) -> bool:
+        if kind.startswith("decimal"):
+            return other.startswith("DECIMAL") and kind.rstrip(")").split(",")[1] == other.rstrip(")").split(",")[1]
+        return SQL_TYPES.get(kind) == other
+
+    found = [(f.name, f.dataType.simpleString(), expected.get(f.name, "")) for f in df.schema.fields]
+    return [f"{name}: {kind} / {other}" for name, kind, other in found if not agrees(kind, other)]
+
+
 def main() -> None:
     import __spark_entry__ as entry
     from lakeloom.session import get_spark
@@ -100,7 +119,7 @@ def main() -> None:
         try:
             df = queries[key](spark, folder)
             if key in oracles:
-                found = differences(spark_result(df), con, oracles[key])
+                found = type_differences(df, con, oracles[key]) + differences(spark_result(df), con, oracles[key])
                 verdict = "ok" if not found else "DIFFERENT"
             else:
                 found, verdict = [], f"rows only ({len(df.collect())})"

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from lakeloom.registry.oracle import with_inputs
-from tests.compare import connect, differences, spark_result
+from tests.compare import connect, differences, spark_result, type_differences
 from tests.conftest import plan_text
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -41,6 +41,7 @@ def test_matches_sql(spark, duck, folder, key):
     text = plan_text(df)
     assert not [operator for operator in NEVER if operator in text]
     assert ("Window [" in text) == (key in WINDOWED)
+    assert type_differences(df, duck, ORACLES[key]) == []
     rows = spark_result(df)
     assert differences(rows, duck, ORACLES[key]) == []
     if key in EMPTY_WHEN_CLEAN:
