@@ -22,17 +22,19 @@ PRIMARY_KEYS = {
 }
 
 
-def with_customer(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    known = dim_customer.select("customer_unique_id", "customer_sk", "customer_zip_code_prefix")
-    joined = orders.join(known, "customer_unique_id", "left")
-    return joined.withColumn("customer_sk", resolve_key("customer_sk"))
-
+def buyers(dim_customer: DataFrame, dim_geography: DataFrame) -> DataFrame:
+    """Keys of each customer and of the place of delivery, which is where the customer lives.
 
-def with_place(orders: DataFrame, dim_geography: DataFrame) -> DataFrame:
-    """Delivery geography from the zip of the customer."""
+    The place is looked up per customer, so orders move for their customer alone.
+    """
+    people = dim_customer.select("customer_unique_id", "customer_sk", "customer_zip_code_prefix")
     places = dim_geography.select(F.col("zip_code_prefix").alias("customer_zip_code_prefix"), "geography_sk")
-    joined = orders.join(places, "customer_zip_code_prefix", "left")
-    return joined.withColumn("geography_sk", resolve_key("geography_sk"))
+    return people.join(places, "customer_zip_code_prefix", "left").drop("customer_zip_code_prefix")
+
+
+def with_buyer(orders: DataFrame, known: DataFrame) -> DataFrame:
+    joined = orders.join(known, "customer_unique_id", "left")
+    return joined.withColumns({key: resolve_key(key) for key in ("customer_sk", "geography_sk")})
 
 
 def order_totals(items: DataFrame) -> DataFrame:
@@ -42,7 +44,7 @@ def order_totals(items: DataFrame) -> DataFrame:
 
 
 def fct_orders(orders: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_geography: DataFrame) -> DataFrame:
-    placed = with_place(with_customer(orders, dim_customer), dim_geography)
+    placed = with_buyer(orders, buyers(dim_customer, dim_geography))
     bought, delivered, promised = (
         F.col(c)
         for c in ("order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date")

@@ -175,8 +175,8 @@ def merge_match(star):
 
 @query("J9_dimension_lookups", "select order_id, customer_sk, geography_sk from order_keys")
 def dimension_lookups(star):
-    buyers = facts.with_customer(star.orders.select("order_id", "customer_unique_id"), star.dim_customer)
-    return facts.with_place(buyers, star.dim_geography).select("order_id", "customer_sk", "geography_sk")
+    known = facts.buyers(star.dim_customer, star.dim_geography)
+    return facts.with_buyer(star.orders, known).select("order_id", "customer_sk", "geography_sk")
 
 
 @query(

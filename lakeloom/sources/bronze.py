@@ -70,9 +70,11 @@ def read_bronze(spark: SparkSession, root: str, table: str, ingestion_date: date
     return spark.read.parquet(f"{root}/{table}/{PARTITION}={day.isoformat()}")
 
 
-def ingest(spark: SparkSession, landing_root: str, root: str, table: str, ingested_at: datetime) -> None:
+def ingest(
+    spark: SparkSession, landing_root: str, root: str, table: str, ingested_at: datetime, line_breaks: bool = True
+) -> None:
     """One extract from landing to bronze, under the day it was ingested."""
-    extract = landing.read_landing(spark, landing_root, table)
+    extract = landing.read_landing(spark, landing_root, table, line_breaks)
     audited = with_audit(extract, table, ingested_at, f"{table}.csv")
     write_bronze(audited, root, table, ingested_at.date())
 

@@ -17,12 +17,16 @@ def landing_tables(spark: SparkSession, landing: str, wanted: Iterable[str]) ->
     return [name.removesuffix(".csv") for name in paths.names(spark, f"{landing}/*.csv")]
 
 
-def read_landing(spark: SparkSession, landing: str, table: str) -> DataFrame:
-    """All columns as text: ``NA`` is text, quoted line breaks stay inside their value."""
+def read_landing(spark: SparkSession, landing: str, table: str, line_breaks: bool = True) -> DataFrame:
+    """All columns as text: ``NA`` is text, quoted line breaks stay inside their value.
+
+    A file that may hold line breaks inside values is one task. For extracts known to have none,
+    ``line_breaks=False`` lets Spark split large files.
+    """
     path = f"{landing}/{table}.csv"
     if not paths.exists(spark, path):
         raise FileNotFoundError(path)
-    extract = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"')
+    extract = spark.read.csv(path, header=True, inferSchema=False, multiLine=line_breaks, quote='"', escape='"')
     return extract.na.fill("")  # a blank is text too; silver decides that it means nothing
 
 

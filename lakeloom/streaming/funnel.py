@@ -9,8 +9,15 @@ from pyspark.sql.types import StructType
 from lakeloom.functions.constants import SESSION_GAP_MINUTES
 from lakeloom.operators.sessions import FUNNEL, first_reach
 
-# Sessions of a busy user are merged in each map task before the shuffle.
-MERGE_EARLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+STREAM_SETTINGS = {
+    # Sessions of a busy user are merged in each map task before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Open sessions live on the executors' disks with changelogs in the checkpoint, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def read_clicks(spark: SparkSession, folder: str, name: str, schema: StructType) -> DataFrame:
@@ -24,7 +31,8 @@ def closed_sessions(clicks: DataFrame, delay_minutes: int = 3, gap_minutes: int
     A session is emitted once the watermark has passed its last event by the gap, so a click may
     come up to ``delay_minutes`` late and state is kept for open sessions only.
     """
-    clicks.sparkSession.conf.set(MERGE_EARLY, "true")
+    for key, value in STREAM_SETTINGS.items():
+        clicks.sparkSession.conf.set(key, value)
     window = F.session_window("ts", f"{gap_minutes} minutes")
     return (
         clicks.withWatermark("ts", f"{delay_minutes} minutes")

@@ -71,13 +71,13 @@ def people(spark):
     return known.select(
         "customer_unique_id",
         F.sha2("customer_unique_id", 256).alias("customer_sk"),
-        F.lit("00000").alias("customer_zip_code_prefix"),
+        F.lit("place").alias("geography_sk"),
     )
 
 
 def test_lookup_splits_a_hot_key_and_keeps_every_row(spark, hot_orders, people):
     with large(spark):
-        joined = facts.with_customer(hot_orders, people).select("order_id", "customer_sk")
+        joined = facts.with_buyer(hot_orders, people).select("order_id", "customer_sk")
         assert "skew=true" in final_plan(joined)
         counted = dict(joined.groupBy(F.col("customer_sk") == "-1").count().collect())
     unknown = hot_orders.where("customer_unique_id is null").count()

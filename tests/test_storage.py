@@ -92,7 +92,8 @@ def test_from_landing_files_to_marts(spark, star, tmp_path):
     moment = datetime(2026, 8, 1, 6, 30)
     for name in bronze.SOURCES:
         landing.write_landing(getattr(star.raw, name), f"{tmp_path}/landing", name)
-        bronze.ingest(spark, f"{tmp_path}/landing", f"{tmp_path}/bronze", name, moment)
+        free_text = name == "reviews"
+        bronze.ingest(spark, f"{tmp_path}/landing", f"{tmp_path}/bronze", name, moment, line_breaks=free_text)
     ingested = Star(bronze.BronzeDay(spark, f"{tmp_path}/bronze"), GIVEN_TABLES, f"{tmp_path}/warehouse")
     written = {layer: build_layer(ingested, layer) for layer in ("silver", "gold", "marts")}
     assert list(written["marts"]) == names_of("marts")
@@ -124,8 +125,34 @@ def test_unknown_table_is_an_attribute_error(star):
         star.no_such_table
 
 
-def test_shared_folder_is_the_one_the_session_names(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+class SessionStub:
+    """Just what ``shared_folder`` asks a session for."""
+
+    def __init__(self, configured=None, context_dir=None, master="local[2]"):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self._configured, self._dir = configured, context_dir
+
+    def get(self, key, default=None):
+        return self._configured if key == "spark.checkpoint.dir" else default
+
+    def getCheckpointDir(self):
+        return self._dir
+
+    def setCheckpointDir(self, path):
+        self._dir = path
+
+
+def test_shared_folder_is_the_one_the_cluster_names():
+    assert shared_folder(SessionStub(configured="hdfs:///shared/", master="yarn")) == "hdfs:///shared"
+    assert shared_folder(SessionStub(context_dir="hdfs:///other", master="yarn")) == "hdfs:///other"
+
+
+def test_shared_folder_is_never_local_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(SessionStub(master="spark://host:7077"))
+    assert "lakeloom-" in shared_folder(SessionStub(master="local[2]"))
 
 
 class RecordingWriter:
