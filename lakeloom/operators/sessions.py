@@ -36,7 +36,8 @@ def sessions(clicks: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES) -> DataF
     order is at most one row per slot of the period, however many events the user has.
     """
     gap = gap_minutes * 60_000_000
-    slots = clicks.groupBy("user_id", F.floor(F.unix_micros("ts") / gap).alias("slot")).agg(
+    micros = F.unix_micros("ts")
+    slots = clicks.groupBy("user_id", (micros - F.pmod(micros, F.lit(gap))).alias("slot")).agg(
         F.min("ts").alias("started"), F.max("ts").alias("ended"), F.count("*").alias("events"), *first_reach()
     )
     in_order = Window.partitionBy("user_id").orderBy("slot")

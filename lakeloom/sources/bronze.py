@@ -24,13 +24,12 @@ SOURCES = [
 ]
 
 
-def with_audit(df: DataFrame, table: str, ingested_at: datetime, source_file: str | None = None) -> DataFrame:
-    """Audit columns: load moment, file of origin, batch. The logical day is the caller's."""
-    origin = F.lit(source_file) if source_file else F.col("_metadata.file_name")
+def with_audit(df: DataFrame, table: str, ingested_at: datetime, source_file: str) -> DataFrame:
+    """Audit columns: load moment, file of origin, batch. The moment is the caller's, not the clock's."""
     return df.select(
         "*",
         F.lit(ingested_at).cast("timestamp").alias("_ingested_at"),
-        origin.alias("_source_file"),
+        F.lit(source_file).alias("_source_file"),
         F.lit(batch_id(table, ingested_at.date())).alias("_batch_id"),
     )
 

@@ -51,6 +51,7 @@ def test_sessions_equal_brute_force_with_a_hot_user(spark):
     rows = [(7, T0 + timedelta(seconds=37 * i), "view") for i in range(400)]  # one long session
     rows += [(7, T0 + timedelta(hours=30, minutes=31 * i), "cart") for i in range(20)]  # all alone
     rows += [(u, T0 + timedelta(minutes=(u * 13 * i) % 1700), "view") for u in range(1, 7) for i in range(40)]
+    rows += [(8, datetime(1970, 1, 1) + timedelta(minutes=m), "view") for m in (-75, -29, -1, 28, 59, 61)]
     assert found_by(S.sessions(clicks(spark, rows))) == brute(rows)
 
 
