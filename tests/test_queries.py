@@ -7,11 +7,13 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from lakeloom import registry
 from lakeloom.registry.oracle import with_inputs
 from tests.compare import connect, differences, spark_result, type_differences
 from tests.conftest import plan_text
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+registry.load_all()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 # No answer is the right answer: these look for faults in clean tables.
 EMPTY_WHEN_CLEAN = {
@@ -52,6 +54,7 @@ def test_matches_sql(spark, duck, folder, key):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_is_the_flagship_with_a_stable_schema(spark):
