@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
+from typing import Any
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +48,21 @@ def words(text: Column) -> Column:
     """Runs of characters other than ASCII white space; none for NULL."""
     trimmed = F.trim(F.coalesce(text, F.lit("")), F.lit(SPACE_CHARS))
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACE}]+"))
+
+
+_MADE: dict[str, Any] = {}
+
+
+def shared_value(spark: SparkSession, value: Any) -> Broadcast:
+    """A value of bounded size for all tasks; ``made_once`` takes it there."""
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, value))
+
+
+def made_once(shared: Broadcast, make: Callable[[Any], Any]) -> Any:
+    """What ``make`` builds of a shared value, built once in each worker; the last few are kept."""
+    key, value = shared.value
+    if key not in _MADE:
+        while len(_MADE) >= 4:
+            _MADE.pop(next(iter(_MADE)))
+        _MADE[key] = make(value)
+    return _MADE[key]

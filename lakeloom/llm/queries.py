@@ -2,11 +2,155 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import quality_rules, query
-from lakeloom.llm.common import given
+from lakeloom.llm import (
+    bpe,
+    decontaminate,
+    html_extract,
+    line_dedup,
+    near_dedup,
+    pii,
+    quality_classifier,
+    quality_rules,
+    query,
+    shards,
+    token_counts,
+)
+from lakeloom.llm.common import given, written
+
+SURROGATE_KEY = "documents-1"
+HOLD_OUT = 5
+LIKELY = 0.3
+
+
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_pii_surrogates")
+def op1_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = given(spark, folder, "documents").select("doc_id", "text")
+    return pii.replace(docs, SURROGATE_KEY, counter="n_entities")
+
+
+@query("op2_near_dedup")
+def op2_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.label(given(spark, folder, "documents"))
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % HOLD_OUT == 0
+    vectors = written(quality_classifier.measured(given(spark, folder, "documents")), "statistics")
+    labels = given(spark, folder, "labels").select("doc_id", "quality").where(~held_out)
+    scored = quality_classifier.scored(vectors, quality_classifier.fit(vectors.join(labels, "doc_id")))
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= LIKELY).cast("int").alias("predicted"),
+    )
+
+
+def digests(docs: DataFrame) -> DataFrame:
+    """The contract of byte-pair encoding: counts and digests of ids and of the text decoded from them."""
+    encoded = bpe.encode(docs, vocabulary_path(), decoded="decoded", keep=["doc_id"])
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op4_bpe")
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return digests(given(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op5_html_text")
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_extract.extract(given(spark, folder, "pages"), keep=["page_id", "url"])
+    return pages.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+@query(
+    "op6_line_dedup",
+    f"""
+    with docs as (select row_number() over () as r, doc_id, source, text, string_split(text, chr(10)) as parts from documents),
+    lines as (
+        select distinct r, source, trim(unnest(parts), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as line from docs
+        where source is not null and text is not null
+    ),
+    pages as (select source, count(*) as pages from docs group by source),
+    dropped as (
+        select source, list(line) as found from (
+            select source, line, count(*) as n from lines where line <> '' group by source, line
+        ) join pages using (source)
+        where n >= {line_dedup.MIN_PAGES} and n > {line_dedup.MAX_RATIO} * pages group by source
+    ),
+    cleaned as (
+        select doc_id, parts, list_filter(parts, lambda x: found is null or not list_contains(
+            found, trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)))) as rest
+        from docs left join dropped using (source)
+    )
+    select doc_id, coalesce(len(parts), 0) as n_lines, coalesce(len(parts), 0) - coalesce(len(rest), 0) as n_dropped,
+        case when parts is null then null else coalesce(array_to_string(rest, chr(10)), '') end as text
+    from cleaned
+    """,
+)
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = given(spark, folder, "documents").select("doc_id", "source", "text")
+    cleaned = line_dedup.drop_boilerplate(docs, counters=("n_lines", "n_dropped"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", "text")
+
+
+@query("op7_shards")
+def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
+    placed = shards.assign(given(spark, folder, "documents"))
+    return placed.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
+# Edits that a cleaning step would make: personal data to place holders, runs of symbols away.
+_EDITS = re.compile(
+    r"(?P<mail>[\w.+-]{1,64}@[\w-]+(?:\.[\w-]+)+)|(?P<address>\b\d{1,3}(?:\.\d{1,3}){3}\b)|(?P<number>\d{9,})|(?P<symbols>[%&*$#!]{2,})"
+)
+_PLACE_HOLDERS = {"mail": "[mail]", "address": "[address]", "number": "[number]", "symbols": ""}
+
+
+def cleaning_edits(text: str | None) -> list[dict]:
+    found = _EDITS.finditer(text or "")
+    return [{"start": m.start(), "end": m.end(), "new": _PLACE_HOLDERS[m.lastgroup]} for m in found]
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = vocabulary_path()
+    docs = given(spark, folder, "documents").select("doc_id", "text")
+    edits = F.udf(cleaning_edits, token_counts.EDITS, useArrow=True)
+    before = token_counts.count(docs, path).withColumns(
+        {"n_tokens_before": F.get("tree.tokens", F.lit(1)).cast("long"), "edits": edits("text")}
+    )
+    after = token_counts.apply_edits(before, path)
+    return after.select(
+        "doc_id",
+        "n_tokens_before",
+        F.size("edits").cast("long").alias("n_edits"),
+        F.get("tree.tokens", F.lit(1)).cast("long").alias("n_tokens"),
+        "chars_encoded",
+    )
+
+
+@query("op9_decontaminate")
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(given(spark, folder, "documents"), given(spark, folder, "benchmark"))
 
 
 @query("op10_quality_rules")
