@@ -40,10 +40,14 @@ def region_of(state: Column, states_by_region: Mapping[str, Sequence[str]] = K.S
     return F.element_at(lookup, state)
 
 
+def bucket(value: Column, limits: Sequence[float], labels: Sequence[str]) -> Column:
+    """Below the first limit, up to the second, beyond it; NULL for NULL."""
+    (low, high), (under, inside, beyond) = limits, labels
+    return F.when(value < low, under).when(value <= high, inside).when(value > high, beyond)
+
+
 def weight_bucket(grams: Column) -> Column:
-    light, medium, heavy = K.WEIGHT_LABELS
-    low, high = K.WEIGHT_LIMITS
-    return F.when(grams > high, heavy).when(grams >= low, medium).when(grams < low, light)
+    return bucket(grams, K.WEIGHT_LIMITS, K.WEIGHT_LABELS)
 
 
 def volume_cm3(*sides: Column) -> Column:
@@ -55,7 +59,7 @@ def volume_cm3(*sides: Column) -> Column:
 
 
 def segment_of(gmv: Column, silver_from: float = K.SILVER_FROM, gold_above: float = K.GOLD_ABOVE) -> Column:
-    return F.when(gmv > gold_above, "Gold").when(gmv >= silver_from, "Silver").otherwise("Bronze")
+    return F.coalesce(bucket(gmv, (silver_from, gold_above), K.SEGMENTS), F.lit(K.SEGMENTS[0]))
 
 
 def is_delivered(status: Column) -> Column:
@@ -75,16 +79,39 @@ def is_positive(score: Column) -> Column:
     return (score >= K.POSITIVE_SCORE_MIN).cast("int")
 
 
+def order_measures() -> dict[str, Column]:
+    """Measures of an order, from its moments and the totals of its items."""
+    bought, delivered, promised = (
+        F.col(f"order_{c}") for c in ("purchase_timestamp", "delivered_customer_date", "estimated_delivery_date")
+    )
+    return {
+        "days_to_delivery": F.datediff(delivered, bought),
+        "days_late": F.datediff(delivered, promised),
+        "is_delivered": is_delivered(F.col("order_status")),
+        "is_late": is_late(delivered, promised),
+        "order_item_count": F.coalesce("order_item_count", F.lit(0)),
+        "order_value": F.coalesce("order_value", F.lit(0).cast("decimal(12,2)")),
+        "order_count": F.lit(1),
+    }
+
+
+def review_measures() -> dict[str, Column]:
+    score, asked, answered = (F.col(f"review_{c}") for c in ("score", "creation_date", "answer_timestamp"))
+    return {
+        "is_negative": is_negative(score),
+        "is_positive": is_positive(score),
+        "response_time_hours": hours_between(asked, answered),
+        "review_count": F.lit(1),
+    }
+
+
 def hours_between(start: Column, end: Column) -> Column:
     return ((F.unix_timestamp(end) - F.unix_timestamp(start)) / 3600).cast("decimal(10,2)")
 
 
 def delay_bucket(late: Column, days: Column) -> Column:
-    short, medium, long = K.DELAY_LABELS
     first, second = K.DELAY_LIMITS
-    return (
-        F.when(late == 0, K.DELAY_ON_TIME).when(days <= first, short).when(days <= second, medium).otherwise(long)
-    )
+    return F.when(late == 0, K.DELAY_ON_TIME).otherwise(bucket(days, (first + 1, second), K.DELAY_LABELS))
 
 
 def category_label(category: Column) -> Column:

@@ -16,6 +16,7 @@ OPEN_VALID_TO = date(9999, 12, 31)
 DELIVERED = "DELIVERED"
 NO_CATEGORY = "Sin categoria"
 
+SEGMENTS = ("Bronze", "Silver", "Gold")
 SEGMENT_WINDOW_DAYS = 365
 SILVER_FROM = 5_000
 GOLD_ABOVE = 50_000

@@ -16,9 +16,10 @@ def surrogate_key(natural: str) -> Column:
     return F.sha2(F.col(natural), 256)
 
 
-def version_key(natural: str, valid_from: str = "valid_from") -> Column:
+def version_key(natural: str, valid_from: Column | str = "valid_from") -> Column:
     """Key of one version of a type-2 member; the unknown member keeps its own key."""
-    digest = F.sha2(F.concat_ws("|", F.col(natural), F.col(valid_from).cast("string")), 256)
+    since = F.col(valid_from) if isinstance(valid_from, str) else valid_from
+    digest = F.sha2(F.concat_ws("|", F.col(natural), since.cast("string")), 256)
     return F.when(F.col(natural) == UNKNOWN_KEY, UNKNOWN_KEY).otherwise(digest)
 
 

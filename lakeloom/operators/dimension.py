@@ -2,30 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from lakeloom.functions.constants import UNKNOWN_KEY, UNKNOWN_LABEL
 
 
-def with_unknown_member(
-    df: DataFrame, key: str, unknown_key: str = UNKNOWN_KEY, label: str = UNKNOWN_LABEL
-) -> DataFrame:
-    """Add the row that facts without a match point at.
+# What an unknown member shows by type; a type that is not listed shows NULL, as any number would be a claim.
+SHOWN = {"string": UNKNOWN_LABEL}
 
-    Text columns carry the label; everything else is NULL, as any number would be a claim.
-    """
-    if key not in df.columns:
-        raise ValueError(f"{key} is not one of the columns {df.columns}")
 
-    def member(field):
-        if field.name == key:
-            return F.lit(unknown_key)
-        return F.lit(label if isinstance(field.dataType, StringType) else None)
+def unknown_row(spark: SparkSession, shape: dict[str, str], own: dict[str, object]) -> DataFrame:
+    """One row of the given columns and types; ``own`` holds what is not told by the type."""
+    if strange := own.keys() - shape.keys():
+        raise ValueError(f"{sorted(strange)} not among the columns {list(shape)}")
+    values = {c: own.get(c, SHOWN.get(kind)) for c, kind in shape.items()}
+    return spark.range(1).select(*[F.lit(values[c]).cast(kind).alias(c) for c, kind in shape.items()])
+
 
-    row = [member(field).cast(field.dataType).alias(field.name) for field in df.schema.fields]
-    return df.sparkSession.range(1).select(*row).unionByName(df)
+def with_unknown_member(df: DataFrame, key: str, unknown_key: str = UNKNOWN_KEY) -> DataFrame:
+    """The dimension and the row that facts without a match point at."""
+    return df.unionByName(unknown_row(df.sparkSession, dict(df.dtypes), {key: unknown_key}))
 
 
 def point_in_time(

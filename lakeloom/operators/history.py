@@ -39,15 +39,16 @@ def changed(spec: HistorySpec, left: str, right: str) -> Column:
     return reduce(or_, differs)
 
 
+def versions(rows: DataFrame, spec: HistorySpec, since: Column, until: Column, current: Column) -> DataFrame:
+    """Rows as versions: one projection to the columns of the history."""
+    told = {"valid_from": since, "valid_to": until, "is_current": current}
+    told[spec.surrogate] = version_key(spec.natural, since)
+    return rows.select(*[told.get(c, F.col(c)).alias(c) for c in spec.columns])
+
+
 def open_versions(snapshot: DataFrame, spec: HistorySpec, valid_from: date) -> DataFrame:
     """Every snapshot row as a current version starting on ``valid_from``."""
-    return (
-        snapshot.withColumn("valid_from", _day(valid_from))
-        .withColumn("valid_to", _day(OPEN_VALID_TO))
-        .withColumn("is_current", F.lit(True))
-        .withColumn(spec.surrogate, version_key(spec.natural))
-        .select(*spec.columns)
-    )
+    return versions(snapshot, spec, _day(valid_from), _day(OPEN_VALID_TO), F.lit(True))
 
 
 def first_load(snapshot: DataFrame, spec: HistorySpec) -> DataFrame:
@@ -98,16 +99,10 @@ def history_from_snapshots(
         .withColumn("_before", F.lag("_state").over(per_member))
         .where(F.col("_before").isNull() | ~F.col("_state").eqNullSafe(F.col("_before")))
     )
-    return (
-        opened.withColumn("_next", F.lead(as_of).over(per_member))
-        .withColumn(
-            "valid_from", F.when(F.col(as_of) == _day(first_as_of), _day(FIRST_VALID_FROM)).otherwise(F.col(as_of))
-        )
-        .withColumn("valid_to", F.coalesce(F.date_sub("_next", 1), _day(OPEN_VALID_TO)))
-        .withColumn("is_current", F.col("_next").isNull())
-        .withColumn(spec.surrogate, version_key(spec.natural))
-        .select(*spec.columns)
-    )
+    following = opened.withColumn("_next", F.lead(as_of).over(per_member))
+    since = F.when(F.col(as_of) == _day(first_as_of), _day(FIRST_VALID_FROM)).otherwise(F.col(as_of))
+    until = F.coalesce(F.date_sub("_next", 1), _day(OPEN_VALID_TO))
+    return versions(following, spec, since, until, F.col("_next").isNull())
 
 
 def history_violations(history: DataFrame, spec: HistorySpec) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import attributes as A
 from lakeloom.functions.constants import UNKNOWN_DATE_KEY, UNKNOWN_KEY
+from lakeloom.functions.keys import resolve_key
 from lakeloom.operators import history, quality
 from lakeloom.operators.dimension import point_in_time
 from lakeloom.operators.grouping import median_per_key, mode_per_key, one_per_key
@@ -176,7 +177,8 @@ def merge_match(star):
 @query("J9_dimension_lookups", "select order_id, customer_sk, geography_sk from order_keys")
 def dimension_lookups(star):
     known = facts.buyers(star.dim_customer, star.dim_geography)
-    return facts.with_buyer(star.orders, known).select("order_id", "customer_sk", "geography_sk")
+    found = star.orders.join(known, "customer_unique_id", "left")
+    return found.select("order_id", *[resolve_key(key).alias(key) for key in ("customer_sk", "geography_sk")])
 
 
 @query(
