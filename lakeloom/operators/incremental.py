@@ -5,15 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakeloom.operators.grouping import latest_per_key
 
 
 def upsert(base: DataFrame, changes: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
-    """Base with changed rows replaced and new ones added; of repeated changes the newest counts.
+    """Base with changed rows replaced and new ones added; of base and changes the newest row counts.
 
-    The base is only anti-joined: a small set of changes is broadcast and the base never moves.
+    ``newest`` are columns of both; a change as new as the base row replaces it. The base is only
+    joined on its keys: a small set of changes is broadcast and the base never moves.
     """
     final = latest_per_key(changes, keys, newest, [c for c in changes.columns if c not in keys])
-    kept = base.join(final.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(final.select(*base.columns))
+    when = F.struct(*newest)
+    held = base.select(*keys, when.alias("_held"))
+    late = held.join(final.select(*keys, when.alias("_change")), list(keys)).where("_held > _change").select(*keys)
+    winning = final.join(late, list(keys), "left_anti")
+    kept = base.join(winning.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(winning.select(*base.columns))

@@ -30,6 +30,10 @@ PRIMARY_KEYS = {
 }
 
 
+# Moments of an order that facts hold as date keys.
+KEYED_MOMENTS = ("order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date")
+
+
 def days(bounds: DataFrame, first: Column, last: Column) -> DataFrame:
     """One row per day from ``first`` to ``last``, both included."""
     return bounds.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("full_date"))
@@ -40,20 +44,20 @@ def _calendar(all_days: DataFrame) -> DataFrame:
     return with_unknown_member(described, "date_sk")
 
 
-def dim_date(spark: SparkSession, first: date, last: date) -> DataFrame:
-    return _calendar(days(spark.range(1), F.lit(first), F.lit(last)))
-
+def dim_date(orders: DataFrame, reviews: DataFrame, at_least: tuple[date, date]) -> DataFrame:
+    """Calendar of a given range and of the whole years of every moment that becomes a date key.
 
-def dim_date_covering(orders: DataFrame) -> DataFrame:
-    """Calendar of the whole years the orders touch."""
-    bounds = orders.agg(
-        F.min("order_purchase_timestamp").alias("lo"),
-        F.max(F.greatest("order_purchase_timestamp", "order_estimated_delivery_date", "order_delivered_customer_date"))
-        .alias("hi"),
-    )
-    first = F.make_date(F.year("lo"), F.lit(1), F.lit(1))
-    last = F.make_date(F.year("hi"), F.lit(12), F.lit(31))
-    return _calendar(days(bounds, first, last))
+    So a fact finds its day whatever the given range; both ends come from one row an extract.
+    """
+    moments = [c for c in orders.columns if c in KEYED_MOMENTS]
+    ends = [
+        df.agg(F.least(*[F.min(c) for c in columns], F.lit(None)).alias("lo"), F.greatest(*[F.max(c) for c in columns], F.lit(None)).alias("hi"))
+        for df, columns in ((orders, moments), (reviews, ["review_creation_date"]))
+    ]
+    both = ends[0].unionByName(ends[1]).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    first = F.least(F.lit(at_least[0]), F.make_date(F.year("lo"), F.lit(1), F.lit(1)))
+    last = F.greatest(F.lit(at_least[1]), F.make_date(F.year("hi"), F.lit(12), F.lit(31)))
+    return _calendar(days(both, first, last))
 
 
 def first_purchases(orders: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.attributes import exact_avg
+from lakeloom.functions.constants import REPURCHASE_WINDOWS
 from lakeloom.plans.marts import MONEY_SUM
 
 
@@ -23,7 +24,8 @@ def revenue(items: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def average_ticket(orders: DataFrame, by: Sequence[str]) -> DataFrame:
-    value, count = F.sum("order_value"), F.count_distinct("order_id")
+    # An order is one row, so its count is a sum that is added up before the shuffle.
+    value, count = F.sum("order_value"), F.sum("order_count")
     return orders.groupBy(*by).agg(count.alias("orders"), ratio(value, count).alias("average_ticket"))
 
 
@@ -58,6 +60,18 @@ def lifetime_value(cohorts: DataFrame) -> DataFrame:
     return cohorts.select("cohort_year_month", value.alias("ltv"))
 
 
+def lifetime_windows(activity: DataFrame, months: Sequence[int] = REPURCHASE_WINDOWS) -> DataFrame:
+    """Value per customer of a cohort within so many months of the first purchase.
+
+    Customers are summed up first, so none is counted twice and a busy one is one row a task.
+    """
+    spent = {n: F.sum(F.when(F.col("relative_month") <= n, F.col("order_value"))).alias(f"within_{n}") for n in months}
+    per_customer = activity.groupBy("cohort_year_month", "customer_sk").agg(*spent.values())
+    size = F.count("*")
+    value = [ratio(F.coalesce(F.sum(f"within_{n}"), F.lit(0)), size).alias(f"ltv_{n}m") for n in months]
+    return per_customer.groupBy("cohort_year_month").agg(size.alias("customers"), *value)
+
+
 def segment_gmv(segments: DataFrame) -> DataFrame:
     """GMV of each segment as valid at purchase."""
     return segments.groupBy("seller_segment").agg(F.sum("gmv").cast(MONEY_SUM).alias("gmv"))

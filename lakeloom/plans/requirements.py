@@ -2,44 +2,59 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.functions.constants import CRITICAL_NULL_RATE, UNKNOWN_KEY
+from lakeloom.functions.attributes import category_label
+from lakeloom.functions.constants import CRITICAL_NULL_RATE, SEGMENTS, UNKNOWN_KEY
 from lakeloom.operators.quality import null_rates
 from lakeloom.plans.marts import MONEY_SUM
 from lakeloom.plans.metrics import ratio
 
 
-def daily_rates(quotes: DataFrame, last: date) -> DataFrame:
-    """Quotes with weekend and holiday gaps filled forward: one rate per currency and day.
+def daily_rates(quotes: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Quotes with weekend and holiday gaps filled forward to the end of the calendar: one rate per currency and day.
 
     A row per day turns the as-of lookup of every sale into a plain equality on the day. The
     window runs over the quotes of one currency, one per day.
     """
     following = F.lead("quoted_on").over(Window.partitionBy("currency").orderBy("quoted_on"))
-    until = F.coalesce(F.date_sub(following, 1), F.lit(last))
+    last = dim_date.agg(F.max("full_date").alias("last")).scalar()
+    until = F.coalesce(F.date_sub(following, 1), last)
     spans = quotes.withColumn("_until", until).where("_until >= quoted_on")
     each_day = F.explode(F.sequence("quoted_on", "_until", F.expr("interval 1 day")))
     return spans.select("currency", "rate", each_day.alias("rate_date"))
 
 
 def sales_in_currency(items: DataFrame, rates: DataFrame, dim_date: DataFrame, currency: str) -> DataFrame:
-    """Monthly GMV converted at the rate of each day of purchase."""
+    """Monthly GMV, converted at the rate of each day of purchase; sales without a rate are counted."""
+    return _converted(items, rates, dim_date, currency).groupBy("year_month").agg(*_currency_sums())
+
+
+def category_margin(items: DataFrame, products: DataFrame, rates: DataFrame, dim_date: DataFrame, currency: str) -> DataFrame:
+    """By month and category: GMV and freight, and what is left of it in another currency."""
+    named = products.select("product_sk", category_label(F.col("product_category_name_english")).alias("category"))
+    rows = _converted(items.join(named, "product_sk", "left"), rates, dim_date, currency)
+    freight = F.coalesce("freight_value", F.lit(0).cast("decimal(12,2)"))
+    margin = F.sum((F.col("price") - freight).cast("decimal(20,2)") / F.col("rate"))
+    return rows.groupBy("year_month", "category").agg(
+        *_currency_sums(), F.sum("freight_value").cast(MONEY_SUM).alias("freight"), margin.cast("decimal(38,6)").alias("margin_converted")
+    )
+
+
+def _converted(items: DataFrame, rates: DataFrame, dim_date: DataFrame, currency: str) -> DataFrame:
     days = dim_date.select("date_sk", "full_date", "year_month")
     chosen = rates.where(F.col("currency") == currency).select(F.col("rate_date").alias("full_date"), "rate")
-    converted = (F.col("price").cast("double") / F.col("rate").cast("double")).cast("decimal(20,8)")
-    return (
-        items.join(days, "date_sk")
-        .join(chosen, "full_date")
-        .groupBy("year_month")
-        .agg(
-            F.sum("price").cast(MONEY_SUM).alias("gmv"),
-            F.sum(converted).cast("decimal(38,8)").alias("gmv_converted"),
-        )
-    )
+    return items.join(days, "date_sk", "left").join(chosen, "full_date", "left")
+
+
+def _currency_sums() -> list[Column]:
+    converted = F.sum(F.col("price").cast("decimal(20,2)") / F.col("rate"))
+    return [
+        F.sum("price").cast(MONEY_SUM).alias("gmv"),
+        converted.cast("decimal(38,6)").alias("gmv_converted"),
+        F.count_if(F.col("rate").isNull()).alias("unconverted"),
+    ]
 
 
 WEATHER_SCHEMA = "region string, daily array<struct<day: date, rain_mm: int>>"
@@ -54,13 +69,19 @@ def weather_days(reports: DataFrame, payload: str, severe_mm: int) -> DataFrame:
     )
 
 
-def severe_days_so_far(weather: DataFrame, first: date, last: date) -> DataFrame:
-    """Running number of severe days per region for every day of the calendar.
+def severe_days_so_far(weather: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Running number of severe days per region for every day from the first known to the last.
 
-    The window of a region holds one row per calendar day.
+    Days are those of the reports and of the calendar, which holds every delivery. The window of a
+    region holds one row per day.
     """
+    ends = weather.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).unionByName(
+        dim_date.agg(F.min("full_date").alias("lo"), F.max("full_date").alias("hi"))
+    )
+    bounds = ends.agg(F.struct(F.date_sub(F.min("lo"), 1).alias("lo"), F.max("hi").alias("hi")).alias("b")).scalar()
+    first, last = bounds["lo"], bounds["hi"]
     regions = weather.select("region").distinct()
-    each_day = F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 day")))
+    each_day = F.explode(F.sequence(first, last, F.expr("interval 1 day")))
     dense = regions.select("region", each_day.alias("day")).join(weather, ["region", "day"], "left")
     running = F.sum(F.coalesce("severe", F.lit(0))).over(Window.partitionBy("region").orderBy("day"))
     return dense.select("region", "day", running.alias("so_far"))
@@ -79,7 +100,7 @@ def late_in_severe_weather(deliveries: DataFrame, so_far: DataFrame) -> DataFram
     counted = windows.join(count_at("until_end", "delivered_on"), ["region", "delivered_on"], "left").join(
         count_at("until_start", "day_before"), ["region", "day_before"], "left"
     )
-    # Without both ends there is no window; a day outside the calendar has no severe days yet.
+    # Without both ends there is no window; a region without reports has no severe days.
     dated = F.col("bought_on").isNotNull() & F.col("delivered_on").isNotNull()
     severe = dated & (F.coalesce("until_end", F.lit(0)) > F.coalesce("until_start", F.lit(0)))
     totals = counted.groupBy("region").agg(F.count("*").alias("late"), F.count_if(severe).alias("late_in_severe_weather"))
@@ -92,7 +113,7 @@ def segment_moves(history: DataFrame) -> DataFrame:
     Only quarters with a change of segment or a new seller appear. A seller's window holds one
     row per load, the last one a row per quarter.
     """
-    rank = F.array_position(F.array(*[F.lit(s) for s in ("Bronze", "Silver", "Gold")]), F.col("seller_segment"))
+    rank = F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("seller_segment"))
     members = history.where(F.col("seller_id") != UNKNOWN_KEY)
     quarter_ends = members.groupBy("seller_id", F.date_trunc("quarter", "valid_from").alias("quarter")).agg(
         F.max_by(rank, "valid_from").alias("rank")
@@ -131,13 +152,16 @@ def volume_gaps(source: DataFrame, target: DataFrame, key: str, day: str) -> Dat
     return lost.groupBy(day).agg(F.count("*").alias("lost"))
 
 
-def freshness(loads: DataFrame, deadline_hour: int = 7, target: float = 0.99) -> DataFrame:
-    """Per quarter, the days whose data was there by the deadline of the next morning."""
+def freshness(days: DataFrame, loads: DataFrame, deadline_hour: int = 7, target: float = 0.99) -> DataFrame:
+    """Per quarter, the days whose data was there by the deadline of the next morning.
+
+    Every day of ``days`` counts; one without a load was not there.
+    """
     deadline = F.date_add("day", 1).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(deadline_hour))
     on_time = F.count_if(F.col("loaded_at") <= deadline)
     quarter = F.format_string("%d-Q%d", F.year("day"), F.quarter("day"))
     rate = ratio(on_time, F.count("*"))
-    return loads.groupBy(quarter.alias("year_quarter")).agg(
+    return days.join(loads, "day", "left").groupBy(quarter.alias("year_quarter")).agg(
         F.count("*").alias("days"), on_time.alias("on_time"), rate.alias("rate"), (rate >= target).alias("met")
     )
 
@@ -147,20 +171,25 @@ def critical_nulls(df: DataFrame, columns: list[str], limit: float = CRITICAL_NU
 
 
 def temporal_rules() -> dict[str, Column]:
-    """An order is bought, approved, handed over and delivered in that order."""
+    """An order is bought, approved, handed over and delivered in that order.
+
+    A moment is held against the latest one known before it, so one that is missing hides nothing.
+    """
     steps = [
         "order_purchase_timestamp",
         "order_approved_at",
         "order_delivered_carrier_date",
         "order_delivered_customer_date",
     ]
-    return {f"{later}_too_early": F.col(later) < F.col(earlier) for earlier, later in zip(steps, steps[1:])}
+    known = [F.greatest(*steps[:i], F.lit(None)) for i in range(1, len(steps))]
+    return {f"{later}_too_early": F.col(later) < latest for later, latest in zip(steps[1:], known, strict=True)}
 
 
 def unusual_days(counts: DataFrame, group: str, days: int = 28, deviations: float = 3.0) -> DataFrame:
     """Days whose volume is far from the mean of the days before, per group.
 
-    Sums of whole numbers keep mean and deviation exact. A group has one row per day.
+    Sums of whole numbers keep mean and deviation exact. A group has one row per day, ``daily_volume``
+    gives days without rows too.
     """
     before = Window.partitionBy(group).orderBy("day").rowsBetween(-days, -1)
     n, total, squares = (
@@ -178,5 +207,9 @@ def unusual_days(counts: DataFrame, group: str, days: int = 28, deviations: floa
 
 
 def daily_volume(df: DataFrame, group: str, moment: str) -> DataFrame:
-    dated = df.where(F.col(moment).isNotNull())
-    return dated.groupBy(group, F.to_date(moment).alias("day")).agg(F.count("*").alias("volume"))
+    """Rows per group and day, 0 for a day without any from the group's first one to the last of all groups."""
+    dated = df.where(F.col(moment).isNotNull()).groupBy(group, F.to_date(moment).alias("day")).agg(F.count("*").alias("volume"))
+    last = dated.agg(F.max("day").alias("last")).scalar()
+    each_day = F.explode(F.sequence("first", last, F.expr("interval 1 day"))).alias("day")
+    spans = dated.groupBy(group).agg(F.min("day").alias("first")).select(group, each_day)
+    return spans.join(dated, [group, "day"], "left").select(group, "day", F.coalesce("volume", F.lit(0)).alias("volume"))

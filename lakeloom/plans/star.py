@@ -89,6 +89,10 @@ class Star:
         self._read.pop(name, None)
         return tables.publish(self.plan(name), f"{self.root}/{spec.layer}", name, spec.primary_key)
 
+    def forget(self, name: str) -> None:
+        """Read the table anew next time, as it was published elsewhere."""
+        self._read.pop(name, None)
+
     def table(self, name: str) -> DataFrame:
         """The published table, built first where that has not happened yet."""
         if name not in self._read:
@@ -130,7 +134,7 @@ _SILVER = {
     "reviews": lambda s: silver.reviews(s.raw.reviews),
 }
 _GOLD = {
-    "dim_date": lambda s: dimensions.dim_date(s.spark, *s.rules.calendar),
+    "dim_date": lambda s: dimensions.dim_date(s.orders, s.reviews, s.rules.calendar),
     "dim_customer": lambda s: dimensions.dim_customer(s.customers, s.orders),
     "dim_product": lambda s: dimensions.dim_product(s.products),
     "dim_geography": lambda s: dimensions.dim_geography(s.geolocation),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import history
 from lakeloom.operators.dimension import as_of_date
-from lakeloom.plans import build
+from lakeloom.plans import build, dimensions
 from lakeloom.plans.dimensions import SELLER_HISTORY
 from lakeloom.plans.star import Star
 from lakeloom.registry import query
@@ -117,3 +117,47 @@ def layer_build(star):
 def point_in_time_view(star):
     return as_of_date(star.dim_seller, date(1999, 6, 30))
 
+
+
+RUN_DAYS = [date(1999, 1, 1), date(2000, 1, 1), date(2001, 1, 1)]
+
+
+@query(
+    "G5_daily_runs",
+    """with run_days(as_of, n) as (values (date '1999-01-01', 1), (date '2000-01-01', 2), (date '2001-01-01', 3)),
+            places as (
+                select as_of, seller_id, seller_zip_code_prefix, seller_state,
+                       case when seller_id like '%' || n then seller_city || ' ' || n else seller_city end as seller_city
+                from s_sellers cross join run_days where not (n = 2 and seller_id like '%7')
+                union all by name select as_of, '-1' as seller_id, 'Unknown' as seller_zip_code_prefix, 'Unknown' as seller_state,
+                       'Unknown' as seller_city from run_days),
+            sold as (select as_of, seller_id, sum(price) as gmv from s_items join s_orders using (order_id)
+                     join run_days on order_purchase_timestamp between as_of - 365 and as_of group by all),
+            days_seen as (
+                select as_of, seller_id, seller_zip_code_prefix, seller_city, seller_state, coalesce(gmv, 0) as gmv_window,
+                       case when seller_id = '-1' then 'Unknown' when gmv > 5200000 then 'Gold' when gmv >= 4500000 then 'Silver'
+                            else 'Bronze' end as seller_segment
+                from places left join sold using (as_of, seller_id)),
+            opened as (
+                select * from days_seen window w as (partition by seller_id order by as_of)
+                qualify row_number() over w = 1 or seller_city is distinct from lag(seller_city) over w
+                     or seller_segment is distinct from lag(seller_segment) over w)
+       select case when seller_id = '-1' then '-1' else sha256(seller_id || '|' || valid_from) end as seller_sk, seller_id,
+              seller_zip_code_prefix, seller_city, seller_state, seller_segment, gmv_window, valid_from, valid_to,
+              valid_to = date '9999-12-31' as is_current
+       from (select *, coalesce(lead(as_of) over (partition by seller_id order by as_of) - 1, date '9999-12-31') as valid_to,
+                    case when as_of = date '1999-01-01' then date '1900-01-01' else as_of end
+                    as valid_from from opened)""",
+)
+def daily_runs(star):
+    """Three days, one run each: some sellers move, some change their segment, some are absent on the second day."""
+    root = working_folder(star.spark, "days")
+    for number, day in enumerate(RUN_DAYS, 1):
+        seller, city = F.col("seller_id"), F.col("seller_city")
+        moved = F.when(seller.endswith(str(number)), F.concat(city, F.lit(f" {number}"))).otherwise(city)
+        present = star.sellers.where(~seller.endswith("7")) if number == 2 else star.sellers
+        snapshot = dimensions.seller_snapshot(
+            present.withColumn("seller_city", moved), star.order_items, star.orders, day, **star.rules.segments
+        )
+        build.load_history(root, "dim_seller", snapshot, SELLER_HISTORY, day)
+    return tables.read_table(star.spark, root, "dim_seller")

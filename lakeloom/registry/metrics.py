@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from lakeloom.plans import marts
 from lakeloom.plans import metrics as M
 from lakeloom.registry import query
 
@@ -10,10 +11,13 @@ def _items_by_year(star):
     return star.fct_order_items.join(star.dim_date.select("date_sk", "year", "year_month"), "date_sk")
 
 
-def _orders_by(star):
-    places = star.dim_geography.select("geography_sk", "region")
+def _orders_by_day(star):
     days = star.dim_date.select(F.col("date_sk").alias("purchase_date_sk"), "year", "year_month")
-    return star.fct_orders.join(places, "geography_sk").join(days, "purchase_date_sk")
+    return star.fct_orders.join(days, "purchase_date_sk")
+
+
+def _orders_by_place(star):
+    return star.fct_orders.join(star.dim_geography.select("geography_sk", "region"), "geography_sk")
 
 
 REVENUE = "select year, sum({}) as {} from f_items join d_date using (date_sk) group by 1"
@@ -41,7 +45,7 @@ def freight_revenue(star):
        from f_orders join d_date on date_sk = purchase_date_sk group by 1""",
 )
 def average_ticket(star):
-    return M.average_ticket(_orders_by(star), ["year_month"])
+    return M.average_ticket(_orders_by_day(star), ["year_month"])
 
 
 @query(
@@ -51,7 +55,7 @@ def average_ticket(star):
        from f_orders join d_geography using (geography_sk) group by 1""",
 )
 def late_share(star):
-    return M.late_share(_orders_by(star), ["region"]).drop("mean_delay")
+    return M.late_share(_orders_by_place(star), ["region"]).drop("mean_delay")
 
 
 @query(
@@ -60,7 +64,7 @@ def late_share(star):
        as mean_delay from f_orders join d_geography using (geography_sk) group by 1""",
 )
 def mean_delay(star):
-    return M.late_share(_orders_by(star), ["region"]).select("region", "mean_delay")
+    return M.late_share(_orders_by_place(star), ["region"]).select("region", "mean_delay")
 
 
 @query(
@@ -100,3 +104,16 @@ def gmv_by_segment(star):
 )
 def lifetime_value(star):
     return M.lifetime_value(star.mart_cohortes)
+
+
+@query(
+    "B11_ltv_windows",
+    "select cohort_year_month, count(distinct customer_sk) as customers, "
+    + ", ".join(
+        f"cast(coalesce(sum(order_value) filter (where relative_month <= {n}), 0) as double) / count(distinct customer_sk) as ltv_{n}m"
+        for n in (3, 6, 12)
+    )
+    + " from activity group by 1",
+)
+def ltv_windows(star):
+    return M.lifetime_windows(marts.order_activity(star.fct_orders, star.dim_customer, star.dim_date))

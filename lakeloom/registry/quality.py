@@ -204,7 +204,11 @@ def referential_integrity(star):
     return reduce(DataFrame.unionByName, counted)
 
 
-@query("X10_volume", "select cast(null as date) as bought_on, cast(0 as bigint) as lost where false")
+@query(
+    "X10_volume",
+    """select cast(order_purchase_timestamp as date) as bought_on, count(*) as lost from s_orders
+       where order_status = 'DELIVERED' and order_id not in (select order_id from f_orders) group by 1""",
+)
 def volume(star):
     """Every delivered order of the source is in the fact table."""
     source = silver.orders(star.raw.orders, star.raw.customers).where("order_status = 'DELIVERED'")
@@ -224,47 +228,77 @@ def volume_faults(star):
     return R.volume_gaps(dated, star.order_items, "order_id", "bought_on")
 
 
+CRITICAL = {
+    "orders": ["order_id", "customer_unique_id", "order_delivered_carrier_date", "order_delivered_customer_date",
+               "order_estimated_delivery_date"],
+    "order_items": ["order_id", "price"],
+}
+
+
 @query(
     "X12_critical_nulls",
-    """select *, nulls / row_count as null_rate, nulls / row_count < 0.005 as met from (
-         select 'order_id' as column_name, count(*) filter (where order_id is null) as nulls, count(*) as row_count from s_orders
-         union all select 'customer_unique_id', count(*) filter (where customer_unique_id is null), count(*) from s_orders
-         union all select 'order_delivered_customer_date',
-                          count(*) filter (where order_delivered_customer_date is null), count(*) from s_orders
-         union all select 'price', count(*) filter (where price is null), count(*) from s_items)""",
+    " union all ".join(
+        f"""select '{t}' as table_name, '{c}' as column_name, count(*) filter (where {c} is null) as nulls, count(*) as row_count,
+                   count(*) filter (where {c} is null) / count(*) as null_rate,
+                   count(*) filter (where {c} is null) / count(*) < 0.005 as met
+            from {"s_orders" if t == "orders" else "s_items"}"""
+        for t, columns in CRITICAL.items()
+        for c in columns
+    ),
 )
 def critical_nulls(star):
-    orders = R.critical_nulls(star.orders, ["order_id", "customer_unique_id", "order_delivered_customer_date"])
-    return orders.unionByName(R.critical_nulls(star.order_items, ["price"]))
+    rates = [R.critical_nulls(star.table(t), columns).withColumn("table_name", F.lit(t)) for t, columns in CRITICAL.items()]
+    return reduce(DataFrame.unionByName, rates)
 
 
-@query(
-    "X13_temporal_coherence",
-    """select order_id, rule_id from (
-         select order_id, 'order_approved_at_too_early' as rule_id from s_orders where order_approved_at < order_purchase_timestamp
-         union all select order_id, 'order_delivered_carrier_date_too_early' from s_orders
-         where order_delivered_carrier_date < order_approved_at
-         union all select order_id, 'order_delivered_customer_date_too_early' from s_orders
-         where order_delivered_customer_date < order_delivered_carrier_date)""",
-)
+_STEPS = ("order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date")
+
+
+def _out_of_order(table: str) -> str:
+    """Every pair of moments in the wrong order."""
+    pairs = [(a, b) for i, b in enumerate(_STEPS) for a in _STEPS[:i]]
+    return " union ".join(f"select order_id, '{b}_too_early' as rule_id from {table} where {b} < {a}" for a, b in pairs)
+
+
+@query("X13_temporal_coherence", _out_of_order("s_orders"))
 def temporal_coherence(star):
-    tagged = Q.tag_violations(star.orders, R.temporal_rules())
+    return _too_early(star.orders)
+
+
+def _too_early(orders):
+    tagged = Q.tag_violations(orders, R.temporal_rules())
     return tagged.select("order_id", F.explode("violations").alias("rule_id"))
 
 
+@query(
+    "X13_behind_a_gap",
+    _out_of_order("""(select * replace (null::timestamp as order_approved_at, null::timestamp as order_delivered_carrier_date,
+                      order_purchase_timestamp - interval 5 day as order_delivered_customer_date) from s_orders)"""),
+)
+def behind_a_gap(star):
+    """Deliveries before the purchase, with nothing known in between."""
+    none = F.lit(None).cast("timestamp")
+    early = F.col("order_purchase_timestamp") - F.expr("interval 5 days")
+    return _too_early(
+        star.orders.withColumns(
+            {"order_approved_at": none, "order_delivered_carrier_date": none, "order_delivered_customer_date": early}
+        )
+    )
+
+
 @query(
     "X14_domain_checks",
     """select zip_code_prefix, rule_id, count(*) as points from (
-         select zip_code_prefix, 'negative_latitude' as rule_id from geo_points where lat < 0
-         union all select zip_code_prefix, 'longitude_out_of_bounds' from geo_points where lng < -9900
+         select zip_code_prefix, 'latitude_out_of_bounds' as rule_id from geo_points where lat < 0 or lat > 9000
+         union all select zip_code_prefix, 'longitude_out_of_bounds' from geo_points where lng < -9900 or lng > 0
          union all select zip_code_prefix, 'latitude_missing' from geo_points where lat is null
          union all select zip_code_prefix, 'state_out_of_domain' from geo_points
          where state not in ('SP', 'RJ', 'MG', 'ES')) group by all""",
 )
 def domain_checks(star):
     rules = {
-        "negative_latitude": F.col("lat") < 0,
-        "longitude_out_of_bounds": F.col("lng") < -9900,
+        "latitude_out_of_bounds": ~F.col("lat").between(0, 9000),
+        "longitude_out_of_bounds": ~F.col("lng").between(-9900, 0),
         "latitude_missing": F.col("lat").isNull(),
         "state_out_of_domain": ~F.col("state").isin("SP", "RJ", "MG", "ES"),
     }
@@ -275,16 +309,20 @@ def domain_checks(star):
 
 @query(
     "X14_score_domain",
-    """select review_id, order_id, review_score from s_reviews where review_score not between 2 and 4""",
+    """select review_id, order_id, review_score + 2 as review_score from s_reviews where review_score + 2 not between 1 and 5""",
 )
 def score_domain(star):
-    return star.reviews.where(~F.col("review_score").between(2, 4)).select("review_id", "order_id", "review_score")
+    """Scores are 1 to 5; here all are two too high."""
+    high = star.reviews.withColumn("review_score", F.col("review_score") + 2)
+    return high.where(~F.col("review_score").between(1, 5)).select("review_id", "order_id", "review_score")
 
 
 @query(
     "X15_history_integrity",
-    """select seller_id, cast(0 as bigint) as current_rows, cast(0 as bigint) as inverted, cast(0 as bigint) as overlapping
-       from d_seller where false""",
+    """select seller_id, count(*) filter (where is_current) as current_rows, count(*) filter (where valid_to < valid_from) as inverted,
+              count(*) filter (where following <= valid_to) as overlapping
+       from (select *, lead(valid_from) over (partition by seller_id order by valid_from, valid_to) as following from d_seller)
+       group by 1 having current_rows <> 1 or inverted > 0 or overlapping > 0""",
 )
 def history_integrity(star):
     return history_violations(star.dim_seller, SELLER_HISTORY)

@@ -5,6 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from lakeloom.functions.constants import SESSION_GAP_MINUTES
+from lakeloom.functions.keys import key_date
 from lakeloom.operators import sessions as S
 from lakeloom.operators.incremental import upsert
 from lakeloom.plans import marts
@@ -27,16 +28,65 @@ def _quotes(star):
     )
 
 
+def _late_quotes(star):
+    return _quotes(star).where(F.col("quoted_on") >= date(1998, 1, 1))
+
+
+_LATE_QUOTES = f"(select * from {QUOTES} where quoted_on >= date '1998-01-01')"
+
+def _rates(star, quotes):
+    return R.daily_rates(quotes, star.dim_date)
+
+
 @query(
     "X1_gmv_in_currency",
-    f"""select year_month, sum(price) as gmv,
-        sum(cast(cast(price as double) / cast(rate as double) as decimal(20,8))) as gmv_converted
-        from f_items join d_date using (date_sk)
-        asof join {QUOTES} q on d_date.full_date >= q.quoted_on group by 1""",
+    f"""with sold as (select year_month, rate, sum(price) as gmv, count(*) as n from f_items left join d_date using (date_sk)
+            asof left join {QUOTES} q on d_date.full_date >= q.quoted_on group by 1, 2)
+        select year_month, cast(sum(gmv) as decimal(28,2)) as gmv,
+               cast(round(sum(cast(gmv as double) / cast(rate as double)), 0) as bigint) as gmv_converted,
+               cast(coalesce(sum(n) filter (where rate is null), 0) as bigint) as unconverted from sold group by 1""",
 )
 def gmv_in_currency(star):
-    rates = R.daily_rates(_quotes(star), star.rules.calendar[1])
-    return R.sales_in_currency(star.fct_order_items, rates, star.dim_date, "USD")
+    sales = R.sales_in_currency(star.fct_order_items, _rates(star, _quotes(star)), star.dim_date, "USD")
+    return _whole(sales, "gmv_converted")
+
+
+def _whole(df, *amounts):
+    """Converted amounts in whole units, as engines round quotients in different places."""
+    return df.withColumns({c: F.round(F.col(c).cast("double"), 0).cast("long") for c in amounts})
+
+
+@query(
+    "X1_gmv_before_the_first_quote",
+    f"""select year_month, cast(sum(price) as decimal(28,2)) as gmv,
+               count(*) filter (where full_date is null or full_date < (select min(quoted_on) from {_LATE_QUOTES})) as unconverted
+        from f_items left join d_date using (date_sk) group by 1""",
+)
+def gmv_before_the_first_quote(star):
+    """Sales before any quote are in the total and counted as not converted."""
+    sales = R.sales_in_currency(star.fct_order_items, _rates(star, _late_quotes(star)), star.dim_date, "USD")
+    return sales.drop("gmv_converted")
+
+
+@query(
+    "X1_category_margin",
+    f"""with sold as (
+            select year_month, coalesce(product_category_name_english, 'Sin categoria') as category, rate, sum(price) as gmv,
+                   sum(freight_value) as freight, count(*) as n
+            from f_items left join d_product using (product_sk) left join d_date using (date_sk)
+            asof left join {QUOTES} q on d_date.full_date >= q.quoted_on group by 1, 2, 3)
+        select year_month, category, cast(sum(gmv) as decimal(28,2)) as gmv,
+               cast(round(sum(cast(gmv as double) / cast(rate as double)), 0) as bigint) as gmv_converted,
+               cast(coalesce(sum(n) filter (where rate is null), 0) as bigint) as unconverted,
+               cast(sum(freight) as decimal(28,2)) as freight,
+               cast(round(sum(cast(gmv - coalesce(freight, 0) as double) / cast(rate as double)), 0) as bigint) as margin_converted
+        from sold group by 1, 2""",
+)
+def category_margin(star):
+    rates = _rates(star, _quotes(star))
+    return _whole(
+        R.category_margin(star.fct_order_items, star.dim_product, rates, star.dim_date, "USD"), "gmv_converted", "margin_converted"
+    )
 
 
 @query(
@@ -47,7 +97,7 @@ def gmv_in_currency(star):
         asof join {QUOTES} q on cast(days.d as date) >= q.quoted_on""",
 )
 def daily_rates(star):
-    return R.daily_rates(_quotes(star), star.rules.calendar[1])
+    return _rates(star, _quotes(star))
 
 
 # Weather: one nested report per event, spread over regions and days, its number as rainfall.
@@ -91,16 +141,13 @@ def late_in_severe_weather(star):
     root = working_folder(star.spark, "weather")
     tables.publish(R.weather_days(_weather_reports(star), "payload", 97), root, "weather", ["region", "day"])
     weather = tables.read_table(star.spark, root, "weather")
-    so_far = R.severe_days_so_far(weather, *star.rules.calendar)
-    windows = star.orders.select(
-        "order_id",
-        F.to_date("order_purchase_timestamp").alias("bought_on"),
-        F.to_date("order_delivered_customer_date").alias("delivered_on"),
-    )
-    placed = star.fct_orders.select("order_id", "geography_sk", "is_late").join(
-        star.dim_geography.select("geography_sk", "region"), "geography_sk"
+    so_far = R.severe_days_so_far(weather, star.dim_date)
+    # The fact has both days as keys, so no table of orders has to be joined again.
+    late = star.fct_orders.where("is_late = 1").select(
+        "geography_sk", "is_late", key_date("purchase_date_sk").alias("bought_on"), key_date("delivered_date_sk").alias("delivered_on")
     )
-    return R.late_in_severe_weather(placed.join(windows, "order_id"), so_far)
+    placed = late.join(star.dim_geography.select("geography_sk", "region"), "geography_sk")
+    return R.late_in_severe_weather(placed, so_far)
 
 
 @query(
@@ -176,6 +223,20 @@ def streaming_sessions(star):
     return streaming.run_available(_streamed(star), working_folder(star.spark, "sessions"))
 
 
+@query(
+    "X6_funnel_steps",
+    """select time_bucket(interval 5 minute, ts) as window_start, step, count(*) as clicks from clicks
+       where step is not null group by 1, 2""",
+)
+def funnel_steps(star):
+    """Counts that a dashboard sees one trigger after the click."""
+    stored = star.spark.read.parquet(f"{star.raw.folder}/events.parquet").schema
+    clicks = star.raw.as_clicks(streaming.read_clicks(star.spark, star.raw.folder, "events.parquet", stored))
+    target = working_folder(star.spark, "steps")
+    streaming.start_updates(streaming.step_counts(clicks.where("step is not null")), target, availableNow=True).awaitTermination()
+    return streaming.latest_counts(star.spark, target)
+
+
 @query(
     "X7_abandoned_carts",
     f"select user_id, session_start, first_cart from {CLOSED} where first_cart is not null and first_payment is null",
@@ -197,16 +258,23 @@ def abandonment_rate(star):
 
 @query(
     "X11_freshness",
-    """select year(day) || '-Q' || quarter(day) as year_quarter, count(*) as days, count(*) filter (where h <= 7) as on_time,
+    """with loads as (select cast(o_orderdate as date) as day, max(o_orderkey) % 9 as h from orders
+                      where dayofweek(o_orderdate) <> 0 group by 1),
+            days as (select cast(unnest(generate_series(min(o_orderdate)::timestamp, max(o_orderdate)::timestamp, interval 1 day)) as date)
+                     as day from orders)
+       select year(day) || '-Q' || quarter(day) as year_quarter, count(*) as days, count(*) filter (where h <= 7) as on_time,
        count(*) filter (where h <= 7) / count(*) as rate, count(*) filter (where h <= 7) / count(*) >= 0.99 as met
-       from (select cast(o_orderdate as date) as day, max(o_orderkey) % 9 as h from orders group by 1) group by 1""",
+       from days left join loads using (day) group by 1""",
 )
 def freshness(star):
-    """Load moments stand in as an hour of the next morning taken from the last order of the day."""
+    """Load moments stand in as an hour of the next morning taken from the last order of the day; none come on Sundays."""
+    orders = star.raw.given("orders").select(F.to_date("o_orderdate").alias("day"), "o_orderkey")
     hour = (F.max("o_orderkey") % 9).cast("int")
-    daily = star.raw.given("orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(hour.alias("hour"))
+    daily = orders.where(F.weekday("day") != 6).groupBy("day").agg(hour.alias("hour"))
     loaded = F.date_add("day", 1).cast("timestamp") + F.make_dt_interval(F.lit(0), F.col("hour"))
-    return R.freshness(daily.select("day", loaded.alias("loaded_at")))
+    ends = orders.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    days = ends.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("day"))
+    return R.freshness(days, daily.select("day", loaded.alias("loaded_at")))
 
 
 @query(
@@ -218,8 +286,15 @@ def freshness(star):
        union all select order_id || '-again', 'APPROVED', cast(null as timestamp) from s_orders where order_status = 'CANCELED'""",
 )
 def upsert_orders(star):
-    """Shipped orders arrive, reported twice with different times, and canceled ones are placed again."""
-    base = star.orders.select("order_id", "order_status", "order_delivered_customer_date")
+    """Shipped orders arrive, reported twice with different times, and canceled ones are placed again.
+
+    A report that is older than what is known of delivered orders comes late and changes nothing.
+    """
+    base = star.orders.select("order_id", "order_status", "order_delivered_customer_date", F.lit(0).alias("reported"))
+    late = star.orders.where("order_status = 'DELIVERED'").select(
+        "order_id", F.lit("SHIPPED").alias("order_status"), F.lit(None).cast("timestamp").alias("order_delivered_customer_date"),
+        F.lit(-1).alias("reported"),
+    )
     promised = F.col("order_estimated_delivery_date")
     shipped = star.orders.where("order_status = 'SHIPPED'").withColumn("report", F.explode(F.array(F.lit(1), F.lit(2))))
     arrived = shipped.select(
@@ -234,7 +309,8 @@ def upsert_orders(star):
         F.lit(None).cast("timestamp").alias("order_delivered_customer_date"),
         F.lit(1).alias("reported"),
     )
-    return upsert(base, arrived.unionByName(again), ["order_id"], ["reported"])
+    changes = arrived.unionByName(again).unionByName(late)
+    return upsert(base, changes, ["order_id"], ["reported"]).drop("reported")
 
 
 @query(
@@ -243,17 +319,22 @@ def upsert_orders(star):
 )
 def upsert_items(star):
     """The first item of every order is reported again with a corrected price."""
-    base = star.order_items.select("order_id", "order_item_id", "price")
+    base = star.order_items.select("order_id", "order_item_id", "price", F.lit(0).alias("reported"))
     corrected = base.where("order_item_id = 1").select(
         "order_id", "order_item_id", (F.col("price") + 1).cast("decimal(12,2)").alias("price"), F.lit(1).alias("reported")
     )
-    return upsert(base, corrected, ["order_id", "order_item_id"], ["reported"])
+    late = base.where("order_item_id = 2").withColumns({"price": F.lit(0).cast("decimal(12,2)"), "reported": F.lit(-1)})
+    changes = corrected.unionByName(late)
+    return upsert(base, changes, ["order_id", "order_item_id"], ["reported"]).drop("reported")
 
 
 @query(
     "X17_unusual_days",
-    """with v as (select order_status, cast(order_purchase_timestamp as date) as day, count(*) as volume
-                  from s_orders where order_purchase_timestamp is not null group by all),
+    """with seen as (select order_status, cast(order_purchase_timestamp as date) as day, count(*) as volume
+                     from s_orders where order_purchase_timestamp is not null group by all),
+            spans as (select order_status, min(day)::timestamp as lo, (select max(day) from seen)::timestamp as hi from seen group by 1),
+            days as (select order_status, cast(unnest(generate_series(lo, hi, interval 1 day)) as date) as day from spans),
+            v as (select order_status, day, coalesce(volume, 0) as volume from days left join seen using (order_status, day)),
             m as (select *, count(volume) over w as n, sum(volume) over w as total, sum(volume * volume) over w as squares
                   from v window w as (partition by order_status order by day rows between 28 preceding and 1 preceding))
        select order_status, day, volume, cast(total as double) / n as mean,

@@ -16,9 +16,19 @@ RUNTIME_SETTINGS = {
     # flag keeps the split even where it costs the next operator one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Sessions of a busy user are merged in each map task before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Open windows live on the executors' disks with changelogs in the checkpoint, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings every job of this package assumes."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -38,19 +48,21 @@ def get_spark(app_name: str = "lakeloom", master: str | None = None, **settings:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
+    """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session without one gets a folder of its own; on a cluster a machine-local
-    folder would be lost with its executor, so the job refuses to start.
+    Only a local session that names none gets a folder of its own, one for its life; on a cluster a
+    machine-local folder would be lost with its executor, so the job refuses to start. The checkpoint
+    directory of the session is left as it is.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="lakeloom-")
-    spark.sparkContext.setCheckpointDir(own)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="lakeloom-")
+    return _LOCAL[application]
 
 
 def working_folder(spark: SparkSession, purpose: str) -> str:

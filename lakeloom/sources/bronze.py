@@ -70,7 +70,7 @@ def read_bronze(spark: SparkSession, root: str, table: str, ingestion_date: date
 
 
 def ingest(
-    spark: SparkSession, landing_root: str, root: str, table: str, ingested_at: datetime, line_breaks: bool = True
+    spark: SparkSession, landing_root: str, root: str, table: str, ingested_at: datetime, line_breaks: bool | None = None
 ) -> None:
     """One extract from landing to bronze, under the day it was ingested."""
     extract = landing.read_landing(spark, landing_root, table, line_breaks)

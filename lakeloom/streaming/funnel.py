@@ -4,22 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from lakeloom.functions.constants import SESSION_GAP_MINUTES
 from lakeloom.operators.sessions import FUNNEL, first_reach
 
-STREAM_SETTINGS = {
-    # Sessions of a busy user are merged in each map task before the shuffle.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-    # Open sessions live on the executors' disks with changelogs in the checkpoint, not on the heap.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
-
-
 def read_clicks(spark: SparkSession, folder: str, name: str, schema: StructType) -> DataFrame:
     """Files of a folder as a stream."""
     return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
@@ -31,8 +21,6 @@ def closed_sessions(clicks: DataFrame, delay_minutes: int = 3, gap_minutes: int
     A session is emitted once the watermark has passed its last event by the gap, so a click may
     come up to ``delay_minutes`` late and state is kept for open sessions only.
     """
-    for key, value in STREAM_SETTINGS.items():
-        clicks.sparkSession.conf.set(key, value)
     window = F.session_window("ts", f"{gap_minutes} minutes")
     return (
         clicks.withWatermark("ts", f"{delay_minutes} minutes")
@@ -63,3 +51,34 @@ def run_available(stream: DataFrame, target: str) -> DataFrame:
     )
     running.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{target}/data")
+
+
+def step_counts(clicks: DataFrame, delay_minutes: int = 3, window_minutes: int = 5) -> DataFrame:
+    """Clicks of each step per short window of event time, for update mode.
+
+    A count goes out with the first trigger that has a click of its window and again whenever it grows,
+    so what is seen is no older than one trigger; the watermark only bounds the state.
+    """
+    window = F.window("ts", f"{window_minutes} minutes")
+    return (
+        clicks.withWatermark("ts", f"{delay_minutes} minutes")
+        .groupBy(window.alias("w"), "step")
+        .agg(F.count("*").alias("clicks"))
+        .select(F.col("w.start").alias("window_start"), "step", "clicks")
+    )
+
+
+def start_updates(counts: DataFrame, target: str, **trigger) -> StreamingQuery:
+    """Append what each trigger changed to ``target``, one folder a batch, so a repeated batch replaces its own."""
+
+    def append(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/data/batch={number}")
+
+    writer = counts.writeStream.outputMode("update").foreachBatch(append)
+    return writer.option("checkpointLocation", f"{target}/checkpoint").trigger(**trigger).start()
+
+
+def latest_counts(spark: SparkSession, target: str) -> DataFrame:
+    """The last count of each window and step; counts only grow."""
+    seen = spark.read.parquet(f"{target}/data")
+    return seen.groupBy("window_start", "step").agg(F.max("clicks").alias("clicks"))

@@ -122,3 +122,17 @@ def test_gap_is_a_parameter(spark, star, gap):
     sample = star.raw.clicks.select("user_id", "ts", "step")
     rows = [(r.user_id, r.ts, r.step) for r in sample.collect()]
     assert found_by(S.sessions(star.raw.clicks, gap)) == brute(rows, timedelta(minutes=gap))
+
+
+def test_step_counts_are_out_with_the_first_batch(spark, tmp_path):
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+
+    def counts():
+        running = streaming.start_updates(streaming.step_counts(stream(spark, source)), target, availableNow=True)
+        running.awaitTermination()
+        return {(r.window_start, r.step): r.clicks for r in streaming.latest_counts(spark, target).collect()}
+
+    stored(spark, source, [(1, T0, "view"), (2, T0 + timedelta(minutes=1), "view")])
+    assert counts() == {(T0, "view"): 2}
+    stored(spark, source, [(3, T0 + timedelta(minutes=2), "view"), (1, T0 + timedelta(minutes=6), "cart")])
+    assert counts() == {(T0, "view"): 3, (T0 + timedelta(minutes=5), "cart"): 1}
