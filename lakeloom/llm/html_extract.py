@@ -5,8 +5,9 @@ class (menus, headers, footers, side bars, notices, adverts, forms, reader comme
 styles leave empty lines. Over windows of ``WINDOW`` lines the lengths of texts that are not links are summed
 up. Text begins at a surge, the first window that reaches the threshold, taken back to the first line of that
 run, and ends at a dive, a window without any text; what lies between is kept, all runs of it. The threshold is
-lower where no window of a page reaches it. Where a page marks its article (``article``, ``main`` or the role
-main), only lines inside count, and short passages between two surges are kept with them.
+lower where no window of a page reaches it, and short passages between two surges are kept with them. Where a
+page marks its article (``article``, ``main``, the role main, or a class such as post-content), only lines inside
+count, all of them.
 
 Each page is worked through once, from its first to its last character, with a stack of open elements; memory
 is linear in one page. There is no shuffle.
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 
 WINDOW = 3
 # Characters of a window at which text surges.
-SURGE = 80
+SURGE = 60
 ROWS = 500
 
 # Elements of HTML by what they do here.
@@ -48,14 +49,14 @@ NO_ARTICLE_ROLES = {
     "menubar", "toolbar",
 }
 NO_ARTICLE_WORDS = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "commentlist", "comments",
     "consent", "cookie", "cookies", "disqus", "footer", "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar",
     "navigation", "newsletter", "notice", "notices", "popup", "promo", "promoted", "promotion", "related", "replies", "respond",
     "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
     "widgets",
 }
 ARTICLE_WORDS = {"article", "body", "content", "entry", "main", "page", "post", "story", "text", "wrapper", "container", "layout"}
-COMMENT_WORDS = {"comment", "comments", "disqus", "replies", "respond"}
+COMMENT_WORDS = {"comment", "commentlist", "comments", "disqus", "replies", "respond"}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -65,6 +66,11 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _WORD = re.compile(r"[a-z]+")
+_ARTICLE = re.compile(
+    r"""\brole\s*=\s*["']?main\b|\b(?:class|id)\s*=\s*(?:["'][^"']*?)?\b(?:article|post|entry|story|main)[-_]?(?:body|content|text)\b"""
+    r"""|\bitemprop\s*=\s*["']?articleBody\b""",
+    re.I,
+)
 
 
 class Line(NamedTuple):
@@ -104,7 +110,7 @@ def lines(page: str) -> list[Line]:
     stack: list[tuple[str, bool, bool]] = []  # element, is no article, is a marked article
     parts: list[str] = []
     linked = skipped = marked = 0
-    in_link = False
+    in_link = skip_line = False
 
     def end_line() -> None:
         nonlocal linked
@@ -117,7 +123,7 @@ def lines(page: str) -> list[Line]:
 
     def add(text: str) -> None:
         nonlocal linked
-        if text and not skipped:
+        if text and not skipped and not skip_line:
             parts.append(text)
             if in_link:
                 linked += len(text.strip())
@@ -144,8 +150,11 @@ def lines(page: str) -> list[Line]:
             continue
         if not skipped:
             end_line()
+        skip_line = False
         if tag not in CONTAINERS:
             in_link = False
+            # A paragraph or an item by itself ends where the next block begins.
+            skip_line = not token["close"] and is_no_article(tag, token["attr"], marked > 0)
             continue
         if token["close"]:
             if any(open_[0] == tag for open_ in stack):
@@ -155,7 +164,7 @@ def lines(page: str) -> list[Line]:
                 pop()
         elif not token["attr"].endswith("/"):
             no_article = is_no_article(tag, token["attr"], marked > 0)
-            article = not no_article and (tag in ("article", "main") or bool(re.search(r"""role\s*=\s*["']?main\b""", token["attr"])))
+            article = not no_article and (tag in ("article", "main") or bool(token["attr"] and _ARTICLE.search(token["attr"])))
             stack.append((tag, no_article, article))
             skipped += no_article
             marked += article
@@ -183,19 +192,19 @@ def between_surge_and_dive(weights: list[int]) -> list[bool]:
         if max(sums[i:end]) >= threshold > 0:
             kept[i:end] = [True] * (end - i)
         i = end
+    if any(kept):
+        first, last = kept.index(True), len(kept) - 1 - kept[::-1].index(True)
+        kept[first : last + 1] = [True] * (last + 1 - first)
     return kept
 
 
 def main_text(page: str) -> str:
     all_lines = lines(page)
     if any(line.inside and line.text for line in all_lines):
-        inside = [line for line in all_lines if line.inside and line.text]
-        weights = [max(line.weight, 1) for line in inside]
-    else:
-        inside = all_lines
-        weights = [line.weight for line in inside]
-    kept = between_surge_and_dive(weights)
-    return " ".join(line.text for line, keep in zip(inside, kept, strict=True) if keep and line.text)
+        return " ".join(line.text for line in all_lines if line.inside and line.text)
+    kept = between_surge_and_dive([line.weight for line in all_lines])
+    # A line of links between two surges is a menu all the same.
+    return " ".join(line.text for line, keep in zip(all_lines, kept, strict=True) if keep and line.weight)
 
 
 def extract(df: DataFrame, page: str = "html", into: str = "text", keep: list[str] | None = None) -> DataFrame:

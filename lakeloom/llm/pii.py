@@ -104,40 +104,54 @@ def _kind(entity: Column) -> Column:
     return found.otherwise("secret")
 
 
-def _gender(title: Column, given: Column) -> Column:
-    found = F.when(title.isin(*TITLES["m"]), "m").when(title.isin(*TITLES["f"]), "f")
-    for gender in ("m", "f"):
-        found = found.when(given.isin(*(n for (g, _), names in GIVEN.items() if g == gender for n in names)), gender)
-    return found.otherwise("n")
+def let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _pieces(entity: Column) -> Column:
     """An entity as parts to replace and parts to keep; the kind of the latter is NULL."""
+
+    def whole(kind: Column) -> Column:
+        canonical = (
+            F.when(kind == "mail", F.lower(entity))
+            .when(kind.isin("phone", "card", "social"), F.regexp_replace(entity, "[^0-9]", ""))
+            .when(kind == "account", F.regexp_replace(entity, " ", ""))
+            .otherwise(entity)
+        )
+        return F.array(_piece(kind, entity, canonical))
+
+    return let(_kind(entity), lambda kind: F.when(kind.isin("titled", "named"), _person(entity)).otherwise(whole(kind)))
+
+
+def _person(entity: Column) -> Column:
     none = F.lit(None).cast("string")
     keep = lambda text: _piece(none, text, none)
-    title = F.regexp_extract(entity, rf"^({_ANY_TITLE})\.? ", 1)
-    name = F.when(title != "", F.regexp_replace(entity, rf"^(?:{_ANY_TITLE})\.? ", "")).otherwise(entity)
-    given = F.when(name.contains(" "), F.substring_index(name, " ", 1)).otherwise("")
-    surname = F.substring_index(name, " ", -1)
-    gender, script = _gender(title, given), _script(surname)
-    given_kind = F.concat_ws(":", F.lit("given"), gender, _script(given))
-    # Surnames have a gender only where the script writes one.
-    surname_gender = F.when(script == "cyrillic", gender).otherwise("n")
-    person = F.array(
-        keep(F.substring(entity, F.lit(1), F.char_length(entity) - F.char_length(name))),
-        _piece(F.when(given != "", given_kind), given, F.lower(given)),
-        keep(F.when(given != "", " ").otherwise("")),
-        _piece(F.concat_ws(":", F.lit("surname"), surname_gender, script), surname, F.lower(surname)),
-    )
-    kind = _kind(entity)
-    digits = F.regexp_replace(entity, "[^0-9]", "")
-    canonical = (
-        F.when(kind == "mail", F.lower(entity))
-        .when(kind.isin("phone", "card", "social"), digits)
-        .when(kind == "account", F.regexp_replace(entity, " ", ""))
-        .otherwise(entity)
+    genders = {t: g for g, titles in TITLES.items() for t in titles if g != "n"}
+    genders = {n: g for (g, _), names in GIVEN.items() for n in names if g != "n"} | genders
+
+    def parts(title: Column, name: Column) -> Column:
+        given = F.when(name.contains(" "), F.substring_index(name, " ", 1)).otherwise("")
+        surname = F.substring_index(name, " ", -1)
+        gender = F.coalesce(F.try_element_at(_map(genders), title), F.try_element_at(_map(genders), given), F.lit("n"))
+        # Surnames have a gender only where the script writes one.
+        surname_gender = F.when(_script(surname) == "cyrillic", gender).otherwise("n")
+        return F.array(
+            keep(F.substring(entity, F.lit(1), F.char_length(entity) - F.char_length(name))),
+            _piece(F.when(given != "", F.concat_ws(":", F.lit("given"), gender, _script(given))), given, F.lower(given)),
+            keep(F.when(given != "", " ").otherwise("")),
+            _piece(F.concat_ws(":", F.lit("surname"), surname_gender, _script(surname)), surname, F.lower(surname)),
+        )
+
+    titled = rf"^(?:({_ANY_TITLE})\.? )?"
+    return let(
+        F.regexp_extract(entity, titled, 1), lambda title: let(F.regexp_replace(entity, titled, ""), lambda name: parts(title, name))
     )
-    return F.when(kind.isin("titled", "named"), person).otherwise(F.array(_piece(kind, entity, canonical)))
+
+
+def _map(values: dict[str, str | list[str]]) -> Column:
+    entries = [F.lit(k) if i == 0 else (_literals(v) if isinstance(v, list) else F.lit(v)) for k, v in values.items() for i in (0, 1)]
+    return F.create_map(*entries)
 
 
 def _digest(key: str, kind: Column, canonical: Column, attempt: Column) -> Column:
@@ -145,14 +159,10 @@ def _digest(key: str, kind: Column, canonical: Column, attempt: Column) -> Colum
     return F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canonical, attempt.cast("string")), 512)
 
 
-def _number(digest: Column, at: Column, most: int) -> Column:
+def _number(digest: Column, at: Column, most: Column) -> Column:
     """A number from 0 to ``most`` - 1 for a place of the digest; places begin anew after its end."""
     part = F.substring(digest, F.pmod(at, F.lit(62)) * 2 + 1, F.lit(4))
-    return F.pmod(F.conv(part, 16, 10).cast("int"), F.lit(most))
-
-
-def _of_letters(script: str, digest: Column, at: Column) -> Column:
-    return F.substring(F.lit(LETTERS[script]), _number(digest, at, len(LETTERS[script])) + 1, F.lit(1))
+    return F.pmod(F.conv(part, 16, 10).cast("int"), most)
 
 
 def _in_form(original: Column, digest: Column, kept: Column) -> Column:
@@ -163,12 +173,11 @@ def _in_form(original: Column, digest: Column, kept: Column) -> Column:
 
     def character(c: Column, i: Column) -> Column:
         n = F.char_length(F.regexp_replace(F.substring(original, F.lit(1), i), r"[^\p{L}\p{N}]", ""))
-        script = _script(c)
-        letter = F.when(script == "cyrillic", _of_letters("cyrillic", digest, n)).when(script == "greek", _of_letters("greek", digest, n))
-        letter = letter.otherwise(_of_letters("latin", digest, n))
+        letters = F.element_at(_map(LETTERS), _script(c))
+        letter = let(letters, lambda all_: F.substring(all_, _number(digest, n, F.char_length(all_)) + 1, F.lit(1)))
         return (
             F.when(i < kept, c)
-            .when(c.rlike(r"^\p{Nd}$"), _number(digest, n, 10).cast("string"))
+            .when(c.rlike(r"^\p{Nd}$"), _number(digest, n, F.lit(10)).cast("string"))
             .when(c.rlike(r"^\p{Lu}$"), F.upper(letter))
             .when(c.rlike(r"^\p{L}$"), letter)
             .otherwise(c)
@@ -187,20 +196,16 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(digits, ""), value), F.lit(0), lambda a, b: a + b)
 
 
-def _card(original: Column, digest: Column) -> Column:
-    drawn = _in_form(original, digest, F.lit(1))
-    digits = F.regexp_replace(drawn, "[^0-9]", "")
-    body = F.substring(digits, F.lit(1), F.char_length(digits) - 1)
-    check = F.pmod(10 - F.pmod(_luhn(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
-    was_right = F.pmod(_luhn(F.regexp_replace(original, "[^0-9]", "")), F.lit(10)) == 0
-    return F.when(was_right, F.concat(F.substring(drawn, F.lit(1), F.char_length(drawn) - 1), check)).otherwise(drawn)
+def _checked(original: Column, drawn: Column) -> Column:
+    """A card number with a right check digit if the original's was."""
 
+    def right(digits: Column) -> Column:
+        body = F.substring(digits, F.lit(1), F.char_length(digits) - 1)
+        check = F.pmod(10 - F.pmod(_luhn(F.concat(body, F.lit("0"))), F.lit(10)), F.lit(10)).cast("string")
+        return F.concat(F.substring(drawn, F.lit(1), F.char_length(drawn) - 1), check)
 
-def _mail(original: Column, digest: Column) -> Column:
-    """The last label of the domain stays."""
-    last = F.substring_index(original, ".", -1)
-    rest = F.substring(original, F.lit(1), F.char_length(original) - F.char_length(last))
-    return F.concat(_in_form(rest, digest, F.lit(0)), last)
+    was_right = F.pmod(_luhn(F.regexp_replace(original, "[^0-9]", "")), F.lit(10)) == 0
+    return F.when(was_right, let(F.regexp_replace(drawn, "[^0-9]", ""), right)).otherwise(drawn)
 
 
 def _hex(original: Column, digest: Column) -> Column:
@@ -209,44 +214,54 @@ def _hex(original: Column, digest: Column) -> Column:
 
 
 def _address(digest: Column) -> Column:
-    octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_number(digest, i, 254) + 1).cast("string"))
+    octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_number(digest, i, F.lit(254)) + 1).cast("string"))
     return F.array_join(octets, ".")
 
 
-def _syllables(script: str, digest: Column, count: int) -> Column:
-    parts = F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.get(_literals(SYLLABLES[script]), _number(digest, i, 16)))
+def _syllables(script: Column, digest: Column) -> Column:
+    listed = F.element_at(_map(SYLLABLES), script)
+    parts = let(listed, lambda all_: F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.get(all_, _number(digest, i, F.size(all_)))))
     return F.initcap(F.array_join(parts, ""))
 
 
-def _given(gender: str, script: str, digest: Column, attempt: Column) -> Column:
-    names = GIVEN[gender, script]
-    listed = F.get(_literals(names), _number(digest, F.lit(0), len(names)))
+def _given(kind: Column, digest: Column, attempt: Column) -> Column:
+    names = F.element_at(_map({f"given:{g}:{s}": names for (g, s), names in GIVEN.items()}), kind)
+    listed = let(names, lambda all_: F.get(all_, _number(digest, F.lit(0), F.size(all_))))
     # A list is soon used up: further names are made from one of it.
-    return F.when(attempt < ATTEMPTS_BY_LIST, listed).otherwise(F.concat(listed, F.lit("-"), _syllables(script, digest, 4)))
+    made = F.concat(listed, F.lit("-"), _syllables(F.substring_index(kind, ":", -1), digest))
+    return F.when(attempt < ATTEMPTS_BY_LIST, listed).otherwise(made)
 
 
-def _phone(original: Column, digest: Column) -> Column:
-    kept = F.char_length(F.regexp_extract(original, r"^(?:\+\d{1,3}(?=\D)|\+\d|0)", 0))
-    return _in_form(original, digest, kept)
+def _surname(kind: Column, digest: Column) -> Column:
+    endings = _map({f"surname:{g}:{s}": ending for (g, s), ending in ENDINGS.items()})
+    return F.concat(_syllables(F.substring_index(kind, ":", -1), digest), F.coalesce(F.try_element_at(endings, kind), F.lit("")))
 
 
 def surrogate(key: str, kind: Column, original: Column, canonical: Column, attempt: Column) -> Column:
     """What stands for an entity; of two forms of one entity the surrogates are forms of one surrogate."""
-    digest = _digest(key, kind, canonical, attempt)
-    found = (
-        F.when(kind == "mail", _mail(original, digest))
-        .when(kind == "address", _address(digest))
-        .when((kind == "hex") | (kind == "secret") & original.rlike("^[0-9a-f]+$"), _hex(original, digest))
-        .when(kind == "card", _card(original, digest))
-        .when(kind == "access_key", _in_form(original, digest, F.lit(4)))
-        .when(kind == "account", _in_form(original, digest, F.lit(2)))
-        .when(kind == "phone", _phone(original, digest))
+    # The last label of a domain stays, and so do the issuer of a card, prefixes and country codes.
+    last = F.when(kind == "mail", F.substring_index(original, ".", -1)).otherwise("")
+    kept = (
+        F.when(kind == "card", 1)
+        .when(kind == "access_key", 4)
+        .when(kind == "account", 2)
+        .when(kind == "phone", F.char_length(F.regexp_extract(original, r"^(?:\+\d{1,3}(?=\D)|\+\d|0)", 0)))
+        .otherwise(0)
     )
-    for gender, script in GIVEN:
-        found = found.when(kind == f"given:{gender}:{script}", _given(gender, script, digest, attempt))
-        ending = ENDINGS.get((gender, script), "")
-        found = found.when(kind == f"surname:{gender}:{script}", F.concat(_syllables(script, digest, 4), F.lit(ending)))
-    return found.otherwise(_in_form(original, digest, F.lit(0)))
+
+    def drawn(digest: Column) -> Column:
+        body = F.substring(original, F.lit(1), F.char_length(original) - F.char_length(last))
+        in_form = let(body, lambda b: let(kept, lambda k: _in_form(b, digest, k)))
+        return (
+            F.when(kind == "address", _address(digest))
+            .when((kind == "hex") | (kind == "secret") & original.rlike("^[0-9a-f]+$"), _hex(original, digest))
+            .when(kind.startswith("given:"), _given(kind, digest, attempt))
+            .when(kind.startswith("surname:"), _surname(kind, digest))
+            .when(kind == "card", let(in_form, lambda x: _checked(original, x)))
+            .otherwise(F.concat(in_form, last))
+        )
+
+    return let(_digest(key, kind, canonical, attempt), drawn)
 
 
 def _as_canonical(kind: Column, text: Column) -> Column:
