@@ -66,23 +66,24 @@ def drop_boilerplate(
     counters: tuple[str, str] | None = None,
 ) -> DataFrame:
     """The rows with their texts cleaned; ``counters`` names two more columns, lines before and lines dropped."""
-    names = {k: free_name(df.columns, f"__{k}") for k in ("host", "found", "parts", "left")}
+    names = {k: free_name(df.columns, f"__{k}") for k in ("host", "found", "parts", "shared", "left")}
     found = written(boilerplate(df, host, text, max_ratio, min_pages), "boilerplate")
     found = found.select(F.col("host").alias(names["host"]), F.col("lines").alias(names["found"]))
-    parts, left, listed = (F.col(names[k]) for k in ("parts", "left", "found"))
-    # What a page shares with the list of its host: few lines, so the search per line is short.
-    shared = F.array_intersect(F.transform(parts, _key), listed)
-    keep = F.when(listed.isNull(), parts).otherwise(
-        F.filter(parts, lambda line: ~F.coalesce(F.array_contains(F.col(names["host"]), _key(line)), F.lit(False)))
-    )
+    parts, shared, left, listed = (F.col(names[k]) for k in ("parts", "shared", "left", "found"))
+    # What a page shares with the list of its host: for most pages nothing, and then its text stays as it is.
+    # Being asked for twice, it is computed once and not again for each line.
+    has_some = F.coalesce(F.size(shared) > 0, F.lit(False))
+    own = F.filter(parts, lambda line: ~F.coalesce(F.array_contains(shared, _key(line)), F.lit(False)))
     rows = (
         df.join(found, F.col(host) == F.col(names["host"]), "left")
         .withColumn(names["parts"], F.split(F.col(text), "\n"))
-        .withColumn(names["host"], shared)
-        .withColumn(names["left"], keep)
+        .withColumn(names["shared"], F.array_intersect(F.transform(parts, _key), listed))
+        .withColumn(names["left"], F.when(has_some, own))
     )
-    out = [F.array_join(left, "\n").alias(text) if c == text else df[c] for c in df.columns]
+    cleaned = F.coalesce(F.array_join(left, "\n"), F.col(text))
+    out = [cleaned.alias(text) if c == text else df[c] for c in df.columns]
     if counters:
         lines = F.greatest(F.size(parts), F.lit(0)).cast("long")
-        out += [lines.alias(counters[0]), (lines - F.greatest(F.size(left), F.lit(0))).cast("long").alias(counters[1])]
+        dropped = F.when(left.isNotNull(), lines - F.size(left)).otherwise(0).cast("long")
+        out += [lines.alias(counters[0]), dropped.alias(counters[1])]
     return rows.select(*out)
