@@ -26,7 +26,7 @@ RUNTIME_SETTINGS = {
 }
 
 
-_LOCAL: dict[str, str] = {}
+_LOCAL: list[str] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -50,19 +50,18 @@ def get_spark(app_name: str = "lakeloom", master: str | None = None, **settings:
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a folder of its own, one for its life; on a cluster a
+    Only a local session that names none gets a folder of its own, one for each process; on a cluster a
     machine-local folder would be lost with its executor, so the job refuses to start. The checkpoint
     directory of the session is left as it is.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    application = spark.sparkContext.applicationId
-    if application not in _LOCAL:
-        _LOCAL[application] = tempfile.mkdtemp(prefix="lakeloom-")
-    return _LOCAL[application]
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="lakeloom-"))
+    return _LOCAL[0]
 
 
 def working_folder(spark: SparkSession, purpose: str) -> str:

@@ -17,17 +17,17 @@ def landing_tables(spark: SparkSession, landing: str, wanted: Iterable[str]) ->
     return [name.removesuffix(".csv") for name in paths.names(spark, f"{landing}/*.csv")]
 
 
-# Extracts with free text, whose values may hold line breaks.
-WITH_LINE_BREAKS = {"reviews"}
+# Extracts without free text: no value holds a line break, so Spark may split their files.
+ONE_LINE_A_ROW = {"customers", "sellers", "products", "categories", "geolocation", "orders", "order_items", "payments"}
 
 
 def read_landing(spark: SparkSession, landing: str, table: str, line_breaks: bool | None = None) -> DataFrame:
     """All columns as text: ``NA`` is text, quoted line breaks stay inside their value.
 
-    A file that may hold line breaks inside values is one task, so only extracts with free text, or
-    those that ``line_breaks`` says have them, are read so; Spark splits large files of the others.
+    A file that may hold line breaks inside values is one task; Spark splits large files of extracts known
+    to have none, or those that ``line_breaks`` says have none.
     """
-    line_breaks = table in WITH_LINE_BREAKS if line_breaks is None else line_breaks
+    line_breaks = table not in ONE_LINE_A_ROW if line_breaks is None else line_breaks
     path = f"{landing}/{table}.csv"
     if not paths.exists(spark, path):
         raise FileNotFoundError(path)

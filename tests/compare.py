@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import argparse
+import tempfile
 import time
 from datetime import date, datetime
 from decimal import Decimal
@@ -108,7 +109,9 @@ def main() -> None:
     parser.add_argument("keys", nargs="*")
     args = parser.parse_args()
     folder = f"/root/testdata/sf{args.sf}"
-    spark = get_spark("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    shared = tempfile.mkdtemp(prefix="compare-")
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.checkpoint.dir": shared}
+    spark = get_spark("compare", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     queries, oracles = entry.queries(), entry.oracle_sql()
     con = connect(folder)
