@@ -11,8 +11,10 @@ and no further than a time by which all components have one, so a signature cost
 Texts of equal words are one node. Bands of the signature put nodes into buckets. In each bucket all are held
 against one hub, which is linear in its size; nodes that are found similar are joined to classes. That is
 repeated with other hubs for buckets that still hold several classes, and what is left then is held against
-each other in full, but only nodes of different classes: a link between two nodes of one class changes
-nothing. So no bucket is capped and no link between classes is lost. Similarity is verified on the multisets
+each other in full, block by block: a task gets two bounded blocks of a bucket's nodes and returns only links
+that join classes. Nodes of the largest class of a bucket are not held against each other, as a link between
+nodes of one class changes nothing; so a hot bucket with few nodes outside its class stays linear. No bucket is
+capped, no link between classes is lost, and pairs are never rows. Similarity is verified on the multisets
 themselves. Classes are connected by alternating star contraction over the links.
 
 Shuffled are signatures and links; texts are read again only for nodes that share a bucket.
@@ -42,6 +44,8 @@ BANDS, ROWS = 20, 5
 # Hubs that each bucket is held against before the rest is compared in full.
 ROUNDS = 2
 CHUNK = 400_000
+# Nodes of a block, and items of two blocks that are held against each other at a time.
+BLOCK, COLUMNS = 64, 16_384
 
 _WORDS = re.compile(r"\w+")
 _KEPT_WORDS = 400_000
@@ -242,6 +246,85 @@ def _similar(pairs: DataFrame, items: DataFrame, similarity: float) -> DataFrame
     )
 
 
+def _overlaps(rows: list[np.ndarray]) -> np.ndarray:
+    """How many items each set shares with each other one: products of a part of the incidence matrix at a time."""
+    flat = np.concatenate(rows)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    _, item, count = np.unique(flat, return_inverse=True, return_counts=True)
+    # What stands in one set only is shared by none.
+    number = np.cumsum(count > 1) - 1
+    shared = count[item] > 1
+    owner, item = owner[shared], number[item[shared]]
+    order = np.argsort(item, kind="stable")
+    owner, item = owner[order], item[order]
+    found = np.zeros((len(rows), len(rows)), np.float64)
+    for start in range(0, int((count > 1).sum()), COLUMNS):
+        part = slice(*np.searchsorted(item, [start, start + COLUMNS]))
+        matrix = np.zeros((len(rows), COLUMNS), np.float32)
+        matrix[owner[part], item[part] - start] = 1
+        found += matrix @ matrix.T
+    return found
+
+
+def block_links(members: list[tuple[bytes, bytes, np.ndarray]], similarity: float) -> list[tuple[bytes, bytes]]:
+    """Of (node, root, items) the links between roots that similar nodes make, none of them twice connected."""
+    roots = [root for _, root, _ in members]
+    if len(set(roots)) < 2:
+        return []
+    overlap = _overlaps([items for _, _, items in members])
+    size = np.array([len(items) for _, _, items in members])
+    joined = dict.fromkeys(roots)
+
+    def find(root: bytes) -> bytes:
+        while joined[root] is not None:
+            root = joined[root]
+        return root
+
+    links = []
+    for i, j in zip(*np.nonzero(np.triu(overlap >= similarity * (size[:, None] + size[None, :] - overlap), 1)), strict=True):
+        a, b = sorted((find(roots[i]), find(roots[j])))
+        if a != b:
+            joined[b] = a
+            links.append((b, a))
+    return links
+
+
+def _rest(open_: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the links between roots that are left in buckets (band, node, root), found block by block."""
+    of_class = open_.groupBy("band", "root").agg(F.count("*").alias("n"))
+    largest = F.max(F.struct("n", "root"))
+    buckets = of_class.groupBy("band").agg(F.sum("n").alias("n"), largest.alias("main"))
+    blocks_of = lambda n: F.ceil(n / BLOCK).cast("int")
+    buckets = buckets.select(
+        "band",
+        F.col("main.root").alias("main"),
+        blocks_of(F.col("n") - F.col("main.n")).alias("others"),
+        blocks_of(F.col("main.n")).alias("mains"),
+    )
+    dealt = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    block = F.when(F.col("root") == F.col("main"), F.col("others") + dealt(F.col("mains"))).otherwise(dealt(F.col("others")))
+    placed = open_.join(buckets, "band").withColumn("block", block).join(items, "node")
+    blocks = placed.groupBy("band", "block", "others", "mains").agg(F.collect_list(F.struct("node", "root", "items")).alias("members"))
+    # A block of the largest class meets all others, one of the others meets all.
+    last = F.when(F.col("block") < F.col("others"), F.col("others") + F.col("mains")).otherwise(F.col("others")) - 1
+    meets = blocks.select("band", "block", "members", F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    pairs = meets.groupBy("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    both = pairs.agg(F.flatten(F.collect_list("members")).alias("members")).select("members")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links = []
+            for row in batch.column(0):
+                nodes, roots, sets = (row.values.field(k) for k in ("node", "root", "items"))
+                members = [
+                    (n.as_py(), r.as_py(), s.values.to_numpy(zero_copy_only=False)) for n, r, s in zip(nodes, roots, sets, strict=True)
+                ]
+                links += block_links(members, similarity)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+    return both.mapInArrow(run, "a binary, b binary")
+
+
 def classes(
     df: DataFrame,
     id_column: str = "doc_id",
@@ -277,17 +360,17 @@ def classes(
             open_ = written(open_.join(several.select("band"), "band"), "open-buckets")
             if open_.isEmpty():
                 break
-        own, other = F.col("root").alias("ra"), F.col("other_root").alias("rb")
         if turn < ROUNDS:
             order = F.struct(F.xxhash64("node", F.lit(turn)).alias("o"), F.col("node").alias("hub"), F.col("root").alias("root"))
-            hubs = open_.groupBy("band").agg(F.min(order).alias("h")).select("band", "h.hub", F.col("h.root").alias("other_root"))
-            pairs = open_.join(hubs, "band").where("root != other_root").select(F.col("node").alias("a"), F.col("hub").alias("b"), own, other)
+            hubs = open_.groupBy("band").agg(F.min(order).alias("h")).select("band", "h.hub", F.col("h.root").alias("hub_root"))
+            pairs = open_.join(hubs, "band").where("root != hub_root")
+            pairs = pairs.select(F.col("node").alias("a"), F.col("hub").alias("b"), F.col("root").alias("ra"), F.col("hub_root").alias("rb"))
+            found = _similar(written(pairs.distinct(), "pairs"), items, similarity)
+            found = found.select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         else:
-            others = open_.select("band", F.col("node").alias("b"), F.col("root").alias("other_root"))
-            pairs = open_.join(others, "band").where("root < other_root").select(F.col("node").alias("a"), "b", own, other)
-        found = _similar(written(pairs.distinct(), "pairs"), items, similarity)
+            found = _rest(open_, items, similarity)
         # Only links between classes matter now, so what is connected are the roots so far.
-        joined = written(components(found.select(F.col("ra").alias("a"), F.col("rb").alias("b"))), "components")
+        joined = written(components(found), "components")
         if held is None:
             held = joined
         else:
