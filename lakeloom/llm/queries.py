@@ -120,7 +120,7 @@ def op7_shards(spark: SparkSession, folder: str) -> DataFrame:
 
 # Edits that a cleaning step would make: personal data to place holders, runs of symbols away.
 _EDITS = re.compile(
-    r"(?P<mail>[\w.+-]{1,64}@[\w-]+(?:\.[\w-]+)+)|(?P<address>\b\d{1,3}(?:\.\d{1,3}){3}\b)|(?P<number>\d{9,})|(?P<symbols>[%&*$#!]{2,})"
+    r"(?P<mail>(?<![\w.+-])[\w.+-]{1,64}@[\w-]+(?:\.[\w-]+)+)|(?P<address>\b\d{1,3}(?:\.\d{1,3}){3}\b)|(?P<number>\d{9,})|(?P<symbols>[%&*$#!]{2,})"
 )
 _PLACE_HOLDERS = {"mail": "[mail]", "address": "[address]", "number": "[number]", "symbols": ""}
 

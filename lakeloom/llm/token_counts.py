@@ -5,7 +5,7 @@ characters and its tokens, an inner node their sums. An edit replaces a span of
 touches are encoded again, with one leaf before them, as a pre-token can grow into what follows it, and as
 many after them as it takes until a new pre-token ends where an old leaf ended: from there on nothing can have
 changed. Sums are then renewed from those leaves to the root, so an edit costs its surroundings and the height
-of the tree, not the text.
+of the tree, not the text, and many edits close to each other are followed together.
 
 A document is worked through by itself, in one pass over its whole text and without a shuffle.
 
@@ -20,6 +20,7 @@ change nothing. Repeated rows are counted each by itself. Extra columns are kept
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -104,35 +105,60 @@ class Tree:
             node //= 2
         return None
 
-    def edit(self, own: Codec, text: str, start: int, end: int, new: str) -> str:
-        """Replace a span of the text that the tree stands for; returns the new text."""
-        if not 0 <= start <= end <= len(text):
-            raise ValueError(f"no span of the text: {start}, {end}")
-        after = text[:start] + new + text[end:]
-        leaf, first = self.find(max(start, 0)) if text else (0, 0)
+    def edit(self, own: Codec, before: list[dict], after: str) -> None:
+        """Follow edits of the text that the tree stands for; ``after`` is the text that they make of it.
+
+        Edits whose surroundings touch are followed in one go, so many edits cost no more than the text.
+        """
+        self.chars, self.tokens = self.chars.tolist(), self.tokens.tolist()
+        shifts = [0, *accumulate(len(e["new"]) - (e["end"] - e["start"]) for e in before)]
+        done = 0
+        while done < len(before):
+            done = self._follow(own, before, after, shifts, done)
+        self.chars, self.tokens = np.array(self.chars, np.int32), np.array(self.tokens, np.int32)
+
+    def _follow(self, own: Codec, edits: list[dict], after: str, shifts: list[int], at_edit: int) -> int:
+        """Encode from the leaf before an edit until leaves fit again; returns the number of edits followed.
+
+        The tree holds edits up to here, so its places are those of the new text up to here.
+        """
+        held = at_edit
+        leaf, first = self.find(edits[held]["start"] + shifts[held])
         if (earlier := self.before(leaf)) is not None:
-            leaf, first = earlier, first - int(self.chars[earlier + self.leaves])
-        shift = len(new) - (end - start)
-        # Ends of old leaves at or after the edit, as places of the new text.
-        last, stop = leaf, first + int(self.chars[leaf + self.leaves])
-        while stop < end and last + 1 < self.leaves:
-            last += 1
-            stop += int(self.chars[last + self.leaves])
-        tokens, at = 0, first
+            leaf, first = earlier, first - self.chars[earlier + self.leaves]
+        # The end of the last leaf taken, as a place before the edits that are followed here.
+        last, stop, base = leaf, first + self.chars[leaf + self.leaves], shifts[held]
+        end, tokens = first, 0
         for match in own.pattern.finditer(after, first):
-            at = match.end()
+            end = match.end()
             tokens += len(own.pretokens[match[0]]) // 4
-            while stop + shift < at and last + 1 < self.leaves:
+            while held + 1 < len(edits) and end > edits[held + 1]["start"] + shifts[held + 1]:
+                held += 1
+            # The place in the old text at which this pre-token ends, if it is not inside an edit.
+            if end < edits[held]["start"] + shifts[held] + len(edits[held]["new"]):
+                continue
+            place = end - shifts[held + 1] + base
+            while stop < place and last + 1 < self.leaves:
                 last += 1
-                stop += int(self.chars[last + self.leaves])
-            if at == stop + shift and at >= start + len(new):
+                stop += self.chars[last + self.leaves]
+            if place == stop and (held + 1 == len(edits) or self._is_far(last, edits[held + 1]["start"] + base, stop)):
                 break
-        self.encoded += at - first
+        else:
+            held = len(edits) - 1
+            last = self.leaves - 1
+        self.encoded += end - first
         for touched in range(leaf + 1, last + 1):
             if self.chars[touched + self.leaves]:
                 self.put(touched, 0, 0)
-        self.put(leaf, at - first, tokens)
-        return after
+        self.put(leaf, end - first, tokens)
+        return held + 1
+
+    def _is_far(self, last: int, place: int, stop: int) -> bool:
+        """Whether a whole leaf lies between the end of a leaf and a place."""
+        for leaf in range(last + 1, self.leaves):
+            if width := self.chars[leaf + self.leaves]:
+                return place >= stop + width
+        return False
 
 
 def count(df: DataFrame, path: str, text: str = "text", into: str = "tree") -> DataFrame:
@@ -179,14 +205,18 @@ def apply_edits(
 
 def edited(own: Codec, tree: Tree, text: str | None, edits: list[dict]) -> str | None:
     """The text after the edits, whose tree is brought up to date."""
-    shift, done = 0, 0
-    for edit in edits:
-        if edit["start"] < done:
-            raise ValueError("edits overlap or are out of order")
-        text = tree.edit(own, text or "", edit["start"] + shift, edit["end"] + shift, edit["new"] or "")
-        shift += len(edit["new"] or "") - (edit["end"] - edit["start"])
+    if not edits:
+        return text
+    parts, done, old = [], 0, text or ""
+    known = [{"start": e["start"], "end": e["end"], "new": e["new"] or ""} for e in edits]
+    for edit in known:
+        if not done <= edit["start"] <= edit["end"] <= len(old):
+            raise ValueError(f"no span of the text that comes after the one before: {edit}")
+        parts += [old[done : edit["start"]], edit["new"]]
         done = edit["end"]
-    return text
+    after = "".join([*parts, old[done:]])
+    tree.edit(own, known, after)
+    return after
 
 
 def _packed(trees: list[Tree]) -> pa.Array:
