@@ -132,20 +132,9 @@ def cleaning_edits(text: str | None) -> list[dict]:
 
 @query("op8_token_counts")
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    path = vocabulary_path()
     docs = given(spark, folder, "documents").select("doc_id", "text")
-    edits = F.udf(cleaning_edits, token_counts.EDITS, useArrow=True)
-    before = token_counts.count(docs, path).withColumns(
-        {"n_tokens_before": F.get("tree.tokens", F.lit(1)).cast("long"), "edits": edits("text")}
-    )
-    after = token_counts.apply_edits(before, path)
-    return after.select(
-        "doc_id",
-        "n_tokens_before",
-        F.size("edits").cast("long").alias("n_edits"),
-        F.get("tree.tokens", F.lit(1)).cast("long").alias("n_tokens"),
-        "chars_encoded",
-    )
+    counted = token_counts.count_through_edits(docs, vocabulary_path(), cleaning_edits, keep=["doc_id"])
+    return counted.withColumnsRenamed({"tokens_before": "n_tokens_before", "edits": "n_edits", "tokens": "n_tokens"})
 
 
 @query("op9_decontaminate")

@@ -19,7 +19,7 @@ change nothing. Repeated rows are counted each by itself. Extra columns are kept
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import accumulate
 
 import numpy as np
@@ -203,6 +203,35 @@ def apply_edits(
     return df.mapInArrow(run, schema)
 
 
+def count_through_edits(
+    df: DataFrame, path: str, find: Callable[[str], list[dict]], text: str = "text", keep: Sequence[str] | None = None
+) -> DataFrame:
+    """Build each tree and follow the edits that ``find`` makes of its text, all in one pass.
+
+    Adds tokens_before, edits (how many), tokens and chars_encoded; ``keep`` limits the other columns. One worker
+    does the work of ``count`` and ``apply_edits``, and neither trees nor texts leave it.
+    """
+    content, at = vocabulary(df, path), df.columns.index(text)
+    kept = [df.columns.index(c) for c in (df.columns if keep is None else keep)]
+    added = [T.StructField(c, T.LongType()) for c in ("tokens_before", "edits", "tokens", "chars_encoded")]
+    schema = T.StructType([*(df.schema[i] for i in kept), *added])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, rows = codec(content), []
+            for body in batch.column(at):
+                old = body.as_py() or ""
+                tree, edits = Tree.of(own, old), find(old)
+                before = tree.count
+                edited(own, tree, old, edits)
+                rows.append((before, len(edits), tree.count, tree.encoded))
+            numbers = [pa.array([r[i] for r in rows], pa.int64()) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), *numbers], names=names)
+
+    return df.mapInArrow(run, schema)
+
+
 def edited(own: Codec, tree: Tree, text: str | None, edits: list[dict]) -> str | None:
     """The text after the edits, whose tree is brought up to date."""
     if not edits:

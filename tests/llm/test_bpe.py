@@ -150,3 +150,9 @@ def test_messy_counts(spark, messy, nothing, codec):
     no_edits = token_counts.count(messy, PATH).withColumn("edits", F.lit(None).cast(token_counts.EDITS))
     assert token_counts.apply_edits(no_edits, PATH).where("text is null").count() == messy.where("text is null").count()
     assert token_counts.count(nothing, PATH).count() == 0
+    one_pass = token_counts.count_through_edits(messy, PATH, cleaning_edits, keep=["text"]).collect()
+    in_steps = {r["text"]: r["tree"]["tokens"][1] for r in counted.select("text", "tree").collect()}
+    afterwards = sorted(r["tree"]["tokens"][1] for r in after.collect())
+    assert sorted(r["tokens"] for r in one_pass) == afterwards
+    assert all(r["tokens_before"] == in_steps[r["text"]] for r in one_pass)
+    assert token_counts.count_through_edits(nothing, PATH, cleaning_edits).count() == 0
