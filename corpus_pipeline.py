@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import decontaminate, line_dedup, near_dedup, quality_rules
-from lakeloom.llm.common import given, written
+from lakeloom.llm.common import given, kept_rows, written
 from lakeloom.llm.queries import digests
 from lakeloom.session import prepare
 
@@ -25,7 +25,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the boilerplate lines of their source; those of nothing else go."""
     prepare(spark)
     cleaned = line_dedup.drop_boilerplate(docs)
-    return cleaned.where(F.col("text") != "").withColumn("n_chars", F.char_length("text").cast("long"))
+    return kept_rows(cleaned, F.col("text") != "").withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

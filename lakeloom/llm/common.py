@@ -66,3 +66,9 @@ def made_once(shared: Broadcast, make: Callable[[Any], Any]) -> Any:
             _MADE.pop(next(iter(_MADE)))
         _MADE[key] = make(value)
     return _MADE[key]
+
+
+def kept_rows(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter on computed columns as they are: a row number keeps Catalyst from writing them out again below."""
+    number = free_name(df.columns, "__number")
+    return df.withColumn(number, F.monotonically_increasing_id()).where(condition & (F.col(number) >= 0)).drop(number)

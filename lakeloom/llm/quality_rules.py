@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import SPACE_CHARS, free_name, small_side, words, written
+from lakeloom.llm.common import SPACE_CHARS, free_name, kept_rows, small_side, words, written
 
 BUCKETS = 1 << 16
 # Occurrences added to the seen and to the expected number in the target, so that rare n-grams say little.
@@ -175,4 +175,4 @@ def judge(df: DataFrame, model: DataFrame, text: str = "text", into: str = "qual
 def keep_good(df: DataFrame, model: DataFrame, text: str = "text") -> DataFrame:
     """The rows that are kept, with their own columns only."""
     verdict = free_name(df.columns, "__quality")
-    return judge(df, model, text, verdict).where(F.col(verdict)["kept"]).drop(verdict)
+    return kept_rows(judge(df, model, text, verdict), F.col(verdict)["kept"]).drop(verdict)
