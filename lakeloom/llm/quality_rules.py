@@ -2,8 +2,13 @@
 
 Two multinomials over hashed word unigrams and bigrams are counted: one over a trusted target, one over
 the raw corpus, each over all of its documents. A document's verdict is the mean log ratio of its n-grams
-against a fixed threshold, so it neither depends on other documents' order nor on chance. The model has a
-fixed number of buckets, whatever the corpus; only bucket counts are shuffled.
+against a fixed threshold, so it neither depends on other documents' order nor on chance. The number of buckets
+grows with the n-grams of the corpus, so that few share one at any size.
+
+Ratios stay distributed. Those of buckets with a millionth of all n-grams or more, a bounded number, are
+broadcast; the n-grams of the others are shuffled to their buckets, of which none is hot. Sums are of
+whole millionths, so they do not depend on an order. A ratio depends on the text alone and comes back to its rows
+by 128 bits of hash of the text.
 
 Everything is DataFrame functions. Per document the work is linear in its words, but for texts with a
 repeated window, whose windows are sorted.
@@ -15,12 +20,18 @@ row. Extra columns are passed through, whatever their names.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import SPACE_CHARS, free_name, kept_rows, small_side, words, written
+from lakeloom.llm.common import BROADCAST_ROWS, SPACE_CHARS, free_name, kept_rows, small_side, words, written
 
+# The least number of buckets, and the n-grams of the raw corpus for each beyond it.
 BUCKETS = 1 << 16
+GRAMS_A_BUCKET = 16
+# Ratios are whole numbers of this part of a nat.
+UNIT = 1e-6
 # Occurrences added to the seen and to the expected number in the target, so that rare n-grams say little.
 PRIOR = 3.0
 # Mean log ratio, in nats, below which a document reads unlike the target.
@@ -33,6 +44,12 @@ SYMBOLS = "[#*$%&|<>]"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
+class Model(NamedTuple):
+    ratios: DataFrame  # bucket, raw, ratio in units, for each bucket with n-grams
+    buckets: int
+    grams: int
+
+
 def _pairs(left: Column, right: Column) -> Column:
     return F.zip_with(left, right, lambda a, b: F.xxhash64(a, b))
 
@@ -58,13 +75,23 @@ def _hashed(df: DataFrame, text: str, names: dict[str, str]) -> DataFrame:
 def _bucket(hashed: Column, buckets: int) -> Column:
     if buckets & (buckets - 1):
         raise ValueError("the number of buckets must be a power of two")
-    return hashed.bitwiseAND(buckets - 1).cast("int")
+    return hashed.bitwiseAND(F.lit(buckets - 1).cast("long"))
 
 
 def _names(df: DataFrame) -> dict[str, str]:
     return {wish: free_name(df.columns, f"__{wish}") for wish in ("words", "hashes", "bigrams", "windows", "repeats")}
 
 
+def buckets_for(grams: int) -> int:
+    """The power of two with no more than ``GRAMS_A_BUCKET`` n-grams a bucket."""
+    return max(BUCKETS, 1 << (-(-grams // GRAMS_A_BUCKET) - 1).bit_length())
+
+
+def count_grams(df: DataFrame, text: str = "text") -> int:
+    n = F.size(words(F.col(text))).cast("long")
+    return df.agg(F.sum(n + F.greatest(n - 1, F.lit(0)))).first()[0] or 0
+
+
 def bucket_counts(df: DataFrame, text: str = "text", trusted: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, raw, target): occurrences over all rows and over the rows with a true ``trusted`` flag."""
     names = _names(df)
@@ -76,37 +103,33 @@ def bucket_counts(df: DataFrame, text: str = "text", trusted: str | None = None,
     return grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target"))
 
 
-def log_ratios(counts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """One row with the array ``ratios``: by bucket the log of seen over expected occurrences in the target.
+def log_ratios(counts: DataFrame) -> DataFrame:
+    """(bucket, raw, ratio): by bucket the log of seen over expected occurrences in the target, in units.
 
-    Expected is the share of the raw corpus times the size of the target. The array has as many items as
-    there are buckets, so its size does not grow with the corpus.
+    Expected is the share of the raw corpus times the size of the target. A bucket without occurrences has the
+    ratio 0 and no row.
     """
-    sums = F.struct(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    totals = counts.agg(sums.alias("sums")).scalar()
-    every = counts.sparkSession.range(0, buckets, 1, 1).select(F.col("id").cast("int").alias("bucket"))
-    seen, raw = (F.coalesce(F.col(n), F.lit(0)) for n in ("target", "raw"))
-    expected = raw * totals["target"] / totals["raw"]
-    ratio = F.when(F.coalesce(totals["target"], F.lit(0)) > 0, F.log((seen + PRIOR) / (expected + PRIOR))).otherwise(0.0)
-    return (
-        every.join(counts, "bucket", "left")
-        .select("bucket", ratio.alias("ratio"))
-        .agg(F.array_sort(F.collect_list(F.struct("bucket", "ratio"))).alias("table"))
-        .select(F.col("table")["ratio"].alias("ratios"))
-    )
+    totals = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
+    if not totals["target"]:
+        return counts.select("bucket", "raw", F.lit(0).cast("long").alias("ratio"))
+    expected = F.col("raw") * totals["target"] / totals["raw"]
+    ratio = F.log((F.col("target") + PRIOR) / (expected + PRIOR))
+    return counts.select("bucket", "raw", F.round(ratio / UNIT).cast("long").alias("ratio"))
 
 
 def fit(
-    raw: DataFrame, trusted_ids: DataFrame, id_column: str = "doc_id", text: str = "text", buckets: int = BUCKETS
-) -> DataFrame:
-    """The written model (one row, ``ratios``) of the raw corpus and of its documents with a trusted id."""
+    raw: DataFrame, trusted_ids: DataFrame, id_column: str = "doc_id", text: str = "text", buckets: int | None = None
+) -> Model:
+    """The written model of the raw corpus and of its documents with a trusted id; ``buckets`` fixes their number."""
     flag = free_name(raw.columns, "__trusted")
     key = free_name(raw.columns, "__key")
+    grams = count_grams(raw, text)
+    buckets = buckets or buckets_for(grams)
     ids = trusted_ids.select(F.col(id_column).alias(key)).where(F.col(key).isNotNull()).distinct()
     ids = small_side(written(ids, "trusted-ids")).withColumn(flag, F.lit(True))
     rows = raw.select(F.col(id_column), F.col(text)).join(ids, F.col(id_column) == F.col(key), "left")
     counts = written(bucket_counts(rows.select(text, flag), text, flag, buckets), "bucket-counts")
-    return written(log_ratios(counts, buckets), "log-ratios")
+    return Model(written(log_ratios(counts), "log-ratios"), buckets, grams)
 
 
 def _repeated_words(windows: Column, size: Column) -> Column:
@@ -128,51 +151,75 @@ def _covered(placed: Column) -> Column:
     return F.aggregate(starts, state, step, lambda s: s["n"])
 
 
-def _constant(model: DataFrame) -> Column:
-    """The ratios as a constant, which Catalyst folds to one array: one number a bucket passes through the driver."""
-    numbers = model.select(F.array_join(F.transform("ratios", lambda r: F.round(r, 6).cast("string")), ",")).first()[0]
-    return F.split(F.lit(numbers), ",").cast("array<double>")
+def _text_key(text: Column) -> list[Column]:
+    return [F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")]
 
 
-def judge(df: DataFrame, model: DataFrame, text: str = "text", into: str = "quality", buckets: int = BUCKETS) -> DataFrame:
+def text_ratios(df: DataFrame, model: Model, text: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(a, b, mean): by the hashes of each distinct text with words its mean log ratio."""
+    names = _names(df)
+    # Keys are made before n-grams are dealt out: once a text.
+    texts = df.select(F.col(text).alias("text"), *_text_key(F.col(text))).where(F.col(text).isNotNull())
+    hashed = _hashed(texts, "text", names)
+    grams = hashed.select("a", "b", F.explode(F.concat(names["hashes"], names["bigrams"])).alias("gram"))
+    grams = grams.select("a", "b", _bucket(F.col("gram"), model.buckets).alias("bucket"))
+    if model.ratios.count() <= broadcast_rows:
+        common, rest = model.ratios, None
+    else:
+        # No more than broadcast_rows buckets can have so large a share.
+        is_common = F.col("raw") * broadcast_rows >= model.grams
+        common, rest = model.ratios.where(is_common), model.ratios.where(~is_common)
+    common = F.broadcast(common.select("bucket", "ratio"))
+    sums = grams.join(common, "bucket", "left").groupBy("a", "b")
+    sums = sums.agg(F.sum(F.coalesce("ratio", F.lit(0))).alias("ratio"), F.count("*").alias("n"))
+    if rest is not None:
+        few = grams.join(common, "bucket", "left_anti").join(rest.select("bucket", "ratio"), "bucket")
+        few = few.groupBy("a", "b").agg(F.sum("ratio").alias("ratio"), F.lit(0).cast("long").alias("n"))
+        sums = sums.unionByName(few).groupBy("a", "b").agg(F.sum("ratio").alias("ratio"), F.sum("n").alias("n"))
+    # Rows with the same text add as often to the sum as to the number.
+    return sums.select("a", "b", (F.col("ratio") * UNIT / F.col("n")).alias("mean"))
+
+
+def judge(
+    df: DataFrame, model: Model, text: str = "text", into: str = "quality", broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Add a struct ``into``: the base counts, base_failed, ratio (mean log ratio; 0 without words), kept."""
-    ratios = _constant(model)
     names = _names(df)
+    found = {k: free_name(df.columns, f"__{k}") for k in ("a", "b", "mean")}
+    ratios = written(text_ratios(df, model, text, broadcast_rows), "text-ratios").withColumnsRenamed(found)
     body = F.coalesce(F.col(text), F.lit(""))
     hashes, bigrams, windows = (F.col(names[k]) for k in ("hashes", "bigrams", "windows"))
     five = lambda last, i: F.xxhash64(F.get(bigrams, i), F.get(bigrams, i + 2), last)
     lines = F.filter(F.split(body, "\n"), lambda line: F.trim(line, F.lit(SPACE_CHARS)) != "")
+    keys = zip(_text_key(F.col(text)), (found["a"], found["b"]), strict=True)
+    a, b = (key == F.col(name) for key, name in keys)
+    # The join comes first: fields of what is computed are not to be pushed below it, one by one.
     out = (
-        _hashed(df, text, names)
+        _hashed(df.join(ratios, a & b, "left"), text, names)
         .withColumn(names["windows"], F.transform(_from(hashes, WINDOW - 1), five))
         .withColumn(names["repeats"], _repeated_words(windows, F.size(windows)))
     )
-    total = lambda array: F.aggregate(array, F.lit(0.0), lambda sum_, h: sum_ + F.get(ratios, _bucket(h, buckets)))
-    n_grams = F.size(hashes) + F.size(bigrams)
     base = F.struct(
         F.size(hashes).cast("long").alias("n_words"),
         F.char_length(F.array_join(names["words"], "")).cast("long").alias("word_chars"),
         (F.size(F.split(body, SYMBOLS)) - 1).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         _covered(F.col(names["repeats"])).alias("n_repeat_words"),
-        F.when(n_grams > 0, (total(hashes) + total(bigrams)) / n_grams).otherwise(0.0).alias("ratio"),
     )
     rule = free_name(df.columns, "__base")
     counted = F.col(rule)
+    ratio = F.coalesce(found["mean"], F.lit(0.0))
     failed = (counted["n_words"] < MIN_WORDS) | (100 * counted["n_repeat_words"] > MAX_REPEATED_PERCENT * counted["n_words"])
     verdict = F.struct(
         *(counted[k].alias(k) for k in BASE[:-1]),
         failed.alias("base_failed"),
-        counted["ratio"].alias("ratio"),
-        (~failed & (counted["ratio"] >= MIN_RATIO)).alias("kept"),
+        ratio.alias("ratio"),
+        (~failed & (ratio >= MIN_RATIO)).alias("kept"),
     )
     return out.withColumn(rule, base).select(*(df[c] for c in df.columns), verdict.alias(into))
 
 
-
-
-
-def keep_good(df: DataFrame, model: DataFrame, text: str = "text") -> DataFrame:
+def keep_good(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows that are kept, with their own columns only."""
     verdict = free_name(df.columns, "__quality")
     return kept_rows(judge(df, model, text, verdict), F.col(verdict)["kept"]).drop(verdict)

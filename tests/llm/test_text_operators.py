@@ -266,3 +266,22 @@ def test_rules_of_repeated_windows(spark, messy, nothing):
 def test_rules_use_no_python(spark, messy):
     text = plan_text(quality_rules.judge(messy, quality_rules.fit(messy, messy)))
     assert not [x for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop") if x in text]
+
+
+def test_buckets_grow_with_the_corpus(spark):
+    assert [quality_rules.buckets_for(n) for n in (0, 1 << 20, (1 << 20) + 1, 8_000_000)] == [1 << 16, 1 << 16, 1 << 17, 1 << 19]
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = QUERIES["op10_quality_rules"](spark, folder).where("not base_failed").join(labels, "doc_id")
+    kept = {(r["quality"], r["kept"]): r["count"] for r in judged.groupBy("quality", "kept").count().collect()}
+    assert kept.get((0, True), 0) <= 0.02 * (kept[0, False] + kept.get((0, True), 0))
+    assert kept.get((1, False), 0) <= 0.01 * kept[1, True]
+
+
+def test_rules_with_shuffled_ratios(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = docs.unionByName(docs.limit(20))
+    model = quality_rules.fit(docs, docs.where("doc_id % 3 = 0"))
+    judged = [quality_rules.judge(docs, model, broadcast_rows=n).orderBy("doc_id").select("doc_id", "quality").collect() for n in (10**6, 100)]
+    assert judged[0] == judged[1] and len(judged[0]) == docs.count()
+    assert len({r["quality"]["ratio"] for r in judged[0]}) > 100
