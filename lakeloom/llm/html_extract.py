@@ -33,7 +33,9 @@ SURGE = 60
 ROWS = 500
 
 # Elements of HTML by what they do here.
-RAW = ("script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "select", "object")
+RAW = ("script", "style", "textarea", "title", "iframe")
+# Not shown as text either, but with elements inside; they break no line.
+EMBEDDED = {"noscript", "template", "svg", "math", "select", "object"}
 CONTAINERS = {
     "html", "body", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "ul", "ol", "dl",
     "table", "figure", "details", "dialog", "menu", "fieldset", "button", "center", "blockquote", "head",
@@ -60,7 +62,7 @@ COMMENT_WORDS = {"comment", "commentlist", "comments", "disqus", "replies", "res
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<raw>{'|'.join(RAW)})\b(?P<rawattr>[^>]*)>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{'|'.join(RAW)})(?=[\s/>])(?P<rawattr>[^>]*)>(?P<rawtext>.*?)(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attr>(?:[^>"']|"[^"]*"|'[^']*')*)>""",
     re.S | re.I,
 )
@@ -109,7 +111,7 @@ def lines(page: str) -> list[Line]:
     found: list[Line] = []
     stack: list[tuple[str, bool, bool]] = []  # element, is no article, is a marked article
     parts: list[str] = []
-    linked = skipped = marked = 0
+    linked = skipped = marked = embedded = 0
     in_link = skip_line = False
 
     def end_line() -> None:
@@ -129,29 +131,42 @@ def lines(page: str) -> list[Line]:
                 linked += len(text.strip())
 
     def pop() -> None:
-        nonlocal skipped, marked
-        _, no_article, article = stack.pop()
+        nonlocal skipped, marked, embedded
+        tag, no_article, article = stack.pop()
         skipped -= no_article
         marked -= article
-        if no_article and not skipped:
+        embedded -= tag in EMBEDDED
+        if no_article and not skipped and tag not in EMBEDDED:
             found.extend([Line("", 0, marked > 0)] * WINDOW)
 
     at = 0
-    for token in _TOKEN.finditer(page):
+    while token := _TOKEN.search(page, at):
         add(page[at : token.start()])
         at = token.end()
         tag = (token["tag"] or "").lower()
         if not tag:
+            # In svg and math "/>" closes any element.
+            if embedded and token["raw"] and token["rawattr"].endswith("/"):
+                at = token.start("rawtext")
+            continue
+        if tag in EMBEDDED and not token["close"]:
+            if not token["attr"].endswith("/"):
+                stack.append((tag, True, False))
+                skipped += 1
+                embedded += 1
+            continue
+        if embedded and tag not in EMBEDDED and tag not in CONTAINERS:
             continue
         if tag == "a":
             in_link = not token["close"]
             continue
         if tag in INLINE:
             continue
-        if not skipped:
+        if not skipped and tag not in EMBEDDED:
             end_line()
-        skip_line = False
-        if tag not in CONTAINERS:
+        if tag not in EMBEDDED and not embedded:
+            skip_line = False
+        if tag not in CONTAINERS and tag not in EMBEDDED:
             in_link = False
             # A paragraph or an item by itself ends where the next block begins.
             skip_line = not token["close"] and is_no_article(tag, token["attr"], marked > 0)

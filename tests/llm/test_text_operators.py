@@ -168,6 +168,19 @@ def test_small_pages(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "inside, text",
+    [
+        ("<svg-icon name='x'></svg-icon><p>b</p>", "a b c"), ("<title-bar></title-bar>b", "a b c"), ("<svg class='i'/>b", "a b c"),
+        ("<svg><title/><path d=''/><text>no</text></svg>b", "a b c"), ("<svg><title>no</title>no<p>b</p>", "a"), ("<math/><object>no</object>b", "a b c"),
+        ("<template><div>no</div>no</template>b", "a b c"), ("<script-x>b</script-x><script>no</script>", "a b c"), ("<noscript>no", "a"),
+    ],
+)
+def test_elements_that_are_not_shown(inside, text):
+    assert html_extract.main_text(f"<article><p>a</p>{inside}<p>c</p></article>") == text
+    assert html_extract.main_text(f"<article><div>{inside}</div></article><article>end</article>").endswith("end")
+
+
 def test_given_pages(spark, folder):
     import html
 
