@@ -5,9 +5,10 @@ class (menus, headers, footers, side bars, notices, adverts, forms, reader comme
 styles leave empty lines. Over windows of ``WINDOW`` lines the lengths of texts that are not links are summed
 up. Text begins at a surge, the first window that reaches the threshold, taken back to the first line of that
 run, and ends at a dive, a window without any text; what lies between is kept, all runs of it. The threshold is
-lower where no window of a page reaches it, and short passages between two surges are kept with them. Where a
-page marks its article (``article``, ``main``, the role main, or a class such as post-content), only lines inside
-count, all of them.
+lower where no window of a page reaches it, and short passages between two surges are kept with them. Marks of an
+article (``article``, ``main``, the role main, or a class such as post-content) are evidence about the result: where the
+marked lines hold at least ``MARKED_SHARE`` of the text so found, they are its boundaries, and all lines inside
+are kept; where they hold less, the page marks something else, and what the distribution gives stays.
 
 Each page is worked through once, from its first to its last character, with a stack of open elements; memory
 is linear in one page. There is no shuffle.
@@ -30,6 +31,8 @@ from pyspark.sql import types as T
 WINDOW = 3
 # Characters of a window at which text surges.
 SURGE = 60
+# Part of the surging text from which on marked lines are taken for the article.
+MARKED_SHARE = 0.25
 ROWS = 500
 
 # Elements of HTML by what they do here.
@@ -215,11 +218,14 @@ def between_surge_and_dive(weights: list[int]) -> list[bool]:
 
 def main_text(page: str) -> str:
     all_lines = lines(page)
-    if any(line.inside and line.text for line in all_lines):
-        return " ".join(line.text for line in all_lines if line.inside and line.text)
     kept = between_surge_and_dive([line.weight for line in all_lines])
+    surging = [line for line, keep in zip(all_lines, kept, strict=True) if keep]
+    marked = sum(line.weight for line in surging if line.inside)
+    inside = [line.text for line in all_lines if line.inside and line.text]
+    if inside and marked >= MARKED_SHARE * sum(line.weight for line in surging):
+        return " ".join(inside)
     # A line of links between two surges is a menu all the same.
-    return " ".join(line.text for line, keep in zip(all_lines, kept, strict=True) if keep and line.weight)
+    return " ".join(line.text for line in surging if line.weight)
 
 
 def extract(df: DataFrame, page: str = "html", into: str = "text", keep: list[str] | None = None) -> DataFrame:

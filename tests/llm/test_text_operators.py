@@ -168,6 +168,15 @@ def test_small_pages(page, text):
     assert html_extract.main_text(page) == text
 
 
+def test_marks_are_evidence_only():
+    story = " ".join(f"<p>Sentence {i} of the story itself, which stands in a plain element.</p>" for i in range(20))
+    teaser = "<article><h3>Read next</h3><p>A short teaser of another story.</p></article>"
+    nav = "<div class='sidebar'>Menu</div>"
+    expected = " ".join(f"Sentence {i} of the story itself, which stands in a plain element." for i in range(20))
+    assert html_extract.main_text(f"<body>{nav}<div>{story}</div>{nav}{teaser}</body>") == expected
+    assert html_extract.main_text(f"<body>{teaser}{nav}<article>{story}</article></body>").endswith(expected)
+
+
 @pytest.mark.parametrize(
     "inside, text",
     [
