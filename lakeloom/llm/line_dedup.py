@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.common import SPACE_CHARS, free_name, written
 
-MAX_RATIO = 0.1
+# Where shared passages are; lines that only copies of one page have in common stay below it.
+MAX_RATIO = 0.01
 # A line on fewer pages than this is never boilerplate: the ratio of a small site says too little.
 MIN_PAGES = 5
 

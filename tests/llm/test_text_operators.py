@@ -38,6 +38,15 @@ def test_boilerplate_goes_from_its_host_only(spark):
     assert found[100]["text"] == "Menu\nOther 0" and found[200]["text"] == "Common\nMenu"
 
 
+def test_shared_lines_and_passages_go_and_single_ones_stay(spark):
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(i, f"Own line {i}\n" + ("Licensed to all\n" if i < 8 else "") + (passage if i % 60 == 0 else f"End {i}"), "x") for i in range(400)]
+    rows += [(1000 + i, "A page\nand its copy", "x") for i in range(2)]
+    found = {r["doc_id"]: r["text"] for r in line_dedup.drop_boilerplate(documents(spark, rows)).collect()}
+    for key, text, _ in rows:
+        assert found[key].split("\n") == [line for line in text.split("\n") if line not in ("Licensed to all", passage)]
+
+
 def test_lines_of_messy_rows(spark, messy, nothing):
     cleaned = line_dedup.drop_boilerplate(messy, min_pages=2)
     assert cleaned.columns == messy.columns and cleaned.count() == messy.count()
