@@ -64,8 +64,8 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "mail": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "access_key": r"(?<![A-Za-z0-9])A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=\b(?:password|passwd|pwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"']{8,}",
-    "hex": r"(?<![A-Za-z0-9])(?=[a-f]*\d)[0-9a-f]{32,64}(?![A-Za-z0-9])",
+    "secret": r"(?<=\b(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"']{8,}",
+    "hex": r"(?<![A-Za-z0-9])(?=[a-fA-F]*\d)[0-9a-fA-F]{32,64}(?![A-Za-z0-9])",
     "address": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![\d.-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?![\d-])",
@@ -77,7 +77,7 @@ PATTERNS = {
 # Group references count from the left of the whole pattern; only "card" has a group.
 ENTITY = "|".join(PATTERNS.values())
 # Texts without any of these hold no entity; a quick test for the many.
-HINT = rf"[0-9@]|(?:password|passwd|pwd|secret|token|api_?key) ?[=:]|(?<!\p{{L}})(?=\p{{Lu}})(?:{_ANY_TITLE}|{_ANY_GIVEN})\.? \p{{Lu}}"
+HINT = rf"[0-9@]|(?i:password|passwd|pwd|secret|token|api_?key) ?[=:]|(?<!\p{{L}})(?=\p{{Lu}})(?:{_ANY_TITLE}|{_ANY_GIVEN})\.? \p{{Lu}}"
 ATTEMPTS_BY_LIST = 4
 
 _PIECE = "struct<kind:string,original:string,canonical:string>"
@@ -114,7 +114,7 @@ def _pieces(entity: Column) -> Column:
 
     def whole(kind: Column) -> Column:
         canonical = (
-            F.when(kind == "mail", F.lower(entity))
+            F.when(kind.isin("mail", "hex"), F.lower(entity))
             .when(kind.isin("phone", "card", "social"), F.regexp_replace(entity, "[^0-9]", ""))
             .when(kind == "account", F.regexp_replace(entity, " ", ""))
             .otherwise(entity)
@@ -209,7 +209,13 @@ def _checked(original: Column, drawn: Column) -> Column:
 
 
 def _hex(original: Column, digest: Column) -> Column:
-    place = lambda c, i: F.substring(digest, F.pmod(i, F.lit(128)) + 1, F.lit(1))
+    # Digits may become letters: those are in upper case where the letters of the original are.
+    upper = original.rlike("[A-F]") & ~original.rlike("[a-f]")
+
+    def place(c: Column, i: Column) -> Column:
+        drawn = F.substring(digest, F.pmod(i, F.lit(128)) + 1, F.lit(1))
+        return F.when(upper | c.rlike("[A-F]"), F.upper(drawn)).otherwise(drawn)
+
     return F.array_join(F.transform(F.split(original, ""), place), "")
 
 
@@ -254,7 +260,7 @@ def surrogate(key: str, kind: Column, original: Column, canonical: Column, attem
         in_form = let(body, lambda b: let(kept, lambda k: _in_form(b, digest, k)))
         return (
             F.when(kind == "address", _address(digest))
-            .when((kind == "hex") | (kind == "secret") & original.rlike("^[0-9a-f]+$"), _hex(original, digest))
+            .when((kind == "hex") | (kind == "secret") & original.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _hex(original, digest))
             .when(kind.startswith("given:"), _given(kind, digest, attempt))
             .when(kind.startswith("surname:"), _surname(kind, digest))
             .when(kind == "card", let(in_form, lambda x: _checked(original, x)))
@@ -265,7 +271,7 @@ def surrogate(key: str, kind: Column, original: Column, canonical: Column, attem
 
 
 def _as_canonical(kind: Column, text: Column) -> Column:
-    return F.when(kind.rlike("^(?:mail|given|surname)"), F.lower(text)).otherwise(text)
+    return F.when(kind.rlike("^(?:mail|hex|given|surname)"), F.lower(text)).otherwise(text)
 
 
 def redrawn(entities: DataFrame, key: str) -> DataFrame:

@@ -54,6 +54,16 @@ def test_secrets_after_their_names(spark):
     assert "e3b3ed3cc8548923d6" not in text and "0641917ea4" not in text
 
 
+def test_secrets_in_upper_case(spark):
+    [(text, n)] = replaced(spark, 'TOKEN = "9233A8ECF7641917EA4E9FEB9CDA83477B57AC26" and Password: Xy7-kQpLm2 by 568081089E370ECD730E803638840F97 end')
+    found = re.fullmatch(r'TOKEN = "([0-9A-F]{40})" and Password: ([A-Z][a-z]\d-[a-z][A-Z][a-z][A-Z][a-z]\d) by ([0-9A-F]{32}) end', text)
+    assert n == 3 and found and "9233A8ECF7" not in text and found[2] != "Xy7-kQpLm2" and not found[3].startswith("56808108")
+    # Without any digit a key word alone has to be seen.
+    assert replaced(spark, "API_KEY=abcdefghij")[0][1] == 1
+    (a, _), (b, _) = replaced(spark, "9233a8ecf7641917ea4e9feb9cda83477b57ac26", "9233A8ECF7641917EA4E9FEB9CDA83477B57AC26")
+    assert a == b.lower() and b == b.upper()
+
+
 def test_names_by_gender_and_script(spark):
     texts = ["Mr. John Smith met Frau Müller.", "Mary Jones and Herr Karl Weber", "Госпожа Анна Иванова пришла", "Κύριος Νίκος Παπάς"]
     (a, _), (b, _), (c, n), (d, _) = replaced(spark, *texts)
