@@ -2,7 +2,7 @@
 
 Entities are found by one pattern: mail addresses, telephone and card numbers, network addresses, account numbers,
 secrets, and names after a title or of a listed given name. Each entity has a canonical form (a mail address in
-lower case, a telephone number as its digits), so what denotes the same thing gets the same surrogate
+lower case, a telephone number as its country code and digits), so what denotes the same thing gets the same surrogate
 wherever it stands. A surrogate is a keyed digest written in the form of the original: digits for digits,
 letters of the same script and case, the same separators, country codes kept, card numbers with a right check digit
 if they had one, given names of the same gender and script.
@@ -79,6 +79,8 @@ ENTITY = "|".join(PATTERNS.values())
 # Texts without any of these hold no entity; a quick test for the many.
 HINT = rf"[0-9@]|(?i:password|passwd|pwd|secret|token|api_?key) ?[=:]|(?<!\p{{L}})(?=\p{{Lu}})(?:{_ANY_TITLE}|{_ANY_GIVEN})\.? \p{{Lu}}"
 ATTEMPTS_BY_LIST = 4
+# What a telephone number keeps: its country code, told by its first digits, or the 0 of a national number.
+PHONE_KEPT = r"^(?:\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}|\d)|\(?0)"
 
 _PIECE = "struct<kind:string,original:string,canonical:string>"
 
@@ -115,7 +117,8 @@ def _pieces(entity: Column) -> Column:
     def whole(kind: Column) -> Column:
         canonical = (
             F.when(kind.isin("mail", "hex"), F.lower(entity))
-            .when(kind.isin("phone", "card", "social"), F.regexp_replace(entity, "[^0-9]", ""))
+            .when(kind == "phone", _phone(entity))
+            .when(kind.isin("card", "social"), F.regexp_replace(entity, "[^0-9]", ""))
             .when(kind == "account", F.regexp_replace(entity, " ", ""))
             .otherwise(entity)
         )
@@ -124,6 +127,13 @@ def _pieces(entity: Column) -> Column:
     return let(_kind(entity), lambda kind: F.when(kind.isin("titled", "named"), _person(entity)).otherwise(whole(kind)))
 
 
+def _phone(entity: Column) -> Column:
+    """The digits, after the country code where there is one; what is kept of it is what is kept of the original."""
+    code = F.when(entity.startswith("+"), F.concat(F.regexp_extract(entity, PHONE_KEPT, 0), F.lit(" "))).otherwise("")
+    rest = F.when(entity.startswith("+"), F.regexp_replace(entity, PHONE_KEPT, "")).otherwise(entity)
+    return F.concat(code, F.regexp_replace(rest, "[^0-9]", ""))
+
+
 def _person(entity: Column) -> Column:
     none = F.lit(None).cast("string")
     keep = lambda text: _piece(none, text, none)
@@ -251,7 +261,7 @@ def surrogate(key: str, kind: Column, original: Column, canonical: Column, attem
         F.when(kind == "card", 1)
         .when(kind == "access_key", 4)
         .when(kind == "account", 2)
-        .when(kind == "phone", F.char_length(F.regexp_extract(original, r"^(?:\+\d{1,3}(?=\D)|\+\d|0)", 0)))
+        .when(kind == "phone", F.char_length(F.regexp_extract(original, PHONE_KEPT, 0)))
         .otherwise(0)
     )
 

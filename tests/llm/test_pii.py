@@ -107,6 +107,16 @@ def test_distinct_stays_distinct_when_the_forms_run_out(spark):
     assert len({t.split()[1] for t, _ in found}) == len(firsts)
 
 
+def test_short_numbers_of_one_country_stay_distinct(spark):
+    numbers = [f"+49 {i // 100:02d} {i % 100:02d}" for i in range(1000, 1400)]
+    found = [text.removeprefix("call ").removesuffix(" now") for text, _ in replaced(spark, *[f"call {x} now" for x in numbers])]
+    assert all(re.fullmatch(r"\+49 \d\d \d\d", x) for x in found)
+    assert len(set(found)) == len(numbers) and not set(found) & set(numbers)
+    forms = replaced(spark, "+49 301 2345", "+493012345", "(030) 555-1234", "030-555-1234")
+    a, b, c, d = (re.sub(r"\D", "", text) for text, _ in forms)
+    assert a == b and a.startswith("49") and c == d and c.startswith("0")
+
+
 def test_clean_texts_stay(spark, folder):
     texts = ["Version 3. of 4.0, page 12 of 2024, 1.2.3", "Est 3 Of The Dr who", "a@b", "The And Of", "x" * 50]
     assert replaced(spark, *texts) == [(t, 0) for t in texts]
