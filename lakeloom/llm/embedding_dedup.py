@@ -4,10 +4,10 @@ Only vectors of the same label and length are compared, by cosine in double prec
 weight. The nodes of a label are dealt to overlapping shards: centroids are fitted on a bounded sample, centroids
 that a group of near copies could be torn between are merged, and every node goes to its two nearest, level by
 level until a shard has no more than ``SHARD`` nodes. In each shard a flat graph is built by inserting batches of
-doubling size: a greedy search from the medoid gives candidates, robust pruning keeps the near ones in
+doubling size: a greedy search from the medoids gives candidates, robust pruning keeps the near ones in
 different directions, edges run both ways and are pruned again. The adjacency lists of all shards are united by node.
-Every node is then searched in each of its shards over the united lists: greedily from the medoid, and wherever the
-search comes into range it expands all that is in range. What is found is verified by its cosine.
+Every node is then searched in each of its shards over the united lists: greedily from the medoids, where its own node
+is a second entry, and wherever the search comes into range it expands all that is in range. What is found is verified by its cosine.
 
 A pair that two shards see is counted in the first of them. Shards return a number for each node and a spanning
 forest of their links, never pairs as rows, so a large group of near copies costs as many rows as vectors.
@@ -46,7 +46,9 @@ CENTROIDS, SAMPLED = 1024, 8
 LEVELS = 8
 OVERLAP = 2
 # Out-degree, slack of pruning in angle, and length of the list of a greedy search.
-DEGREE, SLACK, BEAM = 24, 1.2, 32
+DEGREE, SLACK, BEAM = 24, 1.05, 32
+# Nodes of a shard for each medoid that searches start from.
+A_MEDOID = 32
 # Queries that are searched, and nodes expanded for each, at a time.
 QUERIES, EXPANDED, EXPANDED_IN_RANGE = 512, 4, 16
 # Rows that are dealt to centroids at a time, and rows of a block of a dense shard.
@@ -176,12 +178,15 @@ def shards(nodes: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
 
 
 def _searched(
-    vectors: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, beam: int, reach: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """(cosines, seen) of queries by nodes: the nearest unexpanded nodes are expanded while they are among the ``beam``
-    nearest seen, or at least as near as ``reach``. Rows of the graph are padded with -1."""
+    vectors: np.ndarray, graph: np.ndarray, starts: np.ndarray, queries: np.ndarray, beam: int, reach: float, own: np.ndarray | None = None
+) -> np.ndarray:
+    """Cosines of queries by nodes, -2 where unseen: the nearest unexpanded nodes are expanded while they are among the
+    ``beam`` nearest seen, or at least as near as ``reach``. A query that is a node may name it, as an ``own`` entry beside
+    the medoids. Rows of the graph are padded with -1."""
     cosines = np.full((len(queries), len(vectors)), -2.0, np.float32)
-    cosines[:, start] = queries @ vectors[start]
+    cosines[:, starts] = queries @ vectors[starts].T
+    if own is not None:
+        cosines[np.arange(len(own)), own] = 1
     open_ = cosines.copy()
     live = np.arange(len(queries))
     width = min(EXPANDED_IN_RANGE, len(vectors))
@@ -211,7 +216,7 @@ def _searched(
             part = slice(low, low + (1 << 16))
             cosines[q[part], other[part]] = open_[q[part], other[part]] = np.einsum("ij,ij->i", queries[q[part]], vectors[other[part]])
         live = live[go.any(1)]
-    return cosines, cosines > -2
+    return cosines
 
 
 def robust_pruned(vectors: np.ndarray, node: int, candidates: np.ndarray, degree: int = DEGREE, slack: float = SLACK) -> np.ndarray:
@@ -232,8 +237,10 @@ def robust_pruned(vectors: np.ndarray, node: int, candidates: np.ndarray, degree
     return candidates[kept]
 
 
-def medoid(vectors: np.ndarray) -> int:
-    return int((vectors @ vectors.sum(0)).argmax())
+def medoids(vectors: np.ndarray) -> np.ndarray:
+    """The vectors nearest to the centres of clusters, where searches start."""
+    centres = fitted_centroids(vectors, len(vectors) // A_MEDOID, 2.0)
+    return np.unique((vectors @ centres.T).argmax(0))
 
 
 def flat_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM) -> list[np.ndarray]:
@@ -241,13 +248,16 @@ def flat_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM) -> l
     n = len(vectors)
     single = vectors.astype(np.float32)
     graph = np.full((n, degree), -1, np.int64)
-    start = medoid(vectors)
+    starts = medoids(vectors)
+    for node in starts:
+        chosen = robust_pruned(single, node, starts, degree)
+        graph[node, : len(chosen)] = chosen
     order = np.random.default_rng(n).permutation(n)
-    order = np.concatenate([[start], order[order != start]])
-    at = 1
+    order = np.concatenate([starts, order[~np.isin(order, starts)]])
+    at = len(starts)
     while at < n:
         batch = order[at : at + min(at, QUERIES)]
-        cosines, _ = _searched(single, graph, start, single[batch], beam, 2.0)
+        cosines = _searched(single, graph, starts, single[batch], beam, 2.0)
         count = min(n, 2 * beam)
         nearest = np.argpartition(-cosines, count - 1, axis=1)[:, :count]
         back: dict[int, list[int]] = {}
@@ -264,11 +274,36 @@ def flat_graph(vectors: np.ndarray, degree: int = DEGREE, beam: int = BEAM) -> l
         for node, more in back.items():
             own = graph[node][graph[node] >= 0]
             every = np.unique(np.concatenate([own, more]))
-            chosen = every[every != node] if len(every) <= degree else robust_pruned(single, node, every, degree)
+            chosen = robust_pruned(single, node, every, degree, SLACK if len(every) > degree else 1e9)
             graph[node] = -1
             graph[node, : len(chosen)] = chosen
         at += len(batch)
-    return [row[row >= 0] for row in graph]
+    lists = [row[row >= 0] for row in graph]
+    # Lists start with the nearest. It leads back, however many nearer ones it has, so that no node is without a way in.
+    for node in range(n):
+        if len(lists[node]) and node not in lists[lists[node][0]]:
+            lists[lists[node][0]] = np.append(lists[lists[node][0]], node)
+    return _reachable(single, lists, starts)
+
+
+def _reachable(vectors: np.ndarray, graph: list[np.ndarray], starts: np.ndarray) -> list[np.ndarray]:
+    """The graph with edges both ways between every part that no start reaches and the nearest node that one does."""
+    reached = np.zeros(len(graph), bool)
+    edge = starts.tolist()
+    while True:
+        reached[edge] = True
+        while edge:
+            ahead = np.unique(np.concatenate([graph[i] for i in edge]).astype(np.int64))
+            edge = ahead[~reached[ahead]].tolist()
+            reached[edge] = True
+        left = np.nonzero(~reached)[0]
+        if not len(left):
+            return graph
+        new = int(left[0])
+        edge = [new]
+        known = np.nonzero(reached)[0]
+        near = int(known[(vectors[known] @ vectors[new]).argmax()])
+        graph[near], graph[new] = np.append(graph[near], new), np.append(graph[new], near)
 
 
 def adjacency(placed: DataFrame) -> DataFrame:
@@ -342,10 +377,11 @@ def _search(placed: DataFrame, index: DataFrame, similarity: float, beam: int) -
         sizes = np.bincount(owner, minlength=len(names))
         graph = np.full((len(names), max(1, sizes.max(initial=0))), -1, np.int64)
         graph[owner, np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = place[here]
-        start = medoid(vectors)
+        starts = medoids(vectors)
         linked = np.zeros((len(names), len(names)), bool)
         for low in range(0, len(names), QUERIES):
-            cosines, _ = _searched(single, graph, start, single[low : low + QUERIES], beam, similarity - 0.01)
+            own = np.arange(low, min(low + QUERIES, len(names)))
+            cosines = _searched(single, graph, starts, single[own], beam, similarity - 0.01, own)
             q, other = np.nonzero(cosines >= similarity - 1e-4)
             for part in range(0, len(q), 1 << 16):
                 x, y = q[part : part + (1 << 16)] + low, other[part : part + (1 << 16)]
