@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.common import shared_value, small_side, written
@@ -58,24 +58,38 @@ AUDITED, LEAST_RECALL, WIDER = 512, 0.97, 3
 _MARGIN = 1e-9
 
 
-def unit(vector: Column) -> Column:
-    """The vector as doubles of length 1; NULL where it has no direction."""
-    wide = F.transform(vector, lambda x: x.cast("double"))
-    sound = (F.size(wide) > 0) & F.forall(wide, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    most = F.array_max(F.transform(wide, lambda x: F.abs(x)))
-    # Scaled by its largest component first, so that no square leaves the range of doubles.
-    scaled = F.when(sound & (most > 0), F.transform(wide, lambda x: x / most))
-    length = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda s, x: s + x * x))
-    return F.transform(scaled, lambda x: x / length + F.lit(0.0))
+def units(column: pa.Array) -> list[np.ndarray | None]:
+    """Each vector as doubles of length 1; None where it has no direction."""
+    values = column.values.to_numpy(zero_copy_only=False).astype(np.float64)
+    # A NULL component counts as NaN.
+    values[column.values.is_null().to_numpy(zero_copy_only=False)] = np.nan
+    found = []
+    for start, end, valid in zip(column.offsets[:-1].tolist(), column.offsets[1:].tolist(), column.is_valid().tolist(), strict=True):
+        vector = values[start:end]
+        most = np.abs(vector).max() if valid and len(vector) else 0.0
+        if not (0 < most < np.inf):
+            found.append(None)
+            continue
+        # Scaled by its largest component first, so that no square leaves the range of doubles. No -0.0 is left.
+        vector = vector / most
+        found.append(vector / np.sqrt(vector @ vector) + 0.0)
+    return found
 
 
 def prepared(df: DataFrame, id_column: str, vector: str, group: str) -> tuple[DataFrame, DataFrame]:
     """Rows (id, x, y, n) and nodes (node, space, vec, weight, first_id, x, y): (x, y) is a hash of 128 bits; space
     the label and length."""
     rows = df.select(F.col(id_column).alias("id"), F.col(group).cast("string").alias("label"), F.col(vector).alias("raw"))
-    rows = rows.withColumn("vec", F.when(F.col("label").isNotNull(), unit(F.col("raw")))).drop("raw")
-    rows = rows.withColumns({"x": F.when(F.col("vec").isNotNull(), F.xxhash64("label", "vec")), "y": F.when(F.col("vec").isNotNull(), F.xxhash64(F.lit(1), "vec", "label"))})
-    rows = written(rows, "vectors")
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            vectors = [v if g.is_valid else None for v, g in zip(units(batch.column(2)), batch.column(1), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(vectors, pa.list_(pa.float64()))], names=["id", "label", "vec"])
+
+    rows = rows.select("id", "label", F.col("raw").cast("array<double>").alias("raw")).mapInArrow(run, f"id {kind}, label string, vec array<double>")
+    seen = F.col("vec").isNotNull()
+    rows = written(rows.withColumns({"x": F.when(seen, F.xxhash64("label", "vec")), "y": F.when(seen, F.xxhash64(F.lit(1), "vec", "label"))}), "vectors")
     usable = rows.where(F.col("vec").isNotNull())
     nodes = usable.groupBy("label", "vec", "x", "y").agg(F.count("*").alias("weight"), F.min("id").alias("first_id"))
     space = F.concat(F.length("label").cast("string"), F.lit(":"), F.col("label"), F.lit(":"), F.size("vec").cast("string"))
