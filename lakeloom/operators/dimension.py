@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.constants import UNKNOWN_KEY, UNKNOWN_LABEL
 
 
+# Length of the periods that long histories are cut into, and the day from which a first version is valid at the latest
+# if it is valid since ever.
+PERIOD_DAYS = 64
+NO_BEGINNING = date(1900, 1, 1)
+
 # What an unknown member shows by type; a type that is not listed shows NULL, as any number would be a claim.
 SHOWN = {"string": UNKNOWN_LABEL}
 
@@ -39,6 +46,43 @@ def point_in_time(
     return joined.drop("_natural", "valid_from", "valid_to")
 
 
+def periods(history: DataFrame, natural: str, days: int = PERIOD_DAYS) -> tuple[DataFrame, tuple[int, int]]:
+    """Versions cut into periods of equal length (``_period``), and the first and last period that any version begins in.
+
+    What lies before or behind belongs to the outermost periods, so a version without an end has no more
+    periods than the history is long.
+    """
+    starts = _period(F.col("valid_from"), days)
+    bounds = history.where(F.col("valid_from") > F.lit(NO_BEGINNING)).agg(F.min(starts).alias("lo"), F.max(starts).alias("hi")).first()
+    lo, hi = (bounds.lo, bounds.hi) if bounds.lo is not None else (0, 0)
+    within = [_clamped(_period(F.col(c), days), lo, hi) for c in ("valid_from", "valid_to")]
+    return history.where("valid_from <= valid_to").withColumn("_period", F.explode(F.sequence(*within))), (lo, hi)
+
+
+def _period(day: Column, days: int) -> Column:
+    return F.floor(F.unix_date(day) / days).cast("int")
+
+
+def _clamped(period: Column, lo: int, hi: int) -> Column:
+    return F.least(F.greatest(period, F.lit(lo)), F.lit(hi))
+
+
+def point_in_time_by_period(
+    facts: DataFrame, history: DataFrame, natural: str, moment: str, carry: list[str], days: int = PERIOD_DAYS
+) -> DataFrame:
+    """As ``point_in_time``, for members with many versions: the join is on the member and the period of the moment.
+
+    A fact meets the versions of its period only, however many the member has had before and since. A history
+    of few versions a member is better joined as it is, since periods make it longer.
+    """
+    cut, (lo, hi) = periods(history, natural, days)
+    versions = cut.select(F.col(natural).alias("_natural"), "_period", "valid_from", "valid_to", *carry)
+    on_day = _clamped(_period(F.col(moment), days), lo, hi)
+    same = (F.col(natural) == F.col("_natural")) & (on_day == F.col("_period"))
+    valid = F.col(moment).between(F.col("valid_from"), F.col("valid_to"))
+    return facts.join(versions, same & valid, "left").drop("_natural", "_period", "valid_from", "valid_to")
+
+
 def as_of_date(history: DataFrame, moment) -> DataFrame:
     """The dimension as it stood on one day."""
     return history.where(F.lit(moment).cast("date").between(F.col("valid_from"), F.col("valid_to")))

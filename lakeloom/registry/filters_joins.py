@@ -3,13 +3,14 @@
 from datetime import date, timedelta
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions import attributes as A
 from lakeloom.functions.constants import UNKNOWN_DATE_KEY, UNKNOWN_KEY
 from lakeloom.functions.keys import resolve_key
 from lakeloom.operators import history, quality
-from lakeloom.operators.dimension import point_in_time
+from lakeloom.operators.dimension import NO_BEGINNING, point_in_time, point_in_time_by_period
 from lakeloom.operators.grouping import median_per_key, mode_per_key, one_per_key
 from lakeloom.plans import dimensions, facts, silver
 from lakeloom.registry import query
@@ -194,6 +195,35 @@ def as_of_interval(star):
     return point_in_time(sales, star.dim_seller, "seller_id", "bought_on", ["seller_segment"]).drop("bought_on")
 
 
+@query(
+    "J10_long_history",
+    """with placed as (select l_suppkey, l_orderkey, l_linenumber, cast(l_shipdate as date) as day, l_extendedprice from lineitem),
+            changes as (select l_suppkey, day, max(l_extendedprice) as price from placed where l_orderkey % 3 = 0 group by all),
+            versions as (select l_suppkey, price, case when row_number() over w = 1 then date '1900-01-01' else day end as valid_from,
+                                coalesce(lead(day) over w - 1, date '9999-12-31') as valid_to
+                         from changes window w as (partition by l_suppkey order by day))
+       select cast(l_orderkey as varchar) as order_id, l_linenumber as line, cast(p.l_suppkey as varchar) as seller_id, price as list_price
+       from placed p left join versions v on p.l_suppkey = v.l_suppkey and day between valid_from and valid_to""",
+)
+def long_history(star):
+    """The price list of a seller, which changes with a third of its sales, at each sale."""
+    lines = star.raw.given("lineitem")
+    sales = lines.select(
+        F.col("l_orderkey").cast("string").alias("order_id"), F.col("l_linenumber").alias("line"),
+        F.col("l_suppkey").cast("string").alias("seller_id"), F.to_date("l_shipdate").alias("day"), "l_orderkey", "l_extendedprice",
+    )
+    changes = sales.where("l_orderkey % 3 = 0").groupBy("seller_id", "day").agg(F.max("l_extendedprice").alias("list_price"))
+    of_seller = Window.partitionBy("seller_id").orderBy("day")
+    history = changes.select(
+        "seller_id",
+        "list_price",
+        F.when(F.row_number().over(of_seller) == 1, F.lit(NO_BEGINNING)).otherwise(F.col("day")).alias("valid_from"),
+        F.coalesce(F.date_sub(F.lead("day").over(of_seller), 1), F.lit(date(9999, 12, 31))).alias("valid_to"),
+    )
+    found = point_in_time_by_period(sales, history, "seller_id", "day", ["list_price"])
+    return found.select("order_id", "line", "seller_id", "list_price")
+
+
 @query("J11_drill_across", "select order_id, order_item_count, order_value from f_orders")
 def drill_across(star):
     totals = facts.order_totals(star.order_items)

@@ -246,6 +246,21 @@ def abandoned_carts(star):
     return streaming.run_available(recover, working_folder(star.spark, "carts"))
 
 
+@query(
+    "X7_recovery",
+    f"""select user_id, ts as cart_at, ts + interval {streaming.PATIENCE_MINUTES} minute as due_at from clicks c
+        where step = 'cart' and ts + interval {streaming.PATIENCE_MINUTES} minute
+                                <= (select max(ts) from events) - interval {DELAY_MINUTES} minute
+          and not exists (select 1 from clicks p where p.user_id = c.user_id and p.step = 'payment'
+                          and p.ts >= c.ts and p.ts < c.ts + interval {streaming.PATIENCE_MINUTES} minute)""",
+)
+def recovery(star):
+    """Carts that a recovery mail is due for, as they come out of the stream."""
+    stored = star.spark.read.parquet(f"{star.raw.folder}/events.parquet").schema
+    clicks = star.raw.as_clicks(streaming.read_clicks(star.spark, star.raw.folder, "events.parquet", stored))
+    return streaming.run_available(streaming.recovery_triggers(clicks, DELAY_MINUTES), working_folder(star.spark, "recovery"))
+
+
 @query(
     "X7_abandonment_rate",
     f"""select count(*) as carts, count(*) filter (where first_payment is null) as abandoned,

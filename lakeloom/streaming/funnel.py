@@ -10,6 +10,10 @@ from pyspark.sql.types import StructType
 from lakeloom.functions.constants import SESSION_GAP_MINUTES
 from lakeloom.operators.sessions import FUNNEL, first_reach
 
+# How long a cart waits for its payment before the customer is written to.
+PATIENCE_MINUTES = 30
+
+
 def read_clicks(spark: SparkSession, folder: str, name: str, schema: StructType) -> DataFrame:
     """Files of a folder as a stream."""
     return spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
@@ -36,6 +40,24 @@ def closed_sessions(clicks: DataFrame, delay_minutes: int = 3, gap_minutes: int
     )
 
 
+def recovery_triggers(clicks: DataFrame, delay_minutes: int = 3, patience_minutes: int = PATIENCE_MINUTES) -> DataFrame:
+    """Carts without a payment of the same user within ``patience_minutes``, each out as soon as that is certain.
+
+    Carts and payments are two streams joined on the user and an interval, so a cart waits in state for its payment and
+    comes out alone when the watermark reaches its end: ``delay_minutes`` after it is due, whatever else the user
+    clicks meanwhile. Payments are kept no longer than a cart may wait. Every cart click counts for itself.
+    """
+    timed = clicks.withWatermark("ts", f"{delay_minutes} minutes")
+    # A condition on the step alone would be pushed below the watermark, which then stood still without payments.
+    moments = {step: F.when(F.col("step") == step, F.col("ts")) for step in ("cart", "payment")}
+    carts = timed.where(moments["cart"].isNotNull()).select("user_id", F.col("ts").alias("cart_at"))
+    payments = timed.where(moments["payment"].isNotNull()).select(F.col("user_id").alias("payer"), F.col("ts").alias("paid_at"))
+    due = F.col("cart_at") + F.expr(f"interval {patience_minutes} minutes")
+    paid = (F.col("user_id") == F.col("payer")) & (F.col("paid_at") >= F.col("cart_at")) & (F.col("paid_at") < due)
+    waited = carts.join(payments, paid, "leftOuter")
+    return waited.where("payer is null").select("user_id", "cart_at", due.alias("due_at"))
+
+
 def run_available(stream: DataFrame, target: str) -> DataFrame:
     """Process what there is, append it to ``target`` exactly once, and read the target.
 

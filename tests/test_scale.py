@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import date, datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.operators.dimension import point_in_time
+from lakeloom.operators.dimension import point_in_time, point_in_time_by_period
 from lakeloom.operators.grouping import latest_per_key, mode_per_key, one_per_key
 from lakeloom.operators.incremental import upsert
 from lakeloom.plans import facts
@@ -63,23 +64,30 @@ def hot_orders(spark):
 
 
 @pytest.fixture(scope="module")
-def people(spark):
+def dimensions(spark):
+    """Customers, the hot one among them, and the one place they live in."""
     key = F.col("id").cast("string")
     known = spark.range(5000).select(key.alias("customer_unique_id")).unionByName(
         spark.range(1).select(F.lit("hot").alias("customer_unique_id"))
     )
-    return known.select(
-        "customer_unique_id",
-        F.sha2("customer_unique_id", 256).alias("customer_sk"),
-        F.lit("place").alias("geography_sk"),
+    people = known.select(
+        "customer_unique_id", F.sha2("customer_unique_id", 256).alias("customer_sk"), F.lit("01000").alias("customer_zip_code_prefix")
     )
+    places = spark.range(1).select(F.lit("01000").alias("zip_code_prefix"), F.lit("place").alias("geography_sk"))
+    return people, places
 
 
-def test_lookup_splits_a_hot_key_and_keeps_every_row(spark, hot_orders, people):
+def test_lookup_splits_a_hot_key_and_keeps_every_row(spark, hot_orders, dimensions):
+    moments = ["order_delivered_customer_date", "order_estimated_delivery_date"]
+    orders = hot_orders.withColumns({c: F.lit(None).cast("timestamp") for c in moments} | {"order_status": F.lit("SHIPPED")})
+    items = spark.range(ROWS).select(
+        F.col("id").cast("string").alias("order_id"), *[F.lit(1).cast("decimal(12,2)").alias(c) for c in ("price", "freight_value")]
+    )
     with large(spark):
-        joined = facts.with_buyer(hot_orders, people).select("order_id", "customer_sk")
-        assert "skew=true" in final_plan(joined)
-        counted = dict(joined.groupBy(F.col("customer_sk") == "-1").count().collect())
+        fact = facts.fct_orders(orders, items, *dimensions).select("order_id", "customer_sk", "geography_sk")
+        assert "skew=true" in final_plan(fact)
+        counted = dict(fact.groupBy(F.col("customer_sk") == "-1").count().collect())
+        assert fact.where("(customer_sk = '-1') <> (geography_sk = '-1')").isEmpty()
     unknown = hot_orders.where("customer_unique_id is null").count()
     assert counted == {True: unknown, False: ROWS - unknown}
 
@@ -105,6 +113,26 @@ def test_point_in_time_splits_a_hot_seller(spark):
         assert joined.where("seller_sk is null").isEmpty()
 
 
+def test_a_sale_meets_the_versions_of_its_period_only(spark):
+    """A seller of 1,000 versions costs a sale no more candidates than one of a few."""
+    day = F.date_add(F.lit(date(2000, 1, 1)), F.col("id").cast("int") * 4)
+    busy = spark.range(1000).select(F.lit("busy").alias("s"), F.when(F.col("id") == 0, F.lit(date(1900, 1, 1))).otherwise(day).alias("valid_from"),
+        F.when(F.col("id") == 999, F.lit(date(9999, 12, 31))).otherwise(F.date_add(day, 3)).alias("valid_to"), F.col("id").alias("v"))
+    calm = spark.range(1).select(F.lit("calm").alias("s"), F.lit(date(1900, 1, 1)).alias("valid_from"), F.lit(date(9999, 12, 31)).alias("valid_to"), F.lit(-1).cast("long").alias("v"))
+    history = busy.unionByName(calm)
+    sales = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, "busy").when(F.col("id") % 3 == 0, "calm").alias("s"),
+        F.date_add(F.lit(date(1990, 1, 1)), (F.col("id") % 9000).cast("int")).alias("day"),
+    )
+    found = point_in_time_by_period(sales, history, "s", "day", ["v"])
+    plain = point_in_time(sales, history, "s", "day", ["v"])
+    assert found.exceptAll(plain).isEmpty() and plain.exceptAll(found).isEmpty()
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftOuter, .*_period", text)
+    cut = point_in_time_by_period(sales, history.withColumns({"valid_from": F.lit(date(1900, 1, 1)), "valid_to": F.lit(date(9999, 12, 31))}).where("v >= 998 or v < 0"), "s", "day", ["v"])
+    assert cut.where("s = 'busy'").count() == 2 * sales.where("s = 'busy'").count()
+
+
 @pytest.mark.parametrize("operator", ["latest", "one", "mode"])
 def test_choices_per_key_reduce_before_the_shuffle(spark, hot_orders, operator):
     """A hot key reaches the shuffle as one row per map task and value, not as all its rows."""
@@ -124,14 +152,18 @@ def test_choices_per_key_reduce_before_the_shuffle(spark, hot_orders, operator):
 
 def test_upsert_leaves_the_base_where_it_is(spark, tmp_path):
     base_path, change_path = f"{tmp_path}/base", f"{tmp_path}/changes"
-    spark.range(ROWS).select(F.col("id").alias("k"), F.lit("old").alias("v")).write.parquet(base_path)
-    spark.range(100).select((F.col("id") * 7).alias("k"), F.lit("new").alias("v"), F.lit(1).alias("at")).write.parquet(change_path)
+    base = spark.range(ROWS).select(F.col("id").alias("k"), F.lit("old").alias("v"), F.when(F.col("id") == 0, 2).otherwise(0).alias("at"))
+    base.write.parquet(base_path)
+    spark.range(101).select(F.when(F.col("id") == 100, ROWS).otherwise(F.col("id") * 7).alias("k"), F.lit("new").alias("v"), F.lit(1).alias("at")).write.parquet(change_path)
     result = upsert(spark.read.parquet(base_path), spark.read.parquet(change_path), ["k"], ["at"])
-    text = result._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftAnti" in text
+    # The base is read in whole once and once for its keys; no row of it is shuffled for a join.
+    text = plan_text(result)
+    assert len(re.findall(r"Location: InMemoryFileIndex.*?/base\]", text)) == 2
     executed = final_plan(result.agg(F.count("*"), F.count_if(F.col("v") == "new")))
     assert "BroadcastHashJoin" in executed and "SortMergeJoin" not in executed
-    assert result.count() == ROWS and result.where("v = 'new'").count() == 100
+    # One change is older than the base, another is of a key that the base lacks.
+    assert result.count() == ROWS + 1 and result.where("v = 'new'").count() == 100
+    assert [r.v for r in result.where("k = 0").collect()] == ["old"]
 
 
 def test_marts_filter_unknown_members_before_the_join(star):

@@ -136,3 +136,22 @@ def test_step_counts_are_out_with_the_first_batch(spark, tmp_path):
     assert counts() == {(T0, "view"): 2}
     stored(spark, source, [(3, T0 + timedelta(minutes=2), "view"), (1, T0 + timedelta(minutes=6), "cart")])
     assert counts() == {(T0, "view"): 3, (T0 + timedelta(minutes=5), "cart"): 1}
+
+
+def test_a_recovery_is_out_before_its_session_closes(spark, tmp_path):
+    source, target = f"{tmp_path}/in", f"{tmp_path}/out"
+    # User 1 goes on looking, user 2 pays in time, user 3 too late, user 4 pays before the cart.
+    stored(spark, source, [
+        *[(1, t, s) for t, s in zip(minutes(0, 20), ("cart", "view"))], (2, T0, "cart"), (2, T0 + timedelta(minutes=29), "payment"),
+        (3, T0, "cart"), (3, T0 + timedelta(minutes=30), "payment"), (4, T0 + timedelta(minutes=1), "cart"), (4, T0, "payment"),
+    ])
+    run = lambda: streaming.run_available(streaming.recovery_triggers(stream(spark, source)), target)
+    assert run().isEmpty()
+    stored(spark, source, [(1, T0 + timedelta(minutes=28), "view"), (9, T0 + timedelta(minutes=34), "view")])
+    due = sorted((r.user_id, r.cart_at) for r in run().collect())
+    assert due == [(1, T0), (3, T0), (4, T0 + timedelta(minutes=1))]
+    # Its session is open until 58 minutes have gone: no closed session holds the cart yet.
+    closed = streaming.run_available(streaming.closed_sessions(stream(spark, source)), f"{tmp_path}/closed")
+    assert closed.where("user_id = 1").isEmpty()
+    stored(spark, source, [(9, T0 + timedelta(hours=3), "view")])
+    assert run().count() == 3
