@@ -13,6 +13,7 @@ from lakeloom.functions.constants import UNKNOWN_KEY, UNKNOWN_LABEL
 # Length of the periods that long histories are cut into, and the day from which a first version is valid at the latest
 # if it is valid since ever.
 PERIOD_DAYS = 64
+MANY_VERSIONS = 32
 NO_BEGINNING = date(1900, 1, 1)
 
 # What an unknown member shows by type; a type that is not listed shows NULL, as any number would be a claim.
@@ -83,6 +84,13 @@ def point_in_time_by_period(
     return facts.join(versions, same & valid, "left").drop("_natural", "_period", "valid_from", "valid_to")
 
 
+def version_at(facts: DataFrame, history: DataFrame, natural: str, moment: str, carry: list[str]) -> DataFrame:
+    """``point_in_time``, by periods if any member has more than ``MANY_VERSIONS``; the result is the same."""
+    most = history.groupBy(natural).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    join = point_in_time_by_period if most > MANY_VERSIONS else point_in_time
+    return join(facts, history, natural, moment, carry)
+
+
 def as_of_date(history: DataFrame, moment) -> DataFrame:
     """The dimension as it stood on one day."""
     return history.where(F.lit(moment).cast("date").between(F.col("valid_from"), F.col("valid_to")))

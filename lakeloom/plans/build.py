@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.constants import DELIVERED
-from lakeloom.operators.history import HistorySpec, changed, first_load, history_violations, merge_counts, merge_snapshot
-from lakeloom.plans import silver
+from lakeloom.operators.history import HistorySpec, changed, first_load, merge_counts, merge_snapshot
+from lakeloom.plans import contracts
 from lakeloom.plans.dimensions import SELLER_HISTORY
-from lakeloom.plans.requirements import volume_gaps
 from lakeloom.plans.star import TABLES, Star, names_of
 from lakeloom.sources import jdbc, tables
 
@@ -23,8 +22,12 @@ log = logging.getLogger("lakeloom")
 KEEPS_PAST = ("seller_snapshots", "dim_seller")
 
 
-def build_layer(star: Star, layer: str) -> dict[str, int]:
-    """Publish every table of a layer in order and return its rows; the first failure ends it.
+class GateClosed(ValueError):
+    """Checks failed before a layer was released; readers stay on the last good versions."""
+
+
+def build_layer(star: Star, layer: str, build: Callable[[Star, str], int] = Star.publish) -> dict[str, int]:
+    """Publish (or ``Star.stage``) every table of a layer in order and return its rows; the first failure ends it.
 
     Bad data (``ValueError``: key, schema, missing input) is told apart from technical trouble. A table
     that keeps the past is built here only where there is none yet; from then on it is loaded.
@@ -35,7 +38,7 @@ def build_layer(star: Star, layer: str) -> dict[str, int]:
         if name in KEEPS_PAST and tables.table_exists(star.spark, f"{star.root}/{layer}", name):
             continue
         try:
-            written[name] = star.publish(name)
+            written[name] = build(star, name)
         except ValueError:
             log.exception("%s.%s rejected: its data breaks a rule", layer, name)
             raise
@@ -46,16 +49,32 @@ def build_layer(star: Star, layer: str) -> dict[str, int]:
     return written
 
 
+def gated_layer(star: Star, layer: str) -> dict[str, int]:
+    """Stage a layer, check it as a whole, and only then let readers see it.
+
+    A broken rule or any failure leaves all tables of the layer as they were published. The tables become visible
+    one after the other, dimensions first.
+    """
+    try:
+        done = build_layer(star, layer, Star.stage)
+        if found := contracts.broken(star, layer):
+            raise GateClosed(f"{layer}: " + ", ".join(f"{name} ({n})" for name, n in sorted(found.items())))
+    except Exception:
+        star.discard()
+        raise
+    star.release()
+    return done
+
+
 def run_day(star: Star, day: date) -> dict[str, int]:
-    """One daily run: silver of that day, the seller history up to it, gold, checks, marts.
+    """One daily run: silver of that day and its quarantine, the seller history up to it, gold, marts.
 
-    Returns rows by table. A broken rule ends the run before the marts, whose last good versions stay.
+    Returns rows by table. A broken rule of gold ends the run before readers see any of its facts and dimensions; one of
+    the marts leaves these as they were. What broke a rule of its entity is in the quarantine either way.
     """
-    done = build_layer(star, "silver")
+    done = build_layer(star, "silver") | build_layer(star, "quarantine")
     done["dim_seller"] = load_sellers(star, day)["inserted"]
-    done |= build_layer(star, "gold")
-    stop_if_broken(star)
-    return done | build_layer(star, "marts")
+    return done | gated_layer(star, "gold") | gated_layer(star, "marts")
 
 
 def load_sellers(star: Star, day: date) -> dict[str, int]:
@@ -66,19 +85,6 @@ def load_sellers(star: Star, day: date) -> dict[str, int]:
     return counts
 
 
-def stop_if_broken(star: Star) -> None:
-    """Fail where a delivered order is not in the fact, or the history of a seller is broken."""
-    source = silver.orders(star.raw.orders, star.raw.customers).where(F.col("order_status") == DELIVERED)
-    dated = source.select("order_id", F.to_date("order_purchase_timestamp").alias("bought_on"))
-    broken = {
-        "delivered orders are missing": volume_gaps(dated, star.fct_orders, "order_id", "bought_on"),
-        "histories of sellers are broken": history_violations(star.dim_seller, SELLER_HISTORY),
-    }
-    found = [name for name, rows in broken.items() if not rows.isEmpty()]
-    if found:
-        raise ValueError(", ".join(found))
-
-
 def serve(star: Star, url: str, schema: str, properties: dict[str, str], connections: int = 8) -> dict[str, int]:
     """Copy dimensions and facts to a serving database, table by table; returns rows written."""
     served = [name for name in names_of("gold") if name.startswith(("dim_", "fct_"))]

@@ -9,9 +9,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.constants import DELIVERED
 from lakeloom.operators import quality as Q
 from lakeloom.operators.history import history_violations
+from lakeloom.plans import silver
 from lakeloom.plans.dimensions import SELLER_HISTORY
+from lakeloom.plans.requirements import volume_gaps
 from lakeloom.plans.star import Star
 
 # Fixed values.
@@ -58,20 +61,25 @@ class Check:
 
     name: str
     violations: Callable[[Star], DataFrame]
+    layer: str = "gold"
+
+
+def layer_of(table: str) -> str:
+    return "marts" if table.startswith("mart_") else "gold"
 
 
 def declared_checks() -> list[Check]:
     checks = [
-        Check(f"unique {table}.{column}", lambda s, t=table, c=column: Q.duplicated(s.table(t), c))
+        Check(f"unique {table}.{column}", lambda s, t=table, c=column: Q.duplicated(s.table(t), c), layer_of(table))
         for table, column in UNIQUE.items()
     ]
     checks += [
-        Check(f"not_null {table}.{column}", lambda s, t=table, c=column: Q.missing(s.table(t), c))
+        Check(f"not_null {table}.{column}", lambda s, t=table, c=column: Q.missing(s.table(t), c), layer_of(table))
         for table, columns in NOT_NULL.items()
         for column in columns
     ]
     checks += [
-        Check(f"accepted_values {table}.{column}", lambda s, t=table, c=column, v=values: Q.unaccepted(s.table(t), c, v))
+        Check(f"accepted_values {table}.{column}", lambda s, t=table, c=column, v=values: Q.unaccepted(s.table(t), c, v), layer_of(table))
         for (table, column), values in ACCEPTED.items()
     ]
     checks += [
@@ -81,7 +89,7 @@ def declared_checks() -> list[Check]:
         )
         for (table, column), parent in RELATIONSHIPS.items()
     ]
-    checks.append(Check("repurchase within cohort", lambda s: Q.cohort_violations(s.mart_cohortes)))
+    checks.append(Check("repurchase within cohort", lambda s: Q.cohort_violations(s.mart_cohortes), "marts"))
     broken = {"one current version": "current_rows <> 1", "no inverted range": "inverted > 0", "no overlap": "overlapping > 0"}
     checks += [
         Check(name, lambda s, rule=rule: history_violations(s.dim_seller, SELLER_HISTORY).where(rule))
@@ -90,6 +98,25 @@ def declared_checks() -> list[Check]:
     return checks
 
 
+def lost_orders(star: Star) -> DataFrame:
+    """Delivered orders of the source by day that the fact lacks; none may."""
+    source = silver.orders(star.raw.orders, star.raw.customers).where(F.col("order_status") == DELIVERED)
+    dated = source.select("order_id", F.to_date("order_purchase_timestamp").alias("bought_on"))
+    return volume_gaps(dated, star.fct_orders, "order_id", "bought_on")
+
+
+def gate_checks(layer: str) -> list[Check]:
+    """What has to hold before a layer is released."""
+    own = [check for check in declared_checks() if check.layer == layer]
+    return [*own, Check("delivered orders are there", lost_orders)] if layer == "gold" else own
+
+
+def broken(star: Star, layer: str) -> dict[str, int]:
+    """Checks of a layer that fail, with their violations."""
+    report = check_report(star, gate_checks(layer)).where("violations > 0")
+    return {row.check_name: row.violations for row in report.collect()}
+
+
 def check_report(star: Star, checks: list[Check]) -> DataFrame:
     """Violations per check; every check counts where its rows are, only counts come together."""
     counted = [c.violations(star).agg(F.lit(c.name).alias("check_name"), F.count("*").alias("violations")) for c in checks]

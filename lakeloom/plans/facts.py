@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import attributes as A
 from lakeloom.functions.keys import date_key, key_date, resolve_date_key, resolve_key
-from lakeloom.operators.dimension import point_in_time
+from lakeloom.operators.dimension import version_at
 
 PRIMARY_KEYS = {
     "fct_orders": ["order_id"],
@@ -101,7 +101,7 @@ def fct_order_items(
         .withColumn("purchase_date", key_date("date_sk"))
         .join(dim_product.select("product_id", "product_sk"), "product_id", "left")
     )
-    versioned = point_in_time(enriched, dim_seller, "seller_id", "purchase_date", ["seller_sk"])
+    versioned = version_at(enriched, dim_seller, "seller_id", "purchase_date", ["seller_sk"])
     gross = F.col("price") + F.col("freight_value")
     return as_contracted("fct_order_items", versioned, gross_revenue=gross, item_count=F.lit(1))
 

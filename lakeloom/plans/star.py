@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.functions.constants import GOLD_ABOVE, SILVER_FROM
 from lakeloom.operators.history import history_from_snapshots
-from lakeloom.plans import dimensions, facts, marts, silver
+from lakeloom.plans import dimensions, facts, marts, quarantine, silver
 from lakeloom.session import shared_folder
 from lakeloom.sources import tables
 from lakeloom.sources.bronze import BronzeDay
@@ -69,6 +69,7 @@ class Star:
         self.rules = rules
         self._root = root
         self._read: dict[str, DataFrame] = {}
+        self._staged: dict[str, str] = {}
 
     @property
     def root(self) -> str:
@@ -89,6 +90,26 @@ class Star:
         self._read.pop(name, None)
         return tables.publish(self.plan(name), f"{self.root}/{spec.layer}", name, spec.primary_key)
 
+    def stage(self, name: str) -> int:
+        """Build and check the table without letting others see it; this object reads it from now on."""
+        spec = TABLES[name]
+        folder, rows = tables.stage(self.plan(name), f"{self.root}/{spec.layer}", name, spec.primary_key)
+        self._staged[name] = folder
+        self._read[name] = tables.read_staged(self.spark, folder)
+        return rows
+
+    def release(self) -> None:
+        """Let readers see all that was staged, dimensions before the facts that point at them."""
+        for folder in self._staged.values():
+            tables.release(self.spark, folder)
+        self._staged.clear()
+
+    def discard(self) -> None:
+        """Go back to the published versions of all that was staged."""
+        for name in self._staged:
+            self.forget(name)
+        self._staged.clear()
+
     def forget(self, name: str) -> None:
         """Read the table anew next time, as it was published elsewhere."""
         self._read.pop(name, None)
@@ -133,6 +154,7 @@ _SILVER = {
     "payments": lambda s: silver.payments(s.raw.payments),
     "reviews": lambda s: silver.reviews(s.raw.reviews),
 }
+_QUARANTINE = {f"quarantine_{entity}": lambda s, entity=entity: quarantine.quarantine(s, entity) for entity in quarantine.RULES}
 _GOLD = {
     "dim_date": lambda s: dimensions.dim_date(s.orders, s.reviews, s.rules.calendar),
     "dim_customer": lambda s: dimensions.dim_customer(s.customers, s.orders),
@@ -157,12 +179,13 @@ _KEYS = {
     "seller_snapshots": ["as_of", "seller_id"],
     **facts.PRIMARY_KEYS,
     **marts.PRIMARY_KEYS,
+    **{name: ["quarantine_id"] for name in _QUARANTINE},
 }
 
 # In build order: within a layer dimensions come before facts, layers one after the other.
 TABLES = {
     name: TableSpec(layer, _KEYS[name], build)
-    for layer, builds in (("silver", _SILVER), ("gold", _GOLD), ("marts", _MARTS))
+    for layer, builds in (("silver", _SILVER), ("quarantine", _QUARANTINE), ("gold", _GOLD), ("marts", _MARTS))
     for name, build in builds.items()
 }
 

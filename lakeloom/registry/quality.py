@@ -15,7 +15,8 @@ from lakeloom.plans import requirements as R
 from lakeloom.plans.dimensions import SELLER_HISTORY
 from lakeloom.registry import query
 from lakeloom.registry import oracle as sql
-from lakeloom.sources.tables import key_profile
+from lakeloom.session import working_folder
+from lakeloom.sources.tables import key_profile, publish, read_staged, read_table, stage
 
 PROCESSED = datetime(2026, 8, 1, 6, 30)
 
@@ -179,6 +180,81 @@ def accepted(star):
     return good.drop("_known")
 
 
+# Each extract, and of each rule the condition in SQL and the error.
+_NO_STATE = "coalesce(upper(trim({0})) not in (select unnest({1})), true)"
+_QUARANTINED = {
+    "customers": ("raw_customers", {
+        "city_missing": (f"{sql.clean_text('customer_city')} is null", "no city"),
+        "state_unknown": (_NO_STATE.format("customer_state", sql.STATES), "no such state"),
+        "order_missing": ("customer_id not in (select customer_id from raw_orders)", "no order of this customer id"),
+    }),
+    "sellers": ("raw_sellers", {
+        "city_missing": (f"{sql.clean_text('seller_city')} is null", "no city"),
+        "state_unknown": (_NO_STATE.format("seller_state", sql.STATES), "no such state"),
+        "never_sold": ("seller_id not in (select seller_id from s_items)", "no item of this seller"),
+    }),
+    "products": ("raw_products", {
+        "category_missing": (f"{sql.clean_text('product_category_name')} is null", "no category"),
+        "weight_unreadable": (f"trim(product_weight_g) <> '' and {sql.as_int('product_weight_g')} is null", "weight is not a number"),
+        "photos_missing": (f"{sql.as_int('product_photos_qty')} is null", "no number of photos"),
+    }),
+    "geolocation": ("raw_geo", {
+        "city_missing": (f"{sql.clean_text('geolocation_city')} is null", "no city"),
+        "state_unknown": (_NO_STATE.format("geolocation_state", sql.STATES), "no such state"),
+        "latitude_missing": ("try_cast(geolocation_lat as double) is null", "no latitude"),
+        "off_the_map": ("abs(try_cast(geolocation_lat as double)) > 90", "latitude out of bounds"),
+    }),
+    "orders": ("raw_orders", {
+        "status_missing": (f"{sql.clean_code('order_status')} is null", "no status"),
+        "purchase_missing": (f"{sql.as_ts('order_purchase_timestamp')} is null", "no moment of purchase"),
+        "approval_unreadable": (f"trim(order_approved_at) <> '' and {sql.as_ts('order_approved_at')} is null", "moment of approval cannot be read"),
+        "customer_unknown": ("customer_id not in (select customer_id from raw_customers)", "no such customer"),
+    }),
+    "order_items": ("raw_items", {
+        "freight_missing": (_BAD_FREIGHT, "freight is not a number"),
+        "order_unknown": ("order_id not in (select order_id from s_orders)", "no such order"),
+        "product_unknown": (_BAD_PRODUCT, "no such product"),
+        "seller_unknown": ("seller_id not in (select seller_id from s_sellers)", "no such seller"),
+    }),
+    "payments": ("raw_payments", {
+        "installments_missing": (f"{sql.as_int('payment_installments')} is null", "no number of installments"),
+        "order_unknown": ("order_id not in (select order_id from s_orders)", "no such order"),
+    }),
+    "reviews": ("raw_reviews", {
+        "score_out_of_range": (f"coalesce({sql.as_int('review_score')} not between 1 and 5, true)", "score is not one to five"),
+        "answer_missing": (f"{sql.as_ts('review_answer_timestamp')} is null", "no moment of the answer"),
+        "order_unknown": ("order_id not in (select order_id from s_orders)", "no such order"),
+    }),
+}
+
+
+def _quarantine_sql(entity: str) -> str:
+    extract, rules = _QUARANTINED[entity]
+    parts = [f"select *, '{rule}' as rule_id, '{error}' as error_text from {extract} where {bad}" for rule, (bad, error) in rules.items()]
+    return f"select *, '{entity}.csv' as source_file, 'given' as batch_id, count(*) as occurrences from ({' union all '.join(parts)}) group by all"
+
+
+for _entity in _QUARANTINED:
+    query(f"X8_quarantine_{_entity}", _quarantine_sql(_entity))(
+        lambda star, entity=_entity: star.table(f"quarantine_{entity}").drop("quarantine_id")
+    )
+
+
+@query(
+    "X8_quarantine_report",
+    " union all ".join(
+        f"select '{entity}' as entity, rule_id, sum(occurrences) as rows from ({_quarantine_sql(entity)}) group by rule_id" for entity in _QUARANTINED
+    ),
+)
+def quarantine_report(star):
+    """Rows in quarantine by entity and rule."""
+    counted = [
+        star.table(f"quarantine_{entity}").groupBy(F.lit(entity).alias("entity"), "rule_id").agg(F.sum("occurrences").alias("rows"))
+        for entity in _QUARANTINED
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query(
     "X9_referential_integrity",
     """select 'items without order' as relation, count(*) as orphans from s_items where order_id not in (select order_id from s_orders)
@@ -216,6 +292,24 @@ def volume(star):
     return R.volume_gaps(dated, star.fct_orders, "order_id", "bought_on")
 
 
+@query(
+    "X10_gate",
+    """select (select count(*) from f_orders) as visible, count(*) as staged,
+              (select count(*) from s_orders where order_status = 'DELIVERED' and order_id not in (select order_id from s_items)) as lost
+       from f_orders where order_id in (select order_id from s_items)""",
+)
+def gate(star):
+    """A build of the order fact that lost orders without items: it is staged and found out, readers keep the good one."""
+    root, key = working_folder(star.spark, "gate"), ["order_id"]
+    publish(star.fct_orders, root, "fct_orders", key)
+    folder, staged = stage(star.fct_orders.join(star.order_items, "order_id", "left_semi"), root, "fct_orders", key)
+    source = star.orders.where("order_status = 'DELIVERED'")
+    dated = source.select("order_id", F.to_date("order_purchase_timestamp").alias("bought_on"))
+    lost = R.volume_gaps(dated, read_staged(star.spark, folder), "order_id", "bought_on")
+    visible = read_table(star.spark, root, "fct_orders").agg(F.count("*").alias("visible"), F.lit(staged).cast("long").alias("staged"))
+    return visible.join(lost.agg(F.coalesce(F.sum("lost"), F.lit(0)).alias("lost")))
+
+
 @query(
     "X10_volume_faults",
     """select cast(order_purchase_timestamp as date) as bought_on, count(*) as lost from s_orders

@@ -77,15 +77,15 @@ def _signature(df: DataFrame) -> list[tuple[str, str]]:
     return [(field.name, field.dataType.simpleString()) for field in df.schema.fields]
 
 
-def publish(
+def stage(
     df: DataFrame,
     root: str,
     table: str,
     primary_key: Sequence[str],
     overwrite_schema: bool = False,
     partition_by: Sequence[str] = (),
-) -> int:
-    """Publish a full rebuild of a table and return its number of rows."""
+) -> tuple[str, int]:
+    """Write the next version and check its key; nobody reads it before it is released. Returns its folder and rows."""
     spark, path = df.sparkSession, f"{root}/{table}"
     if table_exists(spark, root, table) and not overwrite_schema:
         published = read_table(spark, root, table)
@@ -97,6 +97,21 @@ def publish(
     df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
     if not partition_by:
         _SCHEMAS[target] = df.schema
-    rows = check_key(_read_version(spark, target), table, primary_key)
-    paths.touch(spark, f"{target}/{MARKER}")
+    return target, check_key(_read_version(spark, target), table, primary_key)
+
+
+def read_staged(spark: SparkSession, folder: str) -> DataFrame:
+    """A version by its folder, released or not."""
+    return _read_version(spark, folder)
+
+
+def release(spark: SparkSession, folder: str) -> None:
+    """Let readers see a staged version."""
+    paths.touch(spark, f"{folder}/{MARKER}")
+
+
+def publish(df: DataFrame, root: str, table: str, primary_key: Sequence[str], **how) -> int:
+    """Publish a full rebuild of a table and return its number of rows; takes what ``stage`` takes."""
+    folder, rows = stage(df, root, table, primary_key, **how)
+    release(df.sparkSession, folder)
     return rows

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.plans import build
-from lakeloom.plans.star import GIVEN_TABLES, Star
+from lakeloom.plans import build, contracts, quarantine
+from lakeloom.plans.star import GIVEN_TABLES, TABLES, Star, names_of
 from lakeloom.sources import tables
 
 
@@ -61,11 +62,59 @@ def test_a_repeated_day_writes_nothing(days):
     assert build.load_sellers(star, date(2000, 1, 1))["inserted"] == 0 and versions() == before
 
 
-def test_a_lost_order_stops_the_marts(days, monkeypatch):
+def _files(star, layer, *names):
+    return [tables.read_table(star.spark, f"{star.root}/{layer}", name).inputFiles() for name in names]
+
+
+def test_a_lost_order_leaves_readers_on_the_facts_they_had(days, monkeypatch):
+    star, _ = days
+    names = [name for name in names_of("gold") if name not in build.KEEPS_PAST]
+    before = _files(star, "gold", *names), _files(star, "marts", "mart_cohortes")
+    spec = TABLES["fct_orders"]
+    losing = replace(spec, build=lambda s: spec.build(s).where("order_status <> 'DELIVERED'"))
+    monkeypatch.setitem(TABLES, "fct_orders", losing)
+    with pytest.raises(build.GateClosed, match="delivered orders are there"):
+        build.run_day(star, date(2000, 1, 1))
+    assert (_files(star, "gold", *names), _files(star, "marts", "mart_cohortes")) == before
+    assert star.fct_orders.where("order_status = 'DELIVERED'").count() > 0
+    monkeypatch.undo()
+    build.gated_layer(star, "gold")
+    assert all(x != y for x, y in zip(_files(star, "gold", *names), before[0], strict=True))
+
+
+def test_a_failure_in_the_middle_releases_nothing(days, monkeypatch):
+    star, _ = days
+    before = _files(star, "gold", "dim_date", "fct_orders")
+    spec = TABLES["fct_payments"]
+    monkeypatch.setitem(TABLES, "fct_payments", replace(spec, primary_key=["order_id"]))
+    with pytest.raises(tables.KeyViolation):
+        build.gated_layer(star, "gold")
+    assert _files(star, "gold", "dim_date", "fct_orders") == before
+
+
+def test_declared_checks_are_the_gates(days):
     star, _ = days
-    before = tables.read_table(star.spark, f"{star.root}/marts", "mart_cohortes").inputFiles()
-    lost = star.fct_orders.where("order_status <> 'DELIVERED'")
-    monkeypatch.setitem(star._read, "fct_orders", lost)
-    with pytest.raises(ValueError, match="delivered orders are missing"):
-        build.stop_if_broken(star)
-    assert tables.read_table(star.spark, f"{star.root}/marts", "mart_cohortes").inputFiles() == before
+    gates = [check.name for layer in ("gold", "marts") for check in contracts.gate_checks(layer)]
+    assert sorted([*(check.name for check in contracts.declared_checks()), "delivered orders are there"]) == sorted(gates)
+    assert contracts.broken(star, "gold") == {} and contracts.broken(star, "marts") == {}
+
+
+def test_every_fault_is_in_quarantine_once(spark, star):
+    """Rows of every entity with faults put in, one equal pair among them."""
+    raw = star.raw.order_items
+    faulty = raw.limit(1).withColumns({"freight_value": F.lit("?"), "seller_id": F.lit("nobody")})
+    rows = raw.where("false").unionByName(faulty).unionByName(faulty)
+    good, bad = quarantine.split(rows, "order_items", lambda x: star.table(x.table))
+    found = {(r.rule_id, r.error_text, r.occurrences, r.source_file, r.batch_id) for r in bad.collect()}
+    assert found == {
+        ("freight_missing", "freight is not a number", 2, "order_items.csv", "given"),
+        ("seller_unknown", "no such seller", 2, "order_items.csv", "given"),
+    }
+    assert good.isEmpty() and good.columns == raw.columns
+    audited = rows.withColumns({"_source_file": F.lit("part-1.csv"), "_batch_id": F.lit("b1"), "_ingested_at": F.lit(None).cast("timestamp")})
+    _, bad = quarantine.split(audited, "order_items", lambda x: star.table(x.table))
+    assert {(r.source_file, r.batch_id) for r in bad.collect()} == {("part-1.csv", "b1")}
+    places = spark.createDataFrame([("s1", "1", " ", "sp"), ("s2", "1", "x", "zz"), ("s3", "1", "x", None)], "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string")
+    _, bad = quarantine.split(places, "sellers", lambda x: star.table(x.table))
+    assert {(r.seller_id, r.rule_id) for r in bad.where("rule_id <> 'never_sold'").collect()} == {("s1", "city_missing"), ("s2", "state_unknown"), ("s3", "state_unknown")}
+    assert quarantine.keyed(bad).select("quarantine_id").distinct().count() == bad.count()
