@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.operators import history
 from lakeloom.operators.dimension import as_of_date
-from lakeloom.plans import build, dimensions
+from lakeloom.plans import build, dimensions, monthly
 from lakeloom.plans.dimensions import SELLER_HISTORY
 from lakeloom.plans.star import Star
 from lakeloom.registry import query
@@ -38,6 +38,84 @@ def seller_snapshot(star):
     return star.seller_snapshot(RECENT)
 
 
+@query("F1_snapshot_by_month", "select * exclude (as_of) from seller_snapshots where as_of = date '2001-01-01'")
+def snapshot_by_month(star):
+    """The snapshot again, from tables by month, of which it lists thirteen."""
+    return monthly.seller_snapshot(star, _monthly(star), RECENT)
+
+
+def _monthly(star: Star) -> str:
+    root = working_folder(star.spark, "monthly")
+    monthly.first_load(star, root)
+    return root
+
+
+def _change_sets(star: Star):
+    """(orders, items) of three change sets: dearer, shorter and new orders."""
+    orders, items = star.orders, star.order_items
+    bought, number = F.date_format("order_purchase_timestamp", "yyyy-MM"), F.col("order_id").cast("int")
+    dearer = orders.where(bought.isin("1998-01", "1998-02", "1998-03") & (number % 50 == 1))
+    yield dearer, items.withColumn("price", (F.col("price") + 1).cast("decimal(12,2)"))
+    shorter = orders.where((bought == "1998-02") & (number % 50 == 2))
+    yield shorter, items.where("order_item_id <> 1")
+    again = F.concat("order_id", F.lit("-new")).alias("order_id")
+    new = orders.where((bought == "1998-03") & (number % 100 == 3))
+    yield new.select(again, *new.columns[1:]), items.select(again, *items.columns[1:])
+
+
+def _changed(star: Star) -> str:
+    root = _monthly(star)
+    for orders, items in _change_sets(star):
+        monthly.apply_changes(star, root, orders, items)
+    return root
+
+
+# The items of the facts as the change sets leave them.
+_CHANGED_ITEMS = """
+    changed_items as (
+        select * replace (case when dearer then price + 1 else price end as price, case when dearer then gross_revenue + 1 else gross_revenue end as gross_revenue)
+        from (select *, date_sk // 100 in (199801, 199802, 199803) and order_id::int % 50 = 1 as dearer from f_items)
+        where not coalesce(date_sk // 100 = 199802 and order_id::int % 50 = 2 and order_item_id = 1, false)
+        union all select * replace (order_id || '-new' as order_id), false from f_items where date_sk // 100 = 199803 and order_id::int % 100 = 3
+    )"""
+
+
+@query(
+    "X16_incremental_marts",
+    f"""with {_CHANGED_ITEMS}
+        select year_month, year, coalesce(product_category_name_english, 'Sin categoria') as product_category,
+               sum(price) as gmv, sum(freight_value) as ingreso_flete, sum(gross_revenue) as ingreso_bruto,
+               sum(price) - sum(freight_value) as margen_contribucion,
+               cast(sum(item_count) as bigint) as items_vendidos, count(distinct order_id) as ordenes
+        from changed_items join d_product using (product_sk) join d_date using (date_sk) where date_sk <> -1 group by 1, 2, 3""",
+)
+def incremental_marts(star):
+    """The mart by category after three change sets, each of which has read and written its months alone."""
+    return monthly.read(star.spark, _changed(star), "mart_ventas_categoria").drop(monthly.MONTH)
+
+
+@query(
+    "X16_incremental_segments",
+    f"""with {_CHANGED_ITEMS}
+        select year_month, seller_segment, sum(price) as gmv, count(order_item_id) as items_vendidos, count(distinct order_id) as ordenes
+        from changed_items join d_seller using (seller_sk) join d_date using (date_sk) where date_sk <> -1 group by 1, 2""",
+)
+def incremental_segments(star):
+    return monthly.read(star.spark, _changed(star), "mart_segmento_vendedor").drop(monthly.MONTH)
+
+
+@query(
+    "X16_incremental_orders",
+    f"""with {_CHANGED_ITEMS},
+        totals as (select order_id, count(*) as n, sum(gross_revenue) as value from changed_items group by 1)
+        select f.* replace (coalesce(n, 0) as order_item_count, coalesce(value, 0) as order_value) from f_orders f left join totals using (order_id)
+        union all
+        select f.* replace (order_id || '-new' as order_id) from f_orders f where purchase_date_sk // 100 = 199803 and order_id::int % 100 = 3""",
+)
+def incremental_orders(star):
+    return monthly.read(star.spark, _changed(star), "fct_orders").drop(monthly.MONTH)
+
+
 @query(
     "C2_new_versions",
     """select case when seller_id = '-1' then '-1' else sha256(seller_id || '|2001-01-01') end as seller_sk,

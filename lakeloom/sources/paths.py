@@ -25,3 +25,8 @@ def names(spark: SparkSession, pattern: str) -> list[str]:
     """Last path parts of everything that matches a glob, in order."""
     found = _fs(spark, pattern).globStatus(_path(spark, pattern)) or []
     return sorted(status.getPath().getName() for status in found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder with what is in it, if it is there."""
+    _fs(spark, path).delete(_path(spark, path), True)
