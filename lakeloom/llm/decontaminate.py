@@ -7,7 +7,8 @@ distance, so no passage within the budget is missed and none beyond it is report
 cheaper lower bounds on the distance drop hits: the counts of characters and of trigrams.
 
 Texts and items are compared in lower case with runs of white space as one space. Items shorter than
-``min_chars`` so written are not searched: they stand in any text by chance.
+``min_chars`` so written get no budget, as a few edits make them other words: they are searched by the same automaton
+as they are, and count where no word goes on before or behind them. Only items without a character are left out.
 
 The items are the stated query set. They are read in blocks of bounded size; each block is sent to the tasks
 and all documents pass it, without a shuffle of texts. One task needs a batch of texts and one block.
@@ -27,6 +28,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from lakeloom.llm.common import made_once, shared_value
 
@@ -83,18 +85,26 @@ def nearest_end(peq: dict[str, int], size: int, text: str, most: int, anchored:
     return (best, at) if at >= 0 else None
 
 
+def stands_alone(text: str, start: int, end: int) -> bool:
+    """No word goes on over either end of a part of the text."""
+    inside = lambda i: 0 < i < len(text) and text[i - 1].isalnum() and text[i].isalnum()
+    return not inside(start) and not inside(end)
+
+
 class Matcher:
     """A block of items, ready to search texts; made once in each worker."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[int, str]], rate: float, min_chars: int = MIN_CHARS):
         import ahocorasick
 
         self.items, self.budget, self.peq, self.back, self.grams = items, [], [], [], []
+        self.short: list[bool] = []
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for n, (_, item) in enumerate(items):
-            edits = int(rate * len(item))
+            edits = int(rate * len(item)) if len(item) >= min_chars else 0
             self.budget.append(edits)
+            self.short.append(len(item) < min_chars)
             self.peq.append(masks(item))
             self.back.append(masks(item[::-1]))
             self.grams.append([item[i : i + GRAM] for i in range(0, len(item) - GRAM + 1, GRAM)])
@@ -108,10 +118,15 @@ class Matcher:
     def find(self, text: str) -> dict[int, tuple[int, int, int]]:
         """By number of the item: (distance, start, end) of its nearest passage in a normalised text."""
         windows: dict[int, list[list[int]]] = {}
+        found = {}
         for last, (size, where) in self.automaton.iter(text):
             for n, offset in where:
                 k, length = self.budget[n], len(self.items[n][1])
                 at = last + 1 - size - offset
+                if self.short[n]:
+                    if n not in found and stands_alone(text, at, last + 1):
+                        found[n] = (0, at, last + 1)
+                    continue
                 low, high = max(0, at - k), min(len(text), at + length + k)
                 held = windows.setdefault(n, [])
                 # Hits come in order of their ends: one that begins in the window before widens it.
@@ -119,7 +134,6 @@ class Matcher:
                     held[-1][0], held[-1][1] = min(held[-1][0], low), max(held[-1][1], high)
                 else:
                     held.append([low, high])
-        found = {}
         for n, held in windows.items():
             best = None
             for low, high in held:
@@ -165,14 +179,14 @@ def item_blocks(
     rows = items.select(F.col(item_id), F.col(text)).where(F.col(text).isNotNull())
     for row in rows.toLocalIterator():
         item = normalised(row[1])
-        if len(item) < min_chars:
+        if not item:
             continue
         if block and size + len(item) > block_chars:
-            blocks.append(shared_value(spark, (block, rate)))
+            blocks.append(shared_value(spark, (block, rate, min_chars)))
             block, size = [], 0
         block.append((row[0], item))
         size += len(item)
-    return blocks + ([shared_value(spark, (block, rate))] if block else [])
+    return blocks + ([shared_value(spark, (block, rate, min_chars))] if block else [])
 
 
 def matches(
@@ -195,6 +209,7 @@ def matches(
             *(T.StructField(name, T.LongType()) for name in ("distance", "start", "end")),
         ]
     )
+    kinds = [to_arrow_type(field.dataType) for field in schema.fields[1:]]
     found = None
     for block in item_blocks(docs.sparkSession, items, item_id, item_text, rate, min_chars, block_chars):
 
@@ -207,9 +222,7 @@ def matches(
                         for column, value in zip(out, (i, matcher.items[n][0], distance, start, end), strict=True):
                             column.append(value)
                 ids = batch.column(0).take(pa.array(out[0], pa.int64()))
-                yield pa.record_batch([ids, *map(pa.array, out[1:])], names=schema.names) if out[0] else pa.record_batch(
-                    [ids, *(pa.array([], pa.int64()) for _ in out[1:])], names=schema.names
-                )
+                yield pa.record_batch([ids, *(pa.array(x, kind) for x, kind in zip(out[1:], kinds, strict=True))], names=schema.names)
 
         part = rows.mapInArrow(search, schema)
         found = part if found is None else found.unionByName(part)

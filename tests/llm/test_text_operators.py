@@ -221,6 +221,14 @@ def test_messy_pages(spark):
     assert html_extract.extract(pages.where("page_id > 9")).count() == 0
 
 
+def test_short_items_are_found_as_they_are(spark):
+    items = spark.createDataFrame([(1, "Two  Words"), (2, "x"), (3, ""), (4, " \n"), (5, "q: 7+5?")], "item_id int, text string")
+    docs = documents(spark, [(1, "here are two\nwords."), (2, "two wordsmith"), (3, "ax x"), (4, "Q: 7+5? 12"), (5, None), (6, "two wirds"), (7, "axe")])
+    found = {(r.doc_id, r.item_id, r.distance) for r in decontaminate.matches(docs, items).collect()}
+    assert found == {(1, 1, 0), (3, 2, 0), (4, 5, 0)}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(docs, items).collect()} == {2, 5, 6, 7}
+
+
 # Quality rules
 
 
