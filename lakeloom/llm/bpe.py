@@ -39,7 +39,7 @@ PRETOKEN = (
 )
 LONG = 64
 # Results kept in each of two generations, and the longest piece of text that is kept.
-KEPT, KEPT_CHARS = 100_000, 40
+KEPT, KEPT_CHARS = 60_000, 40
 ROWS = 1_000
 _NONE = 1 << 60
 

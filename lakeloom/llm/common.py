@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterable
 from typing import Any
@@ -54,15 +55,16 @@ _MADE: dict[str, Any] = {}
 
 
 def shared_value(spark: SparkSession, value: Any) -> Broadcast:
-    """A value of bounded size for all tasks; ``made_once`` takes it there."""
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, value))
+    """A value of bounded size for all tasks; ``made_once`` takes it there, and knows equal texts again."""
+    key = hashlib.sha256(value.encode()).hexdigest() if isinstance(value, str) else uuid.uuid4().hex
+    return spark.sparkContext.broadcast((key, value))
 
 
 def made_once(shared: Broadcast, make: Callable[[Any], Any]) -> Any:
-    """What ``make`` builds of a shared value, built once in each worker; the last few are kept."""
+    """What ``make`` builds of a shared value, built once in each worker; the last two are kept."""
     key, value = shared.value
     if key not in _MADE:
-        while len(_MADE) >= 4:
+        while len(_MADE) >= 2:
             _MADE.pop(next(iter(_MADE)))
         _MADE[key] = make(value)
     return _MADE[key]

@@ -48,7 +48,7 @@ CHUNK = 400_000
 BLOCK, COLUMNS = 64, 16_384
 
 _WORDS = re.compile(r"\w+")
-_KEPT_WORDS = 150_000
+_KEPT_WORDS = 100_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
