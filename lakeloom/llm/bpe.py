@@ -58,16 +58,16 @@ class _Irregular(Exception):
 class _Kept(dict):
     """Encoded pieces; the older half goes when there are too many."""
 
-    def __init__(self, make):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.older, self.most = make, {}, most
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
         if len(key) <= KEPT_CHARS:
-            if len(self) >= KEPT:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
@@ -77,7 +77,8 @@ class _Kept(dict):
 class Codec:
     """Encodes texts to arrays of token ids and back."""
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, kept: int | None = None):
+        kept = kept or KEPT
         model = json.loads(content)
         vocabulary = model["model"]["vocab"]
         characters = byte_characters()
@@ -97,9 +98,9 @@ class Codec:
             self.merged.append(vocabulary[left + right])
         self.pattern = regex.compile(PRETOKEN)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.pretokens = _Kept(lambda token: self._packed(self.merge(token.encode())))
-        self.first = _Kept(self._piece)
-        self.spaced = _Kept(lambda piece: self._piece(piece, " "))
+        self.pretokens = _Kept(lambda token: self._packed(self.merge(token.encode())), kept)
+        self.first = _Kept(self._piece, kept)
+        self.spaced = _Kept(lambda piece: self._piece(piece, " "), kept)
 
     @staticmethod
     def _packed(tokens: list[int]) -> bytes:
@@ -174,9 +175,9 @@ class Codec:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-def codec(shared: Broadcast) -> Codec:
-    """The codec of a shared vocabulary."""
-    return made_once(shared, Codec)
+def codec(shared: Broadcast, kept: int | None = None) -> Codec:
+    """The codec of a shared vocabulary, with tables of ``kept`` known words (``KEPT`` if not told)."""
+    return made_once(shared, lambda content: Codec(content, kept))
 
 
 def vocabulary(df: DataFrame, path: str) -> Broadcast:

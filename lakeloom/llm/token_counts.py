@@ -31,6 +31,8 @@ from lakeloom.llm.bpe import Codec, codec, vocabulary
 
 LEAF = 16
 ROWS = 500
+# Words whose tokens a worker remembers; no other operator is at work beside it.
+KNOWN = 300_000
 
 TREE = T.StructType([T.StructField("chars", T.ArrayType(T.IntegerType())), T.StructField("tokens", T.ArrayType(T.IntegerType()))])
 EDITS = T.ArrayType(
@@ -171,7 +173,7 @@ def count(df: DataFrame, path: str, text: str = "text", into: str = "tree") -> D
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                trees = [Tree.of(codec(content), body.as_py() or "") for body in part.column(at)]
+                trees = [Tree.of(codec(content, KNOWN), body.as_py() or "") for body in part.column(at)]
                 yield pa.RecordBatch.from_arrays([*part.columns, _packed(trees)], names=names)
 
     return df.mapInArrow(run, schema)
@@ -193,7 +195,7 @@ def apply_edits(
                 texts, trees = [], []
                 for body, held, wanted in zip(part.column(at), part.column(trees_at), part.column(edits_at), strict=True):
                     own = Tree(*(held[k].values.to_numpy(zero_copy_only=False).copy() for k in ("chars", "tokens")))
-                    texts.append(edited(codec(content), own, body.as_py(), wanted.as_py() or []))
+                    texts.append(edited(codec(content, KNOWN), own, body.as_py(), wanted.as_py() or []))
                     trees.append(own)
                 columns = list(part.columns)
                 columns[at] = pa.array(texts, pa.string())
@@ -219,7 +221,7 @@ def count_through_edits(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, rows = codec(content), []
+            own, rows = codec(content, KNOWN), []
             for body in batch.column(at):
                 old = body.as_py() or ""
                 tree, edits = Tree.of(own, old), find(old)
