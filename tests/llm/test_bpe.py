@@ -67,7 +67,9 @@ def test_long_and_short_merges_agree(codec):
 
 
 def test_what_is_kept_is_bounded(codec, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT", 10)
+    for table in (codec.pretokens, codec.first, codec.spaced):
+        table.clear()
+        monkeypatch.setattr(table, "most", 10)
     words = " ".join(f"w{i}" for i in range(200))
     expected = ids(codec, words)
     assert len(codec.spaced) <= 10 and ids(codec, words) == expected
