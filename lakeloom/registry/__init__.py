@@ -45,4 +45,5 @@ def load_all() -> None:
         quality,
         requirements,
         storage,
+        stored,
     )

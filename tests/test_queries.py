@@ -24,7 +24,7 @@ EMPTY_WHEN_CLEAN = {
 NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "InPandas")
 # Windows over groups bounded by loads, dates, quotes or time slots; nothing else has a window.
 WINDOWED = {
-    "D_declared_checks", "G5_dim_seller_backfill", "X1_category_margin", "X1_daily_rates", "X1_gmv_before_the_first_quote",
+    "D_declared_checks", "G5_dim_seller_backfill", "S1_read_landing_split", "X1_category_margin", "X1_daily_rates", "X1_gmv_before_the_first_quote",
     "X1_gmv_in_currency", "X2_late_in_severe_weather",
     "X3_segment_moves", "X5_funnel", "X5_sessions", "X7_abandonment_rate", "X15_history_integrity",
     "X15_history_integrity_faults", "X17_unusual_days",
