@@ -1,8 +1,9 @@
 """Main text of web pages by the distribution of line blocks.
 
 Markup is stripped to lines, one for each block element. Parts that are no article by their element, role or
-class (menus, headers, footers, side bars, notices, adverts, forms, reader comments) and all scripts and
-styles leave empty lines. Over windows of ``WINDOW`` lines the lengths of texts that are not links are summed
+the head word of a class (menus, headers, footers, side bars, notices, adverts, forms, reader comments) and all scripts and
+styles leave empty lines. A word elsewhere in a class is a hint only: such parts go unless they hold most of the
+text of their page. Over windows of ``WINDOW`` lines the lengths of texts that are not links are summed
 up. Text begins at a surge, the first window that reaches the threshold, taken back to the first line of that
 run, and ends at a dive, a window without any text; what lies between is kept, all runs of it. The threshold is
 lower where no window of a page reaches it, and short passages between two surges are kept with them. Marks of an
@@ -60,7 +61,14 @@ NO_ARTICLE_WORDS = {
     "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
     "widgets",
 }
-ARTICLE_WORDS = {"article", "body", "content", "entry", "main", "page", "post", "story", "text", "wrapper", "container", "layout"}
+# Parts of a class that say where or in what something is laid out, not what it is.
+LAYOUT_WORDS = {
+    "area", "article", "articles", "bar", "block", "body", "bottom", "box", "buttons", "column", "container", "content", "entry",
+    "form", "group", "holder", "inner", "item", "items", "layout", "left", "links", "list", "main", "outer", "page", "panel",
+    "post", "posts", "right", "row", "section", "slot", "stories", "story", "text", "top", "wrap", "wrapper",
+}
+ARTICLE_WORDS = {"article", "entry", "post", "story"}
+MODIFIERS = {"has", "hide", "no", "show", "with", "without"}
 COMMENT_WORDS = {"comment", "commentlist", "comments", "disqus", "replies", "respond"}
 
 _TOKEN = re.compile(
@@ -78,43 +86,63 @@ _ARTICLE = re.compile(
 )
 
 
+# What class words say about an element: nothing, perhaps no article, no article.
+NOTHING, PERHAPS, SURELY = 0, 1, 2
+
+
 class Line(NamedTuple):
     text: str
     weight: int  # characters that are no link; 0 for what is no article
     inside: bool  # within a marked article
+    doubt: int = 0  # number of the outermost element that perhaps is no article
+
 
+def by_words(token: str, in_article: bool) -> int:
+    """What one class or id says: its head, the last part that is not about layout, decides; other parts are a hint."""
+    parts = _WORD.findall(token)
+    if MODIFIERS.intersection(parts):
+        return NOTHING
+    rest = parts[:]
+    while rest and rest[-1] in LAYOUT_WORDS:
+        rest.pop()
+    # The header of an article has its title.
+    if not rest or rest[-1] == "header" and (in_article or ARTICLE_WORDS.intersection(parts)):
+        return NOTHING
+    return SURELY if rest[-1] in NO_ARTICLE_WORDS else PERHAPS if NO_ARTICLE_WORDS.intersection(rest) else NOTHING
 
-def is_no_article(tag: str, attributes: str, in_article: bool) -> bool:
-    """Whether an element holds something else than the article."""
+
+def no_article(tag: str, attributes: str, in_article: bool) -> int:
+    """Whether an element holds something else than the article: ``NOTHING`` says so, ``PERHAPS`` or ``SURELY``."""
     if tag in NO_ARTICLE or (tag == "header" and not in_article):
-        return True
+        return SURELY
     if not attributes.strip():
-        return False
-    words: set[str] = set()
+        return NOTHING
+    tokens: list[str] = []
     for name, value in _ATTRIBUTE.findall(attributes):
         value = value.strip("\"'").lower()
         match name.lower():
             case "role" if value in NO_ARTICLE_ROLES:
-                return True
+                return SURELY
             case "hidden" if value != "until-found":
-                return True
+                return SURELY
             case "style" if re.search(r"display\s*:\s*none", value):
-                return True
+                return SURELY
             case "class" | "id":
-                words.update(_WORD.findall(value))
+                tokens += value.split()
     if tag in ("html", "body", "main"):
-        return False
-    if tag == "article" or words & ARTICLE_WORDS or in_article and words & {"header"}:
-        return bool(words & COMMENT_WORDS)
-    return bool(words & NO_ARTICLE_WORDS)
+        return NOTHING
+    if tag == "article" or _ARTICLE.search(attributes):
+        return SURELY if COMMENT_WORDS.intersection(_WORD.findall(" ".join(tokens))) else NOTHING
+    return max((by_words(token, in_article) for token in tokens), default=NOTHING)
 
 
 def lines(page: str) -> list[Line]:
     """The page without markup, one line for each block."""
     found: list[Line] = []
-    stack: list[tuple[str, bool, bool]] = []  # element, is no article, is a marked article
+    stack: list[tuple[str, bool, bool, bool]] = []  # element, is no article, is a marked article, perhaps is no article
     parts: list[str] = []
     linked = skipped = marked = embedded = 0
+    doubts = doubt = line_doubt = doubted = 0  # numbers given, of the open element, of the line, open elements in doubt
     in_link = skip_line = False
 
     def end_line() -> None:
@@ -122,7 +150,7 @@ def lines(page: str) -> list[Line]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                found.append(Line(text, 0 if 2 * linked > len(text) else len(text) - linked, marked > 0))
+                found.append(Line(text, 0 if 2 * linked > len(text) else len(text) - linked, marked > 0, doubt or line_doubt))
         parts.clear()
         linked = 0
 
@@ -134,13 +162,16 @@ def lines(page: str) -> list[Line]:
                 linked += len(text.strip())
 
     def pop() -> None:
-        nonlocal skipped, marked, embedded
-        tag, no_article, article = stack.pop()
-        skipped -= no_article
+        nonlocal skipped, marked, embedded, doubted, doubt
+        tag, sure, article, unsure = stack.pop()
+        skipped -= sure
         marked -= article
         embedded -= tag in EMBEDDED
-        if no_article and not skipped and tag not in EMBEDDED:
-            found.extend([Line("", 0, marked > 0)] * WINDOW)
+        doubted -= unsure
+        if sure and not skipped and tag not in EMBEDDED:
+            found.extend([Line("", 0, marked > 0, doubt)] * WINDOW)
+        if not doubted:
+            doubt = 0
 
     at = 0
     while token := _TOKEN.search(page, at):
@@ -154,7 +185,7 @@ def lines(page: str) -> list[Line]:
             continue
         if tag in EMBEDDED and not token["close"]:
             if not token["attr"].endswith("/"):
-                stack.append((tag, True, False))
+                stack.append((tag, True, False, False))
                 skipped += 1
                 embedded += 1
             continue
@@ -168,11 +199,15 @@ def lines(page: str) -> list[Line]:
         if not skipped and tag not in EMBEDDED:
             end_line()
         if tag not in EMBEDDED and not embedded:
-            skip_line = False
+            skip_line, line_doubt = False, 0
         if tag not in CONTAINERS and tag not in EMBEDDED:
             in_link = False
             # A paragraph or an item by itself ends where the next block begins.
-            skip_line = not token["close"] and is_no_article(tag, token["attr"], marked > 0)
+            said = NOTHING if token["close"] else no_article(tag, token["attr"], marked > 0)
+            skip_line = said == SURELY
+            if said == PERHAPS:
+                doubts += 1
+                line_doubt = doubts
             continue
         if token["close"]:
             if any(open_[0] == tag for open_ in stack):
@@ -181,16 +216,37 @@ def lines(page: str) -> list[Line]:
                     pop()
                 pop()
         elif not token["attr"].endswith("/"):
-            no_article = is_no_article(tag, token["attr"], marked > 0)
-            article = not no_article and (tag in ("article", "main") or bool(token["attr"] and _ARTICLE.search(token["attr"])))
-            stack.append((tag, no_article, article))
-            skipped += no_article
+            said = no_article(tag, token["attr"], marked > 0)
+            article = said == NOTHING and (tag in ("article", "main") or bool(token["attr"] and _ARTICLE.search(token["attr"])))
+            stack.append((tag, said == SURELY, article, said == PERHAPS))
+            skipped += said == SURELY
             marked += article
+            if said == PERHAPS:
+                doubted += 1
+                if not doubt:
+                    doubts += 1
+                    doubt = doubts
     # A "<" that opens no element is text.
     add(page[at:])
     if not skipped:
         end_line()
-    return found
+    return settled(found)
+
+
+def settled(found: list[Line]) -> list[Line]:
+    """Of the elements in doubt those stay that hold most of the page's text that is no link; of others, empty lines."""
+    held: dict[int, int] = {}
+    for line in found:
+        held[line.doubt] = held.get(line.doubt, 0) + line.weight
+    half = sum(held.values()) / 2
+    dropped = {number for number, weight in held.items() if number and weight <= half}
+    out: list[Line] = []
+    for i, line in enumerate(found):
+        if line.doubt not in dropped:
+            out.append(line)
+        elif i + 1 == len(found) or found[i + 1].doubt != line.doubt:
+            out.extend([Line("", 0, line.inside)] * WINDOW)
+    return out
 
 
 def between_surge_and_dive(weights: list[int]) -> list[bool]:

@@ -210,6 +210,45 @@ def test_given_pages(spark, folder):
         assert row["n_chars"] == len(row["text"])
 
 
+LONG = "A long article sentence that holds enough words to surge over the threshold of a window. " * 6
+ASIDE = "Buy this now or read what others have to say about it, with plenty of words in one block here. " * 2
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["sidebar-content", "footer-wrapper", "ad-container", "cookie-banner-text", "newsletter-container", "main-menu", "nav-main",
+     "related-post", "share-container", "comments-area", "share-this"],
+)
+def test_the_head_word_of_a_class_drops_its_element(name):
+    part = f'<div class="{name}"><p>{ASIDE}</p></div>'
+    assert html_extract.main_text(f"<div><p>{LONG}</p></div>{part}") == LONG.strip()
+    assert html_extract.main_text(f"{part}<div><p>{LONG}</p></div>") == LONG.strip()
+    assert html_extract.main_text(f"<article><p>{LONG}</p>{part}</article>") == LONG.strip()
+
+
+@pytest.mark.parametrize(
+    "page",
+    ['<div class="social-news"><p>{}</p></div>', '<section class="search-results-study"><p>{}</p></section>',
+     '<p class="share-study">{}</p>', '<div class="container no-sidebar"><p>{}</p></div>',
+     '<div class="social-news"><div class="search-study"><p>{}</p></div></div>', '<div class="post-header"><p>{}</p></div>'],
+)
+def test_a_word_elsewhere_in_a_class_drops_no_article(page):
+    aside = f'<div class="share-this"><p>{ASIDE}</p></div>'
+    assert html_extract.main_text(page.format(LONG)) == LONG.strip()
+    assert html_extract.main_text(aside + page.format(LONG) + aside) == LONG.strip()
+
+
+def test_pages_without_marks_give_the_same_text(folder):
+    """The given pages with their articles renamed reach the distribution alone."""
+    import pyarrow.parquet as pq
+
+    for page in pq.read_table(f"{folder}/pages.parquet", columns=["html"])["html"].to_pylist():
+        renamed = re.sub(r"</?(?:article|main)\b[^>]*>", lambda tag: "</div>" if tag[0][1] == "/" else "<div>", page)
+        assert "<article" not in renamed
+        assert html_extract.main_text(renamed) == html_extract.main_text(page)
+
+
+
 def test_messy_pages(spark):
     pages = spark.createDataFrame(
         [(1, None, None), (None, "u", ""), (2, "u", PAGE), (2, "u", PAGE), (3, "u", "<p>" + "word " * 300_000)],
