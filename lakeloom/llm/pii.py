@@ -1,7 +1,8 @@
 """Surrogates for personal data: keyed, of the same type, and distinct for what was distinct.
 
 Entities are found by one pattern: mail addresses, telephone and card numbers, network addresses, account numbers,
-secrets, and names after a title or of a listed given name. Each entity has a canonical form (a mail address in
+secrets, and names after a title or of a listed given name. A surname so found, and a listed given name, is replaced
+wherever it stands alone in that text. Each entity has a canonical form (a mail address in
 lower case, a telephone number as its country code and digits), so what denotes the same thing gets the same surrogate
 wherever it stands. A surrogate is a keyed digest written in the form of the original: digits for digits,
 letters of the same script and case, the same separators, country codes kept, card numbers with a right check digit
@@ -11,6 +12,8 @@ Distinctness is checked over the whole table: entities whose surrogate is that o
 an entity of the texts, are drawn again until none is left. Only those drawn again are joined back to texts,
 so as a rule nothing is; documents without entities are never shuffled. Everything is DataFrame functions.
 
+Two spellings of one IPv6 address, one with and one without its zeros, are two entities. Names in capitals are not found.
+
 Defined results: NULL and empty texts stay as they are. Repeated rows are replaced alike. Extra columns are
 kept, whatever their names. The same key gives the same surrogates; who has the key can test a guess.
 """
@@ -55,7 +58,9 @@ LETTERS = {
     "latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω",
 }
 
-_NAME_WORD = r"\p{Lu}[\p{Ll}\p{Lu}'’-]*\p{Ll}"
+# The s of a genitive is no part of a name.
+_NAME_WORD = r"\p{Lu}[\p{Ll}\p{Lu}'’-]*\p{Ll}(?<!['’]s)"
+_HEX = "[0-9A-Fa-f]{1,4}"
 _ANY_TITLE = "|".join(t for group in TITLES.values() for t in group)
 _ANY_GIVEN = "|".join(dict.fromkeys(n for group in GIVEN.values() for n in group))
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -64,13 +69,15 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "mail": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)*\.\p{L}{2,}",
     "access_key": r"(?<![A-Za-z0-9])A(?:KIA|SIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "secret": r"(?<=\b(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"']{8,}",
+    "secret": r"(?<=\b(?i:password|passwd|pwd|secret|token|api_key|apikey) ?[=:] ?[\"']?)[^\s\"']{7,}[^\s\"'.,;:!?)\]}>]",
     "hex": r"(?<![A-Za-z0-9])(?=[a-fA-F]*\d)[0-9a-fA-F]{32,64}(?![A-Za-z0-9])",
     "address": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\d)",
+    "address6": rf"(?<![\w:.])(?=[0-9A-Fa-f:]*\d)(?:(?:{_HEX}:){{7}}{_HEX}|(?=[0-9A-Fa-f]{{3,4}}::|{_HEX}(?::+{_HEX}){{2}}){_HEX}(?::{_HEX}){{0,5}}::(?:{_HEX}(?::{_HEX}){{0,5}})?)(?![\w:])",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "card": r"(?<![\d.-])\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?![\d-])",
     "social": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{2,4}\) ?\d{3,4}[ -]?\d{3,4}|\d{3}-\d{3}-\d{4})(?![\d-])",
+    "phone": r"(?<![\d+.])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?(?!\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))\d{2,4}){1,4}|\(\d{2,4}\) ?\d{3,4}[ -]?\d{3,4}|\d{3}-\d{3}-\d{4}"
+    r"|0\d{2,4}[ /-]\d{3,4}[ -]?\d{2,5}|0\d(?:[ .]\d{2}){4})(?![\d-])",
     "titled": rf"(?<!\p{{L}})(?:{_ANY_TITLE})\.? {_NAME_WORD}(?: {_NAME_WORD})?(?!\p{{L}})",
     "named": rf"(?<!\p{{L}})(?:{_ANY_GIVEN}) {_NAME_WORD}(?!\p{{L}})",
 }
@@ -116,7 +123,7 @@ def _pieces(entity: Column) -> Column:
 
     def whole(kind: Column) -> Column:
         canonical = (
-            F.when(kind.isin("mail", "hex"), F.lower(entity))
+            F.when(kind.isin("mail", "hex", "address6"), F.lower(entity))
             .when(kind == "phone", _phone(entity))
             .when(kind.isin("card", "social"), F.regexp_replace(entity, "[^0-9]", ""))
             .when(kind == "account", F.regexp_replace(entity, " ", ""))
@@ -159,6 +166,39 @@ def _person(entity: Column) -> Column:
     )
 
 
+def _with_names_alone(pieces: Column) -> Column:
+    """The pieces of a text, where its surnames and listed given names are entities wherever they stand alone, too."""
+    none = F.lit(None).cast("string")
+    is_name = lambda p: p["kind"].startswith("surname:") | p["original"].isin(_listed())
+    names = F.array_distinct(F.filter(pieces, lambda p: p["kind"].isNotNull() & is_name(p)))
+
+    def parted(text: Column, known: Column) -> Column:
+        any_of = F.array_join(F.array_sort(F.transform(known, lambda p: p["original"]), _longer_first), "|")
+        # A hyphen or an apostrophe before or a hyphen after makes it part of another name.
+        pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}'’-])(?:"), any_of, F.lit(r")(?![\p{L}\p{N}-])"))
+        between = F.transform(F.split(text, pattern, -1), lambda t: _piece(none, t, none))
+        found = F.transform(
+            F.regexp_extract_all(text, pattern, F.lit(0)), lambda n: F.get(F.filter(known, lambda p: p["original"] == n), F.lit(0))
+        )
+        pairs = F.zip_with(between, found, lambda a, b: F.when(b.isNull(), F.array(a)).otherwise(F.array(a, b)))
+        return F.flatten(pairs)
+
+    def in_all(known: Column) -> Column:
+        return F.flatten(
+            F.transform(pieces, lambda p: F.when(p["kind"].isNull() & (p["original"] != ""), parted(p["original"], known)).otherwise(F.array(p)))
+        )
+
+    return let(names, lambda known: F.when(F.size(known) > 0, in_all(known)).otherwise(pieces))
+
+
+def _listed() -> list[str]:
+    return list(dict.fromkeys(name for group in GIVEN.values() for name in group))
+
+
+def _longer_first(a: Column, b: Column) -> Column:
+    return F.char_length(b) - F.char_length(a)
+
+
 def _map(values: dict[str, str | list[str]]) -> Column:
     entries = [F.lit(k) if i == 0 else (_literals(v) if isinstance(v, list) else F.lit(v)) for k, v in values.items() for i in (0, 1)]
     return F.create_map(*entries)
@@ -224,7 +264,7 @@ def _hex(original: Column, digest: Column) -> Column:
 
     def place(c: Column, i: Column) -> Column:
         drawn = F.substring(digest, F.pmod(i, F.lit(128)) + 1, F.lit(1))
-        return F.when(upper | c.rlike("[A-F]"), F.upper(drawn)).otherwise(drawn)
+        return F.when(c == ":", c).when(upper | c.rlike("[A-F]"), F.upper(drawn)).otherwise(drawn)
 
     return F.array_join(F.transform(F.split(original, ""), place), "")
 
@@ -270,7 +310,7 @@ def surrogate(key: str, kind: Column, original: Column, canonical: Column, attem
         in_form = let(body, lambda b: let(kept, lambda k: _in_form(b, digest, k)))
         return (
             F.when(kind == "address", _address(digest))
-            .when((kind == "hex") | (kind == "secret") & original.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _hex(original, digest))
+            .when(kind.isin("hex", "address6") | (kind == "secret") & original.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), _hex(original, digest))
             .when(kind.startswith("given:"), _given(kind, digest, attempt))
             .when(kind.startswith("surname:"), _surname(kind, digest))
             .when(kind == "card", let(in_form, lambda x: _checked(original, x)))
@@ -281,7 +321,7 @@ def surrogate(key: str, kind: Column, original: Column, canonical: Column, attem
 
 
 def _as_canonical(kind: Column, text: Column) -> Column:
-    return F.when(kind.rlike("^(?:mail|hex|given|surname)"), F.lower(text)).otherwise(text)
+    return F.when(kind.rlike("^(?:mail|hex|address6|given|surname)"), F.lower(text)).otherwise(text)
 
 
 def redrawn(entities: DataFrame, key: str) -> DataFrame:
@@ -327,7 +367,8 @@ def replace(df: DataFrame, key: str, text: str = "text", counter: str | None = N
     entities = F.transform(F.regexp_extract_all(body, F.lit(ENTITY), F.lit(0)), _pieces)
     # A text between two entities, then the entity; the last text has none after it.
     pieces = F.flatten(F.zip_with(between, entities, lambda a, b: F.concat(a, F.coalesce(b, F.array().cast(f"array<{_PIECE}>")))))
-    found = df.where(maybe).withColumn(names["row"], F.monotonically_increasing_id()).withColumn(names["pieces"], pieces)
+    found = df.where(maybe).withColumn(names["row"], F.monotonically_increasing_id())
+    found = found.withColumn(names["pieces"], let(pieces, _with_names_alone))
     found = written(found, "with-entities")
 
     listed = F.explode(F.filter(names["pieces"], lambda p: p["kind"].isNotNull())).alias("p")
