@@ -77,6 +77,12 @@ def run_day(star: Star, day: date) -> dict[str, int]:
     return done | gated_layer(star, "gold") | gated_layer(star, "marts")
 
 
+def retire_layers(star: Star, keep: int = 2) -> dict[str, list[int]]:
+    """Delete old versions of every table, to be called when no job reads them any more; returns what went by table."""
+    gone = {name: tables.retire(star.spark, f"{star.root}/{spec.layer}", name, keep) for name, spec in TABLES.items()}
+    return {name: versions for name, versions in gone.items() if versions}
+
+
 def load_sellers(star: Star, day: date) -> dict[str, int]:
     """Bring the published sellers up to a day, from the silver tables as they are now."""
     root = f"{star.root}/{TABLES['dim_seller'].layer}"

@@ -1,5 +1,8 @@
 """Reading as things arrive and keeping partial results: split extracts, deliveries, stored counts and medians."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.operators import stored
@@ -7,7 +10,7 @@ from lakeloom.plans import requirements as R
 from lakeloom.plans.marts import known_days
 from lakeloom.registry import query
 from lakeloom.session import working_folder
-from lakeloom.sources import deliveries, landing, split_csv
+from lakeloom.sources import bronze, deliveries, landing, split_csv
 
 
 @query("S1_read_landing_split", "select * from raw_reviews")
@@ -18,6 +21,27 @@ def read_landing_split(star):
     return split_csv.read_split(star.spark, f"{folder}/reviews.csv")
 
 
+# Extracts that SQL texts know by a shorter name.
+SHORT = {"order_items": "items", "geolocation": "geo"}
+
+
+@query(
+    "S2_all_extracts",
+    " union all ".join(
+        f"select '{name}' as table_name, count(*) as row_count from raw_{SHORT.get(name, name)}" for name in bronze.SOURCES
+    ),
+)
+def all_extracts(star):
+    """Every extract of a full landing folder, found by its file name and counted as it is read."""
+    folder = working_folder(star.spark, "landing")
+    for name in bronze.SOURCES:
+        landing.write_landing(getattr(star.raw, name), folder, name)
+    found = landing.landing_tables(star.spark, folder, ["all"])
+    read = [landing.read_landing(star.spark, folder, name) for name in found]
+    counted = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count")) for name, df in zip(found, read, strict=True)]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query(
     "K1_ingest_new_files",
     "select *, case when order_status = 'canceled' then 0 else 1 end as load, true as from_its_delivery from raw_orders",
@@ -30,9 +54,9 @@ def ingest_new_files(star):
         if part is not None:
             landing.write_landing(star.raw.orders.where(part), f"{folder}/landing/orders", name)
         deliveries.ingest_new(spark, f"{folder}/landing", f"{folder}/bronze", "orders", f"{folder}/checkpoint")
-    bronze = spark.read.parquet(f"{folder}/bronze/orders")
+    taken = spark.read.parquet(f"{folder}/bronze/orders")
     named = F.when(F.col("load") == 0, "/first.csv/").otherwise("/second.csv/")
-    return bronze.select(
+    return taken.select(
         *star.raw.orders.columns, "load", F.contains("_source_file", named).alias("from_its_delivery")
     )
 

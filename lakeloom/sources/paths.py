@@ -27,6 +27,12 @@ def names(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().getName() for status in found)
 
 
+def folders_with(spark: SparkSession, pattern: str, name: str) -> list[str]:
+    """Last path parts of the folders of a glob that hold a file of that name, from one listing."""
+    found = _fs(spark, pattern).globStatus(_path(spark, f"{pattern}/{name}")) or []
+    return sorted(status.getPath().getParent().getName() for status in found)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder with what is in it, if it is there."""
     _fs(spark, path).delete(_path(spark, path), True)

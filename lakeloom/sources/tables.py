@@ -30,9 +30,9 @@ class SchemaDrift(ValueError):
 
 
 def _versions(spark: SparkSession, path: str, marker: str = "") -> list[int]:
-    found = paths.names(spark, f"{path}/version=*")
-    numbers = sorted(int(name.split("=", 1)[1]) for name in found)
-    return [n for n in numbers if not marker or paths.exists(spark, f"{path}/version={n}/{marker}")]
+    pattern = f"{path}/version=*"
+    found = paths.folders_with(spark, pattern, marker) if marker else paths.names(spark, pattern)
+    return sorted(int(name.split("=", 1)[1]) for name in found)
 
 
 def table_exists(spark: SparkSession, root: str, table: str) -> bool:
@@ -110,6 +110,25 @@ def release(spark: SparkSession, folder: str) -> None:
     paths.touch(spark, f"{folder}/{MARKER}")
 
 
+def retire(spark: SparkSession, root: str, table: str, keep: int = 2) -> list[int]:
+    """Delete what is older than the last ``keep`` published versions; returns the numbers that went.
+
+    Refused and abandoned versions older than these go too, later ones may still be being written. A reader that
+    began on a version fails once it is gone, so ``keep`` should cover the longest job that reads the table.
+    """
+    if keep < 1:
+        raise ValueError("the published version cannot be retired")
+    path = f"{root}/{table}"
+    kept = _versions(spark, path, MARKER)[-keep:]
+    old = [n for n in _versions(spark, path) if kept and n < kept[0]]
+    for n in old:
+        # The marker goes first: what is half deleted is no longer published.
+        paths.remove(spark, f"{path}/version={n}/{MARKER}")
+        paths.remove(spark, f"{path}/version={n}")
+        _SCHEMAS.pop(f"{path}/version={n}", None)
+    return old
+
+
 def publish(df: DataFrame, root: str, table: str, primary_key: Sequence[str], **how) -> int:
     """Publish a full rebuild of a table and return its number of rows; takes what ``stage`` takes."""
     folder, rows = stage(df, root, table, primary_key, **how)

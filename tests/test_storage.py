@@ -7,7 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from lakeloom.plans.build import build_layer, serve
+from lakeloom.plans.build import build_layer, retire_layers, serve
 from lakeloom.plans.star import GIVEN_TABLES, Star, names_of
 from lakeloom.session import shared_folder
 from lakeloom.sources import bronze, jdbc, landing, tables
@@ -24,6 +24,29 @@ def test_publish_keeps_versions_and_reads_the_last(spark, tmp_path):
     assert tables.read_table(spark, root, "t").where("status = 'b'").count() == 7
 
 
+def test_old_versions_are_retired_and_later_ones_stay(spark, tmp_path):
+    root = str(tmp_path)
+    assert tables.retire(spark, root, "t") == []
+    for n in range(1, 4):
+        tables.publish(orders(spark, n), root, "t", ["order_id"])
+    with pytest.raises(tables.KeyViolation):
+        tables.publish(orders(spark, 2).unionByName(orders(spark, 2)), root, "t", ["order_id"])
+    tables.publish(orders(spark, 5), root, "t", ["order_id"])
+    tables.stage(orders(spark, 6), root, "t", ["order_id"])
+    assert tables.retire(spark, root, "t", keep=1) == [1, 2, 3, 4]
+    assert tables.read_table(spark, root, "t").count() == 5
+    assert sorted(f.name for f in (tmp_path / "t").iterdir() if f.is_dir()) == ["version=5", "version=6"]
+    with pytest.raises(ValueError, match="cannot be retired"):
+        tables.retire(spark, root, "t", keep=0)
+
+
+def test_layers_keep_their_last_versions(star, tmp_path):
+    own = Star(star.raw, GIVEN_TABLES, root=str(tmp_path))
+    for _ in range(3):
+        own.publish("sellers")
+    assert retire_layers(own) == {"sellers": [1]}
+
+
 def test_a_table_can_be_rebuilt_from_itself(spark, tmp_path):
     root = str(tmp_path)
     tables.publish(orders(spark, 5), root, "t", ["order_id"])
