@@ -1,12 +1,19 @@
-"""Orders, facts and marts by month of purchase, and change sets that touch their months only.
+"""Silver, facts and marts by month of purchase, and change sets that touch their months only.
 
-Each table is a folder with one partition a month. A change set holds whole orders: the order and all of its items as
-they are now; equal orders in later sets replace them. It names the months it touches, as the moment of purchase of an
-order never changes. Only those months are read, and of each table only those are written again, by Spark's dynamic
-partition overwrite. Facts are per order and marts per month, so what stands in other months cannot have changed.
+Each table is a folder with one partition a month. A change set holds whole orders: the order and all of its items,
+payments and reviews as they are now; equal orders in later sets replace them. It names the months it touches, as the
+moment of purchase of an order never changes. Only those months are read, and of each table only those are written again, by
+Spark's dynamic partition overwrite. Facts are per order and three marts per month, so what stands in other months cannot
+have changed. Rows that came before their order, or before its moment was known, stand in the unknown month, which a
+change set touches if it brings their order.
+
+The mart of cohorts is by the month of a customer's *first* purchase. Orders are kept a second time by that month, narrow
+(``cohort_orders``), with the customers of each cohort (``cohort_members``). A change set reads and writes the cohorts
+that its customers have left or entered; the members, three columns, are read in full, as the dimension of customers is.
 
 Rows are written to the shared folder before they replace the partitions they were read from, so a job that is
 repeated after a failure finds either the old or the new rows of a month, and repeating a change set changes nothing.
+What tells where rows were before (members, the order fact) is replaced after what is derived from it.
 Readers of several tables that must agree read them between runs.
 """
 
@@ -25,7 +32,20 @@ from lakeloom.session import working_folder
 from lakeloom.sources import paths
 
 MONTH = "purchase_month"
-TABLES = ("orders", "order_items", "fct_orders", "fct_order_items", "mart_ventas_categoria", "mart_segmento_vendedor")
+DETAILS = ("order_items", "payments", "reviews")
+BY_PURCHASE = (
+    "orders",
+    *DETAILS,
+    "fct_orders",
+    "fct_order_items",
+    "fct_payments",
+    "fct_reviews",
+    "mart_ventas_categoria",
+    "mart_segmento_vendedor",
+    "mart_satisfaccion",
+)
+BY_COHORT = ("cohort_orders", "cohort_members", "mart_cohortes")
+TABLES = BY_PURCHASE + BY_COHORT
 
 
 def month_of(key: Column) -> Column:
@@ -33,6 +53,11 @@ def month_of(key: Column) -> Column:
     return F.when(key == K.UNKNOWN_DATE_KEY, K.UNKNOWN_DATE_KEY).otherwise(F.floor(key / 100)).cast("int")
 
 
+def month_of_label(label: str) -> Column:
+    """The month of a label as ``2018-01``; without one, or with that of the unknown member, the unknown month."""
+    return F.coalesce(F.regexp_replace(label, "-", "").try_cast("int"), F.lit(K.UNKNOWN_DATE_KEY))
+
+
 def with_month(orders: DataFrame) -> DataFrame:
     return orders.withColumn(MONTH, month_of(date_key("order_purchase_timestamp")))
 
@@ -43,63 +68,137 @@ def read(spark: SparkSession, root: str, table: str, months: Iterable[int] | Non
     return rows if months is None else rows.where(F.col(MONTH).isin(*months))
 
 
+def _staged(df: DataFrame, folder: str) -> DataFrame:
+    """The rows, written once and read again."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def replace_months(df: DataFrame, root: str, table: str, months: Iterable[int] | None = None) -> None:
     """Replace the months that ``df`` has rows of; of ``months`` those without rows are emptied."""
-    spark, staged = df.sparkSession, working_folder(df.sparkSession, f"monthly-{table}")
-    df.write.parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged)
+    spark = df.sparkSession
+    rows = _staged(df, working_folder(spark, f"monthly-{table}"))
     # Rows of a month meet in few files, however many tasks wrote them; a very large month is many.
-    rows = rows.repartition(MONTH, F.pmod(F.xxhash64(*rows.columns), F.lit(8)))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(f"{root}/{table}")
+    dealt = rows.repartition(MONTH, F.pmod(F.xxhash64(*rows.columns), F.lit(8)))
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(f"{root}/{table}")
     if months is not None:
-        filled = {row[0] for row in rows.select(MONTH).distinct().collect()}
-        for month in set(months) - filled:
+        for month in set(months) - _months(rows):
             paths.remove(spark, f"{root}/{table}/{MONTH}={month}")
 
 
-def _derive(star, root: str, orders: DataFrame, items: DataFrame, months: list[int] | None) -> None:
-    """Facts and marts of orders and items of the same months."""
+def _months(*rows: DataFrame) -> set[int]:
+    """The months of the rows, as many as the calendar has at most."""
+    return {row[0] for df in rows for row in df.select(MONTH).distinct().collect()}
+
+
+def _derive(star, root: str, months: Iterable[int] | None) -> None:
+    """Facts and marts of the silver tables of some months, or of all."""
     spark = star.spark
-    per_order = facts.fct_orders(orders, items, star.dim_customer, star.dim_geography)
-    replace_months(per_order.withColumn(MONTH, month_of(F.col("purchase_date_sk"))), root, "fct_orders", months)
-    own = read(spark, root, "fct_orders", months).drop(MONTH)
-    sales = facts.fct_order_items(items.drop(MONTH), own, star.dim_product, star.dim_seller)
-    replace_months(sales.withColumn(MONTH, month_of(F.col("date_sk"))), root, "fct_order_items", months)
-    sales = read(spark, root, "fct_order_items", months).drop(MONTH)
+
+    def own(table: str) -> DataFrame:
+        return read(spark, root, table, months).drop(MONTH)
+
+    def replace(table: str, rows: DataFrame, month: Column) -> None:
+        replace_months(rows.withColumn(MONTH, month), root, table, months)
+
+    orders = facts.fct_orders(own("orders"), own("order_items"), star.dim_customer, star.dim_geography)
+    replace("fct_orders", orders, month_of(F.col("purchase_date_sk")))
+    orders = own("fct_orders")
+    sales = facts.fct_order_items(own("order_items"), orders, star.dim_product, star.dim_seller)
+    replace("fct_order_items", sales, month_of(F.col("date_sk")))
+    replace("fct_payments", facts.fct_payments(own("payments"), orders), month_of(F.col("date_sk")))
+    # A review is dated by its own creation but stands in the month of its order.
+    bought = orders.select("order_id", month_of(F.col("purchase_date_sk")).alias(MONTH))
+    reviews = facts.fct_reviews(own("reviews"), orders).join(bought, "order_id", "left")
+    replace("fct_reviews", reviews.select(*facts.CONTRACTS["fct_reviews"], MONTH), F.coalesce(MONTH, F.lit(K.UNKNOWN_DATE_KEY)))
+    sales, reviews = own("fct_order_items"), own("fct_reviews")
     built = {
         "mart_ventas_categoria": marts.mart_ventas_categoria(sales, star.dim_product, star.dim_date),
         "mart_segmento_vendedor": marts.mart_segmento_vendedor(sales, star.dim_seller, star.dim_date),
+        "mart_satisfaccion": marts.mart_satisfaccion(orders, reviews, star.dim_date),
     }
     for name, mart in built.items():
-        replace_months(mart.withColumn(MONTH, F.regexp_replace("year_month", "-", "").cast("int")), root, name, months)
+        replace(name, mart, month_of_label("year_month"))
+
+
+def _members(dim_customer: DataFrame) -> DataFrame:
+    """Customers with the month of their first purchase."""
+    known = dim_customer.where(F.col("customer_sk") != K.UNKNOWN_KEY)
+    return known.select("customer_sk", "cohort_year_month", "first_purchase_date", month_of_label("cohort_year_month").alias(MONTH))
+
+
+_OF_COHORT = ("customer_sk", "order_id", "purchase_date_sk", "order_value")
+
+
+def _replace_cohorts(star, root: str, orders: DataFrame, members: DataFrame, months: Iterable[int] | None) -> None:
+    """The orders, the mart and, last, the members of some cohorts, or of all."""
+    placed = orders.select(*_OF_COHORT).join(members.select("customer_sk", MONTH), "customer_sk")
+    replace_months(placed, root, "cohort_orders", months)
+    held = read(star.spark, root, "cohort_orders", months).drop(MONTH)
+    mart = marts.cohorts(marts.order_activity(held, members, star.dim_date))
+    replace_months(mart.withColumn(MONTH, month_of_label("cohort_year_month")), root, "mart_cohortes", months)
+    replace_months(members, root, "cohort_members", months)
 
 
 def first_load(star, root: str) -> None:
-    """All months of the silver tables of a warehouse."""
+    """All months of the silver tables of a warehouse, and what is derived from them."""
     orders = with_month(star.orders)
-    items = star.order_items.join(orders.select("order_id", MONTH), "order_id", "left")
     replace_months(orders, root, "orders")
-    replace_months(items.fillna({MONTH: K.UNKNOWN_DATE_KEY}), root, "order_items")
-    _derive(star, root, orders.drop(MONTH), star.order_items, None)
-
-
-def apply_changes(star, root: str, orders: DataFrame, items: DataFrame) -> list[int]:
-    """Bring all tables up to a change set of whole orders; returns the months it touches."""
+    for name in DETAILS:
+        rows = star.table(name).join(orders.select("order_id", MONTH), "order_id", "left")
+        replace_months(rows.fillna({MONTH: K.UNKNOWN_DATE_KEY}), root, name)
+    _derive(star, root, None)
+    _replace_cohorts(star, root, read(star.spark, root, "fct_orders").drop(MONTH), _members(star.dim_customer), None)
+
+
+def _change_cohorts(star, root: str, folder: str, changed: DataFrame, items: DataFrame, months: list[int]) -> None:
+    """Bring the cohorts up to changed orders, whose old rows are still in the order fact."""
+    spark, ids = star.spark, changed.select("order_id")
+    now = facts.fct_orders(changed.drop(MONTH), items.drop(MONTH), star.dim_customer, star.dim_geography)
+    now = _staged(now.select(*_OF_COHORT), f"{folder}/facts")
+    before = read(spark, root, "fct_orders", months).join(ids, "order_id", "left_semi")
+    touched = now.select("customer_sk").unionByName(before.select("customer_sk")).distinct()
+    touched = _staged(touched.where(F.col("customer_sk") != K.UNKNOWN_KEY), f"{folder}/customers")
+    left = read(spark, root, "cohort_members").join(touched, "customer_sk", "left_semi")
+    entered = _staged(_members(star.dim_customer).join(touched, "customer_sk", "left_semi"), f"{folder}/members")
+    cohorts = sorted(_months(left, entered))
+    if not cohorts:
+        return
+    stayed = read(spark, root, "cohort_members", cohorts).join(touched, "customer_sk", "left_anti")
+    members = _staged(stayed.unionByName(entered), f"{folder}/cohorts")
+    held = read(spark, root, "cohort_orders", cohorts).drop(MONTH).join(ids, "order_id", "left_anti")
+    _replace_cohorts(star, root, held.unionByName(now), members, cohorts)
+
+
+def apply_changes(
+    star, root: str, orders: DataFrame, items: DataFrame, payments: DataFrame | None = None, reviews: DataFrame | None = None
+) -> list[int]:
+    """Bring all tables up to a change set of whole orders; returns the months of purchase it touches.
+
+    Of ``items``, ``payments`` and ``reviews`` those of other orders are not looked at; without ``payments`` or ``reviews``
+    those of the orders stay as they are. The dimensions of the warehouse know the change set already.
+    """
     spark = star.spark
     folder = working_folder(spark, "change-set")
-    with_month(orders).write.parquet(f"{folder}/orders")
-    changed = spark.read.parquet(f"{folder}/orders")
-    items.join(changed.select("order_id", MONTH), "order_id").write.parquet(f"{folder}/items")
-    # As many as the set has months, which the calendar bounds.
-    months = sorted(row[0] for row in changed.select(MONTH).distinct().collect())
+    changed = _staged(with_month(orders), f"{folder}/orders")
+    months = sorted(_months(changed))
     if not months:
         return []
-    ids = changed.select("order_id")
-    for table, now in (("orders", changed), ("order_items", spark.read.parquet(f"{folder}/items"))):
+    placed, ids = changed.select("order_id", MONTH), changed.select("order_id")
+    # Rows that came before their order, or before its moment was known.
+    unknown = [read(spark, root, table, [K.UNKNOWN_DATE_KEY]).join(ids, "order_id", "left_semi") for table in ("orders", *DETAILS)]
+    if K.UNKNOWN_DATE_KEY not in months and not all(rows.isEmpty() for rows in unknown):
+        months = [K.UNKNOWN_DATE_KEY, *months]
+    new = {"orders": changed}
+    for table, given in zip(DETAILS, (items, payments, reviews), strict=True):
+        rows = read(spark, root, table, months).drop(MONTH) if given is None else given
+        new[table] = _staged(rows.join(placed, "order_id"), f"{folder}/{table}")
+    _change_cohorts(star, root, folder, changed, new["order_items"], months)
+    for table, now in new.items():
         before = read(spark, root, table, months)
         kept = before.join(ids, "order_id", "left_anti")
         replace_months(kept.unionByName(now.select(*before.columns)), root, table, months)
-    _derive(star, root, *(read(spark, root, table, months).drop(MONTH) for table in ("orders", "order_items")), months)
+    _derive(star, root, months)
     return months
 
 

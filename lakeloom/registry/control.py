@@ -12,6 +12,7 @@ from lakeloom.plans import build, dimensions, monthly
 from lakeloom.plans.dimensions import SELLER_HISTORY
 from lakeloom.plans.star import Star
 from lakeloom.registry import query
+from lakeloom.registry.oracle import exact_avg
 from lakeloom.session import working_folder
 from lakeloom.sources import tables
 
@@ -44,30 +45,36 @@ def snapshot_by_month(star):
     return monthly.seller_snapshot(star, _monthly(star), RECENT)
 
 
-def _monthly(star: Star) -> str:
-    root = working_folder(star.spark, "monthly")
-    monthly.first_load(star, root)
-    return root
+# Tables by month of a warehouse as loaded and as changed; as all of its tables they are built once in an application.
+_BY_MONTH: dict[tuple[str, str], str] = {}
+
+
+def _monthly(star: Star, state: str = "loaded") -> str:
+    if (star.root, state) not in _BY_MONTH:
+        root = working_folder(star.spark, f"monthly-{state}")
+        monthly.first_load(star, root)
+        for change_set in _change_sets(star) if state == "changed" else ():
+            monthly.apply_changes(star, root, *change_set)
+        _BY_MONTH[star.root, state] = root
+    return _BY_MONTH[star.root, state]
 
 
 def _change_sets(star: Star):
-    """(orders, items) of three change sets: dearer, shorter and new orders."""
-    orders, items = star.orders, star.order_items
+    """(orders, items, payments, reviews) of three change sets: dearer, shorter and new orders."""
+    orders, items, payments, reviews = star.orders, star.order_items, star.payments, star.reviews
     bought, number = F.date_format("order_purchase_timestamp", "yyyy-MM"), F.col("order_id").cast("int")
     dearer = orders.where(bought.isin("1998-01", "1998-02", "1998-03") & (number % 50 == 1))
-    yield dearer, items.withColumn("price", (F.col("price") + 1).cast("decimal(12,2)"))
+    more = lambda df, column: df.withColumn(column, (F.col(column) + 1).cast(df.schema[column].dataType))
+    yield dearer, more(items, "price"), more(payments, "payment_value"), reviews.withColumn("review_score", F.lit(1))
     shorter = orders.where((bought == "1998-02") & (number % 50 == 2))
-    yield shorter, items.where("order_item_id <> 1")
+    yield shorter, items.where("order_item_id <> 1"), None, None
     again = F.concat("order_id", F.lit("-new")).alias("order_id")
     new = orders.where((bought == "1998-03") & (number % 100 == 3))
-    yield new.select(again, *new.columns[1:]), items.select(again, *items.columns[1:])
+    yield tuple(df.withColumn("order_id", again) for df in (new, items, payments, reviews))
 
 
 def _changed(star: Star) -> str:
-    root = _monthly(star)
-    for orders, items in _change_sets(star):
-        monthly.apply_changes(star, root, orders, items)
-    return root
+    return _monthly(star, "changed")
 
 
 # The items of the facts as the change sets leave them.
@@ -104,18 +111,80 @@ def incremental_segments(star):
     return monthly.read(star.spark, _changed(star), "mart_segmento_vendedor").drop(monthly.MONTH)
 
 
-@query(
-    "X16_incremental_orders",
-    f"""with {_CHANGED_ITEMS},
-        totals as (select order_id, count(*) as n, sum(gross_revenue) as value from changed_items group by 1)
+# The orders, payments and reviews of the facts as the change sets leave them.
+_CHANGED_ORDERS = f"""{_CHANGED_ITEMS},
+    totals as (select order_id, count(*) as n, sum(gross_revenue) as value from changed_items group by 1),
+    changed_orders as (
         select f.* replace (coalesce(n, 0) as order_item_count, coalesce(value, 0) as order_value) from f_orders f left join totals using (order_id)
         union all
-        select f.* replace (order_id || '-new' as order_id) from f_orders f where purchase_date_sk // 100 = 199803 and order_id::int % 100 = 3""",
-)
+        select f.* replace (order_id || '-new' as order_id) from f_orders f where purchase_date_sk // 100 = 199803 and order_id::int % 100 = 3)"""
+_CHANGED_REVIEWS = """
+    changed_reviews as (
+        select r.* replace (case when dearer then 1 else review_score end as review_score,
+                            case when dearer then 1 else is_negative end as is_negative, case when dearer then 0 else is_positive end as is_positive)
+        from f_reviews r left join (
+            select order_id, true as dearer from f_orders where purchase_date_sk // 100 in (199801, 199802, 199803) and order_id::int % 50 = 1) using (order_id)
+        union all
+        select r.* replace (r.order_id || '-new' as order_id) from f_reviews r
+        join f_orders o on o.order_id = r.order_id and purchase_date_sk // 100 = 199803 and r.order_id::int % 100 = 3)"""
+
+
+@query("X16_incremental_orders", f"with {_CHANGED_ORDERS} select * from changed_orders")
 def incremental_orders(star):
     return monthly.read(star.spark, _changed(star), "fct_orders").drop(monthly.MONTH)
 
 
+@query(
+    "X16_incremental_payments",
+    """select * replace (case when date_sk // 100 in (199801, 199802, 199803) and order_id::int % 50 = 1 then payment_value + 1 else payment_value end as payment_value)
+       from f_payments
+       union all
+       select * replace (order_id || '-new' as order_id) from f_payments where date_sk // 100 = 199803 and order_id::int % 100 = 3""",
+)
+def incremental_payments(star):
+    return monthly.read(star.spark, _changed(star), "fct_payments").drop(monthly.MONTH)
+
+
+@query("X16_incremental_reviews", f"with {_CHANGED_REVIEWS} select * from changed_reviews")
+def incremental_reviews(star):
+    return monthly.read(star.spark, _changed(star), "fct_reviews").drop(monthly.MONTH)
+
+
+@query(
+    "X16_incremental_satisfaction",
+    f"""with {_CHANGED_ORDERS}, {_CHANGED_REVIEWS}
+        select year_month, case when is_late = 0 then 'a tiempo' when days_late <= 3 then '1-3 dias'
+                                when days_late <= 7 then '4-7 dias' else '>7 dias' end as tramo_retraso,
+               cast(sum(review_count) as bigint) as reviews, cast(sum(is_negative) as bigint) as reviews_negativas,
+               cast(sum(is_positive) as bigint) as reviews_positivas, {exact_avg("review_score")} as score_medio,
+               {exact_avg("response_time_hours")} as tiempo_respuesta_medio_h, {exact_avg("days_late")} as retraso_medio_dias
+        from changed_orders join changed_reviews using (order_id) join d_date on purchase_date_sk = d_date.date_sk
+        where d_date.date_sk <> -1 and is_delivered = 1 group by 1, 2""",
+)
+def incremental_satisfaction(star):
+    return monthly.read(star.spark, _changed(star), "mart_satisfaccion").drop(monthly.MONTH)
+
+
+@query(
+    "X16_incremental_cohorts",
+    f"""with {_CHANGED_ORDERS},
+        changed_activity as (
+            select cohort_year_month, customer_sk, order_value,
+                   (year(full_date) - year(first_purchase_date)) * 12 + month(full_date) - month(first_purchase_date) as relative_month
+            from changed_orders join d_customer using (customer_sk) join d_date on purchase_date_sk = date_sk
+            where date_sk <> -1 and customer_sk <> '-1')
+        select cohort_year_month, count(distinct customer_sk) as clientes_cohorte,
+               count(distinct customer_sk) filter (where relative_month between 1 and 3) as recompra_3m,
+               count(distinct customer_sk) filter (where relative_month between 1 and 6) as recompra_6m,
+               count(distinct customer_sk) filter (where relative_month between 1 and 12) as recompra_12m,
+               sum(order_value) as gmv_acumulado, sum(order_value) filter (where relative_month = 0) as gmv_primera_compra
+        from changed_activity group by 1""",
+)
+def incremental_cohorts(star):
+    """The mart of cohorts after three change sets, each of which has read and written the cohorts of its customers alone."""
+    return monthly.read(star.spark, _changed(star), "mart_cohortes").drop(monthly.MONTH)
+
+
 @query(
     "C2_new_versions",
     """select case when seller_id = '-1' then '-1' else sha256(seller_id || '|2001-01-01') end as seller_sk,
