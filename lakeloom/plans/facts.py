@@ -24,21 +24,58 @@ PRIMARY_KEYS = {
 }
 
 
-# Columns of each fact in order.
+# Columns of each fact in order.
 CONTRACTS = {
     "fct_orders": (
-        "purchase_date_sk delivered_date_sk estimated_date_sk customer_sk geography_sk order_id order_status days_to_delivery "
-        "days_late is_delivered is_late order_item_count order_value order_count"
-    ).split(),
+        "purchase_date_sk",
+        "delivered_date_sk",
+        "estimated_date_sk",
+        "customer_sk",
+        "geography_sk",
+        "order_id",
+        "order_status",
+        "days_to_delivery",
+        "days_late",
+        "is_delivered",
+        "is_late",
+        "order_item_count",
+        "order_value",
+        "order_count",
+    ),
     "fct_order_items": (
-        "date_sk customer_sk seller_sk product_sk geography_sk order_id order_item_id price freight_value gross_revenue item_count"
-    ).split(),
+        "date_sk",
+        "customer_sk",
+        "seller_sk",
+        "product_sk",
+        "geography_sk",
+        "order_id",
+        "order_item_id",
+        "price",
+        "freight_value",
+        "gross_revenue",
+        "item_count",
+    ),
     "fct_payments": (
-        "date_sk customer_sk order_id payment_sequential payment_type payment_value payment_installments payment_count"
-    ).split(),
+        "date_sk",
+        "customer_sk",
+        "order_id",
+        "payment_sequential",
+        "payment_type",
+        "payment_value",
+        "payment_installments",
+        "payment_count",
+    ),
     "fct_reviews": (
-        "date_sk customer_sk review_id order_id review_score is_negative is_positive response_time_hours review_count"
-    ).split(),
+        "date_sk",
+        "customer_sk",
+        "review_id",
+        "order_id",
+        "review_score",
+        "is_negative",
+        "is_positive",
+        "response_time_hours",
+        "review_count",
+    ),
 }
 
 

@@ -46,7 +46,6 @@ ORDER_MOMENTS = [
     "order_delivered_customer_date",
     "order_estimated_delivery_date",
 ]
-_MEASURES = ("weight_g", "length_cm", "height_cm", "width_cm")
 
 ENTITIES = {
     "customers": Entity(
@@ -63,12 +62,19 @@ ENTITIES = {
     "products": Entity(
         {"product_id": F.col, "product_category_name": clean_text}
         | _all(to_int, "product_name_length", "product_description_length", "product_photos_qty")
-        | _all(to_int, *(f"product_{m}" for m in _MEASURES)),
-        renamed={f"product_{c}_length": f"product_{c}_lenght" for c in ("name", "description")},  # spelt so at the source
+        | _all(to_int, "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"),
+        # Spelt so at the source.
+        renamed={"product_name_length": "product_name_lenght", "product_description_length": "product_description_lenght"},
     ),
     "geolocation": Entity(
         {"zip_code_prefix": F.col, "lat": to_double, "lng": to_double, "city": clean_text, "state": clean_code},
-        renamed={c: f"geolocation_{c}" for c in ("zip_code_prefix", "lat", "lng", "city", "state")},
+        renamed={
+            "zip_code_prefix": "geolocation_zip_code_prefix",
+            "lat": "geolocation_lat",
+            "lng": "geolocation_lng",
+            "city": "geolocation_city",
+            "state": "geolocation_state",
+        },
     ),
     "orders": Entity(
         _all(F.col, "order_id", "customer_id") | {"order_status": clean_code} | _all(to_timestamp, *ORDER_MOMENTS)
