@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.constants import DELIVERED
@@ -57,10 +57,15 @@ RELATIONSHIPS = {
 
 @dataclass(frozen=True)
 class Check:
-    """A named rule and the rows that break it."""
+    """A named rule: what it looks at, and how many breaches are counted there.
+
+    Checks of one ``subject`` are counted in one pass over its rows.
+    """
 
     name: str
-    violations: Callable[[Star], DataFrame]
+    subject: str
+    rows: Callable[[Star], DataFrame]
+    violations: Column
     layer: str = "gold"
 
 
@@ -68,33 +73,34 @@ def layer_of(table: str) -> str:
     return "marts" if table.startswith("mart_") else "gold"
 
 
+def _column_check(kind: str, table: str, column: str, subject: str, rows: Callable[[Star], DataFrame], violations: Column) -> Check:
+    return Check(f"{kind} {table}.{column}", subject, rows, violations, layer_of(table))
+
+
 def declared_checks() -> list[Check]:
-    checks = [
-        Check(f"unique {table}.{column}", lambda s, t=table, c=column: Q.duplicated(s.table(t), c), layer_of(table))
-        for table, column in UNIQUE.items()
-    ]
-    checks += [
-        Check(f"not_null {table}.{column}", lambda s, t=table, c=column: Q.missing(s.table(t), c), layer_of(table))
-        for table, columns in NOT_NULL.items()
-        for column in columns
-    ]
-    checks += [
-        Check(f"accepted_values {table}.{column}", lambda s, t=table, c=column, v=values: Q.unaccepted(s.table(t), c, v), layer_of(table))
-        for (table, column), values in ACCEPTED.items()
-    ]
-    checks += [
-        Check(
-            f"relationships {table}.{column}",
-            lambda s, t=table, c=column, p=parent: Q.orphans(s.table(t), c, s.table(p), c),
-        )
-        for (table, column), parent in RELATIONSHIPS.items()
-    ]
-    checks.append(Check("repurchase within cohort", lambda s: Q.cohort_violations(s.mart_cohortes), "marts"))
+    every = F.count("*")
+    checks = []
+    for table, column in UNIQUE.items():
+        keys = lambda s, t=table, c=column: s.table(t).groupBy(c).agg(F.count("*").alias("occurrences"))
+        checks.append(_column_check("unique", table, column, f"keys of {table}", keys, F.count_if(F.col("occurrences") > 1)))
+        if column in NOT_NULL.get(table, ()):
+            nulls = F.sum(F.when(F.col(column).isNull(), F.col("occurrences")))
+            checks.append(_column_check("not_null", table, column, f"keys of {table}", keys, F.coalesce(nulls, F.lit(0))))
+    for table, columns in NOT_NULL.items():
+        for column in columns:
+            if column != UNIQUE.get(table):
+                rows = lambda s, t=table: s.table(t)
+                checks.append(_column_check("not_null", table, column, table, rows, F.count_if(F.col(column).isNull())))
+    for (table, column), values in ACCEPTED.items():
+        rows = lambda s, t=table, c=column, v=values: Q.unaccepted(s.table(t), c, v)
+        checks.append(_column_check("accepted_values", table, column, f"values of {table}.{column}", rows, every))
+    for (table, column), parent in RELATIONSHIPS.items():
+        rows = lambda s, t=table, c=column, p=parent: Q.orphans(s.table(t), c, s.table(p), c)
+        checks.append(_column_check("relationships", table, column, f"orphans of {table}.{column}", rows, every))
+    checks.append(Check("repurchase within cohort", "cohorts", lambda s: Q.cohort_violations(s.mart_cohortes), every, "marts"))
     broken = {"one current version": "current_rows <> 1", "no inverted range": "inverted > 0", "no overlap": "overlapping > 0"}
-    checks += [
-        Check(name, lambda s, rule=rule: history_violations(s.dim_seller, SELLER_HISTORY).where(rule))
-        for name, rule in broken.items()
-    ]
+    history = lambda s: history_violations(s.dim_seller, SELLER_HISTORY)
+    checks += [Check(name, "history of dim_seller", history, F.count_if(F.expr(rule))) for name, rule in broken.items()]
     return checks
 
 
@@ -108,7 +114,7 @@ def lost_orders(star: Star) -> DataFrame:
 def gate_checks(layer: str) -> list[Check]:
     """What has to hold before a layer is released."""
     own = [check for check in declared_checks() if check.layer == layer]
-    return [*own, Check("delivered orders are there", lost_orders)] if layer == "gold" else own
+    return [*own, Check("delivered orders are there", "lost orders", lost_orders, F.count("*"))] if layer == "gold" else own
 
 
 def broken(star: Star, layer: str) -> dict[str, int]:
@@ -118,6 +124,13 @@ def broken(star: Star, layer: str) -> dict[str, int]:
 
 
 def check_report(star: Star, checks: list[Check]) -> DataFrame:
-    """Violations per check; every check counts where its rows are, only counts come together."""
-    counted = [c.violations(star).agg(F.lit(c.name).alias("check_name"), F.count("*").alias("violations")) for c in checks]
+    """Violations per check; each subject is read once, checks count where its rows are, only counts come together."""
+    by_subject: dict[str, list[Check]] = {}
+    for check in checks:
+        by_subject.setdefault(check.subject, []).append(check)
+    counted = []
+    for same in by_subject.values():
+        totals = same[0].rows(star).agg(*[c.violations.cast("bigint").alias(f"n{i}") for i, c in enumerate(same)])
+        named = [F.struct(F.lit(c.name).alias("check_name"), F.col(f"n{i}").alias("violations")) for i, c in enumerate(same)]
+        counted.append(totals.select(F.inline(F.array(*named))))
     return reduce(DataFrame.unionByName, counted)

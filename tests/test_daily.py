@@ -118,3 +118,28 @@ def test_every_fault_is_in_quarantine_once(spark, star):
     _, bad = quarantine.split(places, "sellers", lambda x: star.table(x.table))
     assert {(r.seller_id, r.rule_id) for r in bad.where("rule_id <> 'never_sold'").collect()} == {("s1", "city_missing"), ("s2", "state_unknown"), ("s3", "state_unknown")}
     assert quarantine.keyed(bad).select("quarantine_id").distinct().count() == bad.count()
+
+
+def test_checks_of_one_subject_are_counted_apart(spark):
+    class Faulty:
+        def table(self, name):
+            if name == "fct_orders":
+                return spark.createDataFrame([(x,) for x in ("a", "a", "b", None, None, None)], "order_id string")
+            rows = [(None, "Gold", 1), ("2018-01", None, None), ("2018-01", "Odd", 2), ("2018-02", "Odd", None)]
+            return spark.createDataFrame(rows, "year_month string, seller_segment string, gmv int")
+
+    own = [c for c in contracts.declared_checks() if "fct_orders.order_id" in c.name or "mart_segmento_vendedor" in c.name]
+    assert len({c.subject for c in own}) == 3
+    assert {r.check_name: r.violations for r in contracts.check_report(Faulty(), own).collect()} == {
+        "unique fct_orders.order_id": 2,
+        "not_null fct_orders.order_id": 3,
+        "not_null mart_segmento_vendedor.year_month": 1,
+        "not_null mart_segmento_vendedor.seller_segment": 1,
+        "not_null mart_segmento_vendedor.gmv": 2,
+        "accepted_values mart_segmento_vendedor.seller_segment": 1,
+    }
+
+
+def test_declared_checks_read_a_subject_once():
+    checks = contracts.declared_checks()
+    assert len(checks) == 33 and len({c.subject for c in checks}) == 19
