@@ -14,7 +14,8 @@ parameter and its content is sent to the tasks. A special token's string in a te
 the library does by default.
 
 Defined results: NULL is taken as an empty text; an empty text has no tokens and decodes to an empty text.
-Repeated rows are encoded each by itself. Extra columns are kept, whatever their names.
+Repeated rows are encoded each by itself. Extra columns are kept; one of an
+added name goes on with an underscore before it.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import made_once, shared_value
+from lakeloom.llm.common import beside, made_once, shared_value
 
 # The pattern of byte-level pre-tokens, with white space as Unicode defines it.
 PRETOKEN = (
@@ -197,7 +198,9 @@ def _mapped(df: DataFrame, make, fields: list[T.StructField], keep: list[str]) -
                 yield pa.RecordBatch.from_arrays([*held, *make(part)], names=names)
 
     at = {c: i for i, c in enumerate(df.columns)}
-    schema = T.StructType([*(df.schema[at[c]] for c in keep), *fields])
+    names = beside(keep, [field.name for field in fields])
+    held = [T.StructField(name, df.schema[at[c]].dataType) for name, c in zip(names, keep, strict=True)]
+    schema = T.StructType([*held, *fields])
     names = schema.names
     return df.mapInArrow(run, schema)
 

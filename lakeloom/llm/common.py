@@ -40,6 +40,18 @@ def free_name(taken: Iterable[str], wish: str) -> str:
     return wish
 
 
+def beside(kept: Iterable[str], added: Iterable[str]) -> list[str]:
+    """Names of kept columns next to added ones: a kept one of an added name goes on under a free one."""
+    kept, new = list(kept), {name.lower() for name in added}
+    taken, names = [*kept, *new], []
+    for name in kept:
+        if name.lower() in new:
+            name = free_name(taken, name)
+            taken.append(name)
+        names.append(name)
+    return names
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast if the table, counted first, is small; else leave the join to a shuffle."""
     return F.broadcast(df) if df.count() <= rows else df

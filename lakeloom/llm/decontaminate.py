@@ -15,7 +15,8 @@ and all documents pass it, without a shuffle of texts. One task needs a batch of
 
 Defined results: NULL and empty texts contain nothing; NULL items are ignored, repeated items reported each
 with its id; repeated rows are searched each by itself. Without items nothing is found and all rows are kept.
-Extra columns are kept by ``drop_contaminated``, whatever their names. Of several passages with the same item the
+Extra columns are kept by ``drop_contaminated``, whatever their names; ``matches`` gives an id column of the name of one of
+its own an underscore. Of several passages with the same item the
 nearest one, then the first one is reported.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from lakeloom.llm.common import made_once, shared_value
+from lakeloom.llm.common import beside, made_once, shared_value
 
 RATE = 0.1
 MIN_CHARS = 40
@@ -204,7 +205,7 @@ def matches(
     rows = docs.select(F.col(id_column), F.col(text))
     schema = T.StructType(
         [
-            T.StructField(id_column, rows.schema[0].dataType),
+            T.StructField(beside([id_column], ["item_id", "distance", "start", "end"])[0], rows.schema[0].dataType),
             T.StructField("item_id", items.schema[item_id].dataType),
             *(T.StructField(name, T.LongType()) for name in ("distance", "start", "end")),
         ]

@@ -15,7 +15,8 @@ Each page is worked through once, from its first to its last character, with a s
 is linear in one page. There is no shuffle.
 
 Defined results: NULL and empty pages give an empty text, and so does a page of menus only. Repeated rows are
-extracted each by itself; NULL ids and urls stay NULL. Extra columns are kept by ``extract``, whatever their names.
+extracted each by itself; NULL ids and urls stay NULL. Extra columns are kept by ``extract``; one of
+the added name goes on with an underscore before it.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from lakeloom.llm.common import beside
+
 WINDOW = 3
 # Characters of a window at which text surges.
 SURGE = 60
@@ -288,7 +291,8 @@ def extract(df: DataFrame, page: str = "html", into: str = "text", keep: list[st
     """Add the main text of each page; ``keep`` limits the other columns."""
     keep = df.columns if keep is None else keep
     at = {c: i for i, c in enumerate(df.columns)}
-    schema = T.StructType([*(df.schema[at[c]] for c in keep), T.StructField(into, T.StringType())])
+    held = [T.StructField(name, df.schema[at[c]].dataType) for name, c in zip(beside(keep, [into]), keep, strict=True)]
+    schema = T.StructType([*held, T.StructField(into, T.StringType())])
     names, place = schema.names, at[page]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

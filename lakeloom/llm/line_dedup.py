@@ -14,7 +14,8 @@ never counted or dropped. A line that a page repeats counts once for the page.
 
 Defined results: a NULL text stays NULL and counts as a page; a NULL host has no site to be relative to,
 so its pages are left as they are. Repeated rows are pages of their own. A page of dropped lines only
-becomes an empty text. An empty table gives an empty result. Extra columns are kept, whatever their names.
+becomes an empty text. An empty table gives an empty result. Extra columns are kept; one of the name
+of a counter goes on with an underscore before it.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import SPACE_CHARS, free_name, written
+from lakeloom.llm.common import SPACE_CHARS, beside, free_name, written
 
 # Where shared passages are; lines that only copies of one page have in common stay below it.
 MAX_RATIO = 0.01
@@ -82,7 +83,8 @@ def drop_boilerplate(
         .withColumn(names["left"], F.when(has_some, own))
     )
     cleaned = F.coalesce(F.array_join(left, "\n"), F.col(text))
-    out = [cleaned.alias(text) if c == text else df[c] for c in df.columns]
+    kept = zip(beside(df.columns, counters or ()), df.columns, strict=True)
+    out = [(cleaned if c == text else df[c]).alias(name) for name, c in kept]
     if counters:
         lines = F.greatest(F.size(parts), F.lit(0)).cast("long")
         dropped = F.when(left.isNotNull(), lines - F.size(left)).otherwise(0).cast("long")

@@ -14,7 +14,8 @@ count as ordinary text. Edits are spans of the text before any of them, in order
 begins before the end of the one before it, or beyond the text, is an error.
 
 Defined results: a NULL text is taken as an empty one, with a tree of one leaf without tokens; NULL or no edits
-change nothing. Repeated rows are counted each by itself. Extra columns are kept, whatever their names.
+change nothing. Repeated rows are counted each by itself. Extra columns are kept; one of an
+added name goes on with an underscore before it.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lakeloom.llm.bpe import Codec, codec, vocabulary
+from lakeloom.llm.common import beside
 
 LEAF = 16
 ROWS = 500
@@ -216,7 +218,8 @@ def count_through_edits(
     content, at = vocabulary(df, path), df.columns.index(text)
     kept = [df.columns.index(c) for c in (df.columns if keep is None else keep)]
     added = [T.StructField(c, T.LongType()) for c in ("tokens_before", "edits", "tokens", "chars_encoded")]
-    schema = T.StructType([*(df.schema[i] for i in kept), *added])
+    held = zip(beside([df.columns[i] for i in kept], [field.name for field in added]), kept, strict=True)
+    schema = T.StructType([*(T.StructField(name, df.schema[i].dataType) for name, i in held), *added])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
