@@ -11,7 +11,7 @@ The mart of cohorts is by the month of a customer's *first* purchase. Orders are
 (``cohort_orders``), with the customers of each cohort (``cohort_members``). A change set reads and writes the cohorts
 that its customers have left or entered; the members, three columns, are read in full, as the dimension of customers is.
 
-Rows are written to the shared folder before they replace the partitions they were read from, so a job that is
+Rows of a change set are written to the shared folder before they replace the partitions they were read from, so a job that is
 repeated after a failure finds either the old or the new rows of a month, and repeating a change set changes nothing.
 What tells where rows were before (members, the order fact) is replaced after what is derived from it.
 Readers of several tables that must agree read them between runs.
@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from lakeloom.functions import constants as K
 from lakeloom.functions.keys import date_key
 from lakeloom.plans import dimensions, facts, marts
-from lakeloom.session import working_folder
+from lakeloom.session import short_shuffles, working_folder
 from lakeloom.sources import paths
+from lakeloom.sources.tables import CODEC
 
 MONTH = "purchase_month"
 DETAILS = ("order_items", "payments", "reviews")
@@ -70,20 +71,29 @@ def read(spark: SparkSession, root: str, table: str, months: Iterable[int] | Non
 
 def _staged(df: DataFrame, folder: str) -> DataFrame:
     """The rows, written once and read again."""
-    df.write.parquet(folder)
+    with short_shuffles(df.sparkSession):
+        df.write.option("compression", CODEC).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def replace_months(df: DataFrame, root: str, table: str, months: Iterable[int] | None = None) -> None:
-    """Replace the months that ``df`` has rows of; of ``months`` those without rows are emptied."""
+    """Replace the months that ``df`` has rows of; of ``months`` those without rows are emptied.
+
+    Without ``months`` all of them are loaded from elsewhere, and rows are written once. Otherwise ``df`` may read what
+    it replaces, so its rows are written to the shared folder first and go from there when they are in place.
+    """
     spark = df.sparkSession
-    rows = _staged(df, working_folder(spark, f"monthly-{table}"))
+    folder = working_folder(spark, f"monthly-{table}")
+    rows = df if months is None else _staged(df, folder)
     # Rows of a month meet in few files, however many tasks wrote them; a very large month is many.
     dealt = rows.repartition(MONTH, F.pmod(F.xxhash64(*rows.columns), F.lit(8)))
-    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(f"{root}/{table}")
+    with short_shuffles(spark):
+        into = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
+        into.partitionBy(MONTH).parquet(f"{root}/{table}")
     if months is not None:
         for month in set(months) - _months(rows):
             paths.remove(spark, f"{root}/{table}/{MONTH}={month}")
+        paths.remove(spark, folder)
 
 
 def _months(*rows: DataFrame) -> set[int]:
@@ -199,6 +209,7 @@ def apply_changes(
         kept = before.join(ids, "order_id", "left_anti")
         replace_months(kept.unionByName(now.select(*before.columns)), root, table, months)
     _derive(star, root, months)
+    paths.remove(spark, folder)
     return months
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,9 @@ RUNTIME_SETTINGS = {
 }
 
 
+# Shuffle files of a finished write are of no use; by default they stay until the driver happens to collect garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _LOCAL: list[str] = []
 
 
@@ -64,6 +69,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes and counts inside delete their shuffle files as they end.
+
+    Not for a result that is looked at more than once: the second look would find its shuffles gone.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared one."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"

@@ -13,10 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeloom.session import short_shuffles
 from lakeloom.sources import paths
 
 MARKER = "_PUBLISHED"
 
+# Keys are digests in hexadecimal, which zstd halves and snappy leaves as they are.
+CODEC = "zstd"
+
 # Schemas of version folders already seen. A version never changes, so its footers are read once.
 _SCHEMAS: dict[str, StructType] = {}
 
@@ -93,11 +97,12 @@ def stage(
             raise SchemaDrift(f"{table}: {_signature(df)} instead of {_signature(published)}")
     version = max(_versions(spark, path), default=0) + 1
     target = f"{path}/version={version}"
-    # errorifexists: of two writers that picked the same number, one fails.
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
-    if not partition_by:
-        _SCHEMAS[target] = df.schema
-    return target, check_key(_read_version(spark, target), table, primary_key)
+    with short_shuffles(spark):
+        # errorifexists: of two writers that picked the same number, one fails.
+        df.write.mode("errorifexists").option("compression", CODEC).partitionBy(*partition_by).parquet(target)
+        if not partition_by:
+            _SCHEMAS[target] = df.schema
+        return target, check_key(_read_version(spark, target), table, primary_key)
 
 
 def read_staged(spark: SparkSession, folder: str) -> DataFrame:
