@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions import attributes as A
-from lakeloom.functions.keys import date_key, key_date, resolve_date_key, resolve_key
+from lakeloom.functions.constants import UNKNOWN_KEY
+from lakeloom.functions.keys import date_key, key_date, resolve_date_key, resolve_key, surrogate_key
 from lakeloom.operators.dimension import version_at
 
 PRIMARY_KEYS = {
@@ -110,8 +111,9 @@ def order_totals(items: DataFrame) -> DataFrame:
 
 
 def fct_orders(orders: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_geography: DataFrame) -> DataFrame:
+    """Orders meet their totals first and their customer last, so the wide keys found there do not move again."""
     known = buyers(dim_customer, dim_geography)
-    rows = orders.join(known, "customer_unique_id", "left").join(order_totals(items), "order_id", "left")
+    rows = orders.join(order_totals(items), "order_id", "left").join(known, "customer_unique_id", "left")
     dates = {
         "purchase_date_sk": "order_purchase_timestamp",
         "delivered_date_sk": "order_delivered_customer_date",
@@ -129,18 +131,28 @@ def order_keys(fct_orders: DataFrame) -> DataFrame:
     return fct_orders.select("order_id", F.col("purchase_date_sk").alias("date_sk"), "customer_sk", "geography_sk")
 
 
+def product_keys(dim_product: DataFrame) -> DataFrame:
+    """Known products, with ``_own`` only where a key is not the digest of its id.
+
+    What follows from the id is computed where the fact is written, so no digest moves with an item.
+    """
+    follows = F.col("product_sk").eqNullSafe(surrogate_key("product_id"))
+    return dim_product.select("product_id", F.lit(True).alias("_known"), F.when(~follows, resolve_key("product_sk")).alias("_own"))
+
+
 def fct_order_items(
     items: DataFrame, fct_orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame
 ) -> DataFrame:
-    """Items with the seller version valid on the day of purchase."""
+    """Items with the seller version valid on the day of purchase; products are looked up while rows are narrow."""
     enriched = (
-        items.join(order_keys(fct_orders), "order_id", "left")
+        items.join(product_keys(dim_product), "product_id", "left")
+        .join(order_keys(fct_orders), "order_id", "left")
         .withColumn("purchase_date", key_date("date_sk"))
-        .join(dim_product.select("product_id", "product_sk"), "product_id", "left")
     )
     versioned = version_at(enriched, dim_seller, "seller_id", "purchase_date", ["seller_sk"])
+    product = F.when(F.col("_known"), F.coalesce("_own", surrogate_key("product_id"))).otherwise(UNKNOWN_KEY)
     gross = F.col("price") + F.col("freight_value")
-    return as_contracted("fct_order_items", versioned, gross_revenue=gross, item_count=F.lit(1))
+    return as_contracted("fct_order_items", versioned, product_sk=product, gross_revenue=gross, item_count=F.lit(1))
 
 
 def fct_payments(payments: DataFrame, fct_orders: DataFrame) -> DataFrame:
