@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.constants import UNKNOWN_DATE_KEY, UNKNOWN_KEY
@@ -47,6 +47,25 @@ def resolve_key(key: str) -> Column:
     return F.coalesce(F.col(key), F.lit(UNKNOWN_KEY))
 
 
+def packed(df: DataFrame, *keys: str) -> DataFrame:
+    """Each key as the 32 bytes of its digest (``_bytes``) or, where it is none in lower case, as it is (``_text``).
+
+    A shuffle does not compress hexadecimal digits, so a key that moves moves half as much; ``unpacked`` gives the same text.
+    """
+    for key in keys:
+        digest = F.unhex(key)
+        follows = F.lower(F.hex(digest)).eqNullSafe(F.col(key))
+        parts = {f"{key}_bytes": F.when(follows, digest), f"{key}_text": F.when(~follows, F.col(key))}
+        df = df.withColumns(parts).drop(key)
+    return df
+
+
+def unpacked(df: DataFrame, *keys: str) -> DataFrame:
+    """The keys that ``packed`` took apart, behind the other columns."""
+    whole = {key: F.coalesce(f"{key}_text", F.lower(F.hex(f"{key}_bytes"))) for key in keys}
+    return df.withColumns(whole).drop(*[f"{key}_{part}" for key in keys for part in ("bytes", "text")])
+
+
 def batch_id(table: str, ingestion_date: date) -> str:
     """Same table and day, same id: a re-run is recognisable as the same batch."""
     return str(uuid.uuid5(uuid.NAMESPACE_DNS, f"{table}-{ingestion_date.isoformat()}"))

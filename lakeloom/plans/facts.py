@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import attributes as A
 from lakeloom.functions.constants import UNKNOWN_KEY
-from lakeloom.functions.keys import date_key, key_date, resolve_date_key, resolve_key, surrogate_key
+from lakeloom.functions.keys import date_key, key_date, packed, resolve_date_key, resolve_key, surrogate_key, unpacked
 from lakeloom.operators.dimension import version_at
 
 PRIMARY_KEYS = {
@@ -143,24 +143,32 @@ def product_keys(dim_product: DataFrame) -> DataFrame:
 def fct_order_items(
     items: DataFrame, fct_orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame
 ) -> DataFrame:
-    """Items with the seller version valid on the day of purchase; products are looked up while rows are narrow."""
+    """Items with the seller version valid on the day of purchase; products are looked up while rows are narrow.
+
+    The keys found move packed until the fact is written, as the lookup of the seller moves them again once it is large.
+    """
+    of_order, of_seller = ("customer_sk", "geography_sk"), "seller_sk"
     enriched = (
         items.join(product_keys(dim_product), "product_id", "left")
-        .join(order_keys(fct_orders), "order_id", "left")
+        .join(packed(order_keys(fct_orders), *of_order), "order_id", "left")
         .withColumn("purchase_date", key_date("date_sk"))
     )
-    versioned = version_at(enriched, dim_seller, "seller_id", "purchase_date", ["seller_sk"])
+    sellers = packed(dim_seller.select("seller_id", of_seller, "valid_from", "valid_to"), of_seller)
+    carried = [f"{of_seller}_bytes", f"{of_seller}_text"]
+    versioned = unpacked(version_at(enriched, sellers, "seller_id", "purchase_date", carried), *of_order, of_seller)
     product = F.when(F.col("_known"), F.coalesce("_own", surrogate_key("product_id"))).otherwise(UNKNOWN_KEY)
     gross = F.col("price") + F.col("freight_value")
     return as_contracted("fct_order_items", versioned, product_sk=product, gross_revenue=gross, item_count=F.lit(1))
 
 
 def fct_payments(payments: DataFrame, fct_orders: DataFrame) -> DataFrame:
-    return as_contracted("fct_payments", payments.join(order_keys(fct_orders), "order_id", "left"), payment_count=F.lit(1))
+    known = packed(order_keys(fct_orders).drop("geography_sk"), "customer_sk")
+    rows = unpacked(payments.join(known, "order_id", "left"), "customer_sk")
+    return as_contracted("fct_payments", rows, payment_count=F.lit(1))
 
 
 def fct_reviews(reviews: DataFrame, fct_orders: DataFrame) -> DataFrame:
     """Dated by the creation of the review, not by the purchase."""
-    known = order_keys(fct_orders).select("order_id", "customer_sk")
-    rows = reviews.join(known, "order_id", "left")
+    known = packed(order_keys(fct_orders).select("order_id", "customer_sk"), "customer_sk")
+    rows = unpacked(reviews.join(known, "order_id", "left"), "customer_sk")
     return as_contracted("fct_reviews", rows, {"date_sk": "review_creation_date"}, **A.review_measures())

@@ -31,6 +31,11 @@ RUNTIME_SETTINGS = {
 # Shuffle files of a finished write are of no use; by default they stay until the driver happens to collect garbage.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+# What a task of a write reads, unless the session says otherwise: splits and merged shuffle partitions of bounded size, so that
+# tables grow by tasks and not by what one task sorts or keeps in memory. Adaptive execution merges the partitions of small tables.
+INITIAL_PARTITIONS = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", 256)
+TASK_SIZES = {"spark.sql.files.maxPartitionBytes": "32m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
+
 _LOCAL: list[str] = []
 
 
@@ -69,21 +74,34 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL[0]
 
 
+@contextmanager
+def _held(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """The settings hold inside and are as before behind."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 @contextmanager
 def short_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Writes and counts inside delete their shuffle files as they end.
+    """Writes and counts inside delete their shuffle files as they end, and their tasks are of bounded size.
 
     Not for a result that is looked at more than once: the second look would find its shuffles gone.
     """
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    key, least = INITIAL_PARTITIONS
+    partitions = max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bounds = {key: str(partitions)} | TASK_SIZES
+    bounds = {key: value for key, value in bounds.items() if spark.conf.get(key, None) is None}
+    with _held(spark, {SHUFFLE_CLEANUP: "true"} | bounds):
         yield
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
 def working_folder(spark: SparkSession, purpose: str) -> str:

@@ -7,8 +7,9 @@ import re
 
 from pyspark.sql import functions as F
 
+from lakeloom.functions.keys import packed, unpacked
 from lakeloom.plans import facts, monthly
-from lakeloom.session import SHUFFLE_CLEANUP, short_shuffles, working_folder
+from lakeloom.session import INITIAL_PARTITIONS, SHUFFLE_CLEANUP, TASK_SIZES, short_shuffles, working_folder
 from lakeloom.sources import tables
 from tests.conftest import plan_text
 
@@ -71,3 +72,37 @@ def test_order_meets_its_customer_last(star):
     fact = facts.fct_orders(star.orders, star.order_items, star.dim_customer, star.dim_geography)
     plan = plan_text(fact).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     assert re.findall(r"Join LeftOuter, \((\w+)#", plan)[0] == "customer_unique_id"
+
+
+def test_packed_keys_come_back_letter_by_letter(spark):
+    """Digests, the unknown member, capitals, odd lengths, other texts, blanks and NULL."""
+    keys = [SHA_OF_A, SHA_OF_A.upper(), SHA_OF_A[:-1], "-1", "ab", "AB", "a", "none", "", None]
+    rows = spark.createDataFrame([(n, key) for n, key in enumerate(keys)], "n int, k_sk string")
+    moved = packed(rows, "k_sk")
+    assert moved.columns == ["n", "k_sk_bytes", "k_sk_text"]
+    assert moved.where("n = 0 and length(k_sk_bytes) = 32 and k_sk_text is null").count() == 1
+    back = unpacked(moved, "k_sk")
+    assert back.columns == ["n", "k_sk"] and [r.k_sk for r in back.orderBy("n").collect()] == keys
+
+
+def test_no_digest_of_an_order_or_seller_moves_as_text(star):
+    """What is shuffled to meet an item, and what is dealt out by month, holds no key as hexadecimal text."""
+    fact = facts.fct_order_items(star.order_items, star.fct_orders, star.dim_product, star.dim_seller)
+    plan = plan_text(fact).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    below = plan[plan.index("Join") :]
+    assert "customer_sk_bytes" in below and "seller_sk_bytes" in below
+    assert not re.search(r"lower\(hex\((customer|geography|seller)_sk_bytes", below)
+
+
+def test_tasks_of_a_write_are_bounded_unless_the_session_says_otherwise(spark):
+    key, least = INITIAL_PARTITIONS
+    own, other = TASK_SIZES
+    before = [spark.conf.get(name, None) for name in (key, own, other)]
+    spark.conf.set(own, "5m")
+    try:
+        with short_shuffles(spark):
+            assert int(spark.conf.get(key)) >= least
+            assert (spark.conf.get(own), spark.conf.get(other)) == ("5m", TASK_SIZES[other])
+        assert [spark.conf.get(name, None) for name in (key, own, other)] == [before[0], "5m", before[2]]
+    finally:
+        spark.conf.unset(own)
