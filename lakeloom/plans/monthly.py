@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions import constants as K
-from lakeloom.functions.keys import date_key
+from lakeloom.functions.keys import date_key, packed, unpacked
 from lakeloom.plans import dimensions, facts, marts
 from lakeloom.session import short_shuffles, working_folder
 from lakeloom.sources import paths
@@ -76,6 +76,14 @@ def _staged(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The rows of a month in few files, however many tasks wrote them; a very large month is many. Their keys move packed."""
+    keys = [name for name, kind in rows.dtypes if kind == "string" and name.endswith("_sk")]
+    narrow = packed(rows, *keys)
+    dealt = narrow.repartition(MONTH, F.pmod(F.xxhash64(*narrow.columns), F.lit(8)))
+    return unpacked(dealt, *keys).select(*rows.columns)
+
+
 def replace_months(df: DataFrame, root: str, table: str, months: Iterable[int] | None = None) -> None:
     """Replace the months that ``df`` has rows of; of ``months`` those without rows are emptied.
 
@@ -85,8 +93,7 @@ def replace_months(df: DataFrame, root: str, table: str, months: Iterable[int] |
     spark = df.sparkSession
     folder = working_folder(spark, f"monthly-{table}")
     rows = df if months is None else _staged(df, folder)
-    # Rows of a month meet in few files, however many tasks wrote them; a very large month is many.
-    dealt = rows.repartition(MONTH, F.pmod(F.xxhash64(*rows.columns), F.lit(8)))
+    dealt = _dealt(rows)
     with short_shuffles(spark):
         into = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
         into.partitionBy(MONTH).parquet(f"{root}/{table}")

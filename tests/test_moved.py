@@ -106,3 +106,12 @@ def test_tasks_of_a_write_are_bounded_unless_the_session_says_otherwise(spark):
         assert [spark.conf.get(name, None) for name in (key, own, other)] == [before[0], "5m", before[2]]
     finally:
         spark.conf.unset(own)
+
+
+def test_months_are_dealt_out_with_packed_keys(spark):
+    keys = [SHA_OF_A, "-1", "AB", None]
+    rows = spark.createDataFrame([(n, key, 199801) for n, key in enumerate(keys)], f"n int, k_sk string, {monthly.MONTH} int")
+    dealt = monthly._dealt(rows)
+    assert dealt.columns == rows.columns and sorted(dealt.collect(), key=lambda r: r.n) == rows.collect()
+    plan = plan_text(dealt).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert "k_sk_bytes" in plan[plan.index("RepartitionByExpression") :]
