@@ -25,6 +25,7 @@ names. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -56,11 +57,8 @@ def terms(raw: bytes) -> list[bytes]:
 
 def fold(stripes: dict[bytes, dict[str, int]], source: str, raw: bytes) -> int:
     """Add a whole document to the stripes of its language; returns the new cells."""
-    counts: dict[bytes, int] = {}
-    for term in terms(raw):
-        counts[term] = counts.get(term, 0) + 1
     new = 0
-    for term, n in counts.items():
+    for term, n in Counter(terms(raw)).items():
         stripe = stripes.get(term)
         if stripe is None:
             stripes[term] = {source: n + DOCUMENT}
@@ -170,7 +168,12 @@ def pair_sums(group: np.ndarray, p: np.ndarray, none: np.ndarray, sizes: np.ndar
     sums by ordered pair of different groups of what terms of both add beyond what their counts add alone."""
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    found: dict[tuple[int, int], int] = {}
+    # Groups are numbered from 0 on here, so a pair is one number, and few pairs are the places of an array.
+    names, own = np.unique(group, return_inverse=True)
+    many = len(names)
+    dense = many * many <= PAIRS
+    total, met = np.zeros(many * many if dense else 0, np.int64), np.zeros(many * many if dense else 0, bool)
+    found: dict[int, int] = {}
     first = 0
     while first < len(sizes):
         # A stretch of stripes of no more than PAIRS pairs, one stripe at least, which goes row by row if it is longer.
@@ -187,15 +190,20 @@ def pair_sums(group: np.ndarray, p: np.ndarray, none: np.ndarray, sizes: np.ndar
             other = left != right
             left, right = left[other], right[other]
             values = _gains(p[left], p[right]) - _gains(p[left], none[right]) - _gains(none[left], p[right]) + _gains(none[left], none[right])
-            pair = np.stack([group[left], group[right]], 1)
-            keys, place = np.unique(pair, axis=0, return_inverse=True) if len(pair) else (pair, np.empty(0, np.int64))
+            pair = own[left] * many + own[right]
+            if dense:
+                np.add.at(total, pair, values)
+                met[pair] = True
+                continue
+            keys, place = np.unique(pair, return_inverse=True)
             sums = np.zeros(len(keys), np.int64)
-            np.add.at(sums, place.ravel(), values)
-            for (a, b), value in zip(keys.tolist(), sums.tolist(), strict=True):
-                found[a, b] = found.get((a, b), 0) + value
+            np.add.at(sums, place, values)
+            for key, value in zip(keys.tolist(), sums.tolist(), strict=True):
+                found[key] = found.get(key, 0) + value
         first = upto
-    pairs = np.array(list(found), np.int64).reshape(-1, 2)
-    return pairs[:, 0], pairs[:, 1], np.array(list(found.values()), np.int64)
+    pairs = np.flatnonzero(met) if dense else np.array(list(found), np.int64)
+    values = total[pairs] if dense else np.array(list(found.values()), np.int64)
+    return names[pairs // max(many, 1)], names[pairs % max(many, 1)], values
 
 
 def _by_number(rows: list[tuple]) -> tuple[dict, np.ndarray]:

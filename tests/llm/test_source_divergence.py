@@ -75,6 +75,30 @@ def test_spills_and_stretches_change_nothing(spark, monkeypatch):
     assert result(sd.audit(table(spark, rows).repartition(5), top_terms=5)) == brute(rows, 5)
 
 
+def test_pairs_by_place_and_by_key_agree(monkeypatch):
+    """Sums by pair against one pair after the other, with far apart numbers of groups."""
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(1, 9, 60)
+    group = np.concatenate([rng.choice(9, n, replace=False) for n in sizes]).astype(np.int64) * 1_000_003
+    p, none = rng.integers(10, 10**6, len(group)), rng.integers(1, 10, len(group))
+    expected: dict = {}
+    for start, n in zip(np.cumsum(sizes) - sizes, sizes, strict=True):
+        for i in range(start, start + n):
+            for j in range(start, start + n):
+                if i != j:
+                    f = lambda x, y: (int(x) - int(y)) ** 2 // int(y)
+                    value = f(p[i], p[j]) - f(p[i], none[j]) - f(none[i], p[j]) + f(none[i], none[j])
+                    key = int(group[i]), int(group[j])
+                    expected[key] = expected.get(key, 0) + value
+    # Pairs of groups are never sorted as rows, which took most of the time.
+    unique = np.unique
+    monkeypatch.setattr(np, "unique", lambda values, axis=None, **how: unique(values, **how) if axis is None else pytest.fail("rows sorted"))
+    for pairs in (1 << 20, 3):
+        monkeypatch.setattr(sd, "PAIRS", pairs)
+        a, b, values = sd.pair_sums(group, p, none, sizes)
+        assert dict(zip(zip(a.tolist(), b.tolist(), strict=True), values.tolist(), strict=True)) == expected
+
+
 def test_nulls_empty_and_lonely_groups(spark, messy, nothing):
     rows = [("a b a", None, None), (None, "en", "s"), ("", "en", None), ("a", None, ""), ("a c", "", "t"), ("b", "fr", "only"), ("b", "fr", "only"), ("B b", "fr", "only")]
     found = result(sd.audit(table(spark, rows)))
