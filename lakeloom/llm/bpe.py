@@ -4,7 +4,8 @@ A pre-token is held as the array of its parts (the token of each part; a part be
 ends) and the array of the ranks of neighbouring parts. The least rank is searched for, the boundary inside
 that pair deleted, and the ranks of the two neighbours looked up again, until no pair has a rank. This is
 quick because pre-tokens are short; those of more than ``LONG`` bytes take the same merges in the same
-order from a heap, so a text without a space costs n log n.
+order from a heap, so a text without a space costs n log n. What a batch of texts holds for the first time is
+merged together: one row of parts and one of ranks for each pre-token, those of about one length at a time.
 
 Pre-tokens repeat, so each worker keeps a bounded number of results; what is kept never changes a result.
 Texts are not shuffled: encoding is one pass, whole texts, a batch at a time.
@@ -23,6 +24,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,10 @@ LONG = 64
 # Results kept in each of two generations, and the longest piece of text that is kept.
 KEPT, KEPT_CHARS = 60_000, 40
 ROWS = 1_000
+# Characters of texts whose new words are merged together, and how many of them share an array.
+CHARS, WORDS = 4_000_000, 4_096
 _NONE = 1 << 60
+_NO_RANK = np.iinfo(np.int32).max
 
 
 def byte_characters() -> dict[str, int]:
@@ -67,12 +72,22 @@ class _Kept(dict):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
         if len(key) <= KEPT_CHARS:
             if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[key] = value
-        return value
+
+    def keep_all(self, made: dict) -> None:
+        """Keep many at once, no more than fit."""
+        if len(self) + len(made) > self.most:
+            self.older = dict(self)
+            self.clear()
+        self.update(islice(((key, value) for key, value in made.items() if len(key) <= KEPT_CHARS), self.most))
 
 
 class Codec:
@@ -97,6 +112,11 @@ class Codec:
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks.setdefault(vocabulary[left] << 32 | vocabulary[right], len(self.merged))
             self.merged.append(vocabulary[left + right])
+        # The same as arrays: pairs in order with their ranks, and the ranks of pairs of single bytes.
+        self.pairs = np.array(sorted(self.ranks), np.int64)
+        self.pair_ranks = np.array([self.ranks[pair] for pair in self.pairs.tolist()], np.int32)
+        self.singles, self.merges = np.array(self.single, np.int32), np.array(self.merged, np.int32)
+        self.byte_ranks = self._ranks_of(np.repeat(self.singles, 256), np.tile(self.singles, 256)).reshape(256, 256)
         self.pattern = regex.compile(PRETOKEN)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.pretokens = _Kept(lambda token: self._packed(self.merge(token.encode())), kept)
@@ -148,6 +168,62 @@ class Codec:
                     heapq.heappush(heap, (r, k))
         return [p for p in parts if p >= 0]
 
+    def _ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of pairs, ``_NO_RANK`` where there is none."""
+        if not len(self.pairs):
+            return np.full(len(left), _NO_RANK, np.int32)
+        wanted = left.astype(np.int64) << 32 | right
+        place = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[place] == wanted, self.pair_ranks[place], _NO_RANK)
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """What ``merge`` gives for each of many pre-tokens, packed."""
+        made = [b""] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        for start in range(0, len(order), WORDS):
+            some = order[start : start + WORDS]
+            short = [i for i in some if len(words[i]) <= LONG]
+            for i in some[len(short) :]:
+                made[i] = self._packed(self.merge(words[i]))
+            if short:
+                for i, tokens in zip(short, self._merged_rows([words[i] for i in short]), strict=True):
+                    made[i] = tokens
+        return made
+
+    def _merged_rows(self, words: list[bytes]) -> list[bytes]:
+        """Pre-tokens of at most ``LONG`` bytes, a row each; every step makes the next merge of each row that has one."""
+        sizes = np.array([len(word) for word in words])
+        width = max(int(sizes.max()), 1)
+        raw = np.frombuffer(b"".join([word.ljust(width, b"\0") for word in words]), np.uint8).reshape(-1, width)
+        parts, ranks = self.singles[raw], np.full(raw.shape, _NO_RANK, np.int32)
+        ranks[:, :-1] = self.byte_ranks[raw[:, :-1], raw[:, 1:]]
+        # Rank i is that of parts i and i + 1; a row has none at its last part and behind it.
+        ranks[np.arange(width) >= sizes[:, None] - 1] = _NO_RANK
+        made, number = [b""] * len(words), np.arange(len(words))
+        while True:
+            at = ranks.argmin(1)
+            least = ranks[np.arange(len(at)), at]
+            ready = least == _NO_RANK
+            if ready.any():
+                packed, row = parts[ready].astype("<i4").tobytes(), 4 * parts.shape[1]
+                for k, (i, size) in enumerate(zip(number[ready].tolist(), sizes[ready].tolist(), strict=True)):
+                    made[i] = packed[k * row : k * row + 4 * size]
+                going = ~ready
+                parts, ranks, sizes, number, at, least = parts[going], ranks[going], sizes[going], number[going], at[going], least[going]
+                if not len(number):
+                    return made
+            rows, columns = np.arange(len(at)), np.arange(parts.shape[1] - 1)
+            parts[rows, at] = self.merges[least]
+            behind = columns >= at[:, None]
+            ranks = np.where(behind, ranks[:, 1:], ranks[:, :-1])
+            behind[rows, at] = False
+            parts = np.where(behind, parts[:, 1:], parts[:, :-1])
+            sizes = sizes - 1
+            for left in (at - 1, at):
+                there = np.flatnonzero((left >= 0) & (left < sizes - 1))
+                i = left[there]
+                ranks[there, i] = self._ranks_of(parts[there, i], parts[there, i + 1])
+
     def _piece(self, piece: str, lead: str = "") -> bytes:
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Irregular
@@ -163,6 +239,66 @@ class Codec:
         except _Irregular:
             return b"".join(map(self.pretokens.__getitem__, self.pattern.findall(text)))
 
+    def _learned(self, texts: list[str]) -> dict[str, bytes]:
+        """The tokens of all pieces that stand behind a space in the texts, but of the irregular ones; new ones are kept."""
+        wanted: set[str] = set()
+        for text in texts:
+            wanted.update(text.split(" ")[1:])
+        held, older = self.spaced, self.spaced.older
+        unseen = wanted.difference(held, older)
+        known = {piece: held[piece] if piece in held else older[piece] for piece in wanted.difference(unseen)}
+        new = [piece for piece in unseen if piece and piece.strip() == piece]
+        if not new:
+            return known
+        # Only the first pre-token of a piece begins with a space.
+        found = self.pattern.findall(" " + " ".join(new))
+        starts = [i for i, token in enumerate(found) if token[0] == " "]
+        tokens = self._merged(found)
+        joined = [
+            tokens[start] if end == start + 1 else b"".join(tokens[start:end])
+            for start, end in zip(starts, [*starts[1:], len(found)], strict=True)
+        ]
+        made = dict(zip(new, joined, strict=True))
+        held.keep_all(made)
+        known.update(made)
+        return known
+
+    def _merged(self, found: list[str]) -> list[bytes]:
+        """The tokens of each pre-token; new ones are merged together and kept."""
+        held, older, wanted = self.pretokens, self.pretokens.older, set(found)
+        unseen = wanted.difference(held, older)
+        of = {token: held[token] if token in held else older[token] for token in wanted.difference(unseen)}
+        new = list(unseen)
+        made = dict(zip(new, self.merge_all([token.encode() for token in new]), strict=True))
+        held.keep_all(made)
+        of.update(made)
+        return list(map(of.__getitem__, found))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """``encode`` of each text; the new words of some of them are merged together."""
+        encoded: list[bytes] = []
+        some: list[str] = []
+        chars = 0
+        for text in texts:
+            some.append(text)
+            chars += len(text)
+            if chars >= CHARS:
+                encoded += self._encode_some(some)
+                some, chars = [], 0
+        return encoded + self._encode_some(some)
+
+    def _encode_some(self, texts: list[str]) -> list[bytes]:
+        plain = [not any(token in text for token in self.special) for text in texts]
+        known = self._learned([text for text, is_plain in zip(texts, plain, strict=True) if is_plain])
+        encoded = []
+        for text, is_plain in zip(texts, plain, strict=True):
+            head, *rest = text.split(" ")
+            try:
+                encoded.append(self.first[head] + b"".join(map(known.__getitem__, rest)) if is_plain and text else self.encode(text))
+            except (_Irregular, KeyError):
+                encoded.append(b"".join(self._merged(self.pattern.findall(text))))
+        return encoded
+
     def encode(self, text: str) -> bytes:
         """The ids of the tokens, four bytes each, least byte first."""
         if not any(token in text for token in self.special):
@@ -213,7 +349,7 @@ def encode(
 
     def make(part: pa.RecordBatch) -> list[pa.Array]:
         own = codec(content)
-        encoded = [own.encode(body.as_py() or "") for body in part.column(at)]
+        encoded = own.encode_all([body or "" for body in part.column(at).to_pylist()])
         ends = np.cumsum([0, *(len(e) // 4 for e in encoded)], dtype=np.int32)
         ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(encoded), "<i4")))
         if not decoded:

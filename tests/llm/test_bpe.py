@@ -66,6 +66,33 @@ def test_long_and_short_merges_agree(codec):
     assert codec._merge_long(list(parts)) == codec.merge(word)
 
 
+def test_many_words_are_merged_together(codec, monkeypatch):
+    """Rows of one array give what one word after the other gives, whatever shares the array."""
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoinsßé漢 \n!1") for _ in range(rng.randrange(0, 90))).encode() for _ in range(400)] + [b"\0", b"a\0", b"a" * 64, b"a" * 65]
+    expected = [codec._packed(codec.merge(word)) for word in words]
+    for size in (1, 7, 4_096):
+        monkeypatch.setattr(bpe, "WORDS", size)
+        assert codec.merge_all(words) == expected
+    calls = []
+    monkeypatch.setattr(codec, "merge", lambda word: calls.append(word) or [])
+    codec.merge_all([word for word in words if len(word) <= bpe.LONG])
+    assert not calls
+
+
+def test_texts_together_as_one_by_one(library, monkeypatch):
+    with open(PATH, encoding="utf-8") as file:
+        own = bpe.Codec(file.read(), 10)
+    rng = random.Random(4)
+    texts = ODD + [" ".join(rng.choice(ODD + ["the", "things.", "a\nb", "Das"]) for _ in range(rng.randrange(8))) for _ in range(200)]
+    for chars in (1, 300, 1_000_000):
+        monkeypatch.setattr(bpe, "CHARS", chars)
+        found = [np.frombuffer(e, "<i4").tolist() for e in own.encode_all(texts)]
+        assert found == [library.encode(text, add_special_tokens=False).ids for text in texts]
+        assert max(map(len, (own.spaced, own.first, own.pretokens))) <= 10
+    assert own.encode_all([]) == []
+
+
 def test_what_is_kept_is_bounded(codec, monkeypatch):
     for table in (codec.pretokens, codec.first, codec.spaced):
         table.clear()
