@@ -140,12 +140,10 @@ def product_keys(dim_product: DataFrame) -> DataFrame:
     return dim_product.select("product_id", F.lit(True).alias("_known"), F.when(~follows, resolve_key("product_sk")).alias("_own"))
 
 
-def fct_order_items(
-    items: DataFrame, fct_orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame
-) -> DataFrame:
+def items_with_keys(items: DataFrame, fct_orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame) -> DataFrame:
     """Items with the seller version valid on the day of purchase; products are looked up while rows are narrow.
 
-    The keys found move packed until the fact is written, as the lookup of the seller moves them again once it is large.
+    The keys found are packed, and that of a product is still its id, so rows can move before ``items_contracted`` ends them.
     """
     of_order, of_seller = ("customer_sk", "geography_sk"), "seller_sk"
     enriched = (
@@ -155,12 +153,24 @@ def fct_order_items(
     )
     sellers = packed(dim_seller.select("seller_id", of_seller, "valid_from", "valid_to"), of_seller)
     carried = [f"{of_seller}_bytes", f"{of_seller}_text"]
-    versioned = unpacked(version_at(enriched, sellers, "seller_id", "purchase_date", carried), *of_order, of_seller)
+    return version_at(enriched, sellers, "seller_id", "purchase_date", carried)
+
+
+def items_contracted(rows: DataFrame) -> DataFrame:
+    """The fact of items, of rows as ``items_with_keys`` gives them."""
+    versioned = unpacked(rows, "customer_sk", "geography_sk", "seller_sk")
     product = F.when(F.col("_known"), F.coalesce("_own", surrogate_key("product_id"))).otherwise(UNKNOWN_KEY)
     gross = F.col("price") + F.col("freight_value")
     return as_contracted("fct_order_items", versioned, product_sk=product, gross_revenue=gross, item_count=F.lit(1))
 
 
+def fct_order_items(
+    items: DataFrame, fct_orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame
+) -> DataFrame:
+    """Items with all their keys, which move packed until the fact is written."""
+    return items_contracted(items_with_keys(items, fct_orders, dim_product, dim_seller))
+
+
 def fct_payments(payments: DataFrame, fct_orders: DataFrame) -> DataFrame:
     known = packed(order_keys(fct_orders).drop("geography_sk"), "customer_sk")
     rows = unpacked(payments.join(known, "order_id", "left"), "customer_sk")

@@ -19,7 +19,7 @@ Readers of several tables that must agree read them between runs.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -84,16 +84,21 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return unpacked(dealt, *keys).select(*rows.columns)
 
 
-def replace_months(df: DataFrame, root: str, table: str, months: Iterable[int] | None = None) -> None:
+def replace_months(
+    df: DataFrame, root: str, table: str, months: Iterable[int] | None = None, ended: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
     """Replace the months that ``df`` has rows of; of ``months`` those without rows are emptied.
 
+    ``ended`` makes the rows of the table of narrower ones, once they are dealt out where they move only once.
+
     Without ``months`` all of them are loaded from elsewhere, and rows are written once. Otherwise ``df`` may read what
     it replaces, so its rows are written to the shared folder first and go from there when they are in place.
     """
     spark = df.sparkSession
     folder = working_folder(spark, f"monthly-{table}")
-    rows = df if months is None else _staged(df, folder)
-    dealt = _dealt(rows)
+    ended = ended or (lambda rows: rows)
+    rows = df if months is None else _staged(ended(df), folder)
+    dealt = ended(_dealt(rows)) if months is None else _dealt(rows)
     with short_shuffles(spark):
         into = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
         into.partitionBy(MONTH).parquet(f"{root}/{table}")
@@ -121,8 +126,13 @@ def _derive(star, root: str, months: Iterable[int] | None) -> None:
     orders = facts.fct_orders(own("orders"), own("order_items"), star.dim_customer, star.dim_geography)
     replace("fct_orders", orders, month_of(F.col("purchase_date_sk")))
     orders = own("fct_orders")
-    sales = facts.fct_order_items(own("order_items"), orders, star.dim_product, star.dim_seller)
-    replace("fct_order_items", sales, month_of(F.col("date_sk")))
+    # No digest of a product moves with an item: it follows from the id once rows are where they stay.
+    sales = facts.items_with_keys(own("order_items"), orders, star.dim_product, star.dim_seller)
+    columns = ("_known", "_own", "product_id", "price", "freight_value", *facts.CONTRACTS["fct_order_items"])
+    sales = sales.select(*[c for c in sales.columns if c in columns or c.endswith(("_bytes", "_text"))])
+    month = month_of(F.coalesce("date_sk", F.lit(K.UNKNOWN_DATE_KEY)))
+    ended = lambda rows: facts.items_contracted(rows).withColumn(MONTH, month_of(F.col("date_sk")))
+    replace_months(sales.withColumn(MONTH, month), root, "fct_order_items", months, ended)
     replace("fct_payments", facts.fct_payments(own("payments"), orders), month_of(F.col("date_sk")))
     # A review is dated by its own creation but stands in the month of its order.
     bought = orders.select("order_id", month_of(F.col("purchase_date_sk")).alias(MONTH))

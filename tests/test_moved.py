@@ -115,3 +115,22 @@ def test_months_are_dealt_out_with_packed_keys(spark):
     assert dealt.columns == rows.columns and sorted(dealt.collect(), key=lambda r: r.n) == rows.collect()
     plan = plan_text(dealt).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
     assert "k_sk_bytes" in plan[plan.index("RepartitionByExpression") :]
+
+
+def test_items_are_dealt_out_by_month_without_digests_of_products(spark, star, monkeypatch):
+    """The first load moves ids of products, and ends with the rows of the fact."""
+    root, dealt = working_folder(spark, "narrow"), {}
+    deal = monthly._dealt
+
+    def watched(rows):
+        dealt[len(dealt)] = rows.columns
+        return deal(rows)
+
+    monkeypatch.setattr(monthly, "_dealt", watched)
+    monthly.first_load(star, root)
+    of_items = [columns for columns in dealt.values() if "seller_sk_bytes" in columns]
+    assert len(of_items) == 1 and "product_id" in of_items[0] and "product_sk" not in of_items[0]
+    found = monthly.read(spark, root, "fct_order_items")
+    assert found.columns == [*facts.CONTRACTS["fct_order_items"], monthly.MONTH]
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert rows(found.drop(monthly.MONTH)) == rows(star.fct_order_items)
