@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions.constants import UNKNOWN_KEY, UNKNOWN_LABEL
+from lakeloom.functions.keys import key_bytes, resolve_key, surrogate_key
+from lakeloom.session import written
 
 
 # Length of the periods that long histories are cut into, and the day from which a first version is valid at the latest
@@ -33,6 +36,33 @@ def with_unknown_member(df: DataFrame, key: str, unknown_key: str = UNKNOWN_KEY)
     return df.unionByName(unknown_row(df.sparkSession, dict(df.dtypes), {key: unknown_key}))
 
 
+def irregular(dim: DataFrame, ids: Sequence[str], surrogate: str, rule: Column) -> DataFrame:
+    """Members, with their keys, whose ids are not those of exactly one row with the key that the rule gives."""
+    follows = F.col(surrogate).eqNullSafe(rule)
+    groups = dim.groupBy(*ids).agg(F.count("*").alias("_rows"), F.count_if(follows).alias("_following"))
+    strange = groups.where("_rows <> 1 OR _following <> 1").select(*ids)
+    return dim.select(*ids, surrogate).join(strange, list(ids)).withColumn(surrogate, resolve_key(surrogate))
+
+
+def with_exceptions(facts: DataFrame, dim: DataFrame, natural: str, surrogate: str, found: str) -> DataFrame:
+    """Left join each fact to its member; ``found`` is the key only where it is not the digest of the id, otherwise NULL.
+
+    Of the facts only their distinct ids move. Those without a member and the irregular members are written with their
+    keys, so Catalyst knows how few they are, or joins them as any other table.
+    """
+    ids = facts.select(natural).where(F.col(natural).isNotNull()).distinct()
+    unknown = ids.join(dim.select(natural), natural, "left_anti").withColumn(surrogate, F.lit(UNKNOWN_KEY))
+    own = irregular(dim, [natural], surrogate, surrogate_key(natural))
+    strange = unknown.unionByName(own).withColumnRenamed(surrogate, found)
+    return facts.join(written(strange, "exceptions"), natural, "left")
+
+
+def join_on_digest(facts: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Inner join on a digest, of which only the bytes move; the key itself is not among the columns of the result."""
+    sides = [df.withColumn("_key", key_bytes(key)).drop(key) for df in (facts, dim)]
+    return sides[0].join(sides[1], "_key").drop("_key")
+
+
 def point_in_time(
     facts: DataFrame, history: DataFrame, natural: str, moment: str, carry: list[str]
 ) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import attributes as A
 from lakeloom.functions.constants import UNKNOWN_KEY
-from lakeloom.functions.keys import date_key, key_date, packed, resolve_date_key, resolve_key, surrogate_key, unpacked
-from lakeloom.operators.dimension import version_at
+from lakeloom.functions.keys import date_key, key_date, packed, resolve_date_key, resolve_key, surrogate_key, unpacked, version_key
+from lakeloom.operators.dimension import irregular, version_at, with_exceptions
+from lakeloom.session import written
 
 PRIMARY_KEYS = {
     "fct_orders": ["order_id"],
@@ -131,37 +132,33 @@ def order_keys(fct_orders: DataFrame) -> DataFrame:
     return fct_orders.select("order_id", F.col("purchase_date_sk").alias("date_sk"), "customer_sk", "geography_sk")
 
 
-def product_keys(dim_product: DataFrame) -> DataFrame:
-    """Known products, with ``_own`` only where a key is not the digest of its id.
-
-    What follows from the id is computed where the fact is written, so no digest moves with an item.
-    """
-    follows = F.col("product_sk").eqNullSafe(surrogate_key("product_id"))
-    return dim_product.select("product_id", F.lit(True).alias("_known"), F.when(~follows, resolve_key("product_sk")).alias("_own"))
-
-
 def items_with_keys(items: DataFrame, fct_orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame) -> DataFrame:
-    """Items with the seller version valid on the day of purchase; products are looked up while rows are narrow.
+    """Items with the seller version valid on the day of purchase.
 
-    The keys found are packed, and that of a product is still its id, so rows can move before ``items_contracted`` ends them.
+    Items move once, for their order. Keys of products and versions follow from ids and dates, so only the exceptions are
+    looked up; the keys found are packed, and rows can move on before ``items_contracted`` ends them.
     """
-    of_order, of_seller = ("customer_sk", "geography_sk"), "seller_sk"
+    of_order, of_version = ("customer_sk", "geography_sk"), ["seller_id", "_since", "_until"]
+    versions = dim_seller.select("seller_id", F.col("valid_from").alias("_since"), F.col("valid_to").alias("_until"), "seller_sk")
+    own = packed(irregular(versions, of_version, "seller_sk", version_key("seller_id", "_since")), "seller_sk")
+    history = versions.select(*of_version, F.col("_since").alias("valid_from"), F.col("_until").alias("valid_to")).distinct()
     enriched = (
-        items.join(product_keys(dim_product), "product_id", "left")
+        with_exceptions(items, dim_product, "product_id", "product_sk", "_product")
         .join(packed(order_keys(fct_orders), *of_order), "order_id", "left")
         .withColumn("purchase_date", key_date("date_sk"))
     )
-    sellers = packed(dim_seller.select("seller_id", of_seller, "valid_from", "valid_to"), of_seller)
-    carried = [f"{of_seller}_bytes", f"{of_seller}_text"]
-    return version_at(enriched, sellers, "seller_id", "purchase_date", carried)
+    sold = version_at(enriched, history, "seller_id", "purchase_date", of_version[1:])
+    return sold.join(written(own, "exceptions"), of_version, "left").drop("_until")
 
 
 def items_contracted(rows: DataFrame) -> DataFrame:
     """The fact of items, of rows as ``items_with_keys`` gives them."""
-    versioned = unpacked(rows, "customer_sk", "geography_sk", "seller_sk")
-    product = F.when(F.col("_known"), F.coalesce("_own", surrogate_key("product_id"))).otherwise(UNKNOWN_KEY)
+    known = unpacked(rows, "customer_sk", "geography_sk", "seller_sk")
+    product = F.coalesce("_product", surrogate_key("product_id"), F.lit(UNKNOWN_KEY))
+    version = F.coalesce("seller_sk", version_key("seller_id", "_since"))
+    seller = F.when(F.col("_since").isNull(), UNKNOWN_KEY).otherwise(version)
     gross = F.col("price") + F.col("freight_value")
-    return as_contracted("fct_order_items", versioned, product_sk=product, gross_revenue=gross, item_count=F.lit(1))
+    return as_contracted("fct_order_items", known, product_sk=product, seller_sk=seller, gross_revenue=gross, item_count=F.lit(1))
 
 
 def fct_order_items(

@@ -126,9 +126,9 @@ def _derive(star, root: str, months: Iterable[int] | None) -> None:
     orders = facts.fct_orders(own("orders"), own("order_items"), star.dim_customer, star.dim_geography)
     replace("fct_orders", orders, month_of(F.col("purchase_date_sk")))
     orders = own("fct_orders")
-    # No digest of a product moves with an item: it follows from the id once rows are where they stay.
+    # No digest of a product or a seller moves with an item: it follows from id and day once rows are where they stay.
     sales = facts.items_with_keys(own("order_items"), orders, star.dim_product, star.dim_seller)
-    columns = ("_known", "_own", "product_id", "price", "freight_value", *facts.CONTRACTS["fct_order_items"])
+    columns = ("_product", "product_id", "_seller", "seller_id", "_since", *facts.CONTRACTS["fct_order_items"])
     sales = sales.select(*[c for c in sales.columns if c in columns or c.endswith(("_bytes", "_text"))])
     month = month_of(F.coalesce("date_sk", F.lit(K.UNKNOWN_DATE_KEY)))
     ended = lambda rows: facts.items_contracted(rows).withColumn(MONTH, month_of(F.col("date_sk")))

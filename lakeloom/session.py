@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only run-time SQL settings, so they can be applied to a session someone else started.
 RUNTIME_SETTINGS = {
@@ -107,3 +107,11 @@ def short_shuffles(spark: SparkSession) -> Iterator[None]:
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared one."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written once to a folder of their own and read again, so that Catalyst knows their size."""
+    folder = working_folder(df.sparkSession, purpose)
+    with short_shuffles(df.sparkSession):
+        df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -7,7 +7,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from lakeloom.functions.keys import packed, unpacked
+from lakeloom.functions.keys import key_bytes, packed, unpacked
+from lakeloom.operators.dimension import join_on_digest
 from lakeloom.plans import facts, monthly
 from lakeloom.session import INITIAL_PARTITIONS, SHUFFLE_CLEANUP, TASK_SIZES, short_shuffles, working_folder
 from lakeloom.sources import tables
@@ -134,3 +135,55 @@ def test_items_are_dealt_out_by_month_without_digests_of_products(spark, star, m
     assert found.columns == [*facts.CONTRACTS["fct_order_items"], monthly.MONTH]
     rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
     assert rows(found.drop(monthly.MONTH)) == rows(star.fct_order_items)
+
+
+def test_items_move_for_their_order_only(spark):
+    """Neither products nor sellers are few enough to be broadcast; their keys follow from ids and dates all the same."""
+    products = spark.range(20_000).selectExpr("cast(id as string) as product_id", "sha2(cast(id as string), 256) as product_sk")
+    items = spark.range(2_000).selectExpr(
+        "cast(id div 3 as string) as order_id", "cast(id % 3 as int) as order_item_id", "cast(id as string) as product_id",
+        "'s' as seller_id", "1.0d as price", "2.0d as freight_value",
+    )
+    orders = spark.range(1_000).selectExpr("cast(id as string) as order_id", "20180101 as purchase_date_sk", "'c' as customer_sk", "'g' as geography_sk")
+    sellers = spark.sql("select 's' as seller_id, sha2('s|1900-01-01', 256) as seller_sk, date '1900-01-01' as valid_from, date '9999-12-31' as valid_to")
+    root, held = working_folder(spark, "moved"), {}
+    for name, df in {"products": products, "items": items, "orders": orders, "sellers": sellers}.items():
+        df.write.parquet(f"{root}/{name}")
+        held[name] = spark.read.parquet(f"{root}/{name}")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "3k")
+    try:
+        fact = facts.fct_order_items(held["items"], held["orders"], held["products"], held["sellers"])
+        physical = plan_text(fact).split("== Physical Plan ==")[1]
+        rows = fact.where("product_sk = sha2(cast(cast(order_id as int) * 3 + order_item_id as string), 256)")
+        assert (rows.count(), fact.select("seller_sk").distinct().count()) == (2_000, 1)
+    finally:
+        spark.conf.set(key, before)
+    assert "hashpartitioning(order_id" in physical and "hashpartitioning(product_id" not in physical
+
+
+def test_versions_keep_keys_of_their_own(spark):
+    """Keys by rule, keys of their own, two rows of one period, and sellers or days without a version."""
+    products = spark.createDataFrame([("a", SHA_OF_A)], "product_id string, product_sk string")
+    items = spark.createDataFrame(
+        [(o, n, "a", s, 1.0, 2.0) for n, (o, s) in enumerate([("o1", "rule"), ("o1", "own"), ("o1", "twice"), ("o1", "gone"), ("o1", None), ("o2", "rule")])],
+        "order_id string, order_item_id int, product_id string, seller_id string, price double, freight_value double",
+    )
+    orders = spark.createDataFrame([("o1", 20180101, "c", "g")], "order_id string, purchase_date_sk int, customer_sk string, geography_sk string")
+    sellers = spark.sql(
+        """select seller_id, seller_sk, date '1900-01-01' as valid_from, date '9999-12-31' as valid_to from values
+           ('rule', sha2('rule|1900-01-01', 256)), ('own', 'v'), ('twice', 'v1'), ('twice', 'v2') as t(seller_id, seller_sk)"""
+    )
+    rule = spark.sql("select sha2('rule|1900-01-01', 256)").first()[0]
+    found = facts.fct_order_items(items, orders, products, sellers).select("order_item_id", "seller_sk").collect()
+    assert sorted(map(tuple, found)) == [(0, rule), (1, "v"), (2, "v1"), (2, "v2"), (3, "-1"), (4, "-1"), (5, "-1")]
+
+
+def test_joins_on_digests_move_their_bytes(spark):
+    """Only equal keys meet: digests, the same in capitals, other texts and NULL."""
+    keys = [SHA_OF_A, SHA_OF_A.upper(), "-1", "ab", "AB", "", None]
+    rows = spark.createDataFrame([(n, key) for n, key in enumerate(keys)], "n int, k_sk string")
+    met = join_on_digest(rows, rows.withColumnRenamed("n", "m"), "k_sk")
+    assert sorted(map(tuple, met.collect())) == [(n, n) for n in range(6)] and met.columns == ["n", "m"]
+    assert rows.select(key_bytes("k_sk").alias("b")).where("length(b) = 33").count() == 1
