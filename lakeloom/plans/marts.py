@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import attributes as A
 from lakeloom.functions.constants import REPURCHASE_WINDOWS, UNKNOWN_DATE_KEY, UNKNOWN_KEY
+from lakeloom.operators.dimension import join_on_digest
 
 MONEY_SUM = "decimal(38,2)"
 
@@ -97,8 +98,8 @@ def mart_ventas_categoria(fct_order_items: DataFrame, dim_product: DataFrame, di
     )
     price, freight = F.col("price"), F.col("freight_value")
     return (
-        fct_order_items.join(known_days(dim_date, "year_month", "year"), "date_sk")
-        .join(categories, "product_sk")
+        join_on_digest(fct_order_items, categories, "product_sk")
+        .join(known_days(dim_date, "year_month", "year"), "date_sk")
         .groupBy("year_month", "year", "product_category")
         .agg(
             _total(price).alias("gmv"),

@@ -10,7 +10,7 @@ from lakeloom.functions import attributes as A
 from lakeloom.functions.constants import UNKNOWN_DATE_KEY, UNKNOWN_KEY
 from lakeloom.functions.keys import resolve_key
 from lakeloom.operators import history, quality
-from lakeloom.operators.dimension import NO_BEGINNING, point_in_time, point_in_time_by_period
+from lakeloom.operators.dimension import NO_BEGINNING, join_on_digest, point_in_time, point_in_time_by_period
 from lakeloom.operators.grouping import median_per_key, mode_per_key, one_per_key
 from lakeloom.plans import dimensions, facts, silver
 from lakeloom.registry import query
@@ -252,9 +252,8 @@ def bridge_to_orders(star):
 )
 def star_join(star):
     return (
-        star.fct_order_items.join(star.dim_date, "date_sk")
-        .join(star.dim_product, "product_sk")
-        .join(star.dim_seller, "seller_sk")
+        join_on_digest(star.fct_order_items.join(star.dim_seller, "seller_sk"), star.dim_product, "product_sk")
+        .join(star.dim_date, "date_sk")
         .select("order_id", "order_item_id", "year_month", "product_category_name_english", "seller_segment")
     )
 
