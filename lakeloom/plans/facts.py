@@ -7,7 +7,7 @@ the seller version.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,8 +81,8 @@ CONTRACTS = {
 }
 
 
-def as_contracted(fact: str, rows: DataFrame, dates: Mapping[str, str] | None = None, **measures: Column) -> DataFrame:
-    """The columns of a fact: dates keyed from their moments, keys resolved, measures computed, the rest as it is."""
+def as_contracted(fact: str, rows: DataFrame, dates: Mapping[str, str] | None = None, kept: Sequence[str] = (), **measures: Column) -> DataFrame:
+    """The columns of a fact: dates keyed from their moments, keys resolved, measures computed, the rest as it is; ``kept`` stand behind."""
     told = {key: date_key(moment) for key, moment in (dates or {}).items()} | measures
 
     def column(name: str) -> Column:
@@ -92,7 +92,7 @@ def as_contracted(fact: str, rows: DataFrame, dates: Mapping[str, str] | None =
             return resolve_date_key(name)
         return resolve_key(name) if name.endswith("_sk") else F.col(name)
 
-    return rows.select(*[column(name).alias(name) for name in CONTRACTS[fact]])
+    return rows.select(*[column(name).alias(name) for name in CONTRACTS[fact]], *kept)
 
 
 def buyers(dim_customer: DataFrame, dim_geography: DataFrame) -> DataFrame:
@@ -151,14 +151,14 @@ def items_with_keys(items: DataFrame, fct_orders: DataFrame, dim_product: DataFr
     return sold.join(written(own, "exceptions"), of_version, "left").drop("_until")
 
 
-def items_contracted(rows: DataFrame) -> DataFrame:
-    """The fact of items, of rows as ``items_with_keys`` gives them."""
+def items_contracted(rows: DataFrame, *kept: str) -> DataFrame:
+    """The fact of items, of rows as ``items_with_keys`` gives them, and other columns that go on with it."""
     known = unpacked(rows, "customer_sk", "geography_sk", "seller_sk")
     product = F.coalesce("_product", surrogate_key("product_id"), F.lit(UNKNOWN_KEY))
     version = F.coalesce("seller_sk", version_key("seller_id", "_since"))
     seller = F.when(F.col("_since").isNull(), UNKNOWN_KEY).otherwise(version)
     gross = F.col("price") + F.col("freight_value")
-    return as_contracted("fct_order_items", known, product_sk=product, seller_sk=seller, gross_revenue=gross, item_count=F.lit(1))
+    return as_contracted("fct_order_items", known, kept=kept, product_sk=product, seller_sk=seller, gross_revenue=gross, item_count=F.lit(1))
 
 
 def fct_order_items(
@@ -174,8 +174,9 @@ def fct_payments(payments: DataFrame, fct_orders: DataFrame) -> DataFrame:
     return as_contracted("fct_payments", rows, payment_count=F.lit(1))
 
 
-def fct_reviews(reviews: DataFrame, fct_orders: DataFrame) -> DataFrame:
-    """Dated by the creation of the review, not by the purchase."""
-    known = packed(order_keys(fct_orders).select("order_id", "customer_sk"), "customer_sk")
+def fct_reviews(reviews: DataFrame, fct_orders: DataFrame, of_order: Mapping[str, Column] | None = None) -> DataFrame:
+    """Dated by the creation of the review, not by the purchase; ``of_order`` are columns made of the keys of the order that go on with it."""
+    more = [column.alias(name) for name, column in (of_order or {}).items()]
+    known = packed(order_keys(fct_orders).select("order_id", "customer_sk", *more), "customer_sk")
     rows = unpacked(reviews.join(known, "order_id", "left"), "customer_sk")
-    return as_contracted("fct_reviews", rows, {"date_sk": "review_creation_date"}, **A.review_measures())
+    return as_contracted("fct_reviews", rows, {"date_sk": "review_creation_date"}, [*(of_order or {})], **A.review_measures())

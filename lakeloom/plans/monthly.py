@@ -11,14 +11,15 @@ The mart of cohorts is by the month of a customer's *first* purchase. Orders are
 (``cohort_orders``), with the customers of each cohort (``cohort_members``). A change set reads and writes the cohorts
 that its customers have left or entered; the members, three columns, are read in full, as the dimension of customers is.
 
-Rows of a change set are written to the shared folder before they replace the partitions they were read from, so a job that is
-repeated after a failure finds either the old or the new rows of a month, and repeating a change set changes nothing.
+The rows of a change set are written whole beside the table before they take the places of the partitions they were read from, so a job
+that is repeated after a failure finds either the old or the new rows of a month, and repeating a change set changes nothing.
 What tells where rows were before (members, the order fact) is replaced after what is derived from it.
-Readers of several tables that must agree read them between runs.
+Readers of several tables that must agree read them between runs. Tables that do not depend on each other are written at the same time.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from datetime import date, timedelta
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions import constants as K
 from lakeloom.functions.keys import date_key, packed, unpacked
 from lakeloom.plans import dimensions, facts, marts
-from lakeloom.session import short_shuffles, working_folder
+from lakeloom.session import at_once, short_shuffles, working_folder
 from lakeloom.sources import paths
 from lakeloom.sources.tables import CODEC
 
@@ -48,6 +49,11 @@ BY_PURCHASE = (
 BY_COHORT = ("cohort_orders", "cohort_members", "mart_cohortes")
 TABLES = BY_PURCHASE + BY_COHORT
 
+# Columns of so many values that a file would begin a dictionary of them only to drop it.
+NO_DICTIONARY = ("order_id", "customer_id", "customer_unique_id", "customer_sk", "product_sk", "review_id")
+
+_OF_COHORT = ("customer_sk", "order_id", "purchase_date_sk", "order_value")
+
 
 def month_of(key: Column) -> Column:
     """The month of a date key; that of the unknown date is the unknown date."""
@@ -65,8 +71,18 @@ def with_month(orders: DataFrame) -> DataFrame:
 
 def read(spark: SparkSession, root: str, table: str, months: Iterable[int] | None = None) -> DataFrame:
     """A table, or some months of it, of which no others are listed."""
-    rows = spark.read.parquet(f"{root}/{table}")
-    return rows if months is None else rows.where(F.col(MONTH).isin(*months))
+    folder = f"{root}/{table}"
+    if months is None:
+        return spark.read.parquet(folder)
+    months = [*months]
+    held = {month: f"{folder}/{MONTH}={month}" for month in _held_months(spark, folder).intersection(months)}
+    # Without any of them the table still tells the columns.
+    rows = spark.read.option("basePath", folder).parquet(*held.values()) if held else spark.read.parquet(folder)
+    return rows.where(F.col(MONTH).isin(*months))
+
+
+def _held_months(spark: SparkSession, folder: str) -> set[int]:
+    return {int(name.split("=", 1)[1]) for name in paths.names(spark, f"{folder}/{MONTH}=*")}
 
 
 def _staged(df: DataFrame, folder: str) -> DataFrame:
@@ -77,10 +93,18 @@ def _staged(df: DataFrame, folder: str) -> DataFrame:
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
-    """The rows of a month in few files, however many tasks wrote them; a very large month is many. Their keys move packed."""
+    """The rows of a month in few files, however many tasks wrote them; a very large month is many. Their keys move packed.
+
+    Rows of one order come to one file, of the list of cohorts those of one customer, mostly one behind the other, so what they
+    share is stored about once. They are put in order of their months, which a write needs, while they are narrow.
+    """
     keys = [name for name, kind in rows.dtypes if kind == "string" and name.endswith("_sk")]
     narrow = packed(rows, *keys)
-    dealt = narrow.repartition(MONTH, F.pmod(F.xxhash64(*narrow.columns), F.lit(8)))
+    near = "customer_sk_bytes" if {*rows.columns} == {*_OF_COHORT, MONTH} else "order_id"
+    spread = F.xxhash64(*narrow.columns)
+    if near in narrow.columns:
+        spread = F.when(F.col(near).isNull(), spread).otherwise(F.xxhash64(near))
+    dealt = narrow.repartition(MONTH, F.pmod(spread, F.lit(8))).sortWithinPartitions(MONTH)
     return unpacked(dealt, *keys).select(*rows.columns)
 
 
@@ -89,23 +113,24 @@ def replace_months(
 ) -> None:
     """Replace the months that ``df`` has rows of; of ``months`` those without rows are emptied.
 
-    ``ended`` makes the rows of the table of narrower ones, once they are dealt out where they move only once.
-
-    Without ``months`` all of them are loaded from elsewhere, and rows are written once. Otherwise ``df`` may read what
-    it replaces, so its rows are written to the shared folder first and go from there when they are in place.
+    ``ended`` makes the rows of the table of narrower ones, once they are dealt out. Without ``months`` all of them are loaded
+    from elsewhere. Otherwise ``df`` may read what it replaces, so its rows are written beside the table first, by month, and
+    the folders of months change places when all rows are there. Rows are written once either way.
     """
-    spark = df.sparkSession
-    folder = working_folder(spark, f"monthly-{table}")
-    ended = ended or (lambda rows: rows)
-    rows = df if months is None else _staged(ended(df), folder)
-    dealt = ended(_dealt(rows)) if months is None else _dealt(rows)
+    spark, place = df.sparkSession, f"{root}/{table}"
+    beside = place if months is None else f"{root}/_{table}-{uuid.uuid4().hex}"
+    dealt = ended(_dealt(df)) if ended else _dealt(df)
     with short_shuffles(spark):
         into = dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", CODEC)
-        into.partitionBy(MONTH).parquet(f"{root}/{table}")
+        into = into.options(**{f"parquet.enable.dictionary#{name}": "false" for name in NO_DICTIONARY if name in dealt.columns})
+        into.partitionBy(MONTH).parquet(beside)
     if months is not None:
-        for month in set(months) - _months(rows):
-            paths.remove(spark, f"{root}/{table}/{MONTH}={month}")
-        paths.remove(spark, folder)
+        written = _held_months(spark, beside)
+        for month in sorted(written.union(months)):
+            paths.remove(spark, f"{place}/{MONTH}={month}")
+            if month in written:
+                paths.rename(spark, f"{beside}/{MONTH}={month}", f"{place}/{MONTH}={month}")
+        paths.remove(spark, beside)
 
 
 def _months(*rows: DataFrame) -> set[int]:
@@ -113,8 +138,15 @@ def _months(*rows: DataFrame) -> set[int]:
     return {row[0] for df in rows for row in df.select(MONTH).distinct().collect()}
 
 
+def _derive_orders(star, root: str, months: Iterable[int] | None) -> None:
+    """The order fact of the silver tables of some months, or of all."""
+    orders, items = (read(star.spark, root, table, months).drop(MONTH) for table in ("orders", "order_items"))
+    rows = facts.fct_orders(orders, items, star.dim_customer, star.dim_geography)
+    replace_months(rows.withColumn(MONTH, month_of(F.col("purchase_date_sk"))), root, "fct_orders", months)
+
+
 def _derive(star, root: str, months: Iterable[int] | None) -> None:
-    """Facts and marts of the silver tables of some months, or of all."""
+    """The finer facts and the marts of the silver tables and the order fact of some months, or of all."""
     spark = star.spark
 
     def own(table: str) -> DataFrame:
@@ -123,29 +155,39 @@ def _derive(star, root: str, months: Iterable[int] | None) -> None:
     def replace(table: str, rows: DataFrame, month: Column) -> None:
         replace_months(rows.withColumn(MONTH, month), root, table, months)
 
-    orders = facts.fct_orders(own("orders"), own("order_items"), star.dim_customer, star.dim_geography)
-    replace("fct_orders", orders, month_of(F.col("purchase_date_sk")))
     orders = own("fct_orders")
-    # No digest of a product or a seller moves with an item: it follows from id and day once rows are where they stay.
-    sales = facts.items_with_keys(own("order_items"), orders, star.dim_product, star.dim_seller)
-    columns = ("_product", "product_id", "_seller", "seller_id", "_since", *facts.CONTRACTS["fct_order_items"])
-    sales = sales.select(*[c for c in sales.columns if c in columns or c.endswith(("_bytes", "_text"))])
-    month = month_of(F.coalesce("date_sk", F.lit(K.UNKNOWN_DATE_KEY)))
-    ended = lambda rows: facts.items_contracted(rows).withColumn(MONTH, month_of(F.col("date_sk")))
-    replace_months(sales.withColumn(MONTH, month), root, "fct_order_items", months, ended)
-    replace("fct_payments", facts.fct_payments(own("payments"), orders), month_of(F.col("date_sk")))
-    # A review is dated by its own creation but stands in the month of its order.
-    bought = orders.select("order_id", month_of(F.col("purchase_date_sk")).alias(MONTH))
-    reviews = facts.fct_reviews(own("reviews"), orders).join(bought, "order_id", "left")
-    replace("fct_reviews", reviews.select(*facts.CONTRACTS["fct_reviews"], MONTH), F.coalesce(MONTH, F.lit(K.UNKNOWN_DATE_KEY)))
-    sales, reviews = own("fct_order_items"), own("fct_reviews")
-    built = {
-        "mart_ventas_categoria": marts.mart_ventas_categoria(sales, star.dim_product, star.dim_date),
-        "mart_segmento_vendedor": marts.mart_segmento_vendedor(sales, star.dim_seller, star.dim_date),
-        "mart_satisfaccion": marts.mart_satisfaccion(orders, reviews, star.dim_date),
-    }
-    for name, mart in built.items():
-        replace(name, mart, month_of_label("year_month"))
+
+    def replace_items() -> None:
+        # No digest of a product or a seller moves with an item: it follows from id and day once rows are where they stay.
+        sales = facts.items_with_keys(own("order_items"), orders, star.dim_product, star.dim_seller)
+        columns = ("_product", "product_id", "_seller", "seller_id", "_since", *facts.CONTRACTS["fct_order_items"])
+        sales = sales.select(*[c for c in sales.columns if c in columns or c.endswith(("_bytes", "_text"))])
+        month = month_of(F.coalesce("date_sk", F.lit(K.UNKNOWN_DATE_KEY)))
+        replace_months(sales.withColumn(MONTH, month), root, "fct_order_items", months, lambda rows: facts.items_contracted(rows, MONTH))
+
+    def replace_payments() -> None:
+        replace("fct_payments", facts.fct_payments(own("payments"), orders), month_of(F.col("date_sk")))
+
+    def replace_reviews() -> None:
+        # A review is dated by its own creation but stands in the month of its order.
+        reviews = facts.fct_reviews(own("reviews"), orders, {MONTH: month_of(F.col("date_sk"))})
+        replace("fct_reviews", reviews, F.coalesce(MONTH, F.lit(K.UNKNOWN_DATE_KEY)))
+
+    def sales() -> DataFrame:
+        return own("fct_order_items")
+
+    def items_and_theirs() -> None:
+        replace_items()
+        by_category = lambda: replace("mart_ventas_categoria", marts.mart_ventas_categoria(sales(), star.dim_product, star.dim_date), label)
+        by_segment = lambda: replace("mart_segmento_vendedor", marts.mart_segmento_vendedor(sales(), star.dim_seller, star.dim_date), label)
+        at_once(spark, by_category, by_segment)
+
+    def reviews_and_theirs() -> None:
+        replace_reviews()
+        replace("mart_satisfaccion", marts.mart_satisfaccion(orders, own("fct_reviews"), star.dim_date), label)
+
+    label = month_of_label("year_month")
+    at_once(spark, items_and_theirs, replace_payments, reviews_and_theirs)
 
 
 def _members(dim_customer: DataFrame) -> DataFrame:
@@ -154,13 +196,9 @@ def _members(dim_customer: DataFrame) -> DataFrame:
     return known.select("customer_sk", "cohort_year_month", "first_purchase_date", month_of_label("cohort_year_month").alias(MONTH))
 
 
-_OF_COHORT = ("customer_sk", "order_id", "purchase_date_sk", "order_value")
-
-
-def _replace_cohorts(star, root: str, orders: DataFrame, members: DataFrame, months: Iterable[int] | None) -> None:
-    """The orders, the mart and, last, the members of some cohorts, or of all."""
-    placed = orders.select(*_OF_COHORT).join(members.select("customer_sk", MONTH), "customer_sk")
-    replace_months(placed, root, "cohort_orders", months)
+def _replace_cohorts(star, root: str, placed: DataFrame, members: DataFrame, months: Iterable[int] | None) -> None:
+    """The orders, the mart and, last, the members of some cohorts, or of all; ``placed`` are orders with their cohort."""
+    replace_months(placed.select(*_OF_COHORT, MONTH), root, "cohort_orders", months)
     held = read(star.spark, root, "cohort_orders", months).drop(MONTH)
     mart = marts.cohorts(marts.order_activity(held, members, star.dim_date))
     replace_months(mart.withColumn(MONTH, month_of_label("cohort_year_month")), root, "mart_cohortes", months)
@@ -169,17 +207,34 @@ def _replace_cohorts(star, root: str, orders: DataFrame, members: DataFrame, mon
 
 def first_load(star, root: str) -> None:
     """All months of the silver tables of a warehouse, and what is derived from them."""
+    spark = star.spark
     orders = with_month(star.orders)
-    replace_months(orders, root, "orders")
-    for name in DETAILS:
+
+    def load(name: str) -> None:
         rows = star.table(name).join(orders.select("order_id", MONTH), "order_id", "left")
         replace_months(rows.fillna({MONTH: K.UNKNOWN_DATE_KEY}), root, name)
-    _derive(star, root, None)
-    _replace_cohorts(star, root, read(star.spark, root, "fct_orders").drop(MONTH), _members(star.dim_customer), None)
+
+    def load_cohorts() -> None:
+        members = _members(star.dim_customer)
+        placed = read(spark, root, "fct_orders").drop(MONTH).join(members.select("customer_sk", MONTH), "customer_sk")
+        _replace_cohorts(star, root, placed, members, None)
+
+    dimensions_of_facts = ("dim_customer", "dim_geography", "dim_product", "dim_seller", "dim_date")
+    at_once(
+        spark,
+        lambda: replace_months(orders, root, "orders"),
+        *[lambda name=name: load(name) for name in DETAILS],
+        *[lambda name=name: getattr(star, name) for name in dimensions_of_facts],
+    )
+    _derive_orders(star, root, None)
+    at_once(spark, lambda: _derive(star, root, None), load_cohorts)
 
 
 def _change_cohorts(star, root: str, folder: str, changed: DataFrame, items: DataFrame, months: list[int]) -> None:
-    """Bring the cohorts up to changed orders, whose old rows are still in the order fact."""
+    """Bring the cohorts up to changed orders, whose old rows are still in the order fact.
+
+    Customers without a changed order stay in their cohorts, so only the orders of the others are placed anew.
+    """
     spark, ids = star.spark, changed.select("order_id")
     now = facts.fct_orders(changed.drop(MONTH), items.drop(MONTH), star.dim_customer, star.dim_geography)
     now = _staged(now.select(*_OF_COHORT), f"{folder}/facts")
@@ -192,9 +247,10 @@ def _change_cohorts(star, root: str, folder: str, changed: DataFrame, items: Dat
     if not cohorts:
         return
     stayed = read(spark, root, "cohort_members", cohorts).join(touched, "customer_sk", "left_anti")
-    members = _staged(stayed.unionByName(entered), f"{folder}/cohorts")
-    held = read(spark, root, "cohort_orders", cohorts).drop(MONTH).join(ids, "order_id", "left_anti")
-    _replace_cohorts(star, root, held.unionByName(now), members, cohorts)
+    held = read(spark, root, "cohort_orders", cohorts).select(*_OF_COHORT, MONTH).join(ids, "order_id", "left_anti")
+    moved = held.drop(MONTH).join(touched, "customer_sk", "left_semi").unionByName(now).join(entered.select("customer_sk", MONTH), "customer_sk")
+    placed = held.join(touched, "customer_sk", "left_anti").unionByName(moved)
+    _replace_cohorts(star, root, placed, stayed.unionByName(entered), cohorts)
 
 
 def apply_changes(
@@ -214,17 +270,27 @@ def apply_changes(
     placed, ids = changed.select("order_id", MONTH), changed.select("order_id")
     # Rows that came before their order, or before its moment was known.
     unknown = [read(spark, root, table, [K.UNKNOWN_DATE_KEY]).join(ids, "order_id", "left_semi") for table in ("orders", *DETAILS)]
-    if K.UNKNOWN_DATE_KEY not in months and not all(rows.isEmpty() for rows in unknown):
+    if K.UNKNOWN_DATE_KEY not in months and not all(at_once(spark, *[rows.isEmpty for rows in unknown])):
         months = [K.UNKNOWN_DATE_KEY, *months]
-    new = {"orders": changed}
-    for table, given in zip(DETAILS, (items, payments, reviews), strict=True):
+
+    def stage(table: str, given: DataFrame | None) -> DataFrame:
         rows = read(spark, root, table, months).drop(MONTH) if given is None else given
-        new[table] = _staged(rows.join(placed, "order_id"), f"{folder}/{table}")
-    _change_cohorts(star, root, folder, changed, new["order_items"], months)
-    for table, now in new.items():
+        return _staged(rows.join(placed, "order_id"), f"{folder}/{table}")
+
+    def replace(table: str, now: DataFrame) -> None:
         before = read(spark, root, table, months)
         kept = before.join(ids, "order_id", "left_anti")
         replace_months(kept.unionByName(now.select(*before.columns)), root, table, months)
+
+    given = dict(zip(DETAILS, (items, payments, reviews), strict=True))
+    staged = at_once(spark, *[lambda table=table: stage(table, given[table]) for table in DETAILS])
+    new = {"orders": changed, **dict(zip(DETAILS, staged, strict=True))}
+    at_once(
+        spark,
+        lambda: _change_cohorts(star, root, folder, changed, new["order_items"], months),
+        *[lambda table=table: replace(table, new[table]) for table in new],
+    )
+    _derive_orders(star, root, months)
     _derive(star, root, months)
     paths.remove(spark, folder)
     return months

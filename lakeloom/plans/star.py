@@ -9,6 +9,7 @@ for lost executors and gives Catalyst true sizes to choose broadcast joins by.
 from __future__ import annotations
 
 import hashlib
+import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -70,6 +71,7 @@ class Star:
         self._root = root
         self._read: dict[str, DataFrame] = {}
         self._staged: dict[str, str] = {}
+        self._building = {name: threading.RLock() for name in TABLES}
 
     @property
     def root(self) -> str:
@@ -116,12 +118,14 @@ class Star:
 
     def table(self, name: str) -> DataFrame:
         """The published table, built first where that has not happened yet."""
-        if name not in self._read:
-            layer = f"{self.root}/{TABLES[name].layer}"
-            if not tables.table_exists(self.spark, layer, name):
-                self.publish(name)
-            self._read[name] = tables.read_table(self.spark, layer, name)
-        return self._read[name]
+        # Of two threads that ask for it one builds it. Tables are built of earlier ones only, so nobody waits in a circle.
+        with self._building[name]:
+            if name not in self._read:
+                layer = f"{self.root}/{TABLES[name].layer}"
+                if not tables.table_exists(self.spark, layer, name):
+                    self.publish(name)
+                self._read[name] = tables.read_table(self.spark, layer, name)
+            return self._read[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:

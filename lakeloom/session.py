@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Result = TypeVar("Result")
+
 # Only run-time SQL settings, so they can be applied to a session someone else started.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -104,6 +109,16 @@ def short_shuffles(spark: SparkSession) -> Iterator[None]:
         yield
 
 
+def at_once(spark: SparkSession, *steps: Callable[[], Result]) -> list[Result]:
+    """What the steps return, which do not depend on each other and run at the same time, so that none waits for the last tasks of another.
+
+    Their writes are short, as settings belong to the session. The first failure is raised once all steps have ended.
+    """
+    with short_shuffles(spark), ThreadPoolExecutor(len(steps)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+    return [future.result() for future in futures]
+
+
 def working_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared one."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"

@@ -36,3 +36,10 @@ def folders_with(spark: SparkSession, pattern: str, name: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder with what is in it, if it is there."""
     _fs(spark, path).delete(_path(spark, path), True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another name within its file system; nothing may be there yet."""
+    _fs(spark, to).mkdirs(_path(spark, to).getParent())
+    if not _fs(spark, path).rename(_path(spark, path), _path(spark, to)):
+        raise OSError(f"{path} could not be renamed to {to}")

@@ -150,3 +150,42 @@ def test_a_snapshot_lists_thirteen_months(spark, star, root):
     assert sum("PartitionFilters: [purchase_month" in scan for scan in scans) == 2
     read = monthly.read(spark, root, "orders", monthly.months_of_window(date(1999, 1, 1))).select(F.input_file_name().alias("f")).distinct()
     assert {r.f.split(f"{monthly.MONTH}=")[1][:6] for r in read.collect()} <= wanted
+
+
+def test_a_change_writes_rows_once_and_lists_its_months_only(spark, monkeypatch):
+    """Rows are written by month beside the table and change places; months that are not asked for are not listed."""
+    folder, renamed, rename = working_folder(spark, "once"), [], monthly.paths.rename
+    rows_of = lambda *months: spark.createDataFrame([(f"o{n}", n, m) for n, m in enumerate(months)], f"order_id string, n int, {monthly.MONTH} int")
+    monthly.replace_months(rows_of(199801, 199802, 199803, -1), folder, "t")
+    monkeypatch.setattr(monthly.paths, "rename", lambda *of: (renamed.append(of[2]), rename(*of)))
+    before = files(folder, "t")
+    listed = monthly.read(spark, folder, "t", [199801, 199802])
+    assert {os.path.basename(os.path.dirname(f)) for f in listed.inputFiles()} == {f"{monthly.MONTH}=199801", f"{monthly.MONTH}=199802"}
+    monthly.replace_months(listed.where("n = 0").unionByName(rows_of(199805)), folder, "t", [199801, 199802])
+    after = files(folder, "t")
+    assert sorted(os.path.basename(to) for to in renamed) == [f"{monthly.MONTH}=199801", f"{monthly.MONTH}=199805"]
+    assert sorted(after) == [-1, 199801, 199803, 199805] and all(after[m] == before[m] for m in (-1, 199803))
+    assert sorted(map(tuple, monthly.read(spark, folder, "t").collect())) == [("o0", 0, 199801), ("o0", 0, 199805), ("o2", 2, 199803), ("o3", 3, -1)]
+    assert os.listdir(folder) == ["t"]
+    # Months that the table does not have hold no row, of the same columns.
+    none = monthly.read(spark, folder, "t", [209901])
+    assert none.isEmpty() and none.columns == ["order_id", "n", monthly.MONTH]
+
+
+def test_customers_without_a_change_are_not_placed_anew(spark, star, root, monkeypatch):
+    """Only orders of the customers of a change set meet the list of customers; the others keep their cohort."""
+    placed, replace = [], monthly._replace_cohorts
+
+    def watched(star, root, orders, members, months):
+        placed.append(plan_text(orders).split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0])
+        replace(star, root, orders, members, months)
+
+    monkeypatch.setattr(monthly, "_replace_cohorts", watched)
+    changed = star.orders.where("order_purchase_timestamp >= '1998-01-01' and order_purchase_timestamp < '1998-02-01'")
+    monthly.apply_changes(star, root, changed, star.order_items)
+    assert len(placed) == 1 and "LeftAnti, (customer_sk" in placed[0] and placed[0].count("Join Inner, (customer_sk") == 1
+    stays = placed[0][: placed[0].index("Join Inner")]
+    assert "LeftAnti, (customer_sk" in stays
+    assert rows(monthly.read(spark, root, "mart_cohortes").drop(monthly.MONTH)) == rows(star.mart_cohortes)
+    held = monthly.read(spark, root, "cohort_orders").join(monthly.read(spark, root, "cohort_members"), ["customer_sk", monthly.MONTH])
+    assert held.count() == monthly.read(spark, root, "cohort_orders").count() > 0

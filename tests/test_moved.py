@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions.keys import key_bytes, packed, unpacked
 from lakeloom.operators.dimension import join_on_digest
 from lakeloom.plans import facts, monthly
-from lakeloom.session import INITIAL_PARTITIONS, SHUFFLE_CLEANUP, TASK_SIZES, short_shuffles, working_folder
+from lakeloom.session import INITIAL_PARTITIONS, SHUFFLE_CLEANUP, TASK_SIZES, at_once, short_shuffles, working_folder
 from lakeloom.sources import tables
 from tests.conftest import plan_text
 
@@ -187,3 +187,51 @@ def test_joins_on_digests_move_their_bytes(spark):
     met = join_on_digest(rows, rows.withColumnRenamed("n", "m"), "k_sk")
     assert sorted(map(tuple, met.collect())) == [(n, n) for n in range(6)] and met.columns == ["n", "m"]
     assert rows.select(key_bytes("k_sk").alias("b")).where("length(b) = 33").count() == 1
+
+
+def test_a_month_is_written_in_the_order_it_is_dealt_out_in(spark, star):
+    """Narrow rows are put in order of their months once; the write of wide ones does not sort them again."""
+    items = facts.items_with_keys(star.order_items, star.fct_orders, star.dim_product, star.dim_seller)
+    dealt = monthly._dealt(items.withColumn(monthly.MONTH, monthly.month_of(F.coalesce("date_sk", F.lit(-1)))))
+    root = working_folder(spark, "ordered")
+    facts.items_contracted(dealt, monthly.MONTH).createOrReplaceTempView("ended")
+    spark.sql(f"create table ordered using parquet location '{root}' partitioned by ({monthly.MONTH}) as select * from ended where false")
+    try:
+        text = spark.sql("explain extended insert overwrite table ordered select * from ended").first()[0]
+    finally:
+        spark.sql("drop table ordered")
+    written = text.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert "RepartitionByExpression" in written
+    assert written.count(f"Sort [{monthly.MONTH}#") == 1 and written.index("sha2") < written.index("Sort [")
+
+
+def test_rows_of_an_order_share_a_file(spark):
+    rows = spark.range(3_000).selectExpr("cast(id div 3 as string) as order_id", "id as n", f"199801 as {monthly.MONTH}")
+    lone = spark.range(3_000).selectExpr("cast(null as string) as order_id", "id as n", f"-1 as {monthly.MONTH}")
+    root = working_folder(spark, "together")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        monthly.replace_months(rows.unionByName(lone).repartition(5, "n"), root, "t")
+    finally:
+        spark.conf.set(key, before)
+    held = monthly.read(spark, root, "t").withColumn("f", F.input_file_name())
+    assert held.where("order_id is not null").groupBy("order_id").agg(F.count_distinct("f").alias("k")).where("k > 1").isEmpty()
+    # Rows without an order are spread all the same.
+    assert held.where("order_id is null").select("f").distinct().count() > 1
+
+
+def test_steps_at_once_end_together_and_raise(spark):
+    seen = []
+    assert at_once(spark, lambda: spark.range(3).count(), lambda: spark.range(5).count()) == [3, 5]
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+
+    def fails():
+        raise ValueError("no")
+
+    try:
+        at_once(spark, fails, lambda: seen.append(spark.range(7).count()))
+    except ValueError as error:
+        seen.append(str(error))
+    assert seen == [7, "no"] and spark.conf.get(SHUFFLE_CLEANUP, None) == before
